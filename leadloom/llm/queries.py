@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import OP3_SQL, op3_decontamination
+from .line_dedup import OP5_SQL, op5_line_dedup
 from .quality_rules import op10_quality_rules
+from .secret_scan import op1_secret_scan
+
+OPERATORS = (op1_secret_scan, op3_decontamination, op5_line_dedup, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_quality_rules,)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": OP3_SQL, "op5_line_dedup": OP5_SQL}
