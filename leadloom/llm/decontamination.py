@@ -54,7 +54,8 @@ def find_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, windo
     for k in sizes:
         known = scratch.keep(parts.filter(F.col("k") == k).select(F.xxhash64(*[F.get("sw", F.lit(j)) for j in range(k)]).alias("h")).distinct())
         side = F.broadcast(known) if known.count() <= max_broadcast else known
-        hit = words.withColumn("g", _hashes("w", k)).select("_bd_id", "_bd_h", "n_words", "w", F.posexplode("g").alias("p", "h")).join(side, "h")
+        # outer: a filter on the list would be pushed below the projections and repeat their work for each word
+        hit = words.withColumn("g", _hashes("w", k)).select("_bd_id", "_bd_h", "n_words", "w", F.posexplode_outer("g").alias("p", "h")).join(side, "h")
         hit = hit.select("_bd_id", "_bd_h", "n_words", "p", F.lit(k).alias("k"), F.array_join(F.slice("w", F.col("p") + 1, k), " ").alias("sh"))
         found = hit if found is None else found.unionByName(hit)
     rare = parts.select("sh", "k").distinct()

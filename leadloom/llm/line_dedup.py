@@ -32,19 +32,20 @@ def _lines(docs: DataFrame, text: str) -> DataFrame:
 
 def _line_grams(k: int) -> Column:
     """The hash of each k lines in a row, with its position below 0, so that of equal hashes the last is the least."""
-    return F.transform(F.sequence(F.lit(0), F.size("_ld_v") - k), lambda i: F.struct(F.xxhash64(*[F.get("_ld_v", i + j) for j in range(k)]).alias("g"), (-i).alias("i")))
+    return F.when(F.size("_ld_v") >= k, F.transform(F.sequence(F.lit(0), F.size("_ld_v") - k), lambda i: F.struct(F.xxhash64(*[F.get("_ld_v", i + j) for j in range(k)]).alias("g"), (-i).alias("i"))))
 
 
 def _window_minima(w: int) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("_ld_g") - w), lambda i: F.array_min(F.slice("_ld_g", i + 1, w))))
+    return F.when(F.size("_ld_g") >= w, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("_ld_g") - w), lambda i: F.array_min(F.slice("_ld_g", i + 1, w)))))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W) -> DataFrame:
     """_ld_id, _ld_h and the sorted numbers _ld_cut of the lines to remove, for the documents that lose some."""
     t, scratch = k + w - 1, Scratch(spark, "lines")
-    lines = _lines(docs, text).filter(F.size("_ld_v") >= t).drop("_ld_l").withColumn("_ld_g", _line_grams(k)).withColumn("_ld_f", _window_minima(w))
+    lines = _lines(docs, text).withColumn("_ld_g", _line_grams(k)).withColumn("_ld_f", _window_minima(w))
     # with each fingerprint go the lines around it that some run of t lines with it can reach
-    prints = lines.select("_ld_id", "_ld_h", "_ld_at", "_ld_v", F.explode("_ld_f").alias("f")).withColumn("p", -F.col("f.i"))
+    # outer: a filter on the list would be pushed below the projections and repeat their work for each line
+    prints = lines.select("_ld_id", "_ld_h", "_ld_at", "_ld_v", F.explode_outer("_ld_f").alias("f")).filter("f IS NOT NULL").withColumn("p", -F.col("f.i"))
     low = F.greatest(F.col("p") - (w - 1), F.lit(0))
     size = F.least(F.col("p") + t, F.size("_ld_v")) - low
     prints = prints.select("_ld_id", "_ld_h", F.col("f.g").alias("g"), low.alias("low"), F.slice("_ld_v", low + 1, size).alias("v"), F.slice("_ld_at", low + 1, size).alias("at"))
