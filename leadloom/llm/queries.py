@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP3_SQL, op3_decontamination
 from .line_dedup import OP5_SQL, op5_line_dedup
+from .merge_dropout import op8_sentencepiece
+from .personal_data import op6_personal_data
 from .quality_rules import op10_quality_rules
 from .secret_scan import op1_secret_scan
 
-OPERATORS = (op1_secret_scan, op3_decontamination, op5_line_dedup, op10_quality_rules)
+OPERATORS = (op1_secret_scan, op3_decontamination, op5_line_dedup, op6_personal_data, op8_sentencepiece, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
