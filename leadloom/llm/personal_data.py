@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom.session import ship_package
+
 KINDS = ("email", "ip", "card", "phone", "iban", "local")
 BASE = 4
 MIN_SCORE = 0.6
@@ -114,6 +116,7 @@ def _find(texts: pa.Array) -> pa.Array:
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with pii: the spans of each text, by kind as in KINDS and then by start."""
+    ship_package(docs.sparkSession)
     return docs.withColumn("pii", F.arrow_udf(_find, PII)(F.col(text)))
 
 

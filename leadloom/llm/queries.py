@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP3_SQL, op3_decontamination
+from .jaccard_join import OP7_SQL, op7_jaccard_join
 from .line_dedup import OP5_SQL, op5_line_dedup
 from .merge_dropout import op8_sentencepiece
 from .personal_data import op6_personal_data
 from .quality_rules import op10_quality_rules
 from .secret_scan import op1_secret_scan
 
-OPERATORS = (op1_secret_scan, op3_decontamination, op5_line_dedup, op6_personal_data, op8_sentencepiece, op10_quality_rules)
+OPERATORS = (op1_secret_scan, op3_decontamination, op5_line_dedup, op6_personal_data, op7_jaccard_join, op8_sentencepiece, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op3_decontamination": OP3_SQL, "op5_line_dedup": OP5_SQL, "op7_jaccard_join": OP7_SQL}
