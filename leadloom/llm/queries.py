@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP3_SQL, op3_decontamination
+from .html_extraction import op9_html_extraction
 from .jaccard_join import OP7_SQL, op7_jaccard_join
 from .line_dedup import OP5_SQL, op5_line_dedup
 from .merge_dropout import op8_sentencepiece
 from .personal_data import op6_personal_data
+from .quality_classifier import op2_quality_classifier
 from .quality_rules import op10_quality_rules
 from .secret_scan import op1_secret_scan
 
-OPERATORS = (op1_secret_scan, op3_decontamination, op5_line_dedup, op6_personal_data, op7_jaccard_join, op8_sentencepiece, op10_quality_rules)
+OPERATORS = (op1_secret_scan, op2_quality_classifier, op3_decontamination, op5_line_dedup, op6_personal_data, op7_jaccard_join, op8_sentencepiece, op9_html_extraction, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
