@@ -80,14 +80,14 @@ def mark_documents(spark: SparkSession, docs: DataFrame, items: DataFrame, **how
     """docs with n_words, n_hit, _bd_items."""
     hits = find_benchmark(spark, docs, items, **how)
     out = docs.withColumns({"_bd_t": F.xxhash64("text"), "n_words": F.size(contract_words(F.col("text"))).cast("long")})
-    out = out.join(hits, F.col("doc_id").eqNullSafe(F.col("_bd_id")) & (F.col("_bd_t") == F.col("_bd_h")), "left").drop("_bd_id", "_bd_h", "_bd_t")
+    out = out.join(hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_bd_id")) & (F.col("_bd_t") == F.col("_bd_h")), "left").drop("_bd_id", "_bd_h", "_bd_t")
     return out.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "_bd_items": F.coalesce("_bd_items", F.array().cast("array<string>"))})
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, **how: int) -> DataFrame:
     """The rows of docs without any window of an item, with their own columns."""
     hits = find_benchmark(spark, docs, items, **how)
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_bd_id")) & (F.xxhash64("text") == F.col("_bd_h")), "left_anti")
+    return docs.join(hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_bd_id")) & (F.xxhash64("text") == F.col("_bd_h")), "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

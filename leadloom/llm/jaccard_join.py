@@ -166,7 +166,7 @@ def _sets(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "s"])
 
-    picked = docs.select("doc_id", F.col(text).alias("text")).join(wanted.select("node", F.col("doc_id").alias("i")), F.col("doc_id").eqNullSafe(F.col("i")))
+    picked = docs.select("doc_id", F.col(text).alias("text")).join(wanted.select("node", F.col("doc_id").alias("i")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("i")))
     return picked.select("node", "text").mapInArrow(work, "node long, s binary").dropDuplicates(["node"])
 
 
@@ -266,7 +266,7 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
 def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", **how: int) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of their component."""
     lost = linked(spark, docs, text, **how).filter("doc_id <> component_id").select(F.col("doc_id").alias("_jj_id")).distinct()
-    return docs.join(lost, F.col("doc_id") == F.col("_jj_id"), "left_anti")
+    return docs.join(lost.hint("merge"), F.col("doc_id") == F.col("_jj_id"), "left_anti")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

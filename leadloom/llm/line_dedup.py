@@ -63,7 +63,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k:
 def dedup_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W) -> DataFrame:
     """docs with the later repeated runs of lines removed from the text, and n_lines and n_removed."""
     cut = Scratch(spark, "cut").keep(repeated_lines(spark, docs, text, k, w)).withColumnRenamed("_ld_h", "_ld_k")
-    out = docs.join(cut, F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_k")), "left")
+    # the list grows with the input, so the plan is the same at every size: a sort-merge join
+    out = docs.join(cut.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_k")), "left")
     out = out.withColumn("_ld_l", F.split(text, "\n"))
     keep = F.array_except(F.sequence(F.lit(0), F.size("_ld_l") - 1), F.col("_ld_cut"))
     out = out.withColumns({"n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_ld_l")).cast("long"), "n_removed": F.coalesce(F.size("_ld_cut"), F.lit(0)).cast("long")})

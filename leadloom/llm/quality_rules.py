@@ -150,7 +150,7 @@ def filter_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     key = F.xxhash64("text", "lang", "source")
     scored = score_documents(spark, docs.withColumn("doc_id", F.struct("doc_id", key.alias("h"))))
     bad = scored.filter(~F.col("kept")).select(F.col("doc_id.doc_id").alias("_qr_id"), F.col("doc_id.h").alias("_qr_h")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_qr_id")) & (key == F.col("_qr_h")), "left_anti")
+    return docs.join(bad.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_qr_id")) & (key == F.col("_qr_h")), "left_anti")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
