@@ -1,10 +1,17 @@
-"""A corpus pipeline of operators, each a stage over the documents that the stage before it kept."""
+"""A corpus pipeline: each stage works over all documents that the stage before it kept.
+
+quality rules: documents that the rules reject go. line dedup: later repeated runs of lines are cut from the texts.
+n-gram Jaccard join: of each group of linked documents the smallest doc_id stays (five words, similarity 0.8).
+benchmark decontamination: documents that hold a window of an item go. SentencePiece: the pieces of each text and whether
+they decode to it. SQL can't express the robust estimates of the first stage nor the keyed segmentations of the last.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadloom.llm import quality_rules
+from leadloom.llm import decontamination, jaccard_join, line_dedup, merge_dropout, quality_rules
 from leadloom.llm.common import Scratch
 
 
@@ -12,12 +19,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_documents(spark, docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(spark, docs)
+    return done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one(spark, docs, shingle=5, percent=80)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.drop_contaminated(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return merge_dropout.encoded_summary(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark),
+    ("sentencepiece", encode),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

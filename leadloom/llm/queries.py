@@ -15,8 +15,9 @@ from .personal_data import op6_personal_data
 from .quality_classifier import op2_quality_classifier
 from .quality_rules import op10_quality_rules
 from .secret_scan import op1_secret_scan
+from .suffix_dedup import op4_suffix_dedup
 
-OPERATORS = (op1_secret_scan, op2_quality_classifier, op3_decontamination, op5_line_dedup, op6_personal_data, op7_jaccard_join, op8_sentencepiece, op9_html_extraction, op10_quality_rules)
+OPERATORS = (op1_secret_scan, op2_quality_classifier, op3_decontamination, op4_suffix_dedup, op5_line_dedup, op6_personal_data, op7_jaccard_join, op8_sentencepiece, op9_html_extraction, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
