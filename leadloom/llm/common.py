@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom.tables import Scratch, shared_dir
+
+__all__ = ["BLANK", "EMPTY_SHA256", "Scratch", "lower_ascii", "shared_dir", "table", "words_of"]
+
 #: White space as every contract of this package means it.
 BLANK = r"\x20\x09-\x0D"
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -17,40 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors and the driver see: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='leadloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-class Scratch:
-    """Intermediate tables as Parquet in the shared folder.
-
-    Writing cuts the lineage: a lost executor costs the tasks of one step, not of all steps before it. Tables that no later
-    step reads are removed with drop(); the last ones stay for the caller, who reads them lazily.
-    """
-
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        return out
-
-    def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def words_of(text: Column) -> Column:
     """Words between white space, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{BLANK}]+"), "")

@@ -7,10 +7,12 @@ signs for its own band, and for the next if a larger set there can be similar. E
 uneven that fewer than K + 1 partitions hold something, which keeps the guarantee. Groups of equal signatures give
 candidates, and every candidate is verified on the sets themselves.
 
-No group is expanded into pairs. Each node is first compared with the node that comes first in most of its groups; linked
-nodes form components; then, for groups that still span components, rounds of 1, 2, 4... further pivots are compared with
-members of other components, until every pair across components has been tried. So no link between components is
-lost, and a group of near copies costs one comparison each. Comparisons with one pivot are dealt over SALTS tasks.
+No group is expanded into pairs. Each node is first compared with the node that has most company in most of its groups,
+which for edited copies is the text they come from; linked nodes form components. Groups that meet form clusters, and in a
+cluster with several components the nodes outside the largest are queries against all its nodes, in blocks of QUERIES:
+parity sketches, which never differ in more cells than the sets in elements, rule most pairs out, the others are verified
+while their components are apart, and a task gives at most a spanning forest. So no link between components is lost, and a
+group of near copies costs one comparison each. Comparisons with one pivot are dealt over SALTS tasks.
 
 Components come from alternating large-star and small-star rounds over tables in the shared folder.
 
@@ -27,7 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from leadloom.operators.components import components
 from leadloom.session import ship_package
 
 from .common import Scratch
@@ -37,6 +41,8 @@ SHINGLE, PERCENT = 4, 85
 #: Of a band's largest to its smallest size; partitions beyond K + 1, as a part of it.
 BAND, SLACK = 1.5, 0.15
 SALTS = 16
+#: Queries of a block when components of a cluster are compared.
+QUERIES = 4096
 #: Nodes that a task remembers, so as to sign copies once.
 SEEN = 200_000
 
@@ -197,24 +203,56 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(work, "a long, b long")
 
 
-def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, label) with the smallest node of the component as label, for nodes that have an edge. edges: (a, b)."""
-    now = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    before = None
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = scratch.keep(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
-        small = scratch.keep(small)
-        state = small.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1000003).alias("h"), F.sum(F.xxhash64("v", "u") % 999983).alias("g")).first()
-        if state == before:
-            label = small.select(F.col("u").alias("node"), F.col("v").alias("label"))
-            return label.unionByName(small.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
-        scratch.drop(now, large)
-        now, before = small, state
+def _sketch(s: np.ndarray, bits: int) -> np.ndarray:
+    """The parity of the number of elements in each of bits cells. Two sketches differ in no more cells than the sets in elements."""
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components, among rows (cluster, block, role, node, label, s) in order of role.
+
+    The rows of role 0 are a block's queries, those of role 1 all nodes of the cluster. A pair is verified if its sketches
+    allow it and its components are still apart; found links join them at once, so a task gives at most a spanning forest.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sets, ids, root, sizes, sketches, bits = None, [], [], [], None, None, 64
+        for b in batches:
+            a_out, b_out = [], []
+            for cluster, block, role, node, label, s in zip(*(b.column(c).to_pylist() for c in ("cluster", "block", "role", "node", "label", "s")), strict=True):
+                x = np.frombuffer(s, np.uint64)
+                if at != (cluster, block):
+                    at, sets, ids, root, sketches, joined = (cluster, block), [], [], [], None, {}
+                if role == 0:
+                    sets.append(x)
+                    ids.append(node)
+                    root.append(label)
+                    continue
+                if sketches is None:
+                    sizes, root = np.array([len(q) for q in sets]), np.array(root, np.int64)
+                    bits = max(64, 1 << int(4 * sizes.max() - 1).bit_length())
+                    sketches = np.stack([_sketch(q, bits) for q in sets])
+                while label in joined:
+                    label = joined[label]
+                n = len(x)
+                fit = (root != label) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                if not fit.any():
+                    continue
+                q = np.flatnonzero(fit)
+                apart = np.bitwise_count(sketches[q] ^ _sketch(x, bits)).sum(1, dtype=np.int64)
+                for k in q[(100 + percent) * apart <= (100 - percent) * (sizes[q] + n)]:
+                    if root[k] == label:
+                        continue
+                    both = len(np.intersect1d(x, sets[k], assume_unique=True))
+                    if 100 * both >= percent * (n + int(sizes[k]) - both):
+                        a_out.append(node)
+                        b_out.append(ids[k])
+                        other = int(root[k])
+                        joined[other] = label
+                        root[root == other] = label
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+
+    return rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "role").mapInArrow(work, "a long, b long")
 
 
 def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -225,37 +263,26 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     first = nodes.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     groups = scratch.keep(_groups(_signed(docs, text, shingle, percent)))
     sets = scratch.keep(_sets(docs, text, shingle, groups.select("node").distinct().join(first, "node")))
-    chosen = groups.filter("idx > 0").groupBy("node", "first").agg(F.count("*").alias("n"))
-    chosen = chosen.groupBy(F.col("node").alias("b")).agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("a"))
-    tried = scratch.keep(chosen.select("a", "b"))
-    links = scratch.keep(_similar(tried, sets, percent))
-    label = scratch.keep(components(spark, links, scratch))
-    named = lambda g: g.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = named(groups)
-    spans = open_.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
-    rest = scratch.keep(groups.join(spans, "sig", "left_semi").select("sig", "node", "idx"))
-    low = 0
-    while True:
-        current = scratch.keep(named(rest))
-        here = current.filter((F.col("idx") >= low) & (F.col("idx") < 2 * low + 1)).select("sig", F.col("node").alias("a"), F.col("idx").alias("i"), F.col("label").alias("l"))
-        pairs = current.join(here, "sig").filter("idx > i AND label <> l").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs)
-        if pairs.isEmpty():
-            if current.filter(F.col("idx") > 2 * low + 1).isEmpty():
-                break
-        else:
-            tried = scratch.keep(tried.unionByName(pairs))
-            more = scratch.keep(_similar(pairs, sets, percent))
-            if not more.isEmpty():
-                links = scratch.keep(links.unionByName(more))
-                label = scratch.keep(components(spark, links, scratch))
-        low = 2 * low + 1
-        open_ = named(rest)
-        spans = open_.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("idx").alias("z")).filter(F.expr("x <> y") & (F.col("z") > low)).select("sig")
-        rest = scratch.keep(rest.join(spans, "sig", "left_semi"))
-        if rest.isEmpty():
-            break
+    # a group's pivot is its node with most company over all its groups: of a text and its edited copies, that is the text
+    sized = groups.withColumn("size", F.max("idx").over(Window.partitionBy("sig")))
+    company = scratch.keep(sized.groupBy("node").agg(F.sum("size").alias("company")))
+    top = groups.join(company, "node").groupBy("sig").agg(F.max_by("node", F.struct("company", "node")).alias("first"))
+    chosen = groups.select("sig", "node").join(top, "sig").filter("node <> first").groupBy("node", "first").agg(F.count("*").alias("n"))
+    chosen = chosen.groupBy(F.col("node").alias("b")).agg(F.max_by("first", F.struct("n", "first")).alias("a"))
+    links = scratch.keep(_similar(scratch.keep(chosen.select("a", "b")), sets, percent))
+    label = components(links, scratch)
+    # groups that meet form clusters: a candidate pair lies in one; within it, nodes outside the largest component are queries
+    cluster = components(groups.filter("idx > 0").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), scratch)
+    nodes_in = cluster.withColumnRenamed("label", "cluster").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    nodes_in = scratch.keep(nodes_in)
+    parts = nodes_in.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).filter("most < all")
+    main = main.select("cluster", "main", F.ceil((F.col("all") - F.col("most")) / QUERIES).alias("blocks"))
+    open_ = nodes_in.join(main, "cluster")
+    queries = open_.filter("label <> main").select("cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("role"), "node", "label")
+    members = open_.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "node", "label")
+    more = scratch.keep(_across(queries.unionByName(members).join(sets, "node"), percent))
+    label = scratch.keep(components(links.unionByName(more), scratch))
     named_first = first.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named_first.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of = scratch.keep(named_first.join(least, "label").select("node", "component_id"))
