@@ -55,7 +55,8 @@ def company_domain(df: DataFrame) -> Column:
 
 def company_key(df: DataFrame) -> Column:
     """'domain:' or 'name:' and the value; null if a row has neither."""
-    d, n = F.lower(company_domain(df)), alias_key(_v(df, "Company"))
+    c = actual_column(df.columns, "Company")
+    d, n = F.lower(company_domain(df)), alias_key(F.col(f"`{c}`")) if c else F.lit("")
     return F.when(d != "", F.concat(F.lit("domain:"), d)).when(n != "", F.concat(F.lit("name:"), n))
 
 

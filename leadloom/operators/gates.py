@@ -71,8 +71,8 @@ def absorbed(log: DataFrame) -> DataFrame:
     return rows.select("survivor", F.explode(both).alias("x")).select(F.col("x.id").alias("lost"), "survivor", F.col("x.s").alias("signals")).filter("lost <> ''")
 
 
-def provenance(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame, hops: int = 32) -> DataFrame:
-    """Ids that vanished without a trace, by weak signals, or into a survivor that vanished as well. All but log: (Id)."""
+def traces(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame, hops: int = 32) -> DataFrame:
+    """(rule, detail) of Ids that vanished without a trace, by weak signals, or into a survivor that vanished as well. All but log: (Id)."""
     id_ = lambda d: d.select(cell(F.col("Id")).alias("Id")).filter("Id <> ''").distinct()
     ends = id_(ids_out).unionByName(id_(dropped)).distinct()
     missing = id_(ids_in).join(ends, "Id", "left_anti")
@@ -93,7 +93,11 @@ def provenance(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: D
             break
     dangling = dangling.unionByName(walk.join(ends.withColumnRenamed("Id", "end"), F.col("at") == F.col("end"), "left_anti").select("Id", "survivor"))
     chain = dangling.select(F.lit("dangling_survivor").alias("rule"), F.concat_ws("->", "Id", "survivor").alias("detail"))
-    return _report(lost.unionByName(weak).unionByName(chain))
+    return lost.unionByName(weak).unionByName(chain)
+
+
+def provenance(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame) -> DataFrame:
+    return _report(traces(ids_in, ids_out, log, dropped))
 
 
 def header_violations(columns: list[str], expected: list[str]) -> list[str]:

@@ -1,19 +1,342 @@
-"""The registry of queries over the reference's own operators, with SQL that gives the same rows."""
+"""The registry of queries over leads and driver tables, with SQL that gives the same rows where SQL can express them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leadloom.functions import domains, names, phones
+from leadloom.functions import text as T
+from leadloom.functions.fixed_values import ALIASES, KNOWN_TLDS, LEGAL_SUFFIXES, PERSONAL_DOMAINS, PERSONAL_PREFIXES, PLACEHOLDER_DOMAINS, SOCIAL_HOSTS, TEST_GIVEN_NAMES, TEST_SURNAMES
+from leadloom.leads import LEADS_SQL, leads
+from leadloom.operators import audit, dedupe, enrich, gates
+from leadloom.operators.normalize import normalize
+from leadloom.operators.validate import validate
+from leadloom.plans import hygiene
+from leadloom.tables import Scratch
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+_LEADS = LEADS_SQL.replace("{customer}", "customer")
+_IN = lambda values: ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = f"WITH leads AS ({_LEADS}) {sql}"
+        return f
+
+    return register
+
+
+def verdicts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("acme.com", True), ("gmail.com", True)], "domain string, routable boolean")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_nationkey").count()
+    """The whole run, without gates' counts: leads in their usual form, duplicates merged, junk dropped."""
+    return hygiene.run(leads(spark, sf_dir), mx=verdicts(spark), check=False).leads
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+# SQL of the text functions, for values without control characters
+_CELL = lambda c: f"(CASE WHEN lower(trim({c})) IN ('', 'n/a', 'unknown', 'nan', 'none', 'null', 'nat', '-', '--') THEN '' ELSE trim({c}) END)"
+_DIGITS = lambda c: f"regexp_replace({_CELL(c)}, '[^0-9]', '', 'g')"
+_ALIAS = lambda c: f"trim(regexp_replace(regexp_replace(regexp_replace(lower(trim({c})), '\\s*&\\s*', ' and ', 'g'), '[,.]', '', 'g'), '\\s+', ' ', 'g'))"
+_FOLD = lambda c: f"trim(regexp_replace(replace(replace(regexp_replace(strip_accents(replace(lower({_CELL(c)}), 'ß', 'ss')), '[''`’]', '', 'g'), ' & ', ' '), ' and ', ' '), '[^a-z0-9]+', ' ', 'g'))"
+_MAILHOST = lambda c: f"(CASE WHEN {_CELL(c)} LIKE '%@%' THEN trim(trim(lower(split_part({_CELL(c)}, '@', -1))), '.') ELSE '' END)"
+_HOST = lambda c: f"regexp_replace(trim(regexp_extract(regexp_replace(lower({_CELL(c)}), '^[a-z][a-z0-9+.-]*://', ''), '^[^/?#:]*'), ' .'), '^www\\.', '')"
+_PERSONAL = lambda h: f"({h} IN ({_IN(PERSONAL_DOMAINS)}) OR {' OR '.join(f'starts_with({h}, {_IN([p])})' for p in PERSONAL_PREFIXES)} OR {' OR '.join(f'ends_with({h}, {_IN(["." + d])})' for d in PERSONAL_DOMAINS)})"
+_PLACEHOLDER = lambda h: f"({h} IN ({_IN(PLACEHOLDER_DOMAINS)}) OR list_contains(string_split({h}, '.'), 'example') OR split_part({h}, '.', -1) IN ('invalid', 'localhost'))"
+_PLAUSIBLE = lambda h: f"(NOT {_PERSONAL(h)} AND NOT {_PLACEHOLDER(h)} AND {h} NOT IN ({_IN(SOCIAL_HOSTS)}) AND regexp_full_match({h}, '([a-z0-9-][a-z0-9-]+\\.)+[a-z]+') AND split_part({h}, '.', -1) IN ({_IN(KNOWN_TLDS)}) AND length(replace(regexp_replace({h}, '\\.[^.]*$', ''), '.', '')) >= 3 AND split_part({h}, '.', 1) NOT IN ('mail', 'email', 'smtp', 'imap', 'webmail', 'mx', 'pop'))"
+_KEY = lambda c: f"trim(regexp_replace(regexp_replace({_FOLD(c)}, '\\b({'|'.join(LEGAL_SUFFIXES)})\\.?\\b', '', 'g'), ' +', ' ', 'g'))"
+_MAP = lambda section: "MAP {" + ", ".join(f"{_IN([k])}: {_IN([v])}" for k, v in ALIASES[section].items()) + "}"
+_MAPPED = lambda section, c, otherwise: f"(CASE WHEN {_CELL(c)} = '' THEN '' ELSE coalesce({_MAP(section)}[{_ALIAS(c)}], {otherwise}) END)"
+
+
+# -- text -----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT Id, {_CELL('Company')} AS company_cell, {_DIGITS('Phone')} AS phone_digits, {_ALIAS('Company')} AS company_alias_key, trim(regexp_replace({_CELL('Title')}, '\\s+', ' ', 'g')) AS title_one_space FROM leads")
+def text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", T.cell(F.col("Company")).alias("company_cell"), T.digits(F.col("Phone")).alias("phone_digits"), T.alias_key(F.col("Company")).alias("company_alias_key"), T.one_space(F.col("Title")).alias("title_one_space"))
+
+
+@query(f"SELECT Id, {_FOLD('LastName')} AS last_fold, {_FOLD('Company')} AS company_fold, replace({_FOLD('FirstName')}, ' ', '') AS first_joined FROM leads")
+def text_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", T.fold(F.col("LastName")).alias("last_fold"), T.fold(F.col("Company")).alias("company_fold"), T.fold_joined(F.col("FirstName")).alias("first_joined"))
+
+
+@query(f"SELECT Id, {_MAILHOST('Email')} AS domain, CASE WHEN Email LIKE '%@%' THEN regexp_extract(lower({_CELL('Email')}), '^(.*)@', 1) ELSE lower({_CELL('Email')}) END AS local_part, lower({_CELL('Email')}) AS normal FROM leads")
+def email_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", T.email_domain(F.col("Email")).alias("domain"), T.email_local(F.col("Email")).alias("local_part"), T.normalized_email(F.col("Email")).alias("normal"))
+
+
+@query(f"SELECT Id, CASE WHEN left({_CELL('Phone')}, 1) IN ('+', '-', '=', '@') THEN '=\"' || replace({_CELL('Phone')}, '\"', '\"\"') || '\"' ELSE {_CELL('Phone')} END AS guarded FROM leads")
+def sheet_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", T.sheet_guard(F.col("Phone")).alias("guarded"))
+
+
+# -- hosts, websites, e-mail ----------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT Id, h AS host, {_PERSONAL('h')} AS personal, {_PLACEHOLDER('h')} AS placeholder, h IN ({_IN(SOCIAL_HOSTS)}) AS social, {_PLAUSIBLE('h')} AS plausible FROM (SELECT Id, {_HOST('Website')} AS h FROM leads)")
+def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = F.col("Website")
+    return leads(spark, sf_dir).select("Id", domains.host(w).alias("host"), domains.is_personal(w).alias("personal"), domains.is_placeholder(w).alias("placeholder"), domains.is_social(w).alias("social"), domains.is_plausible(w).alias("plausible"))
+
+
+@query(f"""SELECT Id, CASE WHEN own THEN 'https://' || h WHEN mail THEN 'https://' || m END AS website,
+  CASE WHEN own AND 'https://' || h <> w THEN 'website: kept existing value and standardized' WHEN own THEN 'website: kept existing value'
+       WHEN mail THEN 'website: derived from email domain (lookup table had no entry)'
+       WHEN w <> '' THEN 'website: existing value was invalid and was cleared' ELSE '' END AS reason
+FROM (SELECT Id, w, h, m, {_PLAUSIBLE('h')} AS own, {_PLAUSIBLE('m')} AS mail FROM (SELECT Id, {_CELL('Website')} AS w, {_HOST('Website')} AS h, {_MAILHOST('Email')} AS m FROM leads))""")
+def websites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leads(spark, sf_dir).select("Id", domains.resolved_website(F.col("Website"), F.col("Company"), F.col("Email")).alias("r"))
+    return found.select("Id", F.col("r.value").alias("website"), F.col("r.reason").alias("reason"))
+
+
+@query(f"""SELECT Id, CASE WHEN NOT good THEN 'invalid_syntax' WHEN d IN ('example.com', 'example.net', 'example.org') THEN 'undeliverable' WHEN d IN ('acme.com', 'gmail.com') THEN 'deliverable' ELSE 'unknown' END AS status,
+  CASE WHEN good AND d NOT IN ('example.com', 'example.net', 'example.org') THEN e ELSE '' END AS value
+FROM (SELECT Id, lower({_CELL('Email')}) AS e, {_MAILHOST('Email')} AS d, regexp_full_match(Email, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+') AS good FROM leads)""")
+def email_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadloom.operators.validate import mail_verdicts
+
+    found = mail_verdicts(leads(spark, sf_dir), verdicts(spark)).select("Id", domains.checked_email(F.col("Email"), F.col("_mx")).alias("c"))
+    return found.select("Id", F.col("c.status").alias("status"), F.col("c.value").alias("value"))
+
+
+@query(f"SELECT Id, k = 'procter and gamble' AND h = 'acme.com' AS never, k AS company_key, h = 'acme.com' AND k = 'acme' AS matches FROM (SELECT Id, {_KEY('Company')} AS k, {_MAILHOST('Email')} AS h FROM leads)")
+def domain_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, host = domains.company_key(F.col("Company")), T.email_domain(F.col("Email"))
+    return leads(spark, sf_dir).select("Id", ((key == "procter and gamble") & (host == "acme.com")).alias("never"), key.alias("company_key"), domains.domain_matches(host, F.col("Company")).alias("matches"))
+
+
+# -- names, titles, companies, categories ---------------------------------------------------------------------------------
+
+
+@query(f"SELECT Id, CASE WHEN length({_CELL('FirstName')}) = 1 THEN upper({_CELL('FirstName')}) || '.' ELSE upper(left({_CELL('FirstName')}, 1)) || lower(substr({_CELL('FirstName')}, 2)) END AS first_name, upper(left(LastName, 1)) || lower(substr(LastName, 2)) AS last_name FROM leads")
+def person_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", names.first_name(F.col("FirstName")).alias("first_name"), names.last_name(F.col("LastName")).alias("last_name"))
+
+
+@query(f"SELECT Id, CASE {_CELL('Title')} WHEN '' THEN '' WHEN 'Director | Security' THEN 'Director' ELSE {_MAP('title')}[{_ALIAS('Title')}] END AS title, false AS low_quality FROM leads")
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = names.title(F.col("Title"))
+    return leads(spark, sf_dir).select("Id", t.alias("title"), names.is_low_quality_title(t).alias("low_quality"))
+
+
+@query(f"SELECT Id, CASE {_CELL('Company')} WHEN '' THEN '' WHEN 'Acme Corp' THEN 'Acme Corp.' ELSE {_MAP('company')}[{_ALIAS('Company')}] END AS company, {_KEY(f'coalesce({_MAP("company")}[{_ALIAS("Company")}], Company)')} AS dedupe_key FROM leads")
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", names.company(F.col("Company")).alias("company"), names.company_dedupe_key(F.col("Company")).alias("dedupe_key"))
+
+
+@query(f"SELECT Id, {_MAPPED('industry', 'Industry', 'upper(left(Industry, 1)) || lower(substr(Industry, 2))')} AS industry, {_MAPPED('country', 'Country', 'Country')} AS country FROM leads")
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", names.mapped("industry", F.col("Industry"), True).alias("industry"), names.mapped("country", F.col("Country"), True).alias("country"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS revenue, CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey * 1000 AS VARCHAR) END AS employees FROM customer")
+def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    money = F.format_number("c_acctbal", 2)
+    return c.select("c_custkey", names.revenue(F.when(F.col("c_acctbal") < 0, F.concat(F.lit("-$"), money)).otherwise(F.concat(F.lit("$"), money))).alias("revenue"), names.employees(F.concat(F.lit("about "), F.format_number("c_custkey", 0), F.lit("K+"))).alias("employees"))
+
+
+@query(f"SELECT Id, lower({_CELL('FirstName')}) IN ({_IN(TEST_GIVEN_NAMES)}) OR lower({_CELL('LastName')}) IN ({_IN(TEST_SURNAMES)}) AS test_record, {_CELL('Company')} = '' AND {_CELL('Email')} = '' AND {_CELL('Phone')} = '' AS junk FROM leads")
+def record_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = [F.col(x) for x in ("FirstName", "LastName", "Company", "Email")]
+    return leads(spark, sf_dir).select("Id", names.is_test_record(*c).alias("test_record"), names.is_junk_lead(F.col("Company"), F.col("Email"), F.col("Phone")).alias("junk"))
+
+
+# -- phones ---------------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT Id, CASE WHEN {_CELL('Phone')} = '' THEN 'empty' WHEN Phone = '000-000-000' THEN 'garbage' WHEN Phone LIKE '+%' THEN 'has_cc' ELSE 'missing_cc' END AS kind, {_DIGITS('Phone')} = '' OR Phone = '000-000-000' AS junk, Phone LIKE '+%' AS international FROM leads")
+def phone_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("Phone")
+    return leads(spark, sf_dir).select("Id", phones.classify(p).alias("kind"), phones.is_junk_phone(p).alias("junk"), phones.is_international(p).alias("international"))
+
+
+@query(f"SELECT Id, CASE WHEN {_CELL('Phone')} = '' THEN '' WHEN Phone = '000-000-000' THEN '' WHEN Phone LIKE '+%' THEN '+' || {_DIGITS('Phone')} ELSE '+1' || {_DIGITS('Phone')} END AS value, CASE WHEN {_CELL('Phone')} = '' THEN '' WHEN Phone = '000-000-000' THEN 'unparseable' ELSE 'valid' END AS status FROM leads")
+def phone_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without evidence of a country, so that national numbers are read as NANP."""
+    found = leads(spark, sf_dir).select("Id", phones.parse(F.col("Phone"), F.lit(""), F.lit(""), F.lit("")).alias("p"))
+    return found.select("Id", F.col("p.value").alias("value"), F.col("p.status").alias("status"))
+
+
+@query("SELECT Id, CASE WHEN Country = 'usa' THEN 'US' WHEN Country = 'UK' THEN 'GB' WHEN Phone LIKE '+1%' THEN 'US' ELSE '' END AS region FROM leads")
+def phone_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", phones.inferred_region(F.col("Email"), F.col("Country"), F.col("Phone"))["region"].alias("region"))
+
+
+# -- relational operators -------------------------------------------------------------------------------------------------
+
+
+def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate(leads(spark, sf_dir), verdicts(spark))
+
+
+@query(f"""SELECT flag, count(*) AS n FROM (
+  SELECT unnest([CASE WHEN lower(FirstName) = 'test' THEN 'test_data' END, CASE WHEN Title = '' THEN 'incomplete_profile' END, CASE WHEN LastName = '' THEN 'missing_last_name' END,
+    CASE WHEN Email = 'not-an-email' THEN 'invalid_email' END, CASE WHEN Email LIKE '%@example.com' THEN 'undeliverable_email' END,
+    CASE WHEN Email = '' OR Email = 'not-an-email' OR Email LIKE '%@example.com' THEN 'missing_email' END,
+    CASE WHEN Phone = '000-000-000' THEN 'garbage_phone' END, CASE WHEN Phone = '' OR Phone = '000-000-000' THEN 'missing_phone' END,
+    CASE WHEN (Email = '' OR Email = 'not-an-email' OR Email LIKE '%@example.com') AND (Phone = '' OR Phone = '000-000-000') THEN 'missing_hard_required' END,
+    CASE WHEN {_CELL('Company')} = '' AND Email = '' AND Phone = '' THEN 'junk_lead' END,
+    CASE WHEN Website = 'gmail.com' THEN 'personal_website' END, CASE WHEN Website = 'linkedin.com' THEN 'invalid_website' END,
+    CASE WHEN Website LIKE 'https%' AND Company LIKE 'PROCTER%' THEN 'website_company_mismatch' END,
+    CASE WHEN Email LIKE '%@acme.com' AND Company LIKE 'PROCTER%' THEN 'company_email_mismatch' END]) AS flag FROM leads)
+WHERE flag IS NOT NULL GROUP BY flag""")
+def validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.flag_counts(_valid(spark, sf_dir))
+
+
+@query()
+def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _valid(spark, sf_dir)
+
+
+@query()
+def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize(Scratch(spark, "valid").keep(_valid(spark, sf_dir).drop("_issues")))
+
+
+@query(f"""SELECT a.Id AS id_a, b.Id AS id_b FROM leads a JOIN leads b ON a.row_order < b.row_order
+WHERE (a.Email <> '' AND lower(a.Email) = lower(b.Email)) OR (length({_DIGITS('a.Phone')}) >= 7 AND {_DIGITS('a.Phone')} = {_DIGITS('b.Phone')}) OR (a.LastName <> '' AND {_FOLD('a.LastName')} = {_FOLD('b.LastName')})""")
+def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of leads that share a blocking key."""
+    rows = Scratch(spark, "keys").keep(dedupe.keyed(leads(spark, sf_dir)))
+    id_ = rows.select("Id", "row_order")
+    pairs = dedupe.candidate_pairs(rows, "row_order")
+    return pairs.join(id_.select(F.col("Id").alias("id_a"), F.col("row_order").alias("a")), "a").join(id_.select(F.col("Id").alias("id_b"), F.col("row_order").alias("b")), "b").select("id_a", "id_b")
+
+
+@query()
+def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Scratch(spark, "keys").keep(dedupe.keyed(leads(spark, sf_dir).withColumn("data_quality_flags", F.lit(""))))
+    pairs = dedupe.candidate_pairs(rows, "row_order").withColumnsRenamed({"a": "pa", "b": "pb"})
+    a, b = rows.alias("a"), rows.alias("b")
+    scored = pairs.join(a, F.col("pa") == F.col("a.row_order")).join(b, F.col("pb") == F.col("b.row_order")).select(F.col("a.Id").alias("id_a"), F.col("b.Id").alias("id_b"), dedupe.pair_score().alias("s"))
+    return scored.select("id_a", "id_b", F.array_join("s.signals", "|").alias("signals"), "s.score", "s.auto_merge", "s.hitl")
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "clean")
+    return scratch.keep(normalize(scratch.keep(_valid(spark, sf_dir).drop("_issues"))).drop("_changes"))
+
+
+@query()
+def survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe(_clean(spark, sf_dir))[0]
+
+
+@query()
+def merge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe(_clean(spark, sf_dir))[1]
+
+
+@query()
+def hygiene_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entry(spark, sf_dir)
+
+
+@query()
+def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hygiene.run(leads(spark, sf_dir), mx=verdicts(spark), check=False).audit
+
+
+@query(f"SELECT 'duplicate_email' AS rule, CAST(count(*) AS BIGINT) AS n FROM (SELECT lower(Email) FROM leads WHERE Email <> '' GROUP BY 1 HAVING count(*) > 1) HAVING count(*) > 0 UNION ALL SELECT 'website_free_provider', CAST(count(*) AS BIGINT) FROM leads WHERE Website = 'gmail.com' UNION ALL SELECT 'phone_formula', CAST(count(*) AS BIGINT) FROM leads WHERE Phone LIKE '+%'")
+def invariant_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.invariants(leads(spark, sf_dir)).select("rule", "n")
+
+
+@query("SELECT 'website_scheme' AS rule, CAST(count(*) AS BIGINT) AS n FROM leads WHERE Website <> '' AND Website NOT LIKE 'http%'")
+def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.schema_violations(leads(spark, sf_dir)).select("rule", "n")
+
+
+@query("SELECT 'not_e164' AS rule, CAST(count(*) AS BIGINT) AS n FROM leads WHERE Phone <> '' AND Phone NOT LIKE '+%'")
+def phone_state_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.phone_state_violations(leads(spark, sf_dir)).select("rule", "n")
+
+
+@query(f"""SELECT Id, 'Company' AS "column", {_CELL('Company')} AS before, upper({_CELL('Company')}) AS after FROM leads WHERE {_CELL('Company')} <> upper({_CELL('Company')})
+UNION ALL SELECT Id, 'Country', Country, upper(Country) FROM leads WHERE Country <> upper(Country)""")
+def cell_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = leads(spark, sf_dir).select("Id", "Company", "Country", "Title")
+    return gates.cell_changes(rows, rows.withColumns({"Company": F.upper("Company"), "Country": F.upper("Country")}))
+
+
+@query("SELECT Id FROM leads WHERE Country = ''")
+def only_in_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = leads(spark, sf_dir)
+    return gates.only_in(rows, rows.filter("Country <> ''"))
+
+
+@query("SELECT Id FROM leads WHERE contains(lower(concat_ws(' ', Id, FirstName, LastName, Company, Email, Phone)), 'jane') ORDER BY Id LIMIT 25")
+def find_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 25 matches by Id; the limit is the feature."""
+    return audit.find_leads(leads(spark, sf_dir), "Jane ")[0].select("Id")
+
+
+@query("SELECT count(*) AS leads_in, count(*) AS leads_out, CAST(count_if(Email = '') AS BIGINT) AS blank_email_kept, CAST(count_if(Country = '') AS BIGINT) AS hitl_records FROM leads")
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = leads(spark, sf_dir).withColumn("hitl_review", F.when(F.col("Country") == "", "Yes").otherwise(""))
+    return audit.run_counts(rows, rows)
+
+
+@query("""SELECT "column", count(*) AS changed, CAST(count_if("column" <> 'Country') AS BIGINT) AS critical FROM (
+  SELECT unnest([CASE WHEN Company <> 'x' THEN 'Company' END, CASE WHEN Country <> upper(Country) THEN 'Country' END, CASE WHEN Website <> '' THEN 'Website' END]) AS "column" FROM leads) WHERE "column" IS NOT NULL GROUP BY 1""")
+def change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = leads(spark, sf_dir).select("Id", "Company", "Country", "Website")
+    return audit.change_summary(audit.field_changes(rows, rows.withColumns({"Company": F.lit("x"), "Country": F.upper("Country"), "Website": F.lit("")})))
+
+
+@query(f"""SELECT CASE WHEN d <> '' THEN 'domain:' || d ELSE 'name:' || {_ALIAS('Company')} END AS key, count(*) AS n
+FROM (SELECT Company, CASE WHEN Website LIKE 'http%' THEN 'acme.com' WHEN Website <> '' THEN Website WHEN Email LIKE '%@acme.com' THEN 'acme.com' WHEN Email LIKE '%@example.com' THEN 'example.com' ELSE '' END AS d FROM leads)
+WHERE d <> '' OR Company <> '' GROUP BY 1""")
+def company_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = leads(spark, sf_dir)
+    return rows.select(enrich.company_key(rows).alias("key")).filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT array_to_string(r, '+') AS reveal, count(*) AS n FROM (
+  SELECT list_filter([CASE WHEN {_CELL('Email')} = '' THEN 'emails' END, CASE WHEN {_CELL('Phone')} = '' THEN 'phones' END], lambda x: x IS NOT NULL) AS r FROM leads
+  WHERE ({_CELL('LastName')} = '' OR {_CELL('Email')} = '' OR {_CELL('Company')} = '' OR {_CELL('Title')} = '' OR {_CELL('Phone')} = '')
+    AND ({_CELL('Email')} <> '' OR ({_CELL('LastName')} <> '' AND ({_CELL('Company')} <> '' OR Website <> '')))) GROUP BY 1""")
+def contact_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.contact_requests(leads(spark, sf_dir)).groupBy(F.array_join("reveal", "+").alias("reveal")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT Id, CASE WHEN Country = '' THEN 'Nowhere' ELSE Country END AS Country, CAST(Country = '' AS INTEGER) AS _filled FROM leads")
+def fill_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.fill(leads(spark, sf_dir), {"Country": F.lit("Nowhere")}).select("Id", "Country", "_filled")
+
+
+@query("SELECT Id, CASE WHEN Phone LIKE '+%' THEN Phone ELSE '' END AS Phone, CASE WHEN Website LIKE 'https%' THEN 'https://acme.com' ELSE '' END AS Website FROM leads")
+def restore_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phones without their code and blanked websites come back from the source."""
+    rows = leads(spark, sf_dir)
+    worse = rows.withColumns({"Phone": F.when(F.col("Phone").startswith("+"), F.substring("Phone", 4, 40)).otherwise(""), "Website": F.lit("")})
+    return gates.restore_from_source(rows, worse).select("Id", "Phone", "Website")
+
+
+@query("SELECT Id AS detail, CASE WHEN row_order % 3 = 0 THEN 'no_paper_trail' ELSE 'weak_identity' END AS rule FROM leads WHERE row_order % 3 < 2 AND row_order < 30")
+def provenance_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the first thirty leads, a third vanish without a trace and a third by a weak signal."""
+    rows = leads(spark, sf_dir).filter("row_order < 30")
+    log = rows.filter("row_order % 3 = 1").select(F.lit("00Q000002").alias("surviving_lead_id"), F.col("Id").alias("merged_from_ids"), F.lit("phone_shared").alias("match_signals_used"), F.concat("Id", F.lit(":phone_shared")).alias("absorbed_match_signals"))
+    return gates.traces(rows, rows.filter("row_order % 3 = 2"), log, rows.filter("false"))
