@@ -39,10 +39,11 @@ from leadloom.session import ship_package
 from .common import Scratch
 from .shingles import _BASE, _INVERSE, _power, blocks, mix, text_bytes
 
-K, M, MAX_RUN = 50, 16, 64
+K, M, MAX_RUN = 50, 24, 64
 #: Bytes of text whose records make a bucket; bytes of a round's columns beyond which they go to files.
 BUCKET_BYTES, SPILL = 16_000_000, 64_000_000
 _BYTE = np.random.Generator(np.random.PCG64(77)).integers(1, 2**64, 256, np.uint64)
+_PLACE = np.random.Generator(np.random.PCG64(78)).integers(1, 2**64, 64, np.uint64) | np.uint64(1)
 
 
 # -- column-wise construction ---------------------------------------------------------------------------------------------
@@ -131,12 +132,14 @@ def _pieces(part: np.ndarray, cut: np.ndarray, k: int, m: int) -> tuple[np.ndarr
     nothing = tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     if n < k:
         return nothing
-    wide = np.concatenate((part, np.zeros(24, np.uint8)))
-    load = np.empty(n + 16, np.uint64)
+    wide = np.concatenate((part, np.zeros(m + 16, np.uint8)))
+    load = np.empty(n + m, np.uint64)
     for r in range(8):
         x = np.frombuffer(wide, "<u8", count=(len(wide) - r) // 8, offset=r)
         load[r::8] = x[: len(load[r::8])]
-    h = load[:n] * np.uint64(0x9E3779B97F4A7C15) + load[m - 8 : n + m - 8] * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = np.zeros(n, np.uint64)
+    for at in {*range(0, m - 7, 8), m - 8}:
+        h += load[at : n + at] * _PLACE[at]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
