@@ -9,10 +9,11 @@ candidates, and every candidate is verified on the sets themselves.
 
 No group is expanded into pairs. Each node is first compared with the node that has most company in most of its groups,
 which for edited copies is the text they come from; linked nodes form components. Groups that meet form clusters, and in a
-cluster with several components the nodes outside the largest are queries against all its nodes, in blocks of QUERIES:
-parity sketches, which never differ in more cells than the sets in elements, rule most pairs out, the others are verified
-while their components are apart, and a task gives at most a spanning forest. So no link between components is lost, and a
-group of near copies costs one comparison each. Comparisons with one pivot are dealt over SALTS tasks.
+cluster with several components the nodes outside the largest are queries against all its nodes, in blocks of QUERIES.
+Parity sketches, which never differ in more cells than the sets in elements, rule most pairs out; a pair that they allow joins
+its components, so a task gives at most a spanning forest. These links are then verified on the sets, and clusters with one
+that fails are compared once more with the sets in place of the sketches. So no link between components is lost, and a group
+of near copies costs one comparison each. Comparisons with one pivot are dealt over SALTS tasks.
 
 Components come from alternating large-star and small-star rounds over tables in the shared folder.
 
@@ -85,16 +86,31 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """The parity of the number of elements in each of 4 cells an element or more. Two sketches differ in no more cells than the sets in elements."""
+    bits = max(64, 1 << (4 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (in the last axis) with as few cells as words holds."""
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
 def _nodes(docs: DataFrame, text: str, k: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, node = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)
+            n, node, sketch = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64), [b""] * len(b)
             for i, s in shingle_sets(b.column("text"), k):
-                n[i], node[i] = len(s), node_of(s)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(node)], ["doc_id", "n_shingles", "node"])
+                if len(s):
+                    n[i], node[i], sketch[i] = len(s), node_of(s), _sketch(s).tobytes()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(node), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "node", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(work, f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(work, f"doc_id {kind}, n_shingles long, node long, sketch binary")
 
 
 def _signed(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -203,58 +219,88 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(work, "a long, b long")
 
 
-def _sketch(s: np.ndarray, bits: int) -> np.ndarray:
-    """The parity of the number of elements in each of bits cells. Two sketches differ in no more cells than the sets in elements."""
-    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+def _likely(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and sketches allow to be similar; all similar ones are among them."""
+
+    def allowed(n: pa.Array, m: pa.Array, s: pa.Array, t: pa.Array) -> pa.Array:
+        out = []
+        for i, j, x, y in zip(n.to_pylist(), m.to_pylist(), s.to_pylist(), t.to_pylist(), strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            words = min(len(x), len(y))
+            fits = 100 * min(i, j) >= percent * max(i, j)
+            out.append(fits and (100 + percent) * int(np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()) <= (100 - percent) * (i + j))
+        return pa.array(out, pa.bool_())
 
+    side = lambda c: sketched.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.filter(F.arrow_udf(allowed, "boolean")("n_a", "n_b", "s_a", "s_b")).select("a", "b")
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join components, among rows (cluster, block, role, node, label, s) in order of role.
 
-    The rows of role 0 are a block's queries, those of role 1 all nodes of the cluster. A pair is verified if its sketches
-    allow it and its components are still apart; found links join them at once, so a task gives at most a spanning forest.
+def _across(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Links (a, b) that join components, among rows (cluster, block, role, node, label, n, s) in order of role.
+
+    The rows of role 0 are a block's queries, those of role 1 all nodes of the cluster. s is a sketch, or if exact the set:
+    then pairs that the sketches allow are verified. A found link joins its components at once, so that a task gives at most
+    a spanning forest.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sets, ids, root, sizes, sketches, bits = None, [], [], [], None, None, 64
+        at, waiting, ready, joined = None, {}, {}, {}
         for b in batches:
             a_out, b_out = [], []
-            for cluster, block, role, node, label, s in zip(*(b.column(c).to_pylist() for c in ("cluster", "block", "role", "node", "label", "s")), strict=True):
-                x = np.frombuffer(s, np.uint64)
+            for cluster, block, role, node, label, n, s in zip(*(b.column(c).to_pylist() for c in ("cluster", "block", "role", "node", "label", "n", "s")), strict=True):
                 if at != (cluster, block):
-                    at, sets, ids, root, sketches, joined = (cluster, block), [], [], [], None, {}
+                    at, waiting, ready, joined = (cluster, block), {}, {}, {}
+                x = np.frombuffer(s, np.uint64)
+                sketch = _sketch(x) if exact else x
                 if role == 0:
-                    sets.append(x)
-                    ids.append(node)
-                    root.append(label)
+                    waiting.setdefault(len(sketch), []).append((node, label, n, sketch, x))
                     continue
-                if sketches is None:
-                    sizes, root = np.array([len(q) for q in sets]), np.array(root, np.int64)
-                    bits = max(64, 1 << int(4 * sizes.max() - 1).bit_length())
-                    sketches = np.stack([_sketch(q, bits) for q in sets])
+                if waiting:
+                    ready = {w: [np.array([q[0] for q in v]), np.array([q[1] for q in v]), np.array([q[2] for q in v]), np.stack([q[3] for q in v]), [q[4] for q in v]] for w, v in waiting.items()}
+                    waiting = {}
                 while label in joined:
                     label = joined[label]
-                n = len(x)
-                fit = (root != label) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
-                if not fit.any():
-                    continue
-                q = np.flatnonzero(fit)
-                apart = np.bitwise_count(sketches[q] ^ _sketch(x, bits)).sum(1, dtype=np.int64)
-                for k in q[(100 + percent) * apart <= (100 - percent) * (sizes[q] + n)]:
-                    if root[k] == label:
+                own = len(sketch)
+                for w in (own // 2, own, own * 2):
+                    if w not in ready:
                         continue
-                    both = len(np.intersect1d(x, sets[k], assume_unique=True))
-                    if 100 * both >= percent * (n + int(sizes[k]) - both):
-                        a_out.append(node)
-                        b_out.append(ids[k])
+                    ids, root, size, sketches, sets = ready[w]
+                    q = np.flatnonzero((root != label) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
+                    if not len(q):
+                        continue
+                    words = min(w, own)
+                    apart = np.bitwise_count(_folded(sketches[q], words) ^ _folded(sketch, words)).sum(1, dtype=np.int64)
+                    for k in q[(100 + percent) * apart <= (100 - percent) * (size[q] + n)]:
                         other = int(root[k])
+                        if other == label:
+                            continue
+                        if exact:
+                            both = len(np.intersect1d(x, sets[k], assume_unique=True))
+                            if 100 * both < percent * (n + int(size[k]) - both):
+                                continue
+                        a_out.append(node)
+                        b_out.append(int(ids[k]))
                         joined[other] = label
-                        root[root == other] = label
+                        for g in ready.values():
+                            g[1][g[1] == other] = label
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
     return rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "role").mapInArrow(work, "a long, b long")
 
 
+def _blocks(cluster: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
+    """(cluster, block, role, node, label) of the clusters with several components, for _across()."""
+    nodes_in = scratch.keep(cluster.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    parts = nodes_in.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).filter("most < all")
+    main = main.select("cluster", "main", F.ceil((F.col("all") - F.col("most")) / QUERIES).alias("blocks"))
+    open_ = nodes_in.join(main, "cluster")
+    queries = open_.filter("label <> main").select("cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("role"), "node", "label")
+    members = open_.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "node", "label")
+    return queries.unionByName(members)
+
+
 def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, node and component_id of each row."""
     scratch = Scratch(spark, "jaccard")
@@ -262,27 +308,31 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     nodes = scratch.keep(_nodes(docs, text, shingle))
     first = nodes.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     groups = scratch.keep(_groups(_signed(docs, text, shingle, percent)))
-    sets = scratch.keep(_sets(docs, text, shingle, groups.select("node").distinct().join(first, "node")))
+    met = groups.select("node").distinct()
+    sketched = nodes.join(met, "node").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("n"), "sketch")
+    sketched = scratch.keep(sketched)
     # a group's pivot is its node with most company over all its groups: of a text and its edited copies, that is the text
     sized = groups.withColumn("size", F.max("idx").over(Window.partitionBy("sig")))
     company = scratch.keep(sized.groupBy("node").agg(F.sum("size").alias("company")))
     top = groups.join(company, "node").groupBy("sig").agg(F.max_by("node", F.struct("company", "node")).alias("first"))
     chosen = groups.select("sig", "node").join(top, "sig").filter("node <> first").groupBy("node", "first").agg(F.count("*").alias("n"))
     chosen = chosen.groupBy(F.col("node").alias("b")).agg(F.max_by("first", F.struct("n", "first")).alias("a"))
-    links = scratch.keep(_similar(scratch.keep(chosen.select("a", "b")), sets, percent))
-    label = components(links, scratch)
+    star = scratch.keep(_likely(scratch.keep(chosen.select("a", "b")), sketched, percent))
     # groups that meet form clusters: a candidate pair lies in one; within it, nodes outside the largest component are queries
-    cluster = components(groups.filter("idx > 0").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), scratch)
-    nodes_in = cluster.withColumnRenamed("label", "cluster").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    nodes_in = scratch.keep(nodes_in)
-    parts = nodes_in.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    main = parts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).filter("most < all")
-    main = main.select("cluster", "main", F.ceil((F.col("all") - F.col("most")) / QUERIES).alias("blocks"))
-    open_ = nodes_in.join(main, "cluster")
-    queries = open_.filter("label <> main").select("cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("role"), "node", "label")
-    members = open_.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "node", "label")
-    more = scratch.keep(_across(queries.unionByName(members).join(sets, "node"), percent))
-    label = scratch.keep(components(links.unionByName(more), scratch))
+    cluster = scratch.keep(components(groups.filter("idx > 0").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), scratch).withColumnRenamed("label", "cluster"))
+    blocks = _blocks(cluster, components(star, scratch), scratch)
+    tried = scratch.keep(star.unionByName(_across(blocks.join(sketched.withColumnRenamed("sketch", "s"), "node"), percent, False)))
+    ends = tried.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = scratch.keep(_sets(docs, text, shingle, ends.join(first, "node")))
+    links = scratch.keep(_similar(tried, sets, percent))
+    wrong = tried.join(links, ["a", "b"], "left_anti").select(F.col("a").alias("node")).join(cluster, "node").select("cluster").distinct()
+    wrong = scratch.keep(wrong)
+    if not wrong.isEmpty():  # sketches joined what isn't similar: those clusters again, with the sets themselves
+        again = cluster.join(wrong, "cluster")
+        blocks = _blocks(again, components(links, scratch), scratch)
+        sets = _sets(docs, text, shingle, blocks.select("node").distinct().join(first, "node"))
+        links = scratch.keep(links.unionByName(_across(blocks.join(sets, "node").withColumn("n", (F.octet_length("s") / 8).cast("long")), percent, True)))
+    label = scratch.keep(components(links, scratch))
     named_first = first.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named_first.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of = scratch.keep(named_first.join(least, "label").select("node", "component_id"))
