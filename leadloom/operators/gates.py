@@ -13,6 +13,8 @@ from leadloom.functions import domains, fixed_values, phones
 from leadloom.functions.names import is_domain_like
 from leadloom.functions.text import bare_digits, cell, normalized_email, raw, reasons, strip_markers
 
+from leadloom.tables import Scratch
+
 from .dedupe import IDENTITY
 
 SAMPLES, SALTS = 5, 64
@@ -71,7 +73,7 @@ def absorbed(log: DataFrame) -> DataFrame:
     return rows.select("survivor", F.explode(both).alias("x")).select(F.col("x.id").alias("lost"), "survivor", F.col("x.s").alias("signals")).filter("lost <> ''")
 
 
-def traces(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame, hops: int = 32) -> DataFrame:
+def traces(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame, hops: int = 8) -> DataFrame:
     """(rule, detail) of Ids that vanished without a trace, by weak signals, or into a survivor that vanished as well. All but log: (Id)."""
     id_ = lambda d: d.select(cell(F.col("Id")).alias("Id")).filter("Id <> ''").distinct()
     ends = id_(ids_out).unionByName(id_(dropped)).distinct()
@@ -81,17 +83,22 @@ def traces(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataF
     lost = traced.filter("lost IS NULL").select(F.lit("no_paper_trail").alias("rule"), F.col("Id").alias("detail"))
     weak = traced.filter(F.col("lost").isNotNull() & ~F.arrays_overlap("signals", F.array(*[F.lit(s) for s in IDENTITY]))).select(F.lit("weak_identity").alias("rule"), F.col("Id").alias("detail"))
     walk = traced.filter("lost IS NOT NULL").select("Id", "survivor", F.col("survivor").alias("at"))
-    dangling = None
-    step = link.select(F.col("lost").alias("l"), F.col("survivor").alias("next"))
-    for _ in range(hops):  # ends when no chain is open; a cycle never gets to an end and stays
-        walk = walk.join(ends.withColumnRenamed("Id", "end"), F.col("at") == F.col("end"), "left_anti")
-        ahead = walk.join(step, F.col("at") == F.col("l"), "left")
-        stuck = ahead.filter("l IS NULL").select("Id", "survivor")
-        dangling = stuck if dangling is None else dangling.unionByName(stuck)
-        walk = ahead.filter("l IS NOT NULL").select("Id", "survivor", F.col("next").alias("at"))
+    scratch = Scratch(ids_in.sparkSession, "traces")
+    ends = scratch.keep(ends.withColumnRenamed("Id", "end"))
+    step = scratch.keep(link.select(F.col("lost").alias("l"), F.col("survivor").alias("next")))
+    open_ = lambda w: w.join(ends, F.col("at") == F.col("end"), "left_anti")
+    walk = scratch.keep(open_(walk))
+    dangling = walk.filter("false").select("Id", "survivor")
+    for _ in range(hops):  # each doubles the reach, so chains of 2 ** hops end; what is open then is a cycle
         if walk.isEmpty():
             break
-    dangling = dangling.unionByName(walk.join(ends.withColumnRenamed("Id", "end"), F.col("at") == F.col("end"), "left_anti").select("Id", "survivor"))
+        ahead = walk.join(step, F.col("at") == F.col("l"), "left")
+        dangling = dangling.unionByName(ahead.filter("l IS NULL").select("Id", "survivor"))
+        walk = scratch.keep(open_(ahead.filter("l IS NOT NULL").select("Id", "survivor", F.col("next").alias("at"))))
+        # steps stop at ends, so that doubling doesn't pass them
+        far = step.select(F.col("l").alias("at"), F.col("next").alias("l")).alias("f").join(ends, F.col("l") == F.col("end"), "left").join(step.withColumnsRenamed({"l": "k", "next": "n"}), (F.col("l") == F.col("k")) & F.col("end").isNull(), "left")
+        step = scratch.keep(far.select(F.col("at").alias("l"), F.coalesce("n", F.col("f.l")).alias("next")))
+    dangling = dangling.unionByName(walk.select("Id", "survivor"))
     chain = dangling.select(F.lit("dangling_survivor").alias("rule"), F.concat_ws("->", "Id", "survivor").alias("detail"))
     return lost.unionByName(weak).unionByName(chain)
 

@@ -32,9 +32,12 @@ def test_no_two_survivors_share_an_email(done):
     assert done.leads.filter("Email <> ''").groupBy("Email").count().filter("count > 1").isEmpty()
 
 
-def test_second_run_changes_nothing_else(spark, done):
+def test_baseline_closes_the_gate(done):
+    old = done.leads.withColumn("Title", F.lit("x"))
+    changed = gates.cell_changes(old, done.leads).select(F.col("column").alias("rule"), F.lit(1).alias("n"), F.array("Id").alias("samples"))
     with pytest.raises(gates.GateError):
-        hygiene.run(done.source, mx=queries.verdicts(spark), baseline=done.leads.withColumn("Title", F.lit("x")))
+        gates.close_gate(changed)
+    gates.close_gate(gates.cell_changes(done.leads, done.leads).select(F.col("column").alias("rule"), F.lit(1).alias("n"), F.array("Id").alias("samples")))
 
 
 def test_files(done, spark, tmp_path):
