@@ -1,10 +1,11 @@
 """Encoding and decoding with a public SentencePiece vocabulary, with seeded merge-dropout.
 
 Pairs of neighbouring pieces that make a piece of the vocabulary are candidates on an agenda, the best score first and of
-equal scores the leftmost. A candidate that comes off the agenda is skipped if a keyed hash of the seed, the variant, the
-chunk and the pair's place falls under the dropout rate. The variant is a hash of the document's id over VARIANTS values, so
-one chunk has up to that many segmentations under a seed, each the same on every executor and in every run, and workers can
-keep those they have met. With a dropout of 0 the pieces are those of the vocabulary's own library.
+equal scores the leftmost. A candidate that comes off the agenda is skipped if a keyed hash of the seed, the document and
+the places in its text where the merge begins and ends falls under the dropout rate. So each occurrence of a word has a
+segmentation of its own, the same on every executor and in every run. Workers keep, for each short part, which merges are
+tried and what comes out for the skips met so far; that saves steps and changes no result. With a dropout of 0 the pieces
+are those of the vocabulary's own library.
 
 Decoding is lossless for every text: what the vocabulary lacks, and the space mark itself, goes by bytes.
 
@@ -14,9 +15,9 @@ are carried; pieces and decoded are replaced. The vocabulary file is a parameter
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
+from collections.abc import Collection
 from functools import cache
 
 import numpy as np
@@ -28,10 +29,14 @@ from leadloom.session import ship_package
 
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 17, 1
-#: Segmentations of chunks that a worker keeps for each variant; as many older ones stay until they are met again or replaced.
+#: VARIANTS: how many keys the documents are dealt over; None gives each document its own.
+DROPOUT, SEED, VARIANTS = 0.1, 17, None
+#: Segmentations of parts that a worker keeps; as many older ones stay until they are met again or replaced.
 MAX_KEPT = 150_000
+#: Characters up to which a part's segmentations are kept.
+SHORT = 16
 MASK = 2**64 - 1
+FROM, TO = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 class Pieces:
@@ -45,7 +50,8 @@ class Pieces:
         names = [model.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         rank = {s: k for k, s in enumerate(sorted({-model.get_score(i) for i in plain}))}
-        self.names, self.code = names, {names[i]: (rank[-model.get_score(i)] << 36) + i for i in plain}
+        self.rank, self.id = {names[i]: rank[-model.get_score(i)] for i in plain}, {names[i]: i for i in plain}
+        self.longest = max(map(len, self.rank))
         self.of_byte = {int(names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.bytes = [b""] * n
         for i in plain:
@@ -61,47 +67,53 @@ class Pieces:
         ends = "".join(c for c in "\n\t\r\0" if c not in inside)
         self.chunks = re.compile(rf"[{re.escape(ends)}]|{MARK}+[^{MARK}{re.escape(ends)}]*|[^{MARK}{re.escape(ends)}]+").findall
 
-    def encode(self, chunk: str, key: int = 0, limit: int = 0) -> list[int]:
-        """By merging from an agenda. A merge that covers characters i to j is skipped if the keyed hash of both is under limit."""
-        code, names, push, pop = self.code, self.names, heapq.heappush, heapq.heappop
+    def encode(self, chunk: str, skipped: Collection[tuple[int, int]] = (), met: list[tuple[int, int]] | None = None) -> list[int]:
+        """By merging from an agenda. A merge of characters i to j is left out if (i, j) is in skipped; met gets those tried."""
+        ranks, push, pop = self.rank, heapq.heappush, heapq.heappop
         parts: list[str | None] = list(chunk)
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        # an entry orders by score, then by place; its last bits are the piece that the merge makes
-        agenda = [code[w] + (i << 16) for i in range(n - 1) if (w := chunk[i : i + 2]) in code]
+        # an entry orders by score, then by place, which has as many bits as the chunk needs
+        bits = n.bit_length()
+        place = (1 << bits) - 1
+        agenda = [ranks[w] << bits | i for i in range(n - 1) if (w := chunk[i : i + 2]) in ranks]
         heapq.heapify(agenda)
         while agenda:
             entry = pop(agenda)
-            i, whole = entry >> 16 & 0xFFFFF, names[entry & 0xFFFF]
+            i = entry & place
             left, j = parts[i], after[i]
-            if left is None or j >= n or len(left) + len(parts[j]) != len(whole):
+            if left is None or j >= n or ranks.get(whole := left + parts[j]) != entry >> bits:
                 continue  # one of both has been merged since
-            if limit:
-                x = (key + i * 0x9E3779B97F4A7C15 + (i + len(whole)) * 0xC2B2AE3D27D4EB4F) & MASK
-                x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
-                if (x ^ x >> 27) * 0x94D049BB133111EB >> 32 & 0xFFFFFFFF < limit:
-                    continue
+            if met is not None:
+                met.append((i, i + len(whole)))
+            if skipped and (i, i + len(whole)) in skipped:
+                continue
             parts[i], parts[j] = whole, None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                more = whole + parts[k]
-                if more in code:
-                    push(agenda, code[more] + (i << 16))
+                more = ranks.get(whole + parts[k])
+                if more is not None:
+                    push(agenda, more << bits | i)
             k = before[i]
             if k >= 0:
-                more = parts[k] + whole
-                if more in code:
-                    push(agenda, code[more] + (k << 16))
+                more = ranks.get(parts[k] + whole)
+                if more is not None:
+                    push(agenda, more << bits | k)
         out: list[int] = []
         for p in parts:
             if p is not None:
-                if p in code:
-                    out.append(code[p] & 0xFFFF)
+                if p in ranks:
+                    out.append(self.id[p])
                 else:
                     out += [self.of_byte[b] for b in p.encode()]
         return out
 
+    def spans(self, part: str) -> list[tuple[int, int]]:
+        """Where the part's characters make a piece of two or more: all merges that an agenda can hold."""
+        n, ranks = len(part), self.rank
+        return [(i, j) for i in range(n - 1) for j in range(i + 2, min(i + self.longest, n) + 1) if part[i:j] in ranks]
+
     def split(self, chunk: str) -> list[str]:
         """The chunk cut between characters that stand next to each other in no piece; no merge reaches over such a cut."""
         pairs, out, start = self.pairs, [], 0
@@ -124,66 +136,125 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+class Part:
+    """A part of a text: its spans, their share of the hash, and the segmentations kept by the skips that were met."""
+
+    def __init__(self, of: Pieces, text: str, dropout: bool) -> None:
+        self.text, self.n, self.known = text, len(text), {}
+        self.spans = of.spans(text) if dropout else []
+        self.share = (np.array(self.spans, np.uint64).reshape(-1, 2) * np.array((FROM, TO), np.uint64)).sum(1, dtype=np.uint64)
+        self.plain = self.run(of, ())[1] if self.n <= SHORT or not dropout else None
+
+    def run(self, of: Pieces, skips: tuple[tuple[int, int], ...]) -> tuple[dict[tuple[int, int], int], list[int]]:
+        """When each merge is tried first, and what comes out, if skips are left out."""
+        found = self.known.get(skips)
+        if found is None:
+            met: list[tuple[int, int]] = []
+            ids = of.encode(self.text, skips, met)
+            when: dict[tuple[int, int], int] = {}
+            for k, x in enumerate(met):
+                when.setdefault(x, k)
+            self.known[skips] = found = when, ids
+        return found
+
+    def encode(self, of: Pieces, skipped: list[int]) -> list[int]:
+        """The segmentation if the spans of these numbers are left out."""
+        left = [self.spans[k] for k in skipped]
+        if self.n > SHORT:
+            return of.encode(self.text, set(left))
+        skips: tuple[tuple[int, int], ...] = ()
+        while True:
+            when, ids = self.run(of, skips)
+            first = min((x for x in left if x in when), key=when.get, default=None)
+            if first is None:
+                return ids
+            left.remove(first)
+            skips = (*skips, first)
+
+
 class Encoder:
-    """Encodes texts under one seed; keeps the segmentations of chunks."""
+    """Encodes texts under keys of documents; keeps the segmentations of short parts."""
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int = 1) -> None:
+    def __init__(self, path: str, dropout: float) -> None:
         self.of, self.limit = pieces(path), int(dropout * 2**32)
-        self.kept: list[dict[str, list[int]]] = [{} for _ in range(variants)]
-        self.older: list[dict[str, list[int]]] = [{} for _ in range(variants)]
-        self.keys = [f"{seed}:{v}".encode() for v in range(variants)]
-
-    def chunk(self, chunk: str, variant: int) -> list[int]:
-        kept = self.kept[variant]
-        if len(kept) >= MAX_KEPT:
-            self.older[variant], self.kept[variant] = kept, {}
-            kept = self.kept[variant]
-        older = self.older[variant]
-        found = older.get(chunk)
+        self.kept: dict[str, list[Part]] = {}
+        self.older: dict[str, list[Part]] = {}
+        self.mark = Part(self.of, "", False)
+        self.mark.n, self.mark.plain = 1, self.of.escaped()
+        self.room = MAX_KEPT
+
+    def chunk(self, chunk: str) -> list[Part]:
+        found = self.kept.get(chunk)
         if found is None:
-            found = []
-            for part in self.of.split(chunk):
-                got = kept.get(part) or older.get(part)
-                if got is None:
-                    key = int.from_bytes(hashlib.blake2b(part.encode(), key=self.keys[variant], digest_size=8).digest()) if self.limit else 0
-                    got = self.of.encode(part, key, self.limit)
-                kept[part] = got
-                found += got
-        kept[chunk] = found
+            found = self.older.get(chunk)
+            if found is None:
+                texts = [chunk] if len(chunk) <= SHORT else self.of.split(chunk)
+                found = [p for t in texts for p in (self.chunk(t) if len(t) <= SHORT < len(chunk) else [Part(self.of, t, self.limit > 0)])]
+            if len(chunk) <= SHORT:
+                self.room -= 1 + sum(len(p.known) for p in found)
+                self.kept[chunk] = found
         return found
 
-    def text(self, text: str, variant: int = 0) -> list[int]:
+    def text(self, text: str, key: int = 0) -> list[int]:
         if not text:
             return []
-        out: list[int] = []
-        for k, part in enumerate(text.split(MARK)):
+        if self.room <= 0:
+            self.older, self.kept, self.room = self.kept, {}, MAX_KEPT
+        parts: list[Part] = []
+        for k, piece in enumerate(text.split(MARK)):
             if k:
-                out += self.of.escaped()
-            for c in self.of.chunks((MARK if not k else "") + part.replace(" ", MARK)):
-                out += self.kept[variant].get(c) or self.chunk(c, variant)
+                parts.append(self.mark)
+            for c in self.of.chunks((MARK if not k else "") + piece.replace(" ", MARK)):
+                parts += self.kept.get(c) or self.chunk(c)
+        left_out = self.left_out(parts, key) if self.limit else {}
+        out: list[int] = []
+        for k, p in enumerate(parts):
+            if k in left_out or p.plain is None:
+                known = len(p.known)
+                out += p.encode(self.of, left_out.get(k, []))
+                self.room -= len(p.known) - known
+            else:
+                out += p.plain
+        return out
+
+    def left_out(self, parts: list[Part], key: int) -> dict[int, list[int]]:
+        """By number of the part, the numbers of its spans whose keyed hash is under the limit."""
+        sizes = np.fromiter((len(p.spans) for p in parts), np.int64, len(parts))
+        ends = np.cumsum(sizes)
+        starts = np.cumsum(np.fromiter((p.n for p in parts), np.uint64, len(parts)))
+        base = starts * np.uint64(FROM + TO & MASK) + np.uint64(key & MASK)
+        x = np.concatenate([p.share for p in parts]) + np.repeat(base, sizes)
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        hit = np.flatnonzero(x >> np.uint64(32) < np.uint64(self.limit))
+        at = np.searchsorted(ends, hit, "right")
+        out: dict[int, list[int]] = {}
+        for k, span in zip(at.tolist(), (hit - ends[at] + sizes[at]).tolist(), strict=True):
+            out.setdefault(k, []).append(span)
         return out
 
 
 @cache
-def _encoder(path: str, dropout: float, seed: int, variants: int) -> Encoder:
-    return Encoder(path, dropout, seed, variants)
+def _encoder(path: str, dropout: float) -> Encoder:
+    return Encoder(path, dropout)
 
 
-def encode_documents(docs: DataFrame, text: str = "text", path: str = VOCABULARY, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(docs: DataFrame, text: str = "text", path: str = VOCABULARY, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = VARIANTS) -> DataFrame:
     """docs with pieces: the ids of the text's segmentation."""
     ship_package(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array, variant: pa.Array) -> pa.Array:
-        own, values, offsets = _encoder(path, dropout, seed, variants), [], [0]
-        for t, v in zip(texts.to_pylist(), variant.to_pylist(), strict=True):
-            got = own.text(t, v) if t else []
+    def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        own, values, offsets = _encoder(path, dropout), [], [0]
+        for t, key in zip(texts.to_pylist(), keys.to_pylist(), strict=True):
+            got = own.text(t, key) if t else []
             values.append(np.asarray(got, np.int32))
             offsets.append(offsets[-1] + len(got))
         flat = pa.array(np.concatenate(values) if values else np.empty(0, np.int32))
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=texts.is_null())
 
-    return docs.withColumn("pieces", encode(F.col(text), F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(variants)).cast("int")))
+    own_key = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    return docs.withColumn("pieces", encode(F.col(text), own_key if variants is None else F.xxhash64(F.lit(seed), F.pmod(own_key, F.lit(variants)))))
 
 
 def decode_documents(docs: DataFrame, pieces_column: str = "pieces", path: str = VOCABULARY) -> DataFrame:

@@ -214,6 +214,28 @@ def test_encoding(spark, frame, corpus):
     assert all(again[i].pieces == got[i].pieces for i, _ in corpus)
 
 
+def test_dropout_differs_by_document_and_place(spark, frame):
+    text = "tokenization of several recurring sentences " * 40
+    got = rows(merge_dropout.encode_documents(frame([(1, text), (2, text), (3, text)])).select("doc_id", "pieces"))
+    assert len({tuple(r.pieces) for r in got.values()}) == 3
+    own = merge_dropout.Encoder(merge_dropout.VOCABULARY, merge_dropout.DROPOUT)
+    of, key = own.of, 12345
+    # by the rule: each word's merges go by the hash of the key and of the places where they begin and end
+    want, start = [], 0
+    for word in of.chunks("▁" + text.replace(" ", "▁")):
+        start += len(word)
+        skipped = set()
+        for i, j in of.spans(word):
+            x = (key + (start + i) * merge_dropout.FROM + (start + j) * merge_dropout.TO) % 2**64
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+            x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+            if x >> 32 < own.limit:
+                skipped.add((i, j))
+        want.append(tuple(of.encode(word, skipped)))
+    assert own.text(text, key) == [x for w in want for x in w] == own.text(text, key)
+    assert len(set(want[1::5])) > 1 and len(set(want)) > 10
+
+
 # -- quality --------------------------------------------------------------------------------------------------------------
 
 
