@@ -236,6 +236,13 @@ def test_dropout_differs_by_document_and_place(spark, frame):
     assert len(set(want[1::5])) > 1 and len(set(want)) > 10
 
 
+def test_long_part_is_lossless():
+    text = "".join(random.Random(8).choices("acgt", k=2**20 + 50_000))
+    own = merge_dropout.Encoder(merge_dropout.VOCABULARY, merge_dropout.DROPOUT)
+    assert len(own.of.split("▁" + text)[-1]) > 2**20
+    assert own.of.decode(own.text(text, 5)) == text
+
+
 # -- quality --------------------------------------------------------------------------------------------------------------
 
 
