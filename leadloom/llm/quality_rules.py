@@ -2,7 +2,9 @@
 
 Each document gives a vector of transformed statistics. For every language and source, a minimum-covariance-determinant
 estimate (median and MAD as the start, then concentration steps on the closer half of the rows) gives a centre and a
-covariance, and documents whose squared Mahalanobis distance exceeds a chi-square quantile are rejected, as are those that
+covariance. Most documents of a source have no symbol and no repeated line at all, where the closer half has no spread: to
+the covariance each document adds what its own length leaves open (the sampling variance of its mean word length, one unit of
+each count), which vanishes as texts get longer. Documents whose squared Mahalanobis distance exceeds a chi-square quantile are rejected, as are those that
 fail the base rules.
 
 Everything is DataFrame operations. Quantiles come from histograms with fixed bins, so that each group keeps a bounded
@@ -22,8 +24,9 @@ from pyspark.sql.window import Window
 
 from .common import BLANK, Scratch, words_of
 
-#: Statistic: the standard deviation added to the estimate as the least spread of clean text.
-FEATURES = {"x_len": 0.10, "x_sym": 0.045, "x_dup": 0.18, "x_rep": 0.20, "x_up": 0.06}
+#: Statistic: the column of its resolution in that text: the sampling variance of the words' mean length, and the variance
+#: that one symbol, line, window or capital makes.
+FEATURES = {"x_len": "v_len", "x_sym": "v_sym", "x_dup": "v_dup", "x_rep": "v_rep", "x_up": "v_up"}
 #: 0.999 and 0.5 quantiles of chi-square with five degrees of freedom.
 CUTOFF, CHI_HALF = 20.515, 4.351
 SUPPORT, STEPS, MIN_GROUP = 0.5, 2, 40
@@ -31,7 +34,7 @@ WORD = f"[^{BLANK}]"
 
 
 def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the vector x_*.
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, the vector x_* and its resolution v_*.
 
     Names starting with _qr_ are used inside; a column of docs with the name of a statistic is replaced.
     """
@@ -47,7 +50,7 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     n = F.size("_qr_w")
     grams = F.when(n >= 3, F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.xxhash64(F.get("_qr_w", i - 1), F.get("_qr_w", i), F.get("_qr_w", i + 1))))
-    two = one.withColumns({"n_words": n.cast("long"), "word_chars": F.length(F.array_join("_qr_w", "")).cast("long"), "n_dup_lines": (F.size("_qr_lines") - F.size(F.array_distinct("_qr_lines"))).cast("long"), "_qr_g": grams})
+    two = one.withColumns({"n_words": n.cast("long"), "word_chars": F.length(F.array_join("_qr_w", "")).cast("long"), "_qr_sq": F.aggregate("_qr_w", F.lit(0.0), lambda a, w: a + F.length(w) * F.length(w)), "n_dup_lines": (F.size("_qr_lines") - F.size(F.array_distinct("_qr_lines"))).cast("long"), "_qr_g": grams})
     # positions of the windows, sorted by window: neighbours with equal windows are repeats
     some = F.size(F.array_distinct("_qr_g")) < F.size("_qr_g")
     three = two.withColumn("_qr_s", F.when(some, F.sort_array(F.transform("_qr_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))))
@@ -56,6 +59,7 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.aggregate("_qr_p", F.struct(F.lit(0).alias("n"), F.lit(-9).alias("last")), lambda a, p: F.struct((a["n"] + F.least(p - a["last"], F.lit(3))).alias("n"), p.alias("last")), lambda a: a["n"].cast("long"))
     five = four.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
     part = lambda a, b: F.sqrt(F.when(b > 0, F.least(a / b, F.lit(1.0))).otherwise(0.0))
+    unit = lambda n: 1.0 / F.greatest(n, F.lit(1))
     return five.withColumns(
         {
             "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
@@ -64,8 +68,13 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             "x_dup": part(F.col("n_dup_lines"), F.size("_qr_lines")),
             "x_rep": part(F.col("n_repeat_words"), F.col("n_words")),
             "x_up": part(F.col("_qr_up"), F.col("_qr_all")),
+            "v_len": F.greatest(F.col("_qr_sq") * F.col("n_words") * F.pow(unit(F.col("word_chars")), F.lit(2.0)) - 1, F.lit(0.0)) * unit(F.col("n_words")) + F.pow(unit(F.col("word_chars")), F.lit(2.0)),
+            "v_sym": unit(F.col("word_chars")),
+            "v_dup": unit(F.size("_qr_lines")),
+            "v_rep": 3 * unit(F.col("n_words")),
+            "v_up": unit(F.col("_qr_all")),
         }
-    ).drop("_qr_w", "_qr_lines", "_qr_g", "_qr_s", "_qr_p", "_qr_up", "_qr_all")
+    ).drop("_qr_w", "_qr_sq", "_qr_lines", "_qr_g", "_qr_s", "_qr_p", "_qr_up", "_qr_all")
 
 
 def _quantile(df: DataFrame, keys: list[str], bin_: Column, q: float, name: str) -> DataFrame:
@@ -82,27 +91,22 @@ def _join(df: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(other, [F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in keys], "left").drop(*[f"_k{k}" for k in keys])
 
 
-def _inverse_root(cov: DataFrame, p: int) -> DataFrame:
-    """cov_i_j to r_i_j, the inverse of the lower Cholesky factor, in as few projections as the dependencies allow."""
-    out, zero = cov, F.lit(0.0)
-    for j in range(p):
+def _with_distance(df: DataFrame, features: dict[str, str]) -> DataFrame:
+    """df with d2, by the centre m_j, the covariance cov_i_j and each row's resolution: forward substitution in the Cholesky factor."""
+    out, p, zero = df, len(features), F.lit(0.0)
+    for j, (x, v) in enumerate(features.items()):
         rest = lambda i, j=j: sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), zero)
-        out = out.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(F.col(f"cov_{j}_{j}") - rest(j), F.lit(1e-12))))
-        out = out.withColumns({f"l_{i}_{j}": (F.col(f"cov_{i}_{j}") - rest(i)) / F.col(f"l_{j}_{j}") for i in range(j + 1, p)})
-    for d in range(p):
-        out = out.withColumns({f"r_{j + d}_{j}": (F.lit(-1.0) * sum((F.col(f"l_{j + d}_{k}") * F.col(f"r_{k}_{j}") for k in range(j, j + d)), zero) if d else F.lit(1.0)) / F.col(f"l_{j + d}_{j + d}") for j in range(p - d)})
-    return out
+        out = out.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(F.col(f"cov_{j}_{j}") + F.col(v) - rest(j), F.lit(1e-12))))
+        done = sum((F.col(f"l_{j}_{k}") * F.col(f"z_{k}") for k in range(j)), zero)
+        out = out.withColumns({f"l_{i}_{j}": (F.col(f"cov_{i}_{j}") - rest(i)) / F.col(f"l_{j}_{j}") for i in range(j + 1, p)} | {f"z_{j}": (F.col(x) - F.col(f"m_{j}") - done) / F.col(f"l_{j}_{j}")})
+    d2 = sum((F.pow(f"z_{j}", F.lit(2.0)) for j in range(p)), zero)
+    return out.withColumn("d2", d2).drop(*[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)], *[f"z_{j}" for j in range(p)])
 
 
-def _distance(xs: list[str]) -> Column:
-    p = len(xs)
-    return sum((F.pow(sum((F.col(f"r_{i}_{j}") * (F.col(xs[j]) - F.col(f"m_{j}")) for j in range(i + 1)), F.lit(0.0)), F.lit(2.0)) for i in range(p)), F.lit(0.0))
-
-
-def robust_distance(stats: DataFrame, keys: list[str], features: dict[str, float], scratch: Scratch, support: float = SUPPORT, steps: int = STEPS, min_group: int = MIN_GROUP) -> DataFrame:
+def robust_distance(stats: DataFrame, keys: list[str], features: dict[str, str], scratch: Scratch, support: float = SUPPORT, steps: int = STEPS, min_group: int = MIN_GROUP) -> DataFrame:
     """stats with d2, the squared Mahalanobis distance by each group's minimum-covariance-determinant estimate.
 
-    features: column and the least standard deviation to assume of it. stats is read once a step, so give a table.
+    features: column and the column of its resolution, a variance above 0. stats is read once a step, so give a table.
     """
     xs, p = list(features), len(features)
     sizes = scratch.keep(stats.groupBy(*keys).agg(F.count("*").alias("_size")))
@@ -114,24 +118,22 @@ def robust_distance(stats: DataFrame, keys: list[str], features: dict[str, float
     med = scratch.keep(_quantile(each, [*own, "j"], F.floor(F.col("x") * wide), 0.5, "med").withColumn("med", F.col("med") / wide))
     mad = scratch.keep(_quantile(_join(each, med.select(*own, "j", "med"), [*own, "j"]), [*own, "j"], F.floor(F.abs(F.col("x") - F.col("med")) * wide), 0.5, "mad").withColumn("mad", F.col("mad") / wide * 1.4826))
     both = _join(med.select(*own, "j", "med"), mad.select(*own, "j", "mad"), [*own, "j"])
-    floors = F.element_at(F.create_map(*[F.lit(v) for j, f in enumerate(features.values()) for v in (j, f)]), F.col("j"))
     at = lambda j, what: F.max(F.when(F.col("j") == j, what))
-    start = both.withColumn("s", F.sqrt(F.pow("mad", F.lit(2.0)) + F.pow(floors, F.lit(2.0)))).groupBy(*own)
-    params = scratch.keep(start.agg(*[at(j, F.col("med")).alias(f"m_{j}") for j in range(p)], *[(at(j, 1 / F.col("s")) if i == j else F.lit(0.0)).alias(f"r_{i}_{j}") for i in range(p) for j in range(i + 1)]))
+    cov_of = [f"cov_{i}_{j}" for i in range(p) for j in range(i + 1)]
+    params = scratch.keep(both.groupBy(*own).agg(*[at(j, F.col("med")).alias(f"m_{j}") for j in range(p)], *[(at(j, F.pow("mad", F.lit(2.0))) if i == j else F.lit(0.0)).alias(f"cov_{i}_{j}") for i in range(p) for j in range(i + 1)]))
     log_bin = F.floor(F.log2(1 + F.col("d2")) * 64)
     for _ in range(steps + 1):
-        far = _join(grouped, params, own).withColumn("d2", _distance(xs)).select(*own, *xs, "d2")
+        far = _with_distance(_join(grouped, params, own), features).select(*own, *xs, "d2")
         half = scratch.keep(_quantile(far, own, log_bin, support, "_half").select(*own, "_half"))
         near = _join(far, half, own).filter(log_bin <= F.col("_half"))
         moments = near.groupBy(*own).agg(F.count("*").alias("_n"), *[F.avg(x).alias(f"m_{j}") for j, x in enumerate(xs)], *[F.avg(F.col(xs[i]) * F.col(xs[j])).alias(f"e_{i}_{j}") for i in range(p) for j in range(i + 1)])
-        floor2 = list(features.values())
-        cov = moments.withColumns({f"cov_{i}_{j}": F.col(f"e_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}") + (floor2[i] ** 2 if i == j else 0.0) for i in range(p) for j in range(i + 1)})
-        params = scratch.keep(_inverse_root(cov, p).select(*own, *[f"m_{j}" for j in range(p)], *[f"r_{i}_{j}" for i in range(p) for j in range(i + 1)]))
-    far = _join(grouped, params, own).withColumn("d2", _distance(xs))
+        cov = moments.withColumns({f"cov_{i}_{j}": F.col(f"e_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}") for i in range(p) for j in range(i + 1)})
+        params = scratch.keep(cov.select(*own, *[f"m_{j}" for j in range(p)], *cov_of))
+    far = _with_distance(_join(grouped, params, own), features)
     # the closer half understates the spread of all: scale so that the median distance is that of clean normal rows
     middle = scratch.keep(_quantile(far, own, log_bin, 0.5, "_mid").select(*own, F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), (F.col("_mid") + 1) / 64) - 1) / CHI_HALF).alias("_scale")))
     final = _join(far, middle, own).withColumn("d2", F.col("d2") / F.col("_scale"))
-    return final.drop("_scale", *own, *[f"m_{j}" for j in range(p)], *[f"r_{i}_{j}" for i in range(p) for j in range(i + 1)])
+    return final.drop("_scale", *own, *[f"m_{j}" for j in range(p)], *cov_of)
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -261,6 +261,18 @@ def test_quality_rules(spark, frame):
     assert quality_rules.score_documents(spark, frame([])).isEmpty()
 
 
+def test_quality_rules_find_outliers_of_a_tight_source(spark, frame):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("aeionrst", k=rng.randint(3, 8)))
+    text = lambda n: "\n".join(" ".join(word() for _ in range(10)) for _ in range(n // 10))
+    docs = [(i, text(800)) for i in range(60)]
+    half = " ".join(word() for _ in range(180))
+    docs.append((100, text(400) + "\n" + half + "\n" + half))  # 45 % of the words are repeats, under the base rule
+    got = rows(quality_rules.score_documents(spark, frame(docs)).select("doc_id", "kept", "base_failed", "n_repeat_words", "n_words"))
+    assert all(got[i].kept for i in range(60))
+    assert got[100].n_repeat_words >= 0.45 * got[100].n_words and not got[100].base_failed and not got[100].kept
+
+
 def test_quality_classifier(spark, frame):
     rng = random.Random(9)
     docs = [(i, junk(rng) if i % 4 == 0 else prose(rng, rng.randint(40, 200))) for i in range(200)]
