@@ -35,6 +35,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template xmp iframe noembed noframes".split())
 DROPPED = frozenset("head script style noscript template iframe svg math canvas object select option button form textarea title input label fieldset dialog audio video map datalist".split())
 BLOCKS = frozenset("html body article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead tfoot tr td th caption blockquote pre figure figcaption address details summary hr center form fieldset head".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title script style noscript template noframes html head".split())
 CLOSES_P = BLOCKS - frozenset(("html", "body", "head"))
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 TAG_GROUPS = ("p", "h1", "h2 h3 h4 h5 h6", "ul ol dl", "li dt dd", "div section center", "article", "main", "nav", "header", "footer", "aside", "table tbody thead tfoot tr td th caption", "blockquote pre figure figcaption", "html body")
@@ -66,7 +67,7 @@ def parse(page: str | None) -> Page:
     stack: list[tuple[str, int]] = [("", -1)]  # open elements: tag and node, the parent's for inline ones
     text: list[str] = []
     linked, in_link, dropped = 0, 0, 0
-    pos, lower = 0, None
+    pos = 0
 
     def flush() -> None:
         nonlocal linked
@@ -101,6 +102,9 @@ def parse(page: str | None) -> Page:
         m = _token.match(page, pos)
         pos = m.end()
         name = m[2]
+        # </head> may be left out: it ends at the first text or element that can't stand in it
+        if stack[-1][0] == "head" and (not m[1] and name.lower() not in IN_HEAD if name else m[0][:2] not in ("<!", "<?") and m[0].strip()):
+            close(len(stack) - 1)
         if not name:
             if not dropped and page[m.start()] != "<" or m[0] == "<" and not dropped:
                 text.append(m[0])
@@ -123,9 +127,8 @@ def parse(page: str | None) -> Page:
                 text.append(" ")
             continue
         if name in RAW:
-            lower = lower or page.lower()
-            end = lower.find(f"</{name}", pos)
-            pos = n if end < 0 else (lower.find(">", end) + 1 or n)
+            end = re.compile(f"</{name}", re.I | re.A).search(page, pos)
+            pos = n if end is None else (page.find(">", end.end()) + 1 or n)
             continue
         if m[3].rstrip().endswith("/") and name not in BLOCKS:
             continue

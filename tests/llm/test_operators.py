@@ -297,6 +297,15 @@ def test_html(spark):
     assert wrong < 0.02 * total
 
 
+def test_html_head_without_end_and_raw_end_tags():
+    texts = lambda page: [t for _, t, _ in html_extraction.parse(page).runs]
+    for start in ("<body>", "", "words "):
+        got = texts(f"<html><head><title>t</title><meta charset=x>{start}<article><p>First. <p>Second.</article>")
+        assert got == ([start.strip()] if start == "words " else []) + ["First.", "Second."]
+    assert texts("<head><title>t</title> <!-- c --> </head><body><p>a</body>") == ["a"]
+    assert texts("<p>" + "İ" * 9 + "<script>x</SCRIPT>abcdefghijkl<style>y</style>mnopqrstuvwx</p>") == ["İ" * 9 + "abcdefghijklmnopqrstuvwx"]
+
+
 def test_marginals_are_exact():
     rng = np.random.Generator(np.random.PCG64(1))
     parent = np.array([-1, 0, 0, 1, 1, 2])
