@@ -1,8 +1,8 @@
 """Secret scans: base patterns, and windows of high Shannon entropy over candidate strings.
 
-A candidate is a maximal run of token characters. For each character class, a window slides over the candidate; counts by
-character are kept and changed by one in and one out, and the entropy follows from a running sum of n log n. A candidate
-whose best window reaches its class's threshold is a span of kind entropy, unless an allow-list pattern covers it or a base
+A candidate is a maximal run of token characters. For each character class, a window slides over the class's own
+runs in the candidate; counts by character are kept and changed by one in and one out, and the entropy follows from a running sum of n log n. A candidate
+whose best window of those with the digits and letters the class asks for reaches its class's threshold is a span of kind entropy, unless an allow-list pattern covers it or a base
 span overlaps it. Base spans always stay.
 
 All expressions are built in; each document is scanned where it lies, without a shuffle. Positions come from the parts
@@ -24,11 +24,14 @@ LEAST_ASSIGN = 6
 KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Class: the characters it counts, what a candidate must match to be tried, and its threshold in bits.
+#: Class: the characters it counts, what a candidate must hold to be tried, what a window must hold of which characters, and
+#: its threshold in bits.
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CLASSES = {
-    "hex": ("0123456789abcdefABCDEF", r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$", 3.1),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/=_-]+$", 3.8),
-    "lower": ("abcdefghijklmnopqrstuvwxyz0123456789", r"^(?=(?:[^0-9]*[0-9]){4})(?=.*[g-z])[a-z0-9]+$", 3.6),
+    "hex": (_DIGITS + "abcdefABCDEF", r"[0-9a-fA-F]{%d}", ((_DIGITS, 1), ("abcdefABCDEF", 1)), 3.1),
+    "base64": (_UPPER + _LOWER + _DIGITS + "+/=_-", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).{%d}", ((_DIGITS, 1), (_LOWER, 1), (_UPPER, 1)), 3.8),
+    "lower": (_LOWER + _DIGITS, r"[a-z0-9]{%d}", ((_DIGITS, 4), ("ghijklmnopqrstuvwxyz", 1)), 3.6),
+    "upper": (_UPPER + _DIGITS, r"[A-Z0-9]{%d}", ((_DIGITS, 2), ("GHIJKLMNOPQRSTUVWXYZ", 1)), 3.6),
 }
 #: Well known strings that look like secrets: identifiers by form, placeholders, and digests of the empty input.
 ALLOW = (
@@ -51,20 +54,31 @@ def _positions(matches: Column, parts: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda a: a["out"])
 
 
-def _best_entropy(chars: Column, alphabet: str, window: int) -> Column:
-    """The largest entropy of a window, in bits; below 0 if there are fewer characters."""
+def _best_entropy(chars: Column, alphabet: str, window: int, needs: tuple[tuple[str, int], ...] = ()) -> Column:
+    """The largest entropy of a window of alphabet's characters that holds as many of each group as needs says; below 0 if none."""
     nlogn = lambda n: F.when(n > 1, n * F.log2(n)).otherwise(0.0)
     order = lambda i: F.instr(F.lit(alphabet), F.get(chars, i))
-    first = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("sum"), F.lit(-1.0).alias("best"))
+    of = lambda group, i: (F.instr(F.lit(group), F.get(chars, i)) > 0).cast("int")
+    held = {f"h{k}": group for k, (group, _) in enumerate(needs)}
+    empty = F.array_repeat(F.lit(0), len(alphabet))
+    first = F.struct(empty.alias("n"), F.lit(0).alias("run"), F.lit(0.0).alias("sum"), F.lit(-1.0).alias("best"), *[F.lit(0).alias(h) for h in held])
 
     def step(a: Column, i: Column) -> Column:
-        new, old = order(i), F.when(i >= window, order(i - window)).otherwise(0)
+        full = a["run"] >= window
+        new, old = order(i), F.when(full, order(i - window)).otherwise(0)
         n_new, n_old = F.get(a["n"], new - 1), F.get(a["n"], old - 1)
         change = F.when(new == old, 0.0).otherwise(nlogn(n_new + 1) - nlogn(n_new) + F.when(old > 0, nlogn(n_old - 1) - nlogn(n_old)).otherwise(0.0))
         total = a["sum"] + change
         counts = F.transform(a["n"], lambda v, k: v + (k + 1 == new).cast("int") - (k + 1 == old).cast("int"))
-        best = F.when(i >= window - 1, F.greatest(a["best"], F.log2(F.lit(float(window))) - total / window)).otherwise(a["best"])
-        return F.struct(counts.alias("n"), total.alias("sum"), best.alias("best"))
+        holds = {h: a[h] + of(g, i) - F.when(full, of(g, i - window)).otherwise(0) for h, g in held.items()}
+        fits = a["run"] + 1 >= window
+        for (_, least), h in zip(needs, held, strict=True):
+            fits = fits & (holds[h] >= least)
+        best = F.when(fits, F.greatest(a["best"], F.log2(F.lit(float(window))) - total / window)).otherwise(a["best"])
+        into = F.struct(counts.alias("n"), (a["run"] + 1).alias("run"), total.alias("sum"), best.alias("best"), *[x.alias(h) for h, x in holds.items()])
+        # a character outside the class ends the run
+        out = F.struct(empty.alias("n"), F.lit(0).alias("run"), F.lit(0.0).alias("sum"), a["best"].alias("best"), *[F.lit(0).alias(h) for h in held])
+        return F.when(new > 0, into).otherwise(out)
 
     return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), first, step, lambda a: a["best"])
 
@@ -88,11 +102,11 @@ def find_secrets(docs: DataFrame, text: str = "text", window: int = WINDOW, allo
     for o, k in enumerate(KINDS[:3]):
         found[k] = F.coalesce(_ordered(F.filter(f"_ss_{k}_s", fits[k]), o), no_spans)
     four = three.withColumn("_ss_base", F.sort_array(F.concat(*found.values())))
-    fit = lambda m: (sum((m.rlike(p).cast("int") for _, p, _ in CLASSES.values()), F.lit(0)) > 0) & ~sum((m.rlike(p).cast("int") for p in allow), F.lit(0)).cast("boolean")
+    fit = lambda m: (sum((m.rlike(p % window).cast("int") for _, p, _, _ in CLASSES.values()), F.lit(0)) > 0) & ~sum((m.rlike(p).cast("int") for p in allow), F.lit(0)).cast("boolean")
     five = four.withColumn("_ss_try", F.transform(F.filter("_ss_entropy_s", lambda x: fit(x["m"]) & ~F.exists("_ss_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), F.split(x["m"], "").alias("c"))))
 
     def high(x: Column) -> Column:
-        return sum((F.when(x["m"].rlike(p), _best_entropy(x["c"], alphabet, window) >= least).otherwise(False).cast("int") for alphabet, p, least in CLASSES.values()), F.lit(0)) > 0
+        return sum((F.when(x["m"].rlike(p % window), _best_entropy(x["c"], alphabet, window, needs) >= least).otherwise(False).cast("int") for alphabet, p, needs, least in CLASSES.values()), F.lit(0)) > 0
 
     six = five.withColumn("_ss_all", F.when(F.size("_ss_try") > 0, F.sort_array(F.concat("_ss_base", _ordered(F.filter("_ss_try", high), 3)))).otherwise(F.col("_ss_base")))
     kind = lambda o: F.element_at(F.array(*[F.lit(k) for k in KINDS]), o + 1)

@@ -55,6 +55,12 @@ def test_secrets(frame):
     assert clean == "a [SECRET] b"
 
 
+def test_secrets_beside_signs(frame):
+    texts = ["key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "?sig=3ax6xnjp29jd6fds4gc373sgvjxteol0", "x=9f86d081884c7d659a2f", "JBSWY3DPEHPK3PXPQ4ZT6NWMA7", "one-two-three-four-five-2024", "THE_QUICK_BROWN_FOX_2024_12"]
+    got = [[(s.kind, s.start, s.end) for s in r.secrets] for r in secret_scan.find_secrets(frame(list(enumerate(texts)))).orderBy("doc_id").collect()]
+    assert got == [[("entropy", int(t[0] == "?"), len(t))] for t in texts[:4]] + [[], []]
+
+
 def test_best_entropy_is_that_of_windows(spark):
     rng = random.Random(2)
     alphabet = "abcdef0123"
