@@ -1,6 +1,6 @@
 """A corpus pipeline: each stage works over all documents that the stage before it kept.
 
-quality rules: documents that the rules reject go. line dedup: later repeated runs of lines are cut from the texts.
+quality rules: documents that the rules reject go. line dedup: later repeated runs of three lines, and of one or two with over 50 words, are cut from the texts.
 n-gram Jaccard join: of each group of linked documents the smallest doc_id stays (five words, similarity 0.8).
 benchmark decontamination: documents that hold a window of an item go. SentencePiece: the pieces of each text and whether
 they decode to it. SQL can't express the robust estimates of the first stage nor the keyed segmentations of the last.
@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(spark, docs)
+    done = line_dedup.dedup_lines(spark, docs, long_words=50)
     return done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 

@@ -4,7 +4,8 @@ The lines of a document that hold a word are numbered. Each K lines in a row hav
 row the least is selected as a fingerprint, so that any two equal runs of T = W + K - 1 lines share one. Fingerprints that
 occur once are dropped; around the others every run of T lines is compared with its equals, which extends a match both ways
 to its full length. Of equal runs the first stays, by doc_id, then the hash of the text, then the line; the lines of later
-runs are removed. Lines without a word always stay.
+runs are removed. Lines without a word always stay. With long_words, single lines and two lines in a row of more words than
+that count as runs too, whatever surrounds them; the registered query leaves it off, as its SQL fixes runs of T lines.
 
 Nulls: a null text has no lines and stays null; a null doc_id sorts first. Rows that repeat both doc_id and text are one
 document: both keep and lose the same lines. Texts under T lines are left alone, and so are empty ones; an empty table gives
@@ -39,7 +40,16 @@ def _window_minima(w: int) -> Column:
     return F.when(F.size("_ld_g") >= w, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("_ld_g") - w), lambda i: F.array_min(F.slice("_ld_g", i + 1, w)))))
 
 
-def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W) -> DataFrame:
+def _long_runs(docs: DataFrame, text: str, k: int, long_words: int) -> DataFrame:
+    """The runs of k lines with a word that hold more than long_words words: _ld_id, _ld_h, s, run and at."""
+    words = lambda i: F.size(F.regexp_extract_all(F.get("_ld_l", F.get("_ld_at", i)), F.lit(f"{WORD}+"), F.lit(0)))
+    runs = F.transform(F.sequence(F.lit(0), F.size("_ld_v") - k), lambda i: F.struct(i.alias("s"), F.slice("_ld_v", i + 1, k).alias("v"), F.slice("_ld_at", i + 1, k).alias("at"), sum((words(i + j) for j in range(k)), F.lit(0)).alias("n")))
+    one = _lines(docs, text).withColumn("_ld_r", F.when(F.size("_ld_v") >= k, F.filter(runs, lambda x: x["n"] > long_words)))
+    one = one.select("_ld_id", "_ld_h", F.explode_outer("_ld_r").alias("r")).filter("r IS NOT NULL").dropDuplicates(["_ld_id", "_ld_h", "r"])
+    return one.select("_ld_id", "_ld_h", "r.s", F.concat_ws(":", F.lit(k), F.xxhash64("r.v"), F.xxhash64(F.lit(1), "r.v")).alias("run"), "r.at")
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = None) -> DataFrame:
     """_ld_id, _ld_h and the sorted numbers _ld_cut of the lines to remove, for the documents that lose some."""
     t, scratch = k + w - 1, Scratch(spark, "lines")
     lines = _lines(docs, text).withColumn("_ld_g", _line_grams(k)).withColumn("_ld_f", _window_minima(w))
@@ -54,15 +64,19 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k:
     runs = prints.join(often, "g").select("_ld_id", "_ld_h", "low", "v", "at", F.explode(F.sequence(F.lit(0), F.size("v") - t)).alias("i"))
     runs = runs.select("_ld_id", "_ld_h", (F.col("low") + F.col("i")).alias("s"), F.slice("v", F.col("i") + 1, t).alias("run"), F.slice("at", F.col("i") + 1, t).alias("at"))
     runs = scratch.keep(runs.dropDuplicates(["_ld_id", "_ld_h", "s"]).withColumn("run", F.concat_ws(":", F.xxhash64("run"), F.xxhash64(F.lit(1), "run"))))
+    runs = runs.select("_ld_id", "_ld_h", "s", "run", "at")
+    if long_words is not None:
+        for size in range(1, t):
+            runs = runs.unionByName(scratch.keep(_long_runs(docs, text, size, long_words)))
     where = F.struct("_ld_id", "_ld_h", "s")
     first = runs.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = runs.join(first, "run").filter(~where.eqNullSafe(F.col("first")))
     return later.groupBy("_ld_id", "_ld_h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("_ld_cut"))
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W) -> DataFrame:
+def dedup_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = None) -> DataFrame:
     """docs with the later repeated runs of lines removed from the text, and n_lines and n_removed."""
-    cut = Scratch(spark, "cut").keep(repeated_lines(spark, docs, text, k, w)).withColumnRenamed("_ld_h", "_ld_k")
+    cut = Scratch(spark, "cut").keep(repeated_lines(spark, docs, text, k, w, long_words)).withColumnRenamed("_ld_h", "_ld_k")
     # the list grows with the input, so the plan is the same at every size: a sort-merge join
     out = docs.join(cut.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_k")), "left")
     out = out.withColumn("_ld_l", F.split(text, "\n"))

@@ -116,6 +116,14 @@ def test_line_dedup(spark, frame, corpus):
         assert got[i].text == (None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in cut))
 
 
+def test_line_dedup_of_long_lines(spark, frame):
+    rng = random.Random(5)
+    long, first, second, short = (prose(rng, n, lines=False).strip() for n in (52, 30, 25, 40))
+    docs = [(1, f"a\n{long}\nb"), (2, f"c\n\n{long}\nd"), (3, f"{first}\n{second}\ne\n{short}"), (4, f"f\n{first}\n\n{second}"), (5, f"{short}\ng"), (6, long)]
+    got = rows(line_dedup.dedup_lines(spark, frame(docs), long_words=50).select("doc_id", "text"))
+    assert [got[i].text for i in range(1, 7)] == [docs[0][1], "c\n\nd", docs[2][1], "f\n", docs[4][1], ""]
+
+
 def test_suffix_order():
     rng = random.Random(1)
     for spill in (0, 10**9):
