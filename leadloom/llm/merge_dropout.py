@@ -1,23 +1,28 @@
 """Encoding and decoding with a public SentencePiece vocabulary, with seeded merge-dropout.
 
 Pairs of neighbouring pieces that make a piece of the vocabulary are candidates on an agenda, the best score first and of
-equal scores the leftmost. A candidate that comes off the agenda is skipped if a keyed hash of the seed, the document and
-the places in its text where the merge begins and ends falls under the dropout rate. So each occurrence of a word has a
-segmentation of its own, the same on every executor and in every run. Workers keep, for each short part, which merges are
-tried and what comes out for the skips met so far; that saves steps and changes no result. With a dropout of 0 the pieces
-are those of the vocabulary's own library.
+equal scores the leftmost. A candidate is skipped if a keyed hash of the seed, the document and the places in its text where
+the merge begins and ends falls under the dropout rate. So each occurrence of a word has a segmentation of its own, the same
+on every executor and in every run. With a dropout of 0 the pieces are those of the vocabulary's own library.
+
+No piece reaches over two characters that stand next to each other in no piece, so texts are cut there into segments. All
+segments of a block of texts are worked off together in numpy arrays, one row for each: a step takes the first candidate of
+every row's agenda, merges it and looks up the two pairs it makes. Nothing depends on words being met before, so rare and
+frequent words cost alike. Segments over LONG characters have an agenda of their own, a heap whose entries are as wide as
+the segment and the vocabulary need.
 
 Decoding is lossless for every text: what the vocabulary lacks, and the space mark itself, goes by bytes.
 
-A null text gives null, an empty text no pieces. Ties of score go to the left. Repeated rows give equal pieces. Other columns
-are carried; pieces and decoded are replaced. The vocabulary file is a parameter, read by each worker from the same path.
+A null text gives null, an empty text no pieces; texts of any length are encoded whole, in blocks of about BLOCK characters
+or one longer text. Ties of score go to the left. Rows that repeat doc_id and text give equal pieces; a null doc_id is a key
+like others. An empty table gives an empty result. Other columns are carried; pieces and decoded are replaced. The
+vocabulary file is a parameter, read by each worker from the same path.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
-from collections.abc import Collection
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -29,18 +34,59 @@ from leadloom.session import ship_package
 
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-#: VARIANTS: how many keys the documents are dealt over; None gives each document its own.
-DROPOUT, SEED, VARIANTS = 0.1, 17, None
-#: Segmentations of parts that a worker keeps; as many older ones stay until they are met again or replaced.
-MAX_KEPT = 150_000
-#: Characters up to which a part's segmentations are kept.
-SHORT = 16
+DROPOUT, SEED = 0.1, 17
+#: Characters of texts that are worked off together, and of a segment up to which it is a row of an array.
+BLOCK, LONG = 1_000_000, 32
+#: Columns of the arrays; a segment goes to the narrowest that holds it.
+WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 22, LONG)
 MASK = 2**64 - 1
 FROM, TO = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+NO_MERGE = np.int32(2**31 - 1)
+
+
+class PairTable:
+    """Numbers by pairs of numbers below n, -1 for others. Pairs whose slot is taken go to a further, smaller level."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int], n: int) -> None:
+        self.n, self.levels = n, []
+        key = np.array([a * n + b for a, b in pairs], np.int64)
+        value = np.array(list(pairs.values()), np.int32)
+        while len(key) or not self.levels:
+            shift = np.uint64(64 - max(4, (4 * len(key)).bit_length()))
+            slot = self._slot(key, shift)
+            taken, first = np.unique(slot, return_index=True)
+            size = 1 << (64 - int(shift))
+            keys, values, more = np.full(size, -1, np.int64), np.full(size, -1, np.int32), np.zeros(size, bool)
+            keys[taken], values[taken] = key[first], value[first]
+            rest = np.ones(len(key), bool)
+            rest[first] = False
+            more[slot[rest]] = True
+            self.levels.append((shift, keys, values, more))
+            key, value = key[rest], value[rest]
+
+    @staticmethod
+    def _slot(key: np.ndarray, shift: np.uint64) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(FROM) >> shift).view(np.int64)
+
+    def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key, at, out = left.astype(np.int64) * self.n + right, None, np.empty(0, np.int32)
+        for shift, keys, values, more in self.levels:
+            slot = self._slot(key, shift)
+            hit = keys[slot] == key
+            got = np.where(hit, values[slot], np.int32(-1))
+            if at is None:
+                out = got
+            else:
+                out[at] = got
+            rest = np.flatnonzero(more[slot] & ~hit)
+            if not len(rest):
+                break
+            key, at = key[rest], rest if at is None else at[rest]
+        return out
 
 
 class Pieces:
-    """A vocabulary, read once by each worker."""
+    """A vocabulary, read once by each worker. Its plain pieces and their characters have numbers of their own."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -49,34 +95,53 @@ class Pieces:
         n = model.get_piece_size()
         names = [model.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        rank = {s: k for k, s in enumerate(sorted({-model.get_score(i) for i in plain}))}
-        self.rank, self.id = {names[i]: rank[-model.get_score(i)] for i in plain}, {names[i]: i for i in plain}
-        self.longest = max(map(len, self.rank))
+        order = {s: k for k, s in enumerate(sorted({-model.get_score(i) for i in plain}))}
+        self.rank, self.id = {names[i]: order[-model.get_score(i)] for i in plain}, {names[i]: i for i in plain}
         self.of_byte = {int(names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.bytes = [b""] * n
         for i in plain:
             self.bytes[i] = names[i].replace(MARK, " ").encode()
         for b, i in self.of_byte.items():
             self.bytes[i] = bytes([b])
+        self.byte_id = np.array([self.of_byte.get(b, 0) for b in range(256)], np.int32)
         several = [names[i] for i in plain if len(names[i]) > 1]
         if any(MARK in p.lstrip(MARK) for p in several):
-            raise ValueError("pieces go on after a space mark: chunks can't be encoded apart")
-        inside = set("".join(several))
-        self.pairs = {p[i : i + 2] for p in several for i in range(len(p) - 1)}
-        # merges never reach over these, so chunks end at them
-        ends = "".join(c for c in "\n\t\r\0" if c not in inside)
-        self.chunks = re.compile(rf"[{re.escape(ends)}]|{MARK}+[^{MARK}{re.escape(ends)}]*|[^{MARK}{re.escape(ends)}]+").findall
-
-    def encode(self, chunk: str, skipped: Collection[tuple[int, int]] = (), met: list[tuple[int, int]] | None = None) -> list[int]:
-        """By merging from an agenda. A merge of characters i to j is left out if (i, j) is in skipped; met gets those tried."""
+            raise ValueError("pieces go on after a space mark: segments can't be encoded apart")
+        # numbers: plain pieces, then characters that only stand inside pieces, then all that is unknown
+        number = {names[i]: k for k, i in enumerate(plain)}
+        for c in sorted(set("".join(several)) - set(number)):
+            number[c] = len(number)
+        self.unknown = len(number)
+        self.vocabulary_id = np.full(self.unknown + 1, -1, np.int32)
+        self.vocabulary_id[: len(plain)] = plain
+        self.rank_of = np.full(self.unknown + 1, NO_MERGE, np.int32)  # the last, also reached by -1, is no piece
+        self.rank_of[: len(plain)] = [self.rank[names[i]] for i in plain]
+        self.length_of = np.ones(self.unknown + 1, np.uint64)
+        self.length_of[: len(plain)] = [len(names[i]) for i in plain]
+        self.of_character = np.full(0x110000, self.unknown, np.int32)
+        for c, k in number.items():
+            if len(c) == 1:
+                self.of_character[ord(c)] = k
+        self.of_character[ord(" ")] = number.get(MARK, self.unknown)
+        self.of_character[ord(MARK)] = self.unknown
+        # of pairs: the piece they make, or -2 if they only stand next to each other in a piece
+        pairs = {(number[a], number[b]): -2 for p in several for a, b in zip(p, p[1:], strict=False)}
+        for p in several:
+            pairs |= {(number[p[:i]], number[p[i:]]): number[p] for i in range(1, len(p)) if p[:i] in number and p[i:] in number}
+        self.pairs = PairTable(pairs, self.unknown + 1)
+        ends = np.cumsum([0, *map(len, self.bytes)])
+        self.blob, self.first, self.size = np.frombuffer(b"".join(self.bytes), np.uint8), ends[:-1], np.diff(ends)
+
+    def merged(self, segment: str, skip: Callable[[int, int], bool] | None = None) -> list[str]:
+        """The parts of a segment, from a heap. skip says whether the merge of characters i to j is left out."""
         ranks, push, pop = self.rank, heapq.heappush, heapq.heappop
-        parts: list[str | None] = list(chunk)
+        parts: list[str | None] = list(segment)
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        # an entry orders by score, then by place, which has as many bits as the chunk needs
+        # an entry orders by score, then by place, which has as many bits as the segment needs
         bits = n.bit_length()
         place = (1 << bits) - 1
-        agenda = [ranks[w] << bits | i for i in range(n - 1) if (w := chunk[i : i + 2]) in ranks]
+        agenda = [ranks[w] << bits | i for i in range(n - 1) if (w := segment[i : i + 2]) in ranks]
         heapq.heapify(agenda)
         while agenda:
             entry = pop(agenda)
@@ -84,9 +149,7 @@ class Pieces:
             left, j = parts[i], after[i]
             if left is None or j >= n or ranks.get(whole := left + parts[j]) != entry >> bits:
                 continue  # one of both has been merged since
-            if met is not None:
-                met.append((i, i + len(whole)))
-            if skipped and (i, i + len(whole)) in skipped:
+            if skip and skip(i, i + len(whole)):
                 continue
             parts[i], parts[j] = whole, None
             after[i] = k = after[j]
@@ -100,35 +163,16 @@ class Pieces:
                 more = ranks.get(parts[k] + whole)
                 if more is not None:
                     push(agenda, more << bits | k)
-        out: list[int] = []
-        for p in parts:
-            if p is not None:
-                if p in ranks:
-                    out.append(self.id[p])
-                else:
-                    out += [self.of_byte[b] for b in p.encode()]
-        return out
-
-    def spans(self, part: str) -> list[tuple[int, int]]:
-        """Where the part's characters make a piece of two or more: all merges that an agenda can hold."""
-        n, ranks = len(part), self.rank
-        return [(i, j) for i in range(n - 1) for j in range(i + 2, min(i + self.longest, n) + 1) if part[i:j] in ranks]
-
-    def split(self, chunk: str) -> list[str]:
-        """The chunk cut between characters that stand next to each other in no piece; no merge reaches over such a cut."""
-        pairs, out, start = self.pairs, [], 0
-        for i in range(1, len(chunk)):
-            if chunk[i - 1 : i + 1] not in pairs:
-                out.append(chunk[start:i])
-                start = i
-        out.append(chunk[start:])
-        return out
-
-    def escaped(self, mark: str = MARK) -> list[int]:
-        return [self.of_byte[b] for b in mark.encode()]
+        return [p for p in parts if p is not None]
 
-    def decode(self, ids: list[int] | np.ndarray) -> str:
-        return b"".join([self.bytes[i] for i in ids]).decode()[1:]
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> Iterator[str]:
+        """The texts of pieces; ends has the offsets between them, from 0."""
+        size = self.size[ids]
+        stop = np.concatenate(([0], np.cumsum(size)))
+        data = self.blob[np.repeat(self.first[ids] - stop[:-1], size) + np.arange(stop[-1])].tobytes()
+        at = stop[ends].tolist()
+        for a, b in zip(at, at[1:], strict=False):
+            yield data[a + 1 : b].decode(errors="replace")
 
 
 @cache
@@ -136,102 +180,127 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-class Part:
-    """A part of a text: its spans, their share of the hash, and the segmentations kept by the skips that were met."""
-
-    def __init__(self, of: Pieces, text: str, dropout: bool) -> None:
-        self.text, self.n, self.known = text, len(text), {}
-        self.spans = of.spans(text) if dropout else []
-        self.share = (np.array(self.spans, np.uint64).reshape(-1, 2) * np.array((FROM, TO), np.uint64)).sum(1, dtype=np.uint64)
-        self.plain = self.run(of, ())[1] if self.n <= SHORT or not dropout else None
-
-    def run(self, of: Pieces, skips: tuple[tuple[int, int], ...]) -> tuple[dict[tuple[int, int], int], list[int]]:
-        """When each merge is tried first, and what comes out, if skips are left out."""
-        found = self.known.get(skips)
-        if found is None:
-            met: list[tuple[int, int]] = []
-            ids = of.encode(self.text, skips, met)
-            when: dict[tuple[int, int], int] = {}
-            for k, x in enumerate(met):
-                when.setdefault(x, k)
-            self.known[skips] = found = when, ids
-        return found
-
-    def encode(self, of: Pieces, skipped: list[int]) -> list[int]:
-        """The segmentation if the spans of these numbers are left out."""
-        left = [self.spans[k] for k in skipped]
-        if self.n > SHORT:
-            return of.encode(self.text, set(left))
-        skips: tuple[tuple[int, int], ...] = ()
-        while True:
-            when, ids = self.run(of, skips)
-            first = min((x for x in left if x in when), key=when.get, default=None)
-            if first is None:
-                return ids
-            left.remove(first)
-            skips = (*skips, first)
+def skipped(base: np.ndarray, length: np.ndarray, limit: int) -> np.ndarray:
+    """Whether merges are left out, by the keys and places where they begin (see Encoder.encode) and their lengths."""
+    x = base + length * np.uint64(TO)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x >> np.uint64(32) < np.uint64(limit)
 
 
 class Encoder:
-    """Encodes texts under keys of documents; keeps the segmentations of short parts."""
+    """Encodes texts under keys of documents."""
 
     def __init__(self, path: str, dropout: float) -> None:
         self.of, self.limit = pieces(path), int(dropout * 2**32)
-        self.kept: dict[str, list[Part]] = {}
-        self.older: dict[str, list[Part]] = {}
-        self.mark = Part(self.of, "", False)
-        self.mark.n, self.mark.plain = 1, self.of.escaped()
-        self.room = MAX_KEPT
-
-    def chunk(self, chunk: str) -> list[Part]:
-        found = self.kept.get(chunk)
-        if found is None:
-            found = self.older.get(chunk)
-            if found is None:
-                texts = [chunk] if len(chunk) <= SHORT else self.of.split(chunk)
-                found = [p for t in texts for p in (self.chunk(t) if len(t) <= SHORT < len(chunk) else [Part(self.of, t, self.limit > 0)])]
-            if len(chunk) <= SHORT:
-                self.room -= 1 + sum(len(p.known) for p in found)
-                self.kept[chunk] = found
-        return found
 
     def text(self, text: str, key: int = 0) -> list[int]:
-        if not text:
-            return []
-        if self.room <= 0:
-            self.older, self.kept, self.room = self.kept, {}, MAX_KEPT
-        parts: list[Part] = []
-        for k, piece in enumerate(text.split(MARK)):
-            if k:
-                parts.append(self.mark)
-            for c in self.of.chunks((MARK if not k else "") + piece.replace(" ", MARK)):
-                parts += self.kept.get(c) or self.chunk(c)
-        left_out = self.left_out(parts, key) if self.limit else {}
-        out: list[int] = []
-        for k, p in enumerate(parts):
-            if k in left_out or p.plain is None:
-                known = len(p.known)
-                out += p.encode(self.of, left_out.get(k, []))
-                self.room -= len(p.known) - known
-            else:
-                out += p.plain
-        return out
-
-    def left_out(self, parts: list[Part], key: int) -> dict[int, list[int]]:
-        """By number of the part, the numbers of its spans whose keyed hash is under the limit."""
-        sizes = np.fromiter((len(p.spans) for p in parts), np.int64, len(parts))
-        ends = np.cumsum(sizes)
-        starts = np.cumsum(np.fromiter((p.n for p in parts), np.uint64, len(parts)))
-        base = starts * np.uint64(FROM + TO & MASK) + np.uint64(key & MASK)
-        x = np.concatenate([p.share for p in parts]) + np.repeat(base, sizes)
-        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-        hit = np.flatnonzero(x >> np.uint64(32) < np.uint64(self.limit))
-        at = np.searchsorted(ends, hit, "right")
-        out: dict[int, list[int]] = {}
-        for k, span in zip(at.tolist(), (hit - ends[at] + sizes[at]).tolist(), strict=True):
-            out.setdefault(k, []).append(span)
-        return out
+        return self.encode([text], np.array([key & MASK], np.uint64))[0].tolist() if text else []
+
+    def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that aren't empty, one after the other, and how many each has."""
+        of = self.of
+        code = np.frombuffer(" ".join(["", *texts]).encode("utf-32-le"), np.uint32)
+        sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+        begins = np.cumsum(sizes) - sizes
+        out = of.of_character[code]
+        # a merge of characters i to j of a text has the hash of key + i * FROM + j * TO
+        step = np.uint64(FROM + TO & MASK)
+        base = np.arange(len(code), dtype=np.uint64) * step + np.repeat(keys - begins.astype(np.uint64) * step, sizes)
+        made = np.concatenate((of.pairs.get(out[:-1], out[1:]), np.full(1, -1, np.int32)))
+        made[begins[1:] - 1] = -1
+        starts = np.concatenate(([0], np.flatnonzero(made[:-1] == -1) + 1))
+        lengths = np.diff(np.append(starts, len(code)))
+        made[made < 0] = -1
+        self.leave_out(made, base)
+        below = 1
+        for width in WIDTHS:
+            at = np.flatnonzero((lengths > below) & (lengths <= width))
+            if len(at):
+                self.rows(out, made, base, starts[at], lengths[at], width)
+            below = width
+        for k in np.flatnonzero(lengths > LONG).tolist():
+            self.one(out, code, int(base[starts[k]]), int(starts[k]), int(lengths[k]))
+        at = np.flatnonzero(out >= 0)
+        ids = of.vocabulary_id[out[at]]
+        width = np.where(ids < 0, 1 + sum((code[at] >= b).astype(np.int64) for b in (0x80, 0x800, 0x10000)), 1)
+        stop = np.cumsum(width)
+        values = np.repeat(ids, width)
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):
+            kinds, kind = np.unique(code[at[lost]], return_inverse=True)
+            data = np.zeros((len(kinds), 4), np.int32)
+            for k, c in enumerate(kinds.tolist()):
+                b = chr(c).encode()
+                data[k, : len(b)] = of.byte_id[list(b)]
+            for k in range(4):
+                wide = width[lost] > k
+                values[(stop - width)[lost[wide]] + k] = data[kind[wide], k]
+        upto = np.concatenate(([0], stop))[np.searchsorted(at, np.append(begins, len(code)))]
+        return values, np.diff(upto)
+
+    def leave_out(self, made: np.ndarray, base: np.ndarray) -> None:
+        """Set what merges make to -1 where the merge is skipped."""
+        if self.limit:
+            some = np.flatnonzero(made >= 0)
+            made[some[skipped(base[some], self.of.length_of[made[some]], self.limit)]] = -1
+
+    def rows(self, out: np.ndarray, made: np.ndarray, base: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> None:
+        """Merge the segments that begin at starts, as rows of width columns between two that hold nothing."""
+        of, wide = self.of, width + 2
+        inside = np.arange(width) < lengths[:, None]
+        flat = (starts[:, None] + np.arange(width))[inside]
+        ids = np.full((len(starts), wide), of.unknown, np.int32)
+        ids[:, 1:-1][inside] = out[flat]
+        piece = np.full((len(starts), wide), -1, np.int32)
+        piece[:, 1:-1][inside] = made[flat]
+        rank = of.rank_of[piece]
+        shape = rank
+        after = np.tile(np.arange(1, wide + 1, dtype=np.int16), len(starts))
+        before = np.tile(np.arange(-1, wide - 1, dtype=np.int16), len(starts))
+        held, piece, rank = ids.ravel(), piece.ravel(), rank.ravel()
+        on = np.arange(len(starts))
+        while len(on):
+            best = shape[on].argmin(1)
+            line = on * wide
+            go = rank[line + best] < NO_MERGE
+            if not go.all():
+                on, line, best = on[go], line[go], best[go]
+            i = line + best
+            j = line + after[i]
+            whole, k = piece[i], after[j]
+            held[i], held[j], rank[j] = whole, -1, NO_MERGE
+            after[i] = k
+            before[line + k] = best
+            h = line + before[i]
+            left = np.concatenate((h, i))
+            fresh = of.pairs.get(np.concatenate((held[h], whole)), np.concatenate((whole, held[line + k])))
+            fresh[fresh < 0] = -1
+            if self.limit:
+                # the flat place of a column; that of the empty first column is never used
+                self.leave_out(fresh, base[np.maximum(np.tile(starts[on] - line - 1, 2) + left, 0)])
+            piece[left], rank[left] = fresh, of.rank_of[fresh]
+        out[flat] = ids[:, 1:-1][inside]
+
+    def one(self, out: np.ndarray, code: np.ndarray, base: int, start: int, length: int) -> None:
+        """Merge one long segment."""
+
+        def skip(i: int, j: int) -> bool:
+            x = base + i * FROM + j * TO & MASK
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+            return x >> 32 < self.limit
+
+        segment = code[start : start + length].tobytes().decode("utf-32-le").replace(" ", MARK)
+        i = start
+        for p in self.of.merged(segment, skip if self.limit else None):
+            if len(p) > 1:
+                out[i + 1 : i + len(p)] = -1
+                out[i] = self.number(p)
+            i += len(p)
+
+    def number(self, piece: str) -> int:
+        return int(np.searchsorted(self.of.vocabulary_id[: len(self.of.id)], self.of.id[piece]))
 
 
 @cache
@@ -239,19 +308,33 @@ def _encoder(path: str, dropout: float) -> Encoder:
     return Encoder(path, dropout)
 
 
-def encode_documents(docs: DataFrame, text: str = "text", path: str = VOCABULARY, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = VARIANTS) -> DataFrame:
-    """docs with pieces: the ids of the text's segmentation."""
+def _blocks(texts: list[str | None]) -> Iterator[list[int]]:
+    """The numbers of the texts that hold something, in blocks."""
+    held, size = [], 0
+    for k, t in enumerate(texts):
+        if not t:
+            continue
+        held.append(k)
+        size += len(t)
+        if size >= BLOCK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def encode_documents(docs: DataFrame, text: str = "text", path: str = VOCABULARY, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = None) -> DataFrame:
+    """docs with pieces: the ids of the text's segmentation. Each document has a key of its own, or one of variants."""
     ship_package(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        own, values, offsets = _encoder(path, dropout), [], [0]
-        for t, key in zip(texts.to_pylist(), keys.to_pylist(), strict=True):
-            got = own.text(t, key) if t else []
-            values.append(np.asarray(got, np.int32))
-            offsets.append(offsets[-1] + len(got))
-        flat = pa.array(np.concatenate(values) if values else np.empty(0, np.int32))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=texts.is_null())
+        own, values, many = _encoder(path, dropout), [np.empty(0, np.int32)], np.zeros(len(texts) + 1, np.int64)
+        held, key = texts.to_pylist(), keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for at in _blocks(held):
+            got, many[np.array(at) + 1] = own.encode([held[k] for k in at], key[at])
+            values.append(got)
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(many), pa.int32()), pa.array(np.concatenate(values)), mask=texts.is_null())
 
     own_key = F.xxhash64(F.lit(seed), F.col("doc_id"))
     return docs.withColumn("pieces", encode(F.col(text), own_key if variants is None else F.xxhash64(F.lit(seed), F.pmod(own_key, F.lit(variants)))))
@@ -263,8 +346,12 @@ def decode_documents(docs: DataFrame, pieces_column: str = "pieces", path: str =
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        of = pieces(path)
-        return pa.array([None if not x.is_valid else of.decode(x.values.to_numpy(zero_copy_only=False).tolist()) for x in ids], pa.string())
+        of, out = pieces(path), []
+        for k in range(0, len(ids), 512):
+            part = ids.slice(k, 512)
+            ends = np.concatenate(([0], np.cumsum(part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+            out += of.decode(part.flatten().to_numpy(zero_copy_only=False), ends)
+        return pa.array(out, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
 
     return docs.withColumn("decoded", decode(F.col(pieces_column)))
 

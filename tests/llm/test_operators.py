@@ -228,33 +228,68 @@ def test_encoding(spark, frame, corpus):
     assert all(again[i].pieces == got[i].pieces for i, _ in corpus)
 
 
+def agenda_by_hand(of, text, key, limit):
+    """Ids by the rule alone: the best merge of the whole text again and again, leftmost first, without those skipped."""
+    parts = [(i, c) for i, c in enumerate("▁" + text.replace("▁", "\0\0").replace(" ", "▁").replace("\0\0", "\0"))]
+    lost = {i + 1 for i, c in enumerate(text) if c == "▁"}
+
+    def skip(i, j):
+        x = (key + i * merge_dropout.FROM + j * merge_dropout.TO) % 2**64
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        return x >> 32 < limit
+
+    while True:
+        found = []
+        for k in range(len(parts) - 1):
+            (i, a), (j, b) = parts[k], parts[k + 1]
+            if a + b in of.rank and i not in lost and j not in lost and not skip(i, j + len(b)):
+                found.append((of.rank[a + b], k))
+        if not found:
+            break
+        _, k = min(found)
+        parts[k : k + 2] = [(parts[k][0], parts[k][1] + parts[k + 1][1])]
+    out = []
+    for i, p in parts:
+        out += [of.of_byte[b] for b in "▁".encode()] if i in lost else [of.id[p]] if p in of.id else [of.of_byte[b] for b in p.encode()]
+    return out
+
+
+def test_dropout_follows_the_agenda(corpus):
+    for rate in (0.0, 0.1, 0.5, 1.0):
+        own = merge_dropout.Encoder(merge_dropout.VOCABULARY, rate)
+        texts = [t for _, t in corpus if t and len(t) < 900][::4] + ["a▁b  c\n\n\t▁", "𝒳\0 é日本", "  ", "internationalizations " * 3, "x" * 70, "Ünïcödé_" * 12 + " " + "acgt" * 20]
+        keys = np.array([k * 0x1234567890ABCDE7 % 2**64 for k in range(len(texts))], np.uint64)
+        ids, many = own.encode(texts, keys)
+        got = np.split(ids, np.cumsum(many)[:-1])
+        for t, k, g in zip(texts, keys.tolist(), got, strict=True):
+            assert g.tolist() == agenda_by_hand(own.of, t, k, own.limit) == own.text(t, k)
+        assert list(own.of.decode(ids, np.concatenate(([0], np.cumsum(many))))) == texts
+
+
 def test_dropout_differs_by_document_and_place(spark, frame):
     text = "tokenization of several recurring sentences " * 40
     got = rows(merge_dropout.encode_documents(frame([(1, text), (2, text), (3, text)])).select("doc_id", "pieces"))
     assert len({tuple(r.pieces) for r in got.values()}) == 3
-    own = merge_dropout.Encoder(merge_dropout.VOCABULARY, merge_dropout.DROPOUT)
-    of, key = own.of, 12345
-    # by the rule: each word's merges go by the hash of the key and of the places where they begin and end
-    want, start = [], 0
-    for word in of.chunks("▁" + text.replace(" ", "▁")):
-        start += len(word)
-        skipped = set()
-        for i, j in of.spans(word):
-            x = (key + (start + i) * merge_dropout.FROM + (start + j) * merge_dropout.TO) % 2**64
-            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
-            x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
-            if x >> 32 < own.limit:
-                skipped.add((i, j))
-        want.append(tuple(of.encode(word, skipped)))
-    assert own.text(text, key) == [x for w in want for x in w] == own.text(text, key)
-    assert len(set(want[1::5])) > 1 and len(set(want)) > 10
+    own = merge_dropout.Encoder(merge_dropout.VOCABULARY, 0.5)
+    three = own.text("tokenization tokenization tokenization", 1)
+    space = own.of.id["▁"]
+    words = "".join("|" + str(i) if own.of.bytes[i][:1] == b" " and i != space else "," + str(i) for i in three)
+    assert len(set(words.replace(f",{space},", "|").split("|"))) > 2
 
 
 def test_long_part_is_lossless():
-    text = "".join(random.Random(8).choices("acgt", k=2**20 + 50_000))
+    text = "".join(random.Random(8).choices("acgt", k=1_200_000))
     own = merge_dropout.Encoder(merge_dropout.VOCABULARY, merge_dropout.DROPOUT)
-    assert len(own.of.split("▁" + text)[-1]) > 2**20
-    assert own.of.decode(own.text(text, 5)) == text
+    ids = own.encode([text], np.array([5], np.uint64))[0]
+    assert next(own.of.decode(ids, np.array([0, len(ids)]))) == text
+    assert len(ids) < len(text)
+
+
+def test_encoding_of_odd_tables(frame):
+    assert merge_dropout.encoded_summary(frame([])).isEmpty()
+    same = merge_dropout.encoded_summary(frame([(1, "a b"), (1, "a b"), (None, "a b"), (None, None), (2, "")])).collect()
+    assert same[0] == same[1] and all(r.lossless for r in same) and [r.n_pieces > 0 for r in same] == [True, True, True, False, False]
 
 
 # -- quality --------------------------------------------------------------------------------------------------------------
