@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where it is unset (local tests)."""
+    """spark.checkpoint.dir, or a temporary folder where it is unset and all tasks run in the driver (local tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='leadloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -36,7 +39,13 @@ class Scratch:
         return out
 
     def drop(self, *frames: DataFrame) -> None:
+        """Remove tables, and let go of the shuffle files of finished steps.
+
+        Spark removes those once the driver's garbage is collected, which a driver that mostly waits hardly ever does.
+        """
         jvm = self.spark.sparkContext._jvm
         for df in frames:
             path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()
