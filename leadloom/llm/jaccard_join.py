@@ -1,36 +1,39 @@
 """N-gram Jaccard join with PartEnum signatures, and the components of its links.
 
-Sets of equal content are one node, named by a 64-bit hash of the whole set. Sizes fall into bands. Within a band, sets
-that are similar enough differ in at most K elements; the domain of shingles is cut into more than K partitions by hash, so
-that two such sets agree on a whole partition, and the signatures of a set are its contents partition by partition. A set
-signs for its own band, and for the next if a larger set there can be similar. Empty partitions are signed only by sets so
-uneven that fewer than K + 1 partitions hold something, which keeps the guarantee. Groups of equal signatures give
-candidates, and every candidate is verified on the sets themselves.
-
-No group is expanded into pairs. Each node is first compared with the node that has most company in most of its groups,
-which for edited copies is the text they come from; linked nodes form components. Groups that meet form clusters, and in a
-cluster with several components the nodes outside the largest are queries against all its nodes, in blocks of QUERIES.
-Parity sketches, which never differ in more cells than the sets in elements, rule most pairs out; a pair that they allow joins
-its components, so a task gives at most a spanning forest. These links are then verified on the sets, and clusters with one
-that fails are compared once more with the sets in place of the sketches. So no link between components is lost, and a group
-of near copies costs one comparison each. Comparisons with one pivot are dealt over SALTS tasks.
-
-Components come from alternating large-star and small-star rounds over tables in the shared folder.
+Sets of equal content are one node, named by a 64-bit hash of the whole set (two sets share a name with probability 2**-64).
+Sizes fall into bands. Within a band, sets that are similar enough differ in at most K elements. The domain of shingles is
+cut by hash into first-level partitions, so many that two such sets differ in few elements of some of them, and each of
+these into second-level parts. The subsets of parts are enumerated, and a signature is the content of one subset: two such
+sets agree on a whole subset of some partition. A set signs for its own band and for each further one in which a larger set
+can be similar. Subsets without an element are signed only by sets so uneven that the guarantee needs them.
+
+The nodes of a signature are a group, and groups with the same nodes count once. No group is expanded into pairs. Each node
+is first verified against one node, of the pivots of its groups the one it meets most; a group's pivot is its node with most
+company, which for edited copies is the text they come from. Verified links form components. In a group that still has
+several, the nodes outside the largest are queries against all its nodes, in blocks of about ELEMENTS shingles. Parity
+sketches, which never differ in more cells than the sets in elements, rule most pairs out; a pair that they allow joins its
+components at once, so a task gives at most a spanning forest. These links are verified on the texts' shingles, and groups
+with one that fails are compared once more with the shingles in place of the sketches. So no link between components is
+lost. Comparisons with one pivot are dealt over tasks of PER_TASK nodes. Components come from alternating large-star and
+small-star rounds over tables in the shared folder.
 
 Nulls: a null or wordless text has no shingles, n_shingles 0, and is a component of its own; a null doc_id takes part, but a
-component's id is its smallest doc_id that is not null. Repeated rows fall into one node. An empty table gives an empty
-result. Only doc_id and the text are read; keep_one carries all other columns.
+component's id is its smallest doc_id that is not null. Texts of any length are taken whole. Repeated rows fall into one
+node. Ties: of pivots with equal company the largest name. An empty table gives an empty result. Only doc_id and the text
+are read; keep_one carries all other columns. percent is from 1 to 100, shingle from 1 to 16.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from leadloom.operators.components import components
 from leadloom.session import ship_package
@@ -39,22 +42,36 @@ from .common import Scratch
 from .shingles import mix, shingle_sets
 
 SHINGLE, PERCENT = 4, 85
-#: Of a band's largest to its smallest size; partitions beyond K + 1, as a part of it.
-BAND, SLACK = 1.5, 0.15
-SALTS = 16
-#: Queries of a block when components of a cluster are compared.
-QUERIES = 4096
+#: Of a band's largest to its smallest size.
+BAND = 1.6
+#: Differences up to which one partition with all its subsets does; beyond, partitions have 3 parts and subsets 2 of them.
+ONE_LEVEL = 3
+#: Nodes of a task that verifies with a pivot; shingles of the queries of a block.
+PER_TASK, ELEMENTS = 2000, 4_000_000
+#: Nodes in a row of a group; groups of more take several rows.
+PIECE = 256
 #: Nodes that a task remembers, so as to sign copies once.
 SEEN = 200_000
 
 
+class Signing(NamedTuple):
+    """How a band is signed: first-level partitions, parts of each, parts of a subset, and partitions that may differ in too many elements."""
+
+    band: int
+    partitions: int
+    parts: int
+    subset: int
+    bad: int
+
+
 class Bands:
-    """Sizes by band, with the largest difference and the number of partitions of each."""
+    """Sizes by band, and the ways to sign for them."""
 
     def __init__(self, percent: int) -> None:
         self.percent, self.high = percent, [0]
 
     def difference(self, high: int) -> int:
+        """The most elements in which two similar sets of up to high elements differ."""
         return 2 * high * (100 - self.percent) // (100 + self.percent)
 
     def of(self, size: int) -> int:
@@ -62,27 +79,50 @@ class Bands:
             self.high.append(max(self.high[-1] + 1, int(self.high[-1] * BAND)))
         return int(np.searchsorted(self.high, size))
 
-    def signing(self, size: int) -> list[tuple[int, int, int]]:
-        """(band, K, partitions) that a set of this size signs for; bands with K = 0 need no signature, as nodes are sets."""
-        own, largest = self.of(size), size * 100 // self.percent
-        self.of(largest)
-        bands = [own, own + 1] if largest > self.high[own] else [own]
-        found = [(b, self.difference(self.high[b])) for b in bands]
-        return [(b, k, k + 1 + int(np.ceil(SLACK * (k + 1)))) for b, k in found if k]
+    def way(self, band: int) -> Signing | None:
+        """None if sets of the band are similar only when they are one node."""
+        k = self.difference(self.high[band])
+        if not k:
+            return None
+        if k <= ONE_LEVEL:
+            return Signing(band, 1, k + 2, 2, 0)
+        # at most one difference in some partition: of 3 parts, 2 agree. Spare partitions keep sparse ones from mattering
+        least = k // 2 + 1
+        return Signing(band, least + 1 + least // 16, 3, 2, k // 2)
+
+    def signing(self, size: int) -> list[Signing]:
+        """For each band that holds a set similar to one of this size and not smaller."""
+        last = self.of(size * 100 // self.percent)
+        return [w for b in range(self.of(size), last + 1) if (w := self.way(b))]
+
+
+@cache
+def _subsets(parts: int, size: int) -> np.ndarray:
+    return np.array(list(combinations(range(parts), size)))
 
 
 def node_of(shingles: np.ndarray) -> int:
     return int((mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))).view(np.int64))
 
 
+_PART, _SUBSET = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
+
+
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     out = []
-    for band, k, n in bands.signing(len(shingles)):
-        part = (mix(shingles + np.uint64(band * 2 + 1)) >> np.uint64(33)).astype(np.int64) % n
-        content, held = np.zeros(n, np.uint64), np.bincount(part, minlength=n)
-        np.add.at(content, part, mix(shingles))
-        key = mix(content + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band << 48))
-        out.append(key[held > 0] if np.count_nonzero(held) > k else key)
+    for w in bands.signing(len(shingles)):
+        h = mix(shingles + np.uint64(w.band * 2 + 1))
+        cell = ((h >> np.uint64(33)) % np.uint64(w.partitions) * np.uint64(w.parts) + (h & np.uint64(0xFFFFFF)) % np.uint64(w.parts)).astype(np.int64)
+        n = w.partitions * w.parts
+        content = np.zeros(n, np.uint64)
+        np.add.at(content, cell, mix(h))
+        held = (np.bincount(cell, minlength=n) > 0).reshape(-1, w.parts)
+        content = mix(content + np.arange(n, dtype=np.uint64) * _PART).reshape(-1, w.parts)
+        of = _subsets(w.parts, w.subset)
+        key = mix(content[:, of].sum(2, dtype=np.uint64) + np.arange(len(of), dtype=np.uint64) * _SUBSET + np.uint64(w.band << 48))
+        # a partition whose every subset holds something needs no empty subset; enough of them always include one that agrees
+        spread = np.count_nonzero(held.sum(1) > w.parts - w.subset)
+        out.append(key[held[:, of].any(2)] if spread > w.bad else key.ravel())
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -103,14 +143,14 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
 def _nodes(docs: DataFrame, text: str, k: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, node, sketch = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64), [b""] * len(b)
+            n, node = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)
             for i, s in shingle_sets(b.column("text"), k):
                 if len(s):
-                    n[i], node[i], sketch[i] = len(s), node_of(s), _sketch(s).tobytes()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(node), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "node", "sketch"])
+                    n[i], node[i] = len(s), node_of(s)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(node)], ["doc_id", "n_shingles", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(work, f"doc_id {kind}, n_shingles long, node long, sketch binary")
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(work, f"doc_id {kind}, n_shingles long, node long")
 
 
 def _signed(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -141,85 +181,100 @@ def _signed(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
 
 
 def _groups(signed: DataFrame) -> DataFrame:
-    """(sig, node, idx, first) of the signatures that several nodes have; idx counts from 0, first is the node at 0."""
+    """(gid, part, nodes) of the signatures that several nodes have, at most PIECE nodes a row.
+
+    A group of one row is named by its nodes, so that groups with the same nodes are one; a larger one by its signature.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sig", "node", "idx", "first"]
-        last_sig = last_node = first = None
-        idx = 0  # of the last row within its group
-        shown = False  # whether the last row has been given out
+        names, kinds = ["gid", "part", "nodes"], (pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        open_sig, held, given = None, np.empty(0, np.int64), 0  # the last signature, its nodes not given out, rows given out
+
+        def closed(nodes: np.ndarray, sig: int, part: int) -> list[tuple]:
+            """The last row of a group whose nodes have all been met."""
+            if part:
+                return [(sig, part, nodes)]
+            return [(int((mix(nodes.view(np.uint64)).sum(dtype=np.uint64) + np.uint64(len(nodes))).view(np.int64)), 0, nodes)] if len(nodes) > 1 else []
+
         for b in batches:
-            sig, node = b.column("sig").to_numpy(), b.column("node").to_numpy()
-            if last_sig is not None:
-                sig, node = np.concatenate(([last_sig], sig)), np.concatenate(([last_node], node))
-            keep = np.concatenate(([True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])))
-            sig, node = sig[keep], node[keep]
+            sig, node, rows = b.column("sig").to_numpy(), b.column("node").to_numpy(), []
+            if open_sig is not None:
+                sig, node = np.concatenate((np.full(len(held), open_sig), sig)), np.concatenate((held, node))
             if not len(sig):
                 continue
             new = np.concatenate(([True], sig[1:] != sig[:-1]))
-            start = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            at = np.arange(len(sig)) - start[group]
-            head = node[start][group]
-            if last_sig is not None:
-                at[group == 0] += idx
-                head[group == 0] = first
-            same = ~new[1:]
-            several = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-            several |= at > 0
-            if shown:
-                several[0] = False
-            last_sig, last_node, idx, first = sig[-1], node[-1], int(at[-1]), head[-1]
-            shown = bool(several[-1]) or shown and len(sig) == 1
-            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (sig, node, at.astype(np.int64), head)], names)
-
-    return signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(work, "sig long, node long, idx long, first long")
-
-
-def _sets(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles as bytes) of the nodes in wanted (node, doc_id)."""
+            keep = new | np.concatenate(([True], node[1:] != node[:-1]))
+            sig, node, new = sig[keep], node[keep], new[keep]
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(sig)))
+            for k in np.flatnonzero((size > 1) | (np.arange(len(first)) == 0) | (np.arange(len(first)) == len(first) - 1)).tolist():
+                own, s = node[first[k] : first[k] + size[k]], int(sig[first[k]])
+                part = given if s == open_sig else 0
+                while len(own) > PIECE:
+                    rows.append((s, part, own[:PIECE]))
+                    own, part = own[PIECE:], part + 1
+                if k == len(first) - 1:
+                    open_sig, held, given = s, own, part
+                else:
+                    rows += closed(own, s, part)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        if open_sig is not None and (rows := closed(held, open_sig, given)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    found = signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(work, "gid long, part long, nodes array<long>")
+    return found.dropDuplicates(["gid", "part", "nodes"])
+
+
+def _met(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
+    """(node, n, sketch, text) of the nodes in wanted (node, doc_id); a node may come twice."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["node", "n", "sketch", "text"]
+        last = None
         for b in batches:
-            ids, nodes, sets = b.column("node").to_pylist(), [], []
+            ids, at, size, sketch = b.column("node").to_pylist(), [], [], []
             for i, s in shingle_sets(b.column("text"), k):
-                if node_of(s) == ids[i]:  # else another text of a repeated doc_id
-                    nodes.append(ids[i])
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "s"])
+                if ids[i] != last and len(s) and node_of(s) == ids[i]:  # else a repeated row, or another text of a repeated doc_id
+                    last = ids[i]
+                    at.append(i)
+                    size.append(len(s))
+                    sketch.append(_sketch(s).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(at, pa.int64())), pa.array(size, pa.int64()), pa.array(sketch, pa.binary()), b.column("text").take(pa.array(at, pa.int64()))], names)
 
     picked = docs.select("doc_id", F.col(text).alias("text")).join(wanted.select("node", F.col("doc_id").alias("i")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("i")))
-    return picked.select("node", "text").mapInArrow(work, "node long, s binary").dropDuplicates(["node"])
+    return picked.select("node", "text").mapInArrow(work, "node long, n long, sketch binary, text string")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar. Each pivot a is sent to up to SALTS tasks, each b to the one of its salt."""
+def _verified(pairs: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar. A pivot a goes to a task for each PER_TASK of its pairs, each b to one of them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pivot = None, None
         for b in batches:
+            a, salt, role, node = (b.column(c).to_pylist() for c in ("a", "salt", "role", "b"))
             a_out, b_out = [], []
-            for a, salt, role, node, s in zip(*(b.column(c).to_pylist() for c in ("a", "salt", "role", "b", "s")), strict=True):
-                x = np.frombuffer(s, np.uint64)
-                if role == 0:
-                    at, pivot = (a, salt), x
+            for i, x in shingle_sets(b.column("text"), k):
+                if role[i] == 0:
+                    at, pivot = (a[i], salt[i]), x
                     continue
-                if at != (a, salt) or 100 * min(len(x), len(pivot)) < percent * max(len(x), len(pivot)):
+                if at != (a[i], salt[i]) or 100 * min(len(x), len(pivot)) < percent * max(len(x), len(pivot)):
                     continue
                 both = len(np.intersect1d(x, pivot, assume_unique=True))
                 if 100 * both >= percent * (len(x) + len(pivot) - both):
-                    a_out.append(a)
-                    b_out.append(node)
+                    a_out.append(a[i])
+                    b_out.append(node[i])
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
-    salted = pairs.withColumn("salt", F.pmod("b", F.lit(SALTS)))
-    members = salted.join(sets, F.col("b") == F.col("node")).select("a", "salt", F.lit(1).alias("role"), "b", "s")
-    pivots = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("node")).select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "s")
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_TASK).alias("tasks"))
+    salted = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "tasks").alias("salt"))
+    members = salted.join(met, F.col("b") == F.col("node")).select("a", "salt", F.lit(1).alias("role"), "b", "text")
+    pivots = salted.select("a", "salt").distinct().join(met, F.col("a") == F.col("node")).select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "text")
     rows = members.unionByName(pivots).repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
     return rows.mapInArrow(work, "a long, b long")
 
 
-def _likely(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+def _likely(pairs: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sizes and sketches allow to be similar; all similar ones are among them."""
 
     def allowed(n: pa.Array, m: pa.Array, s: pa.Array, t: pa.Array) -> pa.Array:
@@ -231,28 +286,35 @@ def _likely(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
             out.append(fits and (100 + percent) * int(np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()) <= (100 - percent) * (i + j))
         return pa.array(out, pa.bool_())
 
-    side = lambda c: sketched.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
+    side = lambda c: met.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.filter(F.arrow_udf(allowed, "boolean")("n_a", "n_b", "s_a", "s_b")).select("a", "b")
 
 
-def _across(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
-    """Links (a, b) that join components, among rows (cluster, block, role, node, label, n, s) in order of role.
+def _across(rows: DataFrame, k: int, percent: int, exact: bool) -> DataFrame:
+    """Links (gid, a, b) that join components, among rows (gid, block, role, node, label, n, s) in order of role.
 
-    The rows of role 0 are a block's queries, those of role 1 all nodes of the cluster. s is a sketch, or if exact the set:
+    The rows of role 0 are a block's queries, those of role 1 all nodes of the group. s is a sketch, or if exact the text:
     then pairs that the sketches allow are verified. A found link joins its components at once, so that a task gives at most
     a spanning forest.
     """
 
+    def held(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Of each row the sketch and, if exact, the set."""
+        if exact:
+            for _, x in shingle_sets(column, k):
+                yield _sketch(x), x
+        else:
+            for s in column:
+                yield np.frombuffer(s.as_buffer(), np.uint64), None
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, waiting, ready, joined = None, {}, {}, {}
         for b in batches:
-            a_out, b_out = [], []
-            for cluster, block, role, node, label, n, s in zip(*(b.column(c).to_pylist() for c in ("cluster", "block", "role", "node", "label", "n", "s")), strict=True):
-                if at != (cluster, block):
-                    at, waiting, ready, joined = (cluster, block), {}, {}, {}
-                x = np.frombuffer(s, np.uint64)
-                sketch = _sketch(x) if exact else x
+            out = []
+            for gid, block, role, node, label, n, (sketch, x) in zip(*(b.column(c).to_pylist() for c in ("gid", "block", "role", "node", "label", "n")), held(b.column("s")), strict=True):
+                if at != (gid, block):
+                    at, waiting, ready, joined = (gid, block), {}, {}, {}
                 if role == 0:
                     waiting.setdefault(len(sketch), []).append((node, label, n, sketch, x))
                     continue
@@ -261,82 +323,80 @@ def _across(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
                     waiting = {}
                 while label in joined:
                     label = joined[label]
-                own = len(sketch)
-                for w in (own // 2, own, own * 2):
-                    if w not in ready:
-                        continue
-                    ids, root, size, sketches, sets = ready[w]
+                for w, (ids, root, size, sketches, sets) in ready.items():
                     q = np.flatnonzero((root != label) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
                     if not len(q):
                         continue
-                    words = min(w, own)
+                    words = min(w, len(sketch))
                     apart = np.bitwise_count(_folded(sketches[q], words) ^ _folded(sketch, words)).sum(1, dtype=np.int64)
-                    for k in q[(100 + percent) * apart <= (100 - percent) * (size[q] + n)]:
-                        other = int(root[k])
+                    for i in q[(100 + percent) * apart <= (100 - percent) * (size[q] + n)]:
+                        other = int(root[i])
                         if other == label:
                             continue
                         if exact:
-                            both = len(np.intersect1d(x, sets[k], assume_unique=True))
-                            if 100 * both < percent * (n + int(size[k]) - both):
+                            both = len(np.intersect1d(x, sets[i], assume_unique=True))
+                            if 100 * both < percent * (n + int(size[i]) - both):
                                 continue
-                        a_out.append(node)
-                        b_out.append(int(ids[k]))
+                        out.append((gid, node, int(ids[i])))
                         joined[other] = label
                         for g in ready.values():
                             g[1][g[1] == other] = label
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], []))], ["gid", "a", "b"])
+
+    return rows.repartition("gid", "block").sortWithinPartitions("gid", "block", "role").mapInArrow(work, "gid long, a long, b long")
+
 
-    return rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "role").mapInArrow(work, "a long, b long")
+def _blocks(members: DataFrame, elements: int) -> DataFrame:
+    """(gid, block, role, node, label, n) of the groups in members (gid, node, label, n) with several labels, for _across()."""
+    parts = members.groupBy("gid", "label").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
+    main = parts.groupBy("gid").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels"), F.sum("e").alias("all"), F.max_by("e", F.struct("c", "label")).alias("most")).filter("labels > 1")
+    main = main.select("gid", "main", F.ceil((F.col("all") - F.col("most")) / elements).alias("blocks"))
+    open_ = members.join(main, "gid")
+    queries = open_.filter("label <> main").select("gid", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("role"), "node", "label", "n")
+    against = open_.select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "node", "label", "n")
+    return queries.unionByName(against)
 
 
-def _blocks(cluster: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
-    """(cluster, block, role, node, label) of the clusters with several components, for _across()."""
-    nodes_in = scratch.keep(cluster.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    parts = nodes_in.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    main = parts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).filter("most < all")
-    main = main.select("cluster", "main", F.ceil((F.col("all") - F.col("most")) / QUERIES).alias("blocks"))
-    open_ = nodes_in.join(main, "cluster")
-    queries = open_.filter("label <> main").select("cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("role"), "node", "label")
-    members = open_.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "node", "label")
-    return queries.unionByName(members)
+def _named(edges: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """nodes with label, the least node of their component; their own without an edge."""
+    label = components(edges, scratch).withColumnRenamed("node", "k")
+    return nodes.join(label, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("label", "node")).drop("k")
 
 
-def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, elements: int = ELEMENTS) -> DataFrame:
     """doc_id, n_shingles, node and component_id of each row."""
     scratch = Scratch(spark, "jaccard")
     ship_package(spark)
     nodes = scratch.keep(_nodes(docs, text, shingle))
     first = nodes.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     groups = scratch.keep(_groups(_signed(docs, text, shingle, percent)))
-    met = groups.select("node").distinct()
-    sketched = nodes.join(met, "node").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("n"), "sketch")
-    sketched = scratch.keep(sketched)
+    members = scratch.keep(groups.select("gid", F.explode("nodes").alias("node")).distinct())
+    scratch.drop(groups)
+    met = scratch.keep(_met(docs, text, shingle, members.select("node").distinct().join(first, "node")))
     # a group's pivot is its node with most company over all its groups: of a text and its edited copies, that is the text
-    sized = groups.withColumn("size", F.max("idx").over(Window.partitionBy("sig")))
-    company = scratch.keep(sized.groupBy("node").agg(F.sum("size").alias("company")))
-    top = groups.join(company, "node").groupBy("sig").agg(F.max_by("node", F.struct("company", "node")).alias("first"))
-    chosen = groups.select("sig", "node").join(top, "sig").filter("node <> first").groupBy("node", "first").agg(F.count("*").alias("n"))
-    chosen = chosen.groupBy(F.col("node").alias("b")).agg(F.max_by("first", F.struct("n", "first")).alias("a"))
-    star = scratch.keep(_likely(scratch.keep(chosen.select("a", "b")), sketched, percent))
-    # groups that meet form clusters: a candidate pair lies in one; within it, nodes outside the largest component are queries
-    cluster = scratch.keep(components(groups.filter("idx > 0").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), scratch).withColumnRenamed("label", "cluster"))
-    blocks = _blocks(cluster, components(star, scratch), scratch)
-    tried = scratch.keep(star.unionByName(_across(blocks.join(sketched.withColumnRenamed("sketch", "s"), "node"), percent, False)))
-    ends = tried.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = scratch.keep(_sets(docs, text, shingle, ends.join(first, "node")))
-    links = scratch.keep(_similar(tried, sets, percent))
-    wrong = tried.join(links, ["a", "b"], "left_anti").select(F.col("a").alias("node")).join(cluster, "node").select("cluster").distinct()
-    wrong = scratch.keep(wrong)
-    if not wrong.isEmpty():  # sketches joined what isn't similar: those clusters again, with the sets themselves
-        again = cluster.join(wrong, "cluster")
-        blocks = _blocks(again, components(links, scratch), scratch)
-        sets = _sets(docs, text, shingle, blocks.select("node").distinct().join(first, "node"))
-        links = scratch.keep(links.unionByName(_across(blocks.join(sets, "node").withColumn("n", (F.octet_length("s") / 8).cast("long")), percent, True)))
-    label = scratch.keep(components(links, scratch))
-    named_first = first.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named_first.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of = scratch.keep(named_first.join(least, "label").select("node", "component_id"))
-    out = nodes.join(of.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left")
+    size = members.groupBy("gid").agg(F.count("*").alias("c"))
+    company = scratch.keep(members.join(size, "gid").groupBy("node").agg(F.sum("c").alias("company")))
+    top = members.join(company, "node").groupBy("gid").agg(F.max_by("node", F.struct("company", "node")).alias("pivot"))
+    chosen = members.join(top, "gid").filter("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("c"))
+    chosen = scratch.keep(chosen.groupBy(F.col("node").alias("b")).agg(F.max_by("pivot", F.struct("c", "pivot")).alias("a")))
+    likely = scratch.keep(_likely(chosen.select("a", "b"), met, percent))
+    star = scratch.keep(_verified(likely, met, shingle, percent).distinct())
+    scratch.drop(company, chosen, likely)
+    info = scratch.keep(_named(star, met.select("node", "n").distinct(), scratch))
+    blocks = scratch.keep(_blocks(members.join(info, "node"), elements))
+    light = met.select("node", F.col("sketch").alias("s"))
+    tried = scratch.keep(_across(blocks.join(light, "node"), shingle, percent, False))
+    links = scratch.keep(_verified(tried.select("a", "b").distinct(), met, shingle, percent).distinct())
+    wrong = scratch.keep(tried.join(links, ["a", "b"], "left_anti").select("gid").distinct())
+    found = star.unionByName(links)
+    if not wrong.isEmpty():  # sketches joined what isn't similar: those groups again, with the texts themselves
+        again = blocks.join(wrong, "gid").join(met.select("node", F.col("text").alias("s")), "node")
+        found = found.unionByName(scratch.keep(_across(again, shingle, percent, True).select("a", "b")))
+    of = scratch.keep(_named(found, first.select("node", F.col("doc_id").alias("i")), scratch))
+    least = of.groupBy("label").agg(F.min("i").alias("component_id"))
+    of = scratch.keep(of.join(least, "label").select(F.col("node").alias("k"), "component_id"))
+    scratch.drop(members, met, info, blocks, tried, star, links, wrong)
+    out = nodes.join(of, F.col("node") == F.col("k"), "left")
     return out.select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

@@ -177,10 +177,8 @@ def test_shingle_sets(corpus):
         assert len(s) == (len({tuple(w[k : k + m]) for k in range(len(w) - m + 1)}) if w else 0)
 
 
-@pytest.mark.parametrize("percent", [85, 60])
-def test_jaccard_components(spark, frame, corpus, percent):
-    got = rows(jaccard_join.linked(spark, frame(corpus), percent=percent).select("doc_id", "component_id"))
-    sets = {corpus[i][0]: set(s.tolist()) for i, s in shingle_sets(pa.array([t for _, t in corpus]), 4)}
+def components_by_hand(docs, percent):
+    sets = {docs[i][0]: set(s.tolist()) for i, s in shingle_sets(pa.array([t for _, t in docs]), 4)}
     root = {i: i for i in sets}
 
     def find(x):
@@ -193,7 +191,63 @@ def test_jaccard_components(spark, frame, corpus, percent):
             if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    assert {i: r.component_id for i, r in got.items()} == {i: find(i) for i in sets}
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("percent", [85, 60])
+def test_jaccard_components(spark, frame, corpus, percent):
+    got = rows(jaccard_join.linked(spark, frame(corpus), percent=percent).select("doc_id", "component_id"))
+    assert {i: r.component_id for i, r in got.items()} == components_by_hand(corpus, percent)
+
+
+@pytest.mark.parametrize("percent", [50, 60, 80, 85, 95])
+def test_nested_sets_share_a_signature(percent):
+    rng = np.random.Generator(np.random.PCG64(percent))
+    bands = jaccard_join.Bands(percent)
+    for _ in range(300):
+        n = int(rng.integers(2, 500))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.sort(rng.permutation(a)[: -(-len(a) * percent // 100)])
+        if len(b) < len(a):
+            assert len(np.intersect1d(jaccard_join.signatures(a, bands), jaccard_join.signatures(b, bands))), n
+
+
+def test_groups_of_signatures(spark):
+    rng = random.Random(12)
+    held = {1: set(range(700)), 2: set(range(700)), 3: set(range(256)), 4: {1}, 5: {2, 3}, 6: {2, 3}} | {k: {rng.randrange(50) for _ in range(rng.randint(1, 4))} for k in range(10, 200)}
+    signed = [(s, n) for s, nodes in held.items() for n in nodes for _ in range(rng.randint(1, 2))]
+    rng.shuffle(signed)
+    found = jaccard_join._groups(spark.createDataFrame(signed, "sig long, node long")).collect()
+    assert all(len(r.nodes) <= jaccard_join.PIECE for r in found) and len({r.gid for r in found if len(r.nodes) == 2 and set(r.nodes) == {2, 3}}) == 1
+    together = {}
+    for r in found:
+        together.setdefault(r.gid, []).extend(r.nodes)
+    assert {tuple(sorted(v)) for v in together.values()} == {tuple(sorted(v)) for v in held.values() if len(v) > 1}
+
+
+@pytest.mark.parametrize("percent, elements", [(70, 300), (85, 10**6)])
+def test_jaccard_families(spark, frame, percent, elements):
+    """Chains of edits, so that links go from copy to copy, with blocks of few queries; some texts share half of their words."""
+    rng = random.Random(percent)
+    docs = []
+    for f in range(6):
+        w = prose(rng, rng.randint(30, 90), lines=False).split()
+        for k in range(25):
+            docs.append((len(docs), " ".join(w)))
+            w = list(w) if k % 5 else w[: len(w) // 2] + prose(rng, len(w) - len(w) // 2, lines=False).split()
+            w[rng.randrange(len(w))] = f"edit{k}"
+    got = rows(jaccard_join.linked(spark, frame(docs), percent=percent, elements=elements).select("doc_id", "component_id"))
+    assert {i: r.component_id for i, r in got.items()} == components_by_hand(docs, percent)
+
+
+def test_jaccard_of_odd_tables(spark, frame):
+    assert jaccard_join.linked(spark, frame([])).isEmpty()
+    odd = [(3, "a b c d e f g h"), (3, "a b c d e f g h"), (3, "other words of the same document id here"), (None, "a b c d e f g h"), (None, None), (1, "A b c d e f g h"), (7, ""), (8, "one two"), (9, "one  TWO")]
+    got = [(r.doc_id, r.component_id) for r in jaccard_join.linked(spark, frame(odd)).collect()]
+    key = lambda x: tuple((v is None, v) for v in x)
+    assert sorted(got, key=key) == sorted([(3, 1), (3, 1), (3, 3), (None, 1), (None, None), (1, 1), (7, 7), (8, 8), (9, 8)], key=key)
+    strings = frame(odd).withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert {r.component_id for r in jaccard_join.linked(spark, strings).collect()} == {"1", "3", "7", "8", None}
 
 
 def test_similar_sets_share_a_signature():
