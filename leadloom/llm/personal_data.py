@@ -1,12 +1,12 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score.
 
-Kinds in order: email, ip, card (13 to 19 digits, Luhn), phone (international), and, by the method, iban (mod 97) and
-local (a national phone number, only near a word that tells so). Base kinds always stay, whatever their score; iban and local
-stay from MIN_SCORE on. The scan is one Arrow UDF on the text column, each document where it lies; scans are linear in the
+Kinds in order: email, ip, card (13 to 19 digits, Luhn), phone (international), and, by the method, iban (of its country's
+length, mod 97) and local (a phone number in national form, only near a word that tells so). Base kinds always stay, whatever
+their score; iban and local stay from MIN_SCORE on, unless a base span overlaps them. The scan is one Arrow UDF on the text column, each document where it lies; scans are linear in the
 text, and texts without a digit or an @ are passed over.
 
 Null and empty texts have no spans, very long ones are scanned whole, repeated rows give the same result each, an empty
-table none. Other columns are carried; a column named pii is replaced.
+table none. Spans of one kind don't overlap; spans of several kinds with the same place are listed by kind. Other columns are carried; a column named pii is replaced.
 """
 
 from __future__ import annotations
@@ -44,8 +44,19 @@ _digit = re.compile(r"[0-9]")
 _ip = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_iban = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-_national = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])")
+_iban = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}(?=\x20?[A-Z0-9])")
+#: Characters of an IBAN by country; fixed values of the registry.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30,
+    "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+_iban_rest = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])") for n in {v - 4 for v in IBAN_LENGTH.values()}}
+# ten digits in groups of 3, 3 and 4, or a leading 0 and groups of 2 to 4
+_national = re.compile(r"(?<![0-9+.(-])(?:(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}|\(?0[1-9][0-9]{0,3}\)?(?:[\x20./-]?[0-9]{2,4}){2,4})(?![0-9])")
+LOCAL_DIGITS = (9, 12)
 
 
 def luhn(digits: str) -> bool:
@@ -62,6 +73,16 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    out, last = [], 0
+    for m in _iban.finditer(text):
+        size = IBAN_LENGTH.get(m[1])
+        if m.start() >= last and size and (rest := _iban_rest[size - 4].match(text, m.end())) and mod97(text[m.start() : rest.end()].replace(" ", "")):
+            last = rest.end()
+            out.append((m.start(), last))
+    return out
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Leftmost matches of local part, @ and a domain with a dot, found from each @ to both sides."""
     out, last, at = [], 0, text.find("@")
@@ -89,12 +110,8 @@ def find_in(text: str | None) -> list[tuple[int, int, int, float]]:
         if "+" in text:
             out += [(3, *m.span(), False) for m in _phone.finditer(text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
         taken = [(s, e) for _, s, e, _ in out]
-        more = []
-        for m in _iban.finditer(text):
-            bare = m[0].replace(" ", "")
-            if 15 <= len(bare) <= 34 and mod97(bare):
-                more.append((4, *m.span(), True))
-        more += [(5, *m.span(), False) for m in _national.finditer(text)]
+        more = [(4, *x, True) for x in ibans(text)]
+        more += [(5, *m.span(), False) for m in _national.finditer(text) if LOCAL_DIGITS[0] <= len(re.sub("[^0-9]", "", m[0])) <= LOCAL_DIGITS[1]]
         out += [x for x in more if not any(s < x[2] and x[1] < e for s, e in taken)]
     scored = []
     for o, s, e, confirmed in out:

@@ -167,6 +167,49 @@ def test_personal_data(frame):
     assert [x[0] for x in got[5]] == ["local"] and got[6:] == [[], [], [], []]
 
 
+def test_ibans_end_where_their_country_says():
+    kinds = lambda t: [(personal_data.KINDS[o], t[s:e]) for o, s, e, _ in personal_data.find_in(t)]
+    for after in ("", " NOW", " now", ".", " 12 AB"):
+        assert kinds("DE89 3704 0044 0532 0130 00" + after) == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert kinds("GB82WEST12345698765432") == [("iban", "GB82WEST12345698765432")]
+    assert kinds("DE88 3704 0044 0532 0130 00") == [] == kinds("DE89 3704 0044 0532 0130 00A") == kinds("ZZ89 3704 0044 0532 0130 00")
+    assert kinds("Telefon: 030 1234 5678, call (0171) 234 56 78") == [("local", "030 1234 5678"), ("local", "(0171) 234 56 78")]
+    assert kinds("on 030 1234 5678 days") == []
+
+
+def base_personal_data(text):
+    """The base spans by the patterns alone, as (kind, start, end)."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 13 <= len(d) <= 19 and sum(x if k % 2 == 0 else sum(divmod(2 * x, 10)) for k, x in enumerate(d)) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
+
+
+def digest(spans):
+    return hashlib.sha256(",".join(":".join(map(str, x)) for x in spans).encode()).hexdigest()
+
+
+def test_base_personal_data_of_whole_tables(spark):
+    from leadloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts = rows(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    for r in queries.queries()["op6_personal_data"](spark, sf).collect():
+        want = base_personal_data(texts[r.doc_id].text or "")
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[0] == k for x in want) for k in ("email", "ip", "card", "phone")]
+        assert r.base_sha256 == digest(want) and r.spans.startswith(",".join(":".join(map(str, x)) for x in want))
+
+
+def test_personal_data_of_random_strings():
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices("01259.@-+ ()ab%_é", k=rng.randint(0, 60)))
+        assert [(personal_data.KINDS[o], s, e) for o, s, e, _ in personal_data.find_in(text) if o < personal_data.BASE] == base_personal_data(text)
+
+
 # -- Jaccard join ---------------------------------------------------------------------------------------------------------
 
 
