@@ -19,7 +19,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _PLACE = _rng.integers(1, 2**64, 16, np.uint64) | np.uint64(1)
 #: Bytes that are looked at together; one longer text makes a longer block.
-BLOCK = 2_000_000
+BLOCK = 250_000
 _powers: dict[int, np.ndarray] = {}
 
 
