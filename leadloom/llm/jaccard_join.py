@@ -47,7 +47,7 @@ BAND = 1.6
 #: Differences up to which one partition with all its subsets does; beyond, partitions have 3 parts and subsets 2 of them.
 ONE_LEVEL = 3
 #: Nodes of a task that verifies with a pivot; shingles of the queries of a block.
-PER_TASK, ELEMENTS = 2000, 4_000_000
+PER_TASK, ELEMENTS = 250, 4_000_000
 #: Nodes in a row of a group; groups of more take several rows.
 PIECE = 256
 #: Nodes that a task remembers, so as to sign copies once.
