@@ -4,8 +4,8 @@ Shallow trees are boosted on statistics of labelled texts; each path from a root
 logistic regression weighs the rules and drops most; what remains is compiled into one column expression, so scoring is
 part of the scan's own projection. Labels, language, source and doc_id are never inputs.
 
-Training reads MAX_TRAIN labelled rows at most (those with the smallest hash of doc_id), on the driver; everything else
-covers all rows. Rows whose crc32(doc_id as text) mod 5 is 0 are held out and never trained on.
+Training reads MAX_TRAIN labelled rows at most (those with the smallest hash of doc_id), on the driver; the rows are counted
+and all but slightly more than that many are left out by their hash before they are sorted. Everything else covers all rows. Rows whose crc32(doc_id as text) mod 5 is 0 are held out and never trained on.
 
 A null text counts as empty and gets the score of its statistics, all 0; a null doc_id isn't held out; a doc_id with several
 labels trains with the least of them, and null labels don't train. Without two classes of labels, all scores are
@@ -27,6 +27,8 @@ from .quality_rules import base_statistics
 
 MAX_TRAIN, TREES, DEPTH, CUTS = 20_000, 24, 3, 32
 LASSO, STEPS, THRESHOLD = 0.002, 400, 0.3
+#: Parts into which hashes of doc_id fall.
+SHARES = 2**40
 STATISTICS = ("words", "word_length", "symbols", "repeated_lines", "repeated_words", "capitals", "exclamations", "bars", "digits", "stops", "repeat_share", "line_words")
 
 
@@ -159,7 +161,11 @@ def held_out() -> Column:
 def train(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> RuleModel:
     """A model of quality from the statistics (a table) and labels (doc_id, quality)."""
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("_y"))
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(max_train).select("_y", *STATISTICS).toPandas()
+    rows = stats.join(known, "doc_id").withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
+    many = rows.count()
+    if many > max_train:  # a share that holds max_train rows but for a chance of 1 in 10**9, and few more
+        rows = rows.filter(F.col("_h") < int((max_train + 6 * math.sqrt(max_train)) / many * SHARES))
+    rows = rows.orderBy("_h", "doc_id", *STATISTICS).limit(max_train).select("_y", *STATISTICS).toPandas()
     return fit(rows[list(STATISTICS)].to_numpy(np.float64), (rows["_y"].to_numpy() > 0).astype(np.float64))
 
 
