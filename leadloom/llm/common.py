@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadloom.tables import Scratch, shared_dir
 
-__all__ = ["BLANK", "EMPTY_SHA256", "Scratch", "lower_ascii", "shared_dir", "table", "words_of"]
+__all__ = ["BLANK", "EMPTY_SHA256", "Scratch", "lower_ascii", "refuse", "shared_dir", "table", "words_of"]
 
 #: White space as every contract of this package means it.
 BLANK = r"\x20\x09-\x0D"
@@ -26,3 +26,9 @@ def words_of(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def refuse(df: DataFrame, prefix: str) -> None:
+    """Raise if a column of df has a name that an operator uses inside."""
+    if taken := [c for c in df.columns if c.lower().startswith(prefix)]:
+        raise ValueError(f"columns that begin with {prefix} are used inside: {', '.join(taken)}")

@@ -7,12 +7,14 @@ the text or end after it are dropped, and for the others each remaining shingle
 compared as words, not as hashes: a hash only selects candidates.
 
 The hashes of the benchmark's shingles are broadcast only while their counted number is under MAX_BROADCAST; beyond it the
-join shuffles. Nothing is emitted for pairs of documents, and what is kept of a document is its shingles that the
-benchmark has.
-
-Nulls: a null text has no words; a null doc_id is a document like others. Rows that repeat doc_id and text are told by
-neither and get the same result each; repeated items count once by item_id. An empty benchmark leaves all documents clean.
-Columns that begin with _bd_ are used inside and must not occur.
+join shuffles hashes and places only, and the words at the places that are left are fetched from the documents afterwards.
+Nothing is emitted for pairs of documents, and what is kept of a document is its shingles that the benchmark has.
+
+Nulls: a null text has no words; a null doc_id is a document like others; a null item_id is shown as "null". Rows that repeat
+doc_id and text are told by neither and get the same result each; repeated items count once by item_id. Ties of rarity go to
+the earliest shingle of the window. Texts of any length are taken whole. An empty table of documents gives an empty result,
+and an empty benchmark leaves all documents clean. doc_id may be of any type. Columns of documents that begin with _bd_ are
+refused, as they are used inside; all others are carried.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import EMPTY_SHA256, Scratch, lower_ascii
+from .common import EMPTY_SHA256, Scratch, lower_ascii, refuse
 
 WINDOW, SHINGLE, MAX_BROADCAST = 10, 5, 2_000_000
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -38,6 +40,7 @@ def _hashes(words: Column | str, k: int) -> Column:
 def find_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """_bd_id, _bd_h (which name a document), n_hit and the sorted _bd_items, for the documents that contain a window."""
     scratch = Scratch(spark, "benchmark")
+    refuse(docs, "_bd_")
     texts = items.select(F.col("item_id"), contract_words(F.col("text")).alias("w")).filter(F.size("w") > 0)
     size = F.least(F.size("w"), F.lit(window))
     windows = texts.withColumn("n", size).select("item_id", "n", "w", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("n"))).alias("s")).select("item_id", "n", F.slice("w", F.col("s") + 1, F.col("n")).alias("w"))
@@ -48,14 +51,17 @@ def find_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, windo
     parts = scratch.keep(parts.select("window", "n", "k", "off", F.array_join(F.slice("w", F.col("off") + 1, F.col("k")), " ").alias("sh"), F.slice("w", F.col("off") + 1, F.col("k")).alias("sw")))
     sizes = sorted(r.k for r in parts.select("k").distinct().collect())  # SHINGLE of them at most
     if not sizes:
-        return spark.createDataFrame([], "_bd_id long, _bd_h long, n_hit long, _bd_items array<string>")
+        return docs.select(F.col("doc_id").alias("_bd_id"), F.lit(0).cast("long").alias("_bd_h"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("_bd_items")).filter("false")
     words = docs.select(F.col("doc_id").alias("_bd_id"), F.xxhash64("text").alias("_bd_h"), contract_words(F.col("text")).alias("w")).withColumn("n_words", F.size("w"))
     found = None
     for k in sizes:
         known = scratch.keep(parts.filter(F.col("k") == k).select(F.xxhash64(*[F.get("sw", F.lit(j)) for j in range(k)]).alias("h")).distinct())
-        side = F.broadcast(known) if known.count() <= max_broadcast else known
+        small = known.count() <= max_broadcast
         # outer: a filter on the list would be pushed below the projections and repeat their work for each word
-        hit = words.withColumn("g", _hashes("w", k)).select("_bd_id", "_bd_h", "n_words", "w", F.posexplode_outer("g").alias("p", "h")).join(side, "h")
+        hit = words.withColumn("g", _hashes("w", k)).select("_bd_id", "_bd_h", "n_words", *["w"] * small, F.posexplode_outer("g").alias("p", "h")).join(F.broadcast(known) if small else known, "h")
+        if not small:
+            places = hit.select(F.col("_bd_id").alias("i"), F.col("_bd_h").alias("j"), "p").distinct().groupBy("i", "j").agg(F.collect_list("p").alias("at"))
+            hit = words.join(places, F.col("_bd_id").eqNullSafe(F.col("i")) & (F.col("_bd_h") == F.col("j"))).select("_bd_id", "_bd_h", "n_words", "w", F.explode("at").alias("p"))
         hit = hit.select("_bd_id", "_bd_h", "n_words", "p", F.lit(k).alias("k"), F.array_join(F.slice("w", F.col("p") + 1, k), " ").alias("sh"))
         found = hit if found is None else found.unionByName(hit)
     rare = parts.select("sh", "k").distinct()
@@ -71,7 +77,7 @@ def find_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, windo
     kept = kept.groupBy("_bd_id", "_bd_h", "s", "n", "window").agg(F.count("*").alias("got")).filter(F.col("got") == F.col("n") - F.least(F.col("n"), F.lit(shingle)) + 1)
     kept = scratch.keep(kept.drop("got"))
     hits = kept.select("_bd_id", "_bd_h", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("n") - 1)).alias("p")).groupBy("_bd_id", "_bd_h").agg(F.count_distinct("p").alias("n_hit"))
-    named = kept.select("_bd_id", "_bd_h", "window").distinct().join(windows.select("window", F.col("item_id").cast("string").alias("item")), "window")
+    named = kept.select("_bd_id", "_bd_h", "window").distinct().join(windows.select("window", F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item")), "window")
     named = named.groupBy("_bd_id", "_bd_h").agg(F.sort_array(F.collect_set("item")).alias("_bd_items")).withColumnsRenamed({"_bd_id": "i", "_bd_h": "h"})
     return scratch.keep(hits.join(named, F.col("_bd_id").eqNullSafe(F.col("i")) & (F.col("_bd_h") == F.col("h"))).drop("i", "h"))
 
