@@ -2,14 +2,18 @@
 
 The lines of a document that hold a word are numbered. Each K lines in a row have a hash, and of every W such hashes in a
 row the least is selected as a fingerprint, so that any two equal runs of T = W + K - 1 lines share one. Fingerprints that
-occur once are dropped; around the others every run of T lines is compared with its equals, which extends a match both ways
-to its full length. Of equal runs the first stays, by doc_id, then the hash of the text, then the line; the lines of later
-runs are removed. Lines without a word always stay. With long_words, single lines and two lines in a row of more words than
-that count as runs too, whatever surrounds them; the registered query leaves it off, as its SQL fixes runs of T lines.
+occur once are dropped; around the others the runs of T lines are taken by position, and each is joined with the first
+position of its equals. Runs that overlap make up a match of any length to both sides. Of equal runs the first stays, by
+doc_id, then the hash of the text, then the line; the lines of later runs are removed. Lines without a word always stay.
+Passages on fewer than T lines have no fingerprint: single lines and up to T - 1 lines in a row of more than LONG_WORDS words
+count as runs too, whatever surrounds them.
+
+Lines and runs are equal if two 64-bit hashes of them are, which fails for two different ones with a chance of 2**-128.
 
 Nulls: a null text has no lines and stays null; a null doc_id sorts first. Rows that repeat both doc_id and text are one
-document: both keep and lose the same lines. Texts under T lines are left alone, and so are empty ones; an empty table gives
-an empty result. Columns that begin with _ld_ are used inside and must not occur; all others are carried.
+document: both keep and lose the same lines. Texts under T lines without a long one are left alone, and so are empty ones;
+texts of any length are taken whole. An empty table gives an empty result. Columns that begin with _ld_ are refused, as they
+are used inside, and n_lines and n_removed are replaced; all others are carried.
 """
 
 from __future__ import annotations
@@ -17,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANK, Scratch
+from .common import BLANK, Scratch, refuse
 
-#: Lines of a hash, hashes of a window: runs of K + W - 1 lines are found for certain.
-K, W = 2, 2
+#: Lines of a hash, hashes of a window: runs of K + W - 1 lines are found for certain. Words of fewer lines beyond which they are a run.
+K, W, LONG_WORDS = 2, 2, 50
 WORD = f"[^{BLANK}]"
 
 
@@ -49,9 +53,10 @@ def _long_runs(docs: DataFrame, text: str, k: int, long_words: int) -> DataFrame
     return one.select("_ld_id", "_ld_h", "r.s", F.concat_ws(":", F.lit(k), F.xxhash64("r.v"), F.xxhash64(F.lit(1), "r.v")).alias("run"), "r.at")
 
 
-def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = None) -> DataFrame:
+def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = LONG_WORDS) -> DataFrame:
     """_ld_id, _ld_h and the sorted numbers _ld_cut of the lines to remove, for the documents that lose some."""
     t, scratch = k + w - 1, Scratch(spark, "lines")
+    refuse(docs, "_ld_")
     lines = _lines(docs, text).withColumn("_ld_g", _line_grams(k)).withColumn("_ld_f", _window_minima(w))
     # with each fingerprint go the lines around it that some run of t lines with it can reach
     # outer: a filter on the list would be pushed below the projections and repeat their work for each line
@@ -69,12 +74,13 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k:
         for size in range(1, t):
             runs = runs.unionByName(scratch.keep(_long_runs(docs, text, size, long_words)))
     where = F.struct("_ld_id", "_ld_h", "s")
-    first = runs.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # a table of its own, so that the join can split a run that many documents have
+    first = scratch.keep(runs.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     later = runs.join(first, "run").filter(~where.eqNullSafe(F.col("first")))
     return later.groupBy("_ld_id", "_ld_h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("_ld_cut"))
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = None) -> DataFrame:
+def dedup_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = LONG_WORDS) -> DataFrame:
     """docs with the later repeated runs of lines removed from the text, and n_lines and n_removed."""
     cut = Scratch(spark, "cut").keep(repeated_lines(spark, docs, text, k, w, long_words)).withColumnRenamed("_ld_h", "_ld_k")
     # the list grows with the input, so the plan is the same at every size: a sort-merge join
@@ -98,13 +104,17 @@ WITH l AS (
 worded AS (
   SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM worded),
 runs AS (
-  SELECT doc_id, p AS s, [line, lead(line) OVER w, lead(line, 2) OVER w] AS run, lead(i, 2) OVER w AS last
-  FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+  SELECT doc_id, p AS s, 3 AS size, [line, lead(line) OVER w, lead(line, 2) OVER w] AS run, lead(i, 2) OVER w IS NOT NULL AS whole FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+  UNION ALL
+  SELECT doc_id, p, 2, [line, lead(line) OVER w], n + lead(n) OVER w > 50 FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+  UNION ALL
+  SELECT doc_id, p, 1, [line], n > 50 FROM counted),
 ranked AS (
-  SELECT doc_id, s, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM runs WHERE last IS NOT NULL),
+  SELECT doc_id, s, size, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM runs WHERE whole),
 cut AS (
-  SELECT DISTINCT w.doc_id, w.i FROM ranked r JOIN worded w ON w.doc_id = r.doc_id AND w.p BETWEEN r.s AND r.s + 2 WHERE r.k > 1)
+  SELECT DISTINCT w.doc_id, w.i FROM ranked r JOIN worded w ON w.doc_id = r.doc_id AND w.p BETWEEN r.s AND r.s + r.size - 1 WHERE r.k > 1)
 SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
   CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed,
   CASE WHEN coalesce(x.n, 0) = 0 THEN sha256(coalesce(d.text, '')) ELSE sha256(coalesce(k.rest, '')) END AS kept_sha256
