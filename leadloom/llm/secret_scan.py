@@ -6,8 +6,10 @@ whose best window of those with the digits and letters the class asks for reache
 span overlaps it. Base spans always stay.
 
 All expressions are built in; each document is scanned where it lies, without a shuffle. Positions come from the parts
-between matches, in code points. Null and empty texts give no spans, repeated rows one result each, an empty table none.
-Columns besides the text are kept; columns that begin with _ss_ are used inside and must not occur.
+between matches, in code points. Null and empty texts give no spans, texts of any length are scanned whole, repeated rows give
+one result each, an empty table none. Spans with the same start are listed by kind; entropy spans don't overlap others.
+Columns besides the text are kept, a column named secrets is replaced, and columns that begin with _ss_ are refused, as they
+are used inside.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import refuse
+
 KEYWORD = r"(?i:password|passwd|secret|token|api_?key)"
 #: Kinds in order: name, pattern, and the least length of a match (of group 1 for assign).
 ASSIGN = rf"(?=[PpSsTtAa]){KEYWORD}[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -24,6 +28,8 @@ LEAST_ASSIGN = 6
 KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+#: Matches whose places are worked out together.
+CHUNK = 64
 #: Class: the characters it counts, what a candidate must hold to be tried, what a window must hold of which characters, and
 #: its threshold in bits.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,15 +49,24 @@ ALLOW = (
 
 
 def _positions(matches: Column, parts: Column) -> Column:
-    """Start, end and text of each match, from the matches and the parts around them."""
-    start = F.struct(F.lit(0).alias("p"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out"))
+    """Start, end and text of each match, from the matches and the parts around them.
+
+    The list grows in chunks of CHUNK, so that a text with very many matches isn't copied for each of them.
+    """
+    span = "array<struct<s:int,e:int,m:string>>"
 
     def step(a: Column, i: Column) -> Column:
         s = a["p"] + F.length(F.get(parts, i))
         e = s + F.length(F.get(matches, i))
         return F.struct(e.alias("p"), F.concat(a["out"], F.array(F.struct(s.alias("s"), e.alias("e"), F.get(matches, i).alias("m")))).alias("out"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda a: a["out"])
+    def chunk(a: Column, k: Column) -> Column:
+        upto = F.least((k + 1) * CHUNK, F.size(matches)) - 1
+        inner = F.aggregate(F.sequence(k * CHUNK, upto), F.struct(a["p"].alias("p"), F.array().cast(span).alias("out")), step)
+        return F.transform(F.array(inner), lambda x: F.struct(x["p"].alias("p"), F.concat(a["out"], F.array(x["out"])).alias("out")))[0]
+
+    start = F.struct(F.lit(0).alias("p"), F.array().cast(f"array<{span}>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / CHUNK).cast("int")), start, chunk, lambda a: F.flatten(a["out"]))
 
 
 def _best_entropy(chars: Column, alphabet: str, window: int, needs: tuple[tuple[str, int], ...] = ()) -> Column:
@@ -90,6 +105,7 @@ def _ordered(spans: Column, order: int) -> Column:
 
 def find_secrets(docs: DataFrame, text: str = "text", window: int = WINDOW, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """docs with secrets: array of (start, end, kind), by start and then by kind as in KINDS; end exclusive."""
+    refuse(docs, "_ss_")
     t = F.coalesce(F.col(text), F.lit(""))
     found, none, no_spans = {}, F.array().cast("array<string>"), F.array().cast("array<struct<s:int,o:int,e:int>>")
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "entropy": CANDIDATE}
