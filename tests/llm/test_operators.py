@@ -61,6 +61,37 @@ def test_secrets_beside_signs(frame):
     assert got == [[("entropy", int(t[0] == "?"), len(t))] for t in texts[:4]] + [[], []]
 
 
+def base_secrets(text):
+    """The base spans by the patterns alone, as (kind, start, end) in the order of results."""
+    out = []
+    for m in re.finditer(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        if len(m[2]) >= 6:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(secret_scan.KINDS[o], s, e) for s, o, e in sorted(out)]
+
+
+def test_base_secrets_of_whole_tables(spark, frame):
+    from leadloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts = rows(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    for r in queries.queries()["op1_secret_scan"](spark, sf).collect():
+        want = base_secrets(texts[r.doc_id].text or "")
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(x[0] == k for x in want) for k in secret_scan.KINDS[:3]] and r.base_sha256 == digest(want)
+        assert set(",".join(":".join(map(str, x)) for x in want).split(",")) <= set(r.spans.split(","))
+
+
+def test_base_secrets_of_random_strings(frame):
+    rng = random.Random(4)
+    bits = ["password", "Token", "api_key", "APIKEY", "secret", " = ", ":", "'", '"', "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "deadbeef", " ", "é𝒳", "x", "=", "\n", "abcdef"]
+    docs = [(i, "".join(rng.choices(bits, k=rng.randint(0, 40)))) for i in range(400)] + [(400, "password=abcdef1 " * 300), (401, None), (402, "")]
+    got = rows(secret_scan.find_secrets(frame(docs)).select("doc_id", "secrets"))
+    for i, t in docs:
+        assert [(x.kind, x.start, x.end) for x in got[i].secrets if x.kind != "entropy"] == base_secrets(t or ""), t
+
+
 def test_best_entropy_is_that_of_windows(spark):
     rng = random.Random(2)
     alphabet = "abcdef0123"
@@ -97,11 +128,30 @@ def test_decontamination(spark, frame, corpus):
     assert decontamination.mark_documents(spark, frame(corpus[:3]), bench.filter("false")).filter("n_hit > 0").isEmpty()
 
 
+def test_decontamination_with_a_shuffled_benchmark(spark, frame, corpus):
+    bench = spark.createDataFrame([(1, corpus[5][1]), (2, " ".join(corpus[30][1].split()[:4])), (7, corpus[-1][1])], "item_id long, text string")
+    columns = ("doc_id", "n_words", "n_hit", "_bd_items")
+    one, two = (sorted(map(str, decontamination.mark_documents(spark, frame(corpus), bench, max_broadcast=m).select(*columns).collect())) for m in (10**6, 0))
+    assert one == two
+
+
+def test_decontamination_of_odd_tables(spark, frame, corpus):
+    bench = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, None)], "item_id long, text string")
+    odd = frame([(None, "x a b c d"), (1, "a b c d"), (1, "a b c d"), (2, None), (3, "")])
+    got = decontamination.mark_documents(spark, odd, bench).select("doc_id", "n_hit", "_bd_items").collect()
+    assert len(got) == 5 and {(r.doc_id, r.n_hit, tuple(r._bd_items)) for r in got} == {(None, 4, ("1",)), (1, 4, ("1",)), (2, 0, ()), (3, 0, ())}
+    strings = odd.withColumn("doc_id", F.col("doc_id").cast("string"))
+    for b in (bench, bench.filter("false")):
+        kept = decontamination.drop_contaminated(spark, strings, b)
+        assert kept.columns == odd.columns and kept.count() == (2 if b is bench else 5)
+    assert decontamination.mark_documents(spark, frame([]), bench).isEmpty()
+
+
 # -- lines and substrings -------------------------------------------------------------------------------------------------
 
 
 def test_line_dedup(spark, frame, corpus):
-    got = rows(line_dedup.dedup_lines(spark, frame(corpus)).select("doc_id", "n_removed", "text"))
+    got = rows(line_dedup.dedup_lines(spark, frame(corpus), long_words=None).select("doc_id", "n_removed", "text"))
     seen = set()
     for i, t in corpus:
         lines = (t or "").split("\n")
@@ -120,10 +170,20 @@ def test_line_dedup_of_long_lines(spark, frame):
     rng = random.Random(5)
     long, first, second, short = (prose(rng, n, lines=False).strip() for n in (52, 30, 25, 40))
     docs = [(1, f"a\n{long}\nb"), (2, f"c\n\n{long}\nd"), (3, f"{first}\n{second}\ne\n{short}"), (4, f"f\n{first}\n\n{second}"), (5, f"{short}\ng"), (6, long)]
-    got = rows(line_dedup.dedup_lines(spark, frame(docs), long_words=50).select("doc_id", "text"))
+    got = rows(line_dedup.dedup_lines(spark, frame(docs)).select("doc_id", "text"))
     assert [got[i].text for i in range(1, 7)] == [docs[0][1], "c\n\nd", docs[2][1], "f\n", docs[4][1], ""]
 
 
+def test_line_dedup_of_odd_tables(spark, frame):
+    three = "one line\ntwo line\nthree line"
+    odd = [(None, three), (1, three), (1, three), (2, three + "\n" + three), (3, None), (4, ""), (5, "\n \n")]
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.text) for r in line_dedup.dedup_lines(spark, frame(odd)).collect()), key=lambda r: (r[:2], r[2] is not None, r[2] or ""))
+    assert got == [(False, 0, three), (True, 1, ""), (True, 1, ""), (True, 2, ""), (True, 3, None), (True, 4, ""), (True, 5, "\n \n")]
+    assert line_dedup.dedup_lines(spark, frame([])).isEmpty()
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(spark, frame(odd).withColumn("_ld_at", F.lit(1)))
+
+
 def test_suffix_order():
     rng = random.Random(1)
     for spill in (0, 10**9):
@@ -428,6 +488,85 @@ def test_quality_classifier(spark, frame):
     assert quality_classifier.classify(spark, frame(docs[:3]), labels.filter("false")).first().score == 0.5
 
 
+def test_quality_classifier_trains_on_a_bounded_sample(spark, frame):
+    rng = random.Random(10)
+    docs = [(i, junk(rng) if i % 4 == 0 else prose(rng, rng.randint(40, 200))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = rows(quality_classifier.classify(spark, frame(docs), labels, max_train=150))
+    assert sum(got[i].predicted == int(i % 4 != 0) for i, _ in docs) >= 396
+
+
+def test_quality_classifier_on_held_out_labels(spark):
+    import zlib
+
+    from leadloom.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    got = rows(queries.queries()["op2_quality_classifier"](spark, sf))
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for i, r in got.items())
+    known = [(got[r.doc_id].score, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id in got and got[r.doc_id].held_out and r.quality is not None]
+    good, bad = [s for s, y in known if y], [s for s, y in known if not y]
+    assert len(good) > 20 and len(bad) > 5
+    assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / len(good) / len(bad) > 0.97
+    assert sum((s >= 0.3) == (y == 1) for s, y in known) > 0.95 * len(known)
+
+
+def base_quality(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed by the definitions alone."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    places = {}
+    for i in range(len(words) - 2):
+        places.setdefault(tuple(words[i : i + 3]), []).append(i)
+    repeat = len({p + k for at in places.values() if len(at) > 1 for p in at for k in range(3)})
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, repeat, len(words) < 50 or 100 * repeat > 50 * len(words)
+
+
+def test_base_quality_of_whole_tables(spark):
+    from leadloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts = rows(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    for r in queries.queries()["op10_quality_rules"](spark, sf).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base_quality(texts[r.doc_id].text or "")
+        assert not (r.base_failed and r.kept)
+
+
+def test_concentration_finds_the_least_determinant(spark):
+    """Of a small group, against all halves of its rows."""
+    from itertools import combinations
+
+    from leadloom.llm.common import Scratch
+
+    rng = np.random.Generator(np.random.PCG64(8))
+    x = np.concatenate((rng.normal(0, 1, (9, 2)), rng.normal(12, 0.8, (3, 2))))
+    data = [(float(a), float(b), 1e-9, 1e-9, "g") for a, b in x]
+    stats = spark.createDataFrame(data, "a double, b double, va double, vb double, g string")
+    got = quality_rules.robust_distance(stats, ["g"], {"a": "va", "b": "vb"}, Scratch(spark, "test"), shrink=0).collect()
+    far = {(r.a, r.b): r.d2 for r in got}
+    best = min((np.linalg.det(np.cov(x[list(c)].T, bias=True)), c) for c in combinations(range(12), 6))[1]
+    centre, cov = x[list(best)].mean(0), np.cov(x[list(best)].T, bias=True)
+    want = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+    order = lambda d: [k for k in np.argsort(d)][-3:]
+    assert set(order([far[tuple(r)] for r in x])) == set(order(want)) == {9, 10, 11}
+    assert min(far[tuple(r)] for r in x[9:]) > 5 * max(far[tuple(r)] for r in x[:9])
+
+
+def test_quality_rules_of_odd_tables(spark, frame):
+    text = "word " * 3 + " ".join(f"w{i}" for i in range(70))
+    odd = frame([(None, text), (1, text), (1, text), (2, None), (3, "")]).withColumn("lang", F.when(F.col("doc_id") == 1, F.lit(None)).otherwise(F.col("lang")))
+    got = quality_rules.score_documents(spark, odd).collect()
+    assert len(got) == 5 and sorted(r.base_failed for r in got) == [False, False, False, True, True]
+    kept = quality_rules.filter_documents(spark, odd)
+    assert kept.columns == odd.columns and kept.count() == 3 and {r.n_words for r in kept.collect()} == {"x"}
+    assert quality_rules.filter_documents(spark, frame([])).isEmpty()
+
+
 # -- pages ----------------------------------------------------------------------------------------------------------------
 
 
