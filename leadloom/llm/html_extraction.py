@@ -2,12 +2,13 @@
 
 A tolerant scanner makes a tree of block elements; inline markup melts into the text around it, and scripts, styles, forms
 and comments are left out by form. Each node has a binary state, content or not. Its own evidence is a logistic model of its
-tag, its class names and the text below it; parent and child are joined by potentials learned from how often states meet.
-Sum-product messages go up from the leaves and down from the root, over all nodes of a batch at once, level by level, and
+tag, its class names, the text below it and the class names above it; parent and child are joined by potentials learned, for
+each kind of parent, from how often states meet. Sum-product messages go up from the leaves and down from the root, over all nodes of a batch at once, level by level, and
 give each node's marginal. Text whose node's marginal reaches THRESHOLD is the page's content, in page order.
 
 The model is trained at the start of each query on TRAINING_PAGES labelled pages, which labelled_pages() makes by layout
-rules (articles by element or by class, menus, sidebars, adverts, notices, reader comments, forms, broken markup).
+rules (articles by element, by class or by neither, in wrappers of any depth, with menus, sidebars, adverts, notices, reader
+comments, forms and broken markup).
 
 A null, empty or wordless page gives an empty text; a page is never cut, so very long ones cost in proportion. Repeated rows
 give equal texts, an empty table none. Other columns are carried; a column named content is replaced.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from leadloom.session import ship_package
 
-TRAINING_PAGES, SEED, THRESHOLD = 240, 5, 0.5
+TRAINING_PAGES, SEED, THRESHOLD = 600, 5, 0.4
 #: Share of content in the text below a node from which the node counts as content when training.
 PURE = 0.8
 #: Kinds of HTML elements; fixed values of the standard.
@@ -166,25 +167,26 @@ def node_features(p: Page) -> np.ndarray:
     own = np.zeros((n, 4))  # characters, characters in links, runs, ends of sentences
     for k, t, linked in p.runs:
         own[k] += (len(t), min(linked, len(t)), 1, t.count(".") + t.count("!") + t.count("?"))
-    below, depth = own.copy(), np.zeros(n)
+    below = own.copy()
     for k in range(n - 1, 0, -1):
         if p.parent[k] >= 0:
             below[p.parent[k]] += below[k]
-    for k in range(n):
-        depth[k] = depth[p.parent[k]] + 1 if p.parent[k] >= 0 else 0
     total = max(own[:, 0].sum(), 1.0)
-    x = np.zeros((n, groups + 9))
+    hints = np.array(p.hints, float).reshape(n, 2) > 0
+    above = np.zeros((n, 2))  # hints of the elements around a node, from the nearest on ever less
+    for k in range(1, n):
+        if p.parent[k] >= 0:
+            above[k] = np.maximum(hints[p.parent[k]], above[p.parent[k]] * 0.8)
+    x = np.zeros((n, groups + 10))
     x[np.arange(n), p.tag] = 1
-    hints = np.array(p.hints, float).reshape(n, 2)
-    x[:, groups] = hints[:, 0] > 0
-    x[:, groups + 1] = hints[:, 1] > 0
+    x[:, groups : groups + 2] = hints
+    x[:, groups + 8 :] = above
     x[:, groups + 2] = np.log1p(own[:, 0]) / 5
     x[:, groups + 3] = own[:, 1] / np.maximum(own[:, 0], 1)
     x[:, groups + 4] = np.log1p(below[:, 0]) / 5
     x[:, groups + 5] = below[:, 1] / np.maximum(below[:, 0], 1)
     x[:, groups + 6] = below[:, 0] / total
     x[:, groups + 7] = np.log1p(below[:, 3]) / 3
-    x[:, groups + 8] = np.minimum(depth, 12) / 12
     return x
 
 
@@ -193,9 +195,9 @@ class TreeModel:
     weights: np.ndarray
     bias: float
     prior: float  # share of content nodes
-    pair: np.ndarray  # log potential by state of the parent and of the child
+    pair: np.ndarray  # log potential by kind of the parent, state of the parent and state of the child; without kinds if all are one
 
-    def marginals(self, x: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    def marginals(self, x: np.ndarray, parent: np.ndarray, kind: np.ndarray | None = None) -> np.ndarray:
         """Of content, by sum-product over a forest whose parents come first; parent is -1 at roots."""
         n = len(x)
         if not n:
@@ -207,14 +209,16 @@ class TreeModel:
             if parent[k] >= 0:
                 depth[k] = depth[parent[k]] + 1
         levels = [np.flatnonzero(depth == d) for d in range(depth.max() + 1)]
+        pair = self.pair.reshape(-1, 2, 2)[np.zeros(n, np.int64) if kind is None else kind]
         up, sent = unary.copy(), np.zeros((n, 2))
         for rows in levels[:0:-1]:
-            sent[rows] = np.logaddexp(up[rows, :1] + self.pair[:, 0], up[rows, 1:] + self.pair[:, 1])
+            between = pair[parent[rows]]
+            sent[rows] = np.logaddexp(up[rows, :1] + between[:, :, 0], up[rows, 1:] + between[:, :, 1])
             np.add.at(up, parent[rows], sent[rows])
         belief = up.copy()
         for rows in levels[1:]:
-            rest = belief[parent[rows]] - sent[rows]  # what the parent knows from elsewhere
-            belief[rows] += np.logaddexp(rest[:, :1] + self.pair[0], rest[:, 1:] + self.pair[1])
+            rest, between = belief[parent[rows]] - sent[rows], pair[parent[rows]]  # what the parent knows from elsewhere
+            belief[rows] += np.logaddexp(rest[:, :1] + between[:, 0], rest[:, 1:] + between[:, 1])
         return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -60, 60)))
 
 
@@ -226,22 +230,38 @@ def labelled_pages(count: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[
     pick = lambda *x: x[rng.integers(len(x))]
     prose = lambda c, n: ". ".join(says(c, rng.integers(3, 18)) for _ in range(n)) + "."
     out = []
+
+    def wrapped(inner: str, names: tuple[str, ...], most: int) -> str:
+        """Some elements around inner that tell nothing, or its name."""
+        for _ in range(rng.integers(0, most + 1)):
+            inner = f"<div{pick('', f" id='{pick('page', 'wrapper', 'outer', 'primary', 'row', 'col')}'", f" class='{pick(*names)}'")}>{inner}</div>"
+        return inner
+
     for _ in range(count):
-        menu = "<ul>" + "".join(f"<li><a href='/{k}'>{says('m', rng.integers(1, 4))}</a></li>" for k in range(rng.integers(3, 12))) + "</ul>"
-        nav = pick(f"<nav>{menu}</nav>", f"<div class='{pick('menu', 'nav', 'navbar top')}'>{menu}</div>", f"<header><h1>{says('m', 2)}</h1>{menu}</header>", "")
+        links = lambda least, most: "".join(f"<li{pick('', " class='item'")}><a href='/{k}'>{says('m', rng.integers(1, 6))}</a></li>" for k in range(rng.integers(least, most)))
+        menu = f"<ul>{links(3, 12)}</ul>"
+        bar = " | ".join(f"<a href='/{k}'>{says('m', rng.integers(1, 3))}</a>" for k in range(rng.integers(2, 9)))
+        nav = pick(f"<nav>{pick(menu, bar)}</nav>", f"<div class='{pick('menu', 'nav', 'navbar top')}'>{pick(menu, bar)}</div>", f"<header><h1>{says('m', 2)}</h1>{menu}</header>", f"<header class='site-header'><div><p class='site-title'><a href='/'>{says('m', 2)}</a></p></div><nav>{menu}</nav></header>", f"<div class='header'><div class='logo'>{says('m', 3)}</div><div>{bar}</div></div>", menu, "")
         paragraphs = [pick(f"<p>{prose('k', rng.integers(1, 7))}</p>", f"<p><b>{prose('k', 1)}<br>", f"<p>{prose('k', rng.integers(1, 4))} <a href='x'>{says('k', 2)}</a> {says('k', 3)}.</p>", f"<p>{says('k', rng.integers(1, 80))}</p>", f"<p>{says('k', rng.integers(1, 3))}.</p>") for _ in range(rng.integers(1, 14))]
         for k in range(len(paragraphs)):
-            if rng.random() < 0.12:
-                paragraphs[k] = pick(f"<h2>{says('k', 4)}</h2>", f"<ul><li>{prose('k', 1)}</li><li>{prose('k', 1)}</li></ul>", f"<blockquote><p>{prose('k', 2)}</p></blockquote>", f"<aside class='related'><p>{says('m', 6)}</p></aside>", f"<div class='{pick('ad', 'promo', 'notice')}'>{prose('m', 1)}</div>", f"<table><tr><td>{says('k', 3)}</td><td>{says('k', 3)}</td></tr></table>")
-        story = f"<h1>{says('k', rng.integers(2, 9))}</h1>{''.join(paragraphs)}"
-        story = pick(f"<article>{story}</article>", f"<main><article>{story}</article></main>", f"<div class='{pick('content', 'post-body', 'article-text', 'story')}'>{story}</div>", f"<main>{story}</main>", f"<article>{story}</article>")
-        boxes = [f"<div class='{pick('ad', 'advert', 'banner')}'>{prose('m', rng.integers(1, 3))}</div>", f"<aside>{menu}<p>{prose('m', 1)}</p></aside>", f"<div class='{pick('cookie', 'notice')}'><p>{prose('m', 1)}</p></div>", f"<div class='sidebar'><h3>{says('m', 2)}</h3>{menu}</div>", f"<form><label>{says('m', 2)}</label><input></form>"]
-        comments = "".join(f"<div class='comment'><p>{prose('m', rng.integers(1, 4))}</p></div>" for _ in range(rng.integers(1, 6)))
-        comments = pick(f"<section class='comments'><h3>{says('m', 1)}</h3>{comments}</section>", f"<div id='comments'>{comments}</div>", "", "")
-        before = "".join(b for b in boxes if rng.random() < 0.3)
-        after = "".join(b for b in boxes if rng.random() < 0.3)
-        footer = pick(f"<footer>{prose('m', rng.integers(1, 6))}</footer>", f"<footer>&copy; {says('m', rng.integers(1, 20))}</footer>", f"<div class='footer'>{says('m', 6)}</div>", f"<footer><p>{prose('m', 1)}</p>{menu}</footer>")
-        page = parse(f"<!DOCTYPE html><html><head><title>{says('m', 4)}</title></head><body>{nav}{before}{story}{after}{comments}{footer}{pick('</body></html>', '')}")
+            if rng.random() < 0.15:
+                paragraphs[k] = pick(f"<h2>{says('k', rng.integers(1, 6))}</h2>", f"<ul><li>{prose('k', 1)}</li><li>{says('k', rng.integers(2, 9))}</li></ul>", f"<blockquote>{pick(f'<p>{prose("k", 2)}</p>', prose('k', 1))}</blockquote>", f"<figure><img src='x'><figcaption>{says('k', rng.integers(2, 12))}</figcaption></figure>", f"<aside class='related'><p>{says('m', 6)}</p></aside>", f"<div class='{pick('ad', 'promo', 'notice', 'newsletter')}'>{pick(prose('m', 1), f'<p>{prose("m", 1)}</p>')}</div>", f"<table><tr><td>{says('k', 3)}</td><td>{says('k', 3)}</td></tr></table>")
+        title = f"<h1>{says('k', rng.integers(2, 9))}</h1>"
+        text = "".join(paragraphs)
+        story = pick(title + text, f"{title}<div class='{pick('entry-content', 'story-body', 'post-body', 'text')}'>{text}</div>", f"<header class='entry-header'>{title}</header><div class='entry-content'>{text}</div>")
+        story = pick(f"<article>{story}</article>", f"<main><article>{story}</article></main>", f"<div class='{pick('content', 'post-body', 'article-text', 'story')}'>{story}</div>", f"<main>{story}</main>", f"<article class='post'>{story}</article>", f"<section class='article-text'>{story}</section>", story, story)
+        boxes = [f"<div class='{pick('ad', 'advert', 'banner')}'>{prose('m', rng.integers(1, 3))}</div>", f"<aside>{menu}<p>{prose('m', 1)}</p></aside>", f"<div class='{pick('cookie', 'notice', 'cookie-notice')}'><p>{prose('m', 1)}</p></div>", f"<div class='sidebar'><h3>{says('m', 2)}</h3><ul>{links(2, 9)}</ul></div>", f"<aside class='widget-area'><section class='widget'><h2>{says('m', 2)}</h2><ul>{links(2, 6)}</ul></section></aside>", f"<aside class='newsletter'><h3>{says('m', 1)}</h3><p>{prose('m', 1)}</p><form><input></form></aside>", f"<form><label>{says('m', 2)}</label><input></form>"]
+        said = [pick(f"<p>{prose('m', rng.integers(1, 4))}</p>", f"<p>{says('m', rng.integers(2, 20))}</p>") for _ in range(rng.integers(1, 6))]
+        comments = pick("".join(f"<div class='comment'>{c}</div>" for c in said), f"<ol class='comment-list'>{''.join(f"<li class='comment'>{c}</li>" for c in said)}</ol>", "".join(said))
+        comments = pick(f"<section class='comments'><h3>{says('m', 1)}</h3>{comments}</section>", f"<div id='comments'>{comments}</div>", f"<div id='comments' class='comments-area'><h2>{says('m', 2)}</h2>{comments}<form class='comment-form'><label>x</label></form></div>", "", "")
+        before = "".join(b for b in boxes if rng.random() < 0.25)
+        after = "".join(b for b in boxes if rng.random() < 0.25)
+        footer = pick(f"<footer>{prose('m', rng.integers(1, 6))}</footer>", f"<footer>&copy; {says('m', rng.integers(1, 20))}</footer>", f"<div class='footer'>{says('m', 6)}</div>", f"<footer><p>{prose('m', 1)}</p>{menu}</footer>", f"<footer class='site-footer'><div>{says('m', 5)}</div></footer>", f"<ul>{links(1, 4)}</ul>")
+        if rng.random() < 0.5:
+            story, comments = wrapped(story + comments, ("content", "site-content", "main", "inner"), 3), ""
+        story = wrapped(story, ("content", "site-content", "main", "inner"), pick(0, 2))
+        nav, after, footer = wrapped(nav, ("row", "top"), 1), wrapped(after, ("row", "col"), 1), wrapped(footer, ("row", "bottom"), 1)
+        page = parse(f"<!DOCTYPE html><html><head><title>{says('m', 4)}</title></head><body>{wrapped(nav + before + story + after + comments + footer, ('wrapper', 'container', 'inner'), 3)}{pick('</body></html>', '')}")
         good, bad = np.zeros(len(page.tag)), np.zeros(len(page.tag))
         for k, t, _ in page.runs:
             (good if t[0] == "k" else bad)[k] += len(t)
@@ -253,8 +273,8 @@ def labelled_pages(count: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[
     return out
 
 
-def train(pages: list[tuple[Page, np.ndarray]], rounds: int = 15, ridge: float = 1e-6) -> TreeModel:
-    """Logistic evidence by Newton steps, pair potentials from how often states meet beyond chance."""
+def train(pages: list[tuple[Page, np.ndarray]], rounds: int = 20, ridge: float = 1e-5) -> TreeModel:
+    """Logistic evidence by Newton steps; potentials from how often states meet below a parent of each kind, beyond chance."""
     x = np.concatenate([node_features(p) for p, _ in pages])
     y = np.concatenate([s for _, s in pages])
     a = np.hstack((x, np.ones((len(x), 1))))
@@ -263,13 +283,13 @@ def train(pages: list[tuple[Page, np.ndarray]], rounds: int = 15, ridge: float =
         q = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         hess = (a * (q * (1 - q))[:, None]).T @ a / len(y) + ridge * np.eye(len(w))
         w -= np.linalg.solve(hess, a.T @ (q - y) / len(y) + ridge * w)
-    meet = np.ones((2, 2))
+    meet = np.ones((len(TAG_GROUPS) + 1, 2, 2))
     for p, s in pages:
         for k, up in enumerate(p.parent):
             if up >= 0:
-                meet[int(s[up]), int(s[k])] += 1
-    share = meet / meet.sum()
-    pair = np.log(share / share.sum(1, keepdims=True) / share.sum(0, keepdims=True))
+                meet[p.tag[up], int(s[up]), int(s[k])] += 1
+    share = meet / meet.sum(2, keepdims=True)
+    pair = np.log(share / (meet.sum((0, 1)) / meet.sum()))
     return TreeModel(w[:-1], float(w[-1]), float(y.mean()), pair)
 
 
@@ -286,7 +306,8 @@ def extract(pages: list[str | None], model: TreeModel, threshold: float = THRESH
         return [""] * len(pages)
     x = np.concatenate([node_features(p) for p in parsed if p.tag])
     parent = np.concatenate([np.where(np.array(p.parent) >= 0, np.array(p.parent) + s, -1) for p, s in zip(parsed, sizes, strict=False) if p.tag])
-    content = model.marginals(x, parent) >= threshold
+    kind = np.concatenate([p.tag for p in parsed if p.tag])
+    content = model.marginals(x, parent, kind) >= threshold
     return ["\n\n".join(t for k, t, _ in p.runs if content[s + k]) for p, s in zip(parsed, sizes, strict=False)]
 
 

@@ -576,12 +576,46 @@ def test_html(spark):
     assert html_extraction.extract([page, None, "", "<p></p>"], model) == ["A & B\n\nFirst words of it.\n\nSecond one is here, with more words.", "", "", ""]
     wrong = total = 0
     for p, _ in html_extraction.labelled_pages(60, 99):
-        content = model.marginals(html_extraction.node_features(p), np.array(p.parent)) >= 0.5
+        content = model.marginals(html_extraction.node_features(p), np.array(p.parent), np.array(p.tag)) >= 0.5
         wrong += sum(bool(content[k]) != (t[0] == "k") for k, t, _ in p.runs)
         total += len(p.runs)
     assert wrong < 0.02 * total
 
 
+def test_html_of_hand_labelled_pages():
+    from .hand_labelled_pages import PAGES
+
+    model = html_extraction._trained(html_extraction.TRAINING_PAGES, html_extraction.SEED)
+    got = html_extraction.extract([p for p, _ in PAGES], model)
+    blocks = [(set(g.split("\n\n")), set(w.split("\n\n"))) for g, (_, w) in zip(got, PAGES, strict=True)]
+    right = sum(len(g & w) for g, w in blocks)
+    assert right >= 0.95 * sum(len(w) for _, w in blocks) and right >= 0.95 * sum(len(g) for g, _ in blocks)
+    assert sum(g == w for g, (_, w) in zip(got, PAGES, strict=True)) >= len(PAGES) - 1
+
+
+def test_html_of_whole_tables(spark):
+    """The pages' layout is one article in known blocks: its text by patterns alone."""
+    import html
+
+    from leadloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = queries.queries()["op9_html_extraction"](spark, sf).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        inside = re.search("<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]+>", " ", x))).strip() for x in re.split("</?(?:p|h1)>", inside)]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_html_of_odd_tables(spark):
+    odd = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "v", "<p>" + "Some words here. " * 20000, "x")], "page_id long, url string, html string, content string")
+    got = html_extraction.extract_content(odd)
+    assert got.columns == odd.columns and [r.content for r in got.collect()][:3] == ["", "", ""]
+    assert html_extraction.extract_content(odd.filter("false")).isEmpty()
+
+
 def test_html_head_without_end_and_raw_end_tags():
     texts = lambda page: [t for _, t, _ in html_extraction.parse(page).runs]
     for start in ("<body>", "", "words "):
