@@ -1,4 +1,4 @@
-"""python -m leadloom INPUT OUTPUT [--accept-changes] [--baseline PATH] [--keys full|initial]"""
+"""python -m leadloom INPUT OUTPUT [--accept-changes] [--baseline PATH]"""
 
 from __future__ import annotations
 
@@ -20,13 +20,12 @@ def main() -> int:
     p.add_argument("--accept-changes", action="store_true")
     p.add_argument("--baseline")
     p.add_argument("--verdicts", help="JSON of domains that take mail")
-    p.add_argument("--keys", choices=("full", "initial"), default="full")
     a = p.parse_args()
     spark = SparkSession.builder.getOrCreate()
     try:
         source = csv_leads.require(csv_leads.read_leads(spark, a.input))
         mx = dictionaries.read_verdicts(spark, a.verdicts) if a.verdicts else None
-        done = hygiene.run(source, mx=mx, baseline=csv_leads.read_leads(spark, a.baseline) if a.baseline else None, accept_changes=a.accept_changes, keys=a.keys)
+        done = hygiene.run(source, mx=mx, baseline=csv_leads.read_leads(spark, a.baseline) if a.baseline else None, accept_changes=a.accept_changes)
     except (GateError, csv_leads.SourceError) as e:
         print(f"nothing written: {e}", file=sys.stderr)
         return 1

@@ -49,7 +49,7 @@ def mark_drops(df: DataFrame) -> DataFrame:
     return out.withColumn("data_quality_flags", F.array_join(add_flags(flag_list(F.col("data_quality_flags")), (F.col("_drop") & ~flagged, "junk_lead")), "|"))
 
 
-def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases = fixed_values.ALIASES, baseline: DataFrame | None = None, accept_changes: bool = False, keys: str = "full", check: bool = True) -> Run:
+def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases = fixed_values.ALIASES, baseline: DataFrame | None = None, accept_changes: bool = False, check: bool = True) -> Run:
     """All stages over a table of leads. Raises GateError, and writes nothing, if a gate is closed.
 
     baseline: the last good result; changed cells of Ids that it has close the gate unless accept_changes.
@@ -61,7 +61,7 @@ def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases =
     rows = scratch.keep(rows)
     valid = scratch.keep(validate(rows, mx))
     normal = scratch.keep(normalize(valid.drop("_issues"), aliases))
-    survivors, log = dedupe.dedupe(normal.drop("_changes"), ORDER, keys)
+    survivors, log = dedupe.dedupe(normal.drop("_changes"), ORDER)
     marked = scratch.keep(mark_drops(fill_websites(survivors)))
     dropped = marked.filter("_drop").drop("_drop")
     kept = marked.filter("NOT _drop").drop("_drop")
