@@ -1,7 +1,8 @@
-"""Phone numbers as column expressions, over a table of calling codes and lengths of national numbers.
+"""Phone numbers as column expressions, over tables of calling codes, lengths and national numbering plans.
 
-A value is only rewritten when the table confirms it; else it stays as it came and is marked for review, so that no country
-code is lost. The table holds lengths, not the ranges of each plan: a number of a right length counts as valid.
+A value is only rewritten when the plan of its country gives out such numbers; else it stays as it came and is marked for
+review, so that no country code is lost. Lengths alone tell which calling code bare digits begin with. The plans are those of
+fixed_values.NATIONAL_PATTERN: area and first digits, not every range that an operator has been given.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ NO_EVIDENCE = "phone: no country-code evidence and not a valid NANP number; orig
 REJECTED = "phone: region evidence found but the numbering plan rejected the number; original kept unchanged for review"
 #: Countries whose national numbers keep a leading zero.
 KEEPS_ZERO = ("39",)
+#: Whole numbers, calling code first, that some plan gives out.
+VALID = "^(?:" + "|".join(f"{c}(?:{p})" for c, p in V.NATIONAL_PATTERN.items()) + ")$"
 CODES = sorted(set(V.REGION_CALLING.values()), key=lambda c: (-len(c), c))
 
 
@@ -100,14 +103,16 @@ def classify(c: Column) -> Column:
     return let(unwrap(one_space(strip_markers(c))), kind)
 
 
+def _plus(d: Column) -> Column:
+    """+ and the digits if they are a whole valid number, else ''."""
+    return F.when(d.rlike(VALID), F.concat(F.lit("+"), d)).otherwise("")
+
+
 def e164(code: Column, national: Column) -> Column:
-    """+code and national number if the table has such lengths, else ''."""
+    """+code and national number if the code's plan gives out such numbers, else ''."""
     zeroless = F.when(code.isin(*KEEPS_ZERO), national).otherwise(F.regexp_replace(national, "^0", ""))
 
-    def valid(d: Column) -> Column:
-        return let(_plan_of(d), lambda p: F.when(p["cc"].isNotNull(), F.concat(F.lit("+"), d)).otherwise(""))
-
-    return F.when((code == "") | (national == ""), "").otherwise(let(F.concat(code, zeroless), valid))
+    return F.when((code == "") | (national == ""), "").otherwise(let(F.concat(code, zeroless), _plus))
 
 
 def _international(t: Column) -> Column:
@@ -127,10 +132,7 @@ def for_region(c: Column, region: Column) -> Column:
 
 
 def _national(code: Column, d: Column) -> Column:
-    bare = F.when(code.isin(*KEEPS_ZERO), d).otherwise(F.regexp_replace(d, "^0", ""))
-    lengths = F.map_from_arrays(F.array(*[F.lit(c) for c in CODES]), F.array(*[F.struct(F.lit(V.NATIONAL_LENGTH.get(c, V.DEFAULT_LENGTH)[0]).alias("lo"), F.lit(V.NATIONAL_LENGTH.get(c, V.DEFAULT_LENGTH)[1]).alias("hi")) for c in CODES]))
-    at = F.try_element_at(lengths, code)
-    return F.when(F.length(bare).between(at["lo"], at["hi"]) & ((code != "1") | is_nanp(bare)), F.concat(F.lit("+"), code, bare)).otherwise("")
+    return let(F.concat(code, F.when(code.isin(*KEEPS_ZERO), d).otherwise(F.regexp_replace(d, "^0", ""))), _plus)
 
 
 def parse(c: Column, email: Column, company: Column, country: Column) -> Column:
