@@ -10,7 +10,8 @@ can be similar. Subsets without an element are signed only by sets so uneven tha
 The nodes of a signature are a group, and groups with the same nodes count once. No group is expanded into pairs. Each node
 is first verified against one node, of the pivots of its groups the one it meets most; a group's pivot is its node with most
 company, which for edited copies is the text they come from. Verified links form components. In a group that still has
-several, the nodes outside the largest are queries against all its nodes, in blocks of about ELEMENTS shingles. Parity
+several, the nodes outside the largest are queries against all its nodes, in blocks of about ELEMENTS shingles, as far as
+their sizes allow. Parity
 sketches, which never differ in more cells than the sets in elements, rule most pairs out; a pair that they allow joins its
 components at once, so a task gives at most a spanning forest. These links are verified on the texts' shingles, and groups
 with one that fails are compared once more with the shingles in place of the sketches. So no link between components is
@@ -127,8 +128,8 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _sketch(s: np.ndarray) -> np.ndarray:
-    """The parity of the number of elements in each of 4 cells an element or more. Two sketches differ in no more cells than the sets in elements."""
-    bits = max(64, 1 << (4 * len(s) - 1).bit_length())
+    """The parity of the number of elements in each of 2 cells an element or more. Two sketches differ in no more cells than the sets in elements."""
+    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
     return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
 
 
@@ -291,12 +292,37 @@ def _likely(pairs: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.arrow_udf(allowed, "boolean")("n_a", "n_b", "s_a", "s_b")).select("a", "b")
 
 
+class _Queries:
+    """The queries of a block with sketches of one length, in arrays that grow by doubling."""
+
+    def __init__(self, words: int) -> None:
+        self.count, self.sets = 0, []
+        self.ids, self.root, self.size, self.sketches = np.empty(4, np.int64), np.empty(4, np.int64), np.empty(4, np.int64), np.empty((4, words), np.uint64)
+
+    def add(self, node: int, label: int, n: int, sketch: np.ndarray, x: np.ndarray | None) -> None:
+        k = self.count
+        if k == len(self.ids):
+            self.ids, self.root, self.size = (np.concatenate((c, c)) for c in (self.ids, self.root, self.size))
+            self.sketches = np.concatenate((self.sketches, self.sketches))
+        self.ids[k], self.root[k], self.size[k], self.sketches[k] = node, label, n, sketch
+        self.sets.append(x)
+        self.count += 1
+
+    def columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+        k = self.count
+        return self.ids[:k], self.root[:k], self.size[:k], self.sketches[:k], self.sets
+
+    def rename(self, old: int, new: int) -> None:
+        root = self.root[: self.count]
+        root[root == old] = new
+
+
 def _across(rows: DataFrame, k: int, percent: int, exact: bool) -> DataFrame:
     """Links (gid, a, b) that join components, among rows (gid, block, role, node, label, n, s) in order of role.
 
-    The rows of role 0 are a block's queries, those of role 1 all nodes of the group. s is a sketch, or if exact the text:
-    then pairs that the sketches allow are verified. A found link joins its components at once, so that a task gives at most
-    a spanning forest.
+    The rows of role 0 are a block's queries, which are compared with each other as they come and then with the rows of role
+    1, the other nodes of the group. s is a sketch, or if exact the text: then pairs that the sketches allow are verified. A
+    found link joins its components at once, so that a task gives at most a spanning forest.
     """
 
     def held(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
@@ -309,21 +335,16 @@ def _across(rows: DataFrame, k: int, percent: int, exact: bool) -> DataFrame:
                 yield np.frombuffer(s.as_buffer(), np.uint64), None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting, ready, joined = None, {}, {}, {}
+        at, waiting, joined = None, {}, {}
         for b in batches:
             out = []
             for gid, block, role, node, label, n, (sketch, x) in zip(*(b.column(c).to_pylist() for c in ("gid", "block", "role", "node", "label", "n")), held(b.column("s")), strict=True):
                 if at != (gid, block):
-                    at, waiting, ready, joined = (gid, block), {}, {}, {}
-                if role == 0:
-                    waiting.setdefault(len(sketch), []).append((node, label, n, sketch, x))
-                    continue
-                if waiting:
-                    ready = {w: [np.array([q[0] for q in v]), np.array([q[1] for q in v]), np.array([q[2] for q in v]), np.stack([q[3] for q in v]), [q[4] for q in v]] for w, v in waiting.items()}
-                    waiting = {}
+                    at, waiting, joined = (gid, block), {}, {}
                 while label in joined:
                     label = joined[label]
-                for w, (ids, root, size, sketches, sets) in ready.items():
+                for w, queries in waiting.items():
+                    ids, root, size, sketches, sets = queries.columns()
                     q = np.flatnonzero((root != label) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
                     if not len(q):
                         continue
@@ -339,22 +360,28 @@ def _across(rows: DataFrame, k: int, percent: int, exact: bool) -> DataFrame:
                                 continue
                         out.append((gid, node, int(ids[i])))
                         joined[other] = label
-                        for g in ready.values():
-                            g[1][g[1] == other] = label
+                        for g in waiting.values():
+                            g.rename(other, label)
+                if role == 0:
+                    waiting.setdefault(len(sketch), _Queries(len(sketch))).add(node, label, n, sketch, x)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], []))], ["gid", "a", "b"])
 
     return rows.repartition("gid", "block").sortWithinPartitions("gid", "block", "role").mapInArrow(work, "gid long, a long, b long")
 
 
-def _blocks(members: DataFrame, elements: int) -> DataFrame:
-    """(gid, block, role, node, label, n) of the groups in members (gid, node, label, n) with several labels, for _across()."""
-    parts = members.groupBy("gid", "label").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
-    main = parts.groupBy("gid").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels"), F.sum("e").alias("all"), F.max_by("e", F.struct("c", "label")).alias("most")).filter("labels > 1")
-    main = main.select("gid", "main", F.ceil((F.col("all") - F.col("most")) / elements).alias("blocks"))
-    open_ = members.join(main, "gid")
-    queries = open_.filter("label <> main").select("gid", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("role"), "node", "label", "n")
-    against = open_.select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "node", "label", "n")
-    return queries.unionByName(against)
+def _blocks(members: DataFrame, elements: int, percent: int) -> DataFrame:
+    """(gid, block, role, node, label, n) of the groups in members (gid, node, label, n) with several labels, for _across().
+
+    Nodes outside the largest component are queries. The others stay only if some query has a size that could be similar.
+    """
+    parts = members.groupBy("gid", "label").agg(F.count("*").alias("c"), F.sum("n").alias("e"), F.min("n").alias("low"), F.max("n").alias("high"))
+    main = parts.groupBy("gid").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
+    asked = parts.join(main, "gid").filter("label <> main").groupBy("gid", "main").agg(F.ceil(F.sum("e") / elements).alias("blocks"), F.min("low").alias("low"), F.max("high").alias("high"))
+    open_ = members.join(asked, "gid").withColumn("own", F.when(F.col("label") != F.col("main"), F.pmod(F.xxhash64("node"), "blocks")))
+    open_ = open_.filter((F.col("label") != F.col("main")) | (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high")))
+    queries = open_.filter("own IS NOT NULL").select("gid", F.col("own").alias("block"), F.lit(0).alias("role"), "node", "label", "n")
+    others = open_.select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "own", "node", "label", "n").filter("own IS NULL OR own <> block")
+    return queries.unionByName(others.select("gid", "block", F.lit(1).alias("role"), "node", "label", "n"))
 
 
 def _named(edges: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -373,6 +400,7 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     members = scratch.keep(groups.select("gid", F.explode("nodes").alias("node")).distinct())
     scratch.drop(groups)
     met = scratch.keep(_met(docs, text, shingle, members.select("node").distinct().join(first, "node")))
+    scratch.drop()
     # a group's pivot is its node with most company over all its groups: of a text and its edited copies, that is the text
     size = members.groupBy("gid").agg(F.count("*").alias("c"))
     company = scratch.keep(members.join(size, "gid").groupBy("node").agg(F.sum("c").alias("company")))
@@ -383,9 +411,11 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     star = scratch.keep(_verified(likely, met, shingle, percent).distinct())
     scratch.drop(company, chosen, likely)
     info = scratch.keep(_named(star, met.select("node", "n").distinct(), scratch))
-    blocks = scratch.keep(_blocks(members.join(info, "node"), elements))
+    blocks = scratch.keep(_blocks(members.join(info, "node"), elements, percent))
+    scratch.drop(members, info)
     light = met.select("node", F.col("sketch").alias("s"))
     tried = scratch.keep(_across(blocks.join(light, "node"), shingle, percent, False))
+    scratch.drop()
     links = scratch.keep(_verified(tried.select("a", "b").distinct(), met, shingle, percent).distinct())
     wrong = scratch.keep(tried.join(links, ["a", "b"], "left_anti").select("gid").distinct())
     found = star.unionByName(links)
@@ -395,7 +425,7 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     of = scratch.keep(_named(found, first.select("node", F.col("doc_id").alias("i")), scratch))
     least = of.groupBy("label").agg(F.min("i").alias("component_id"))
     of = scratch.keep(of.join(least, "label").select(F.col("node").alias("k"), "component_id"))
-    scratch.drop(members, met, info, blocks, tried, star, links, wrong)
+    scratch.drop(met, blocks, tried, star, links, wrong)
     out = nodes.join(of, F.col("node") == F.col("k"), "left")
     return out.select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
