@@ -43,9 +43,16 @@ class Scratch:
 
         Spark removes those once the driver's garbage is collected, which a driver that mostly waits hardly ever does.
         """
+        self._remove(*[df._scratch_path for df in frames])
+
+    def clear(self) -> None:
+        """Remove all tables."""
+        self._remove(self.root)
+
+    def _remove(self, *paths: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         gc.collect()
         jvm.System.gc()
