@@ -21,6 +21,8 @@ documents with the name of a statistic is neither read nor lost.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,8 +34,8 @@ from .common import BLANK, Scratch, words_of
 FEATURES = {"x_len": "v_len", "x_sym": "v_sym", "x_dup": "v_dup", "x_rep": "v_rep", "x_up": "v_up"}
 #: 0.999 and 0.5 quantiles of chi-square with five degrees of freedom.
 CUTOFF, CHI_HALF = 20.515, 4.351
-#: Share of the rows that an estimate rests on, documents that the mean of all groups counts for, and when steps end: at a
-#: smaller change of the logarithm of each determinant, or after so many (each lowers it, so this only guards against ties).
+#: Share of the rows that an estimate rests on, documents that the mean of all groups counts for, and when steps end: when a
+#: group's determinant falls by less than this in its logarithm, or after so many (which only guards against rounding).
 SUPPORT, SHRINK, SETTLED, MAX_STEPS = 0.5, 40, 1e-2, 30
 WORD = f"[^{BLANK}]"
 
@@ -90,10 +92,10 @@ def _quantile(df: DataFrame, keys: list[str], bin_: Column, q: float, name: str)
     return got.filter(F.col("_c") >= F.ceil(F.lit(q) * F.col("_t"))).groupBy(*keys).agg(F.min("_b").alias(name), F.max("_t").alias("_n"))
 
 
-def _join(df: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
+def _join(df: DataFrame, params: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """By keys that may be null. No hint: the planner broadcasts params only if its measured size allows, else it splits skewed keys."""
     other = params.select(*[F.col(k).alias(f"_k{k}") for k in keys], *[c for c in params.columns if c not in keys])
-    return df.join(other, [F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in keys], "left").drop(*[f"_k{k}" for k in keys])
+    return df.join(other, [F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in keys], how).drop(*[f"_k{k}" for k in keys])
 
 
 def _factor(df: DataFrame, add: list[Column]) -> DataFrame:
@@ -168,16 +170,17 @@ def robust_distance(stats: DataFrame, keys: list[str], features: dict[str, str],
     own = [f"_g{i}" for i in range(len(keys))]
     rows = stats.withColumns({g: F.col(k) for g, k in zip(own, keys, strict=True)})
     columns = [*own, *features, *features.values()]
-    params, before = scratch.keep(_starts(rows.select(columns), own, features, scratch)), None
+    active, steps = scratch.keep(_starts(rows.select(columns), own, features, scratch)), []
     for _ in range(max_steps):
-        far = _with_distance(_join(rows.select(columns), params, own), features)
-        params = scratch.keep(_concentrated(far, [*own, "_start"], features, support))
-        if before is not None:
-            moved = _join(params, before.select(*own, "_start", F.col("_det").alias("_was")), [*own, "_start"])
-            if moved.filter(F.abs(F.col("_det") - F.col("_was")) > SETTLED).isEmpty():
+        far = _with_distance(_join(rows.select(columns), active.drop("_size", "_det"), own, "inner"), features)
+        steps.append(scratch.keep(_concentrated(far, [*own, "_start"], features, support)))
+        active = steps[-1]
+        if len(steps) > 1:  # only groups and starts whose determinant fell go on
+            was = steps[-2].select(*own, "_start", F.col("_det").alias("_was"))
+            active = _join(active, was, [*own, "_start"], "inner").filter(F.col("_was") - F.col("_det") > SETTLED).drop("_was")
+            if active.isEmpty():
                 break
-        before = params
-    best = params.groupBy(*own).agg(F.min_by(F.struct("_size", *[f"m_{j}" for j in range(p)], *[f"cov_{i}_{j}" for i, j in pairs]), F.struct("_det", "_start")).alias("x")).select(*own, "x.*")
+    best = reduce(DataFrame.unionByName, steps).groupBy(*own).agg(F.min_by(F.struct("_size", *[f"m_{j}" for j in range(p)], *[f"cov_{i}_{j}" for i, j in pairs]), F.struct("_det", "_start")).alias("x")).select(*own, "x.*")
     best = scratch.keep(best)
     # the mean of all groups: one row
     share = lambda c: F.sum(F.col("_size") * c) / F.sum("_size")
@@ -187,6 +190,7 @@ def robust_distance(stats: DataFrame, keys: list[str], features: dict[str, str],
     whole = {f"m_{j}": mean[f"m_{j}"] for j in range(p)} | {f"cov_{i}_{j}": mean[f"cov_{i}_{j}"] + mean[f"e_{i}_{j}"] - mean[f"m_{i}"] * mean[f"m_{j}"] for i, j in pairs}
     weight = F.col("_size") / (F.col("_size") + shrink)
     params = scratch.keep(best.select(*own, "_size", *[(weight * F.col(c) + (1 - weight) * F.lit(v)).alias(c) for c, v in whole.items()]))
+    scratch.drop(*steps)
     far = _with_distance(_join(rows, params, own), features)
     # the closer half understates the spread of all: scale so that the median distance is that of clean normal rows
     middle = _quantile(far, own, F.floor(F.log2(1 + F.col("d2")) * 64), 0.5, "_mid")
@@ -196,9 +200,9 @@ def robust_distance(stats: DataFrame, keys: list[str], features: dict[str, str],
     return _join(far, scale, own).withColumn("d2", F.col("d2") / F.col("_scale")).select(*stats.columns, "d2")
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+def score_documents(spark: SparkSession, docs: DataFrame, cutoff: float = CUTOFF, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, the base statistics, d2, base_failed and kept; one row for each row of docs."""
-    scratch = Scratch(spark, "quality")
+    scratch = scratch or Scratch(spark, "quality")
     # documents that fail the base rules are rejected anyway and tell nothing about clean text
     docs = docs.select("doc_id", "text", "lang", "source")
     stats = scratch.keep(base_statistics(docs).drop("text"))
@@ -210,9 +214,10 @@ def score_documents(spark: SparkSession, docs: DataFrame, cutoff: float = CUTOFF
 
 def filter_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
-    key = F.xxhash64("text", "lang", "source")
-    scored = score_documents(spark, docs.withColumn("doc_id", F.struct("doc_id", key.alias("h"))))
-    bad = scored.filter(~F.col("kept")).select(F.col("doc_id.doc_id").alias("_qr_id"), F.col("doc_id.h").alias("_qr_h")).distinct()
+    key, scratch = F.xxhash64("text", "lang", "source"), Scratch(spark, "quality")
+    scored = score_documents(spark, docs.withColumn("doc_id", F.struct("doc_id", key.alias("h"))), scratch=scratch)
+    bad = Scratch(spark, "rejected").keep(scored.filter(~F.col("kept")).select(F.col("doc_id.doc_id").alias("_qr_id"), F.col("doc_id.h").alias("_qr_h")).distinct())
+    scratch.clear()
     return docs.join(bad.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_qr_id")) & (key == F.col("_qr_h")), "left_anti")
 
 
