@@ -79,7 +79,9 @@ def find_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, windo
     hits = kept.select("_bd_id", "_bd_h", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("n") - 1)).alias("p")).groupBy("_bd_id", "_bd_h").agg(F.count_distinct("p").alias("n_hit"))
     named = kept.select("_bd_id", "_bd_h", "window").distinct().join(windows.select("window", F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item")), "window")
     named = named.groupBy("_bd_id", "_bd_h").agg(F.sort_array(F.collect_set("item")).alias("_bd_items")).withColumnsRenamed({"_bd_id": "i", "_bd_h": "h"})
-    return scratch.keep(hits.join(named, F.col("_bd_id").eqNullSafe(F.col("i")) & (F.col("_bd_h") == F.col("h"))).drop("i", "h"))
+    out = Scratch(spark, "contaminated").keep(hits.join(named, F.col("_bd_id").eqNullSafe(F.col("i")) & (F.col("_bd_h") == F.col("h"))).drop("i", "h"))
+    scratch.clear()
+    return out
 
 
 def mark_documents(spark: SparkSession, docs: DataFrame, items: DataFrame, **how: int) -> DataFrame:

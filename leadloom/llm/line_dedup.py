@@ -53,9 +53,9 @@ def _long_runs(docs: DataFrame, text: str, k: int, long_words: int) -> DataFrame
     return one.select("_ld_id", "_ld_h", "r.s", F.concat_ws(":", F.lit(k), F.xxhash64("r.v"), F.xxhash64(F.lit(1), "r.v")).alias("run"), "r.at")
 
 
-def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = LONG_WORDS) -> DataFrame:
+def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = LONG_WORDS, scratch: Scratch | None = None) -> DataFrame:
     """_ld_id, _ld_h and the sorted numbers _ld_cut of the lines to remove, for the documents that lose some."""
-    t, scratch = k + w - 1, Scratch(spark, "lines")
+    t, scratch = k + w - 1, scratch or Scratch(spark, "lines")
     refuse(docs, "_ld_")
     lines = _lines(docs, text).withColumn("_ld_g", _line_grams(k)).withColumn("_ld_f", _window_minima(w))
     # with each fingerprint go the lines around it that some run of t lines with it can reach
@@ -82,7 +82,9 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, text: str = "text", k: int = K, w: int = W, long_words: int | None = LONG_WORDS) -> DataFrame:
     """docs with the later repeated runs of lines removed from the text, and n_lines and n_removed."""
-    cut = Scratch(spark, "cut").keep(repeated_lines(spark, docs, text, k, w, long_words)).withColumnRenamed("_ld_h", "_ld_k")
+    scratch = Scratch(spark, "lines")
+    cut = Scratch(spark, "cut").keep(repeated_lines(spark, docs, text, k, w, long_words, scratch)).withColumnRenamed("_ld_h", "_ld_k")
+    scratch.clear()
     # the list grows with the input, so the plan is the same at every size: a sort-merge join
     out = docs.join(cut.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_k")), "left")
     out = out.withColumn("_ld_l", F.split(text, "\n"))
