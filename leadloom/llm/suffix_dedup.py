@@ -4,35 +4,40 @@ Every byte covered by a string of K bytes that also starts in a document with a
 
 1. Each window of K bytes belongs to the least hash of the M-byte strings in it, its minimizer. Maximal runs of windows with
    one minimizer (cut after MAX_RUN) are pieces: each window lies in one piece, and equal windows have equal minimizers,
-   wherever they are. Pieces go to buckets by minimizer as compact records (minimizer, hash of the piece, place).
-2. In a bucket, minimizers of a single document are dropped. Where all pieces of a minimizer are the same string, all
-   windows of it repeat in every document but the smallest.
-3. Where pieces differ, one copy of each is fetched, and the bucket's pieces form a collection for extended BCR: in round j
-   every piece inserts the symbol before its suffix of length j, and the collection's Burrows-Wheeler transform, common
-   prefixes and origins are rewritten in one sequential pass, from one set of files to the next once they exceed SPILL
-   bytes. Suffixes whose common prefixes reach K bytes are equal windows.
-4. The marks of a document meet its text, which lies in a bucketed table, and the bytes are cut.
+   wherever they are. Of equal pieces all but those of the smallest document are marked whole: first among the texts that a
+   task reads together, then in buckets of the minimizer, where compact records (minimizer, hash of the piece, place) meet.
+   A group of copies thus sends one record for each batch of texts, however large it is.
+2. Where a minimizer has pieces that differ, one copy of each is fetched, and the bucket's pieces form a collection for
+   extended BCR: in round j every piece inserts the symbol before its suffix of length j, and the collection's
+   Burrows-Wheeler transform, common prefixes and origins are rewritten in one sequential pass, from one set of files to the
+   next once they exceed SPILL bytes. Suffixes whose common prefixes reach K bytes are equal windows, and the smallest
+   document that holds one of the pieces keeps it.
+3. The marks of a document meet its text, which lies in a bucketed table, and the bytes are cut.
 
 Column-wise rounds over whole documents would need as many passes as the longest document has bytes; pieces bound the
-rounds by MAX_RUN + K - 1 and keep every window. Copies are collapsed before step 3, a group of copies costs its records
-only, and a minimizer's records are a small part of any document's.
+rounds by MAX_RUN + K - 1 and keep every window. Pieces are equal if 48 bits of hash beside those of the minimizer (40 and
+the bucket) are, which among 10**11 pieces fails with a chance of about 1 in 10**4.
 
 Nulls: a null text is empty; a row with a null doc_id is neither smaller nor larger than any and stays whole. Rows that
-repeat doc_id and text are one document. Texts under K bytes stay. An empty table gives an empty result. Pieces are compared
-by 48 bits of hash beside 40 bits and the bucket of the minimizer. Other columns aren't read.
+repeat doc_id and text are one document, and texts of one doc_id don't remove each other's bytes. Texts under K bytes stay;
+texts of any length are taken whole. An empty table gives an empty result. doc_id must be an integer, else TypeError is
+raised. Other columns aren't read.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from leadloom.session import ship_package
 
@@ -71,6 +76,8 @@ def _merged(old: np.ndarray, at: np.ndarray, new: np.ndarray, folder: str | None
         block[~fresh] = old[done - i : stop - j]
         out[done:stop] = block
         done, i = stop, j
+    if isinstance(old, np.memmap):
+        os.unlink(old.filename)  # of the round before; its pages go with the array
     return out
 
 
@@ -192,8 +199,14 @@ def _unpack(blob: bytes, n: int) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
+PACKED = "bucket int, n int, ids binary, hashes binary, blob binary, doc_id long, h long, marks array<long>"
+_PACKED = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("hashes", pa.binary()), ("blob", pa.binary()), ("doc_id", pa.int64()), ("h", pa.int64()), ("marks", pa.list_(pa.int64()))])
+FOUND = "doc_id long, h long, marks array<long>, bucket int, key long, code long, start int, windows int, fetch boolean"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("marks", pa.list_(pa.int64())), ("bucket", pa.int32()), ("key", pa.int64()), ("code", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("fetch", pa.bool_())])
+
+
 def _records(docs: DataFrame, buckets: int, k: int, m: int) -> DataFrame:
-    """(bucket, n, ids, hashes, blob): the pieces of some documents that fall into a bucket."""
+    """The pieces of some documents that fall into a bucket, packed, and marks of pieces that a smaller one of them has too."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -201,22 +214,33 @@ def _records(docs: DataFrame, buckets: int, k: int, m: int) -> DataFrame:
             ids, hashes = b.column("doc_id").to_numpy(), b.column("h").to_numpy()
             for i, j in blocks(ends, 4_000_000):
                 key, code, text, start, count = _pieces(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i], k, m)
+                if not len(key):
+                    continue
+                text = text + i
+                same = mix(key) + code
+                order = np.argsort(same, kind="stable")
+                same = same[order]
+                first = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
+                least = np.minimum.reduceat(ids[text[order]], first)
+                later = np.empty(len(key), bool)
+                later[order] = ids[text[order]] > np.repeat(least, np.diff(np.append(first, len(order))))
+                if later.any():
+                    marks = _marks(text[later], ids, hashes, start[later], count[later])
+                    marks = marks.append_column("bucket", pa.array((marks.column("doc_id").to_numpy() % buckets).astype(np.int32)))
+                    yield from _wide(marks, _PACKED).to_batches()
+                key, code, text, start, count = (x[~later] for x in (key, code, text, start, count))
                 bucket = ((key >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 rows = []
-                for x in np.unique(bucket):
+                for x in np.flatnonzero(np.diff(cuts)).tolist():
                     at = order[cuts[x] : cuts[x + 1]]
                     own, of = np.unique(text[at], return_inverse=True)
-                    rows.append((x, len(at), ids[i + own].tobytes(), hashes[i + own].tobytes(), _pack(key[at] & _LOW40, code[at] & _LOW48, of.astype(np.uint64), start[at].astype(np.uint64), count[at])))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "n", "ids", "hashes", "blob"])
-
-    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(work, "bucket int, n int, ids binary, hashes binary, blob binary")
+                    rows.append((x, len(at), ids[own].tobytes(), hashes[own].tobytes(), _pack(key[at] & _LOW40, code[at] & _LOW48, of.astype(np.uint64), start[at].astype(np.uint64), count[at])))
+                names = ["bucket", "n", "ids", "hashes", "blob"]
+                yield from _wide(pa.table({c: pa.array(v, _PACKED.field(c).type) for c, v in zip(names, zip(*rows, strict=True), strict=True)}), _PACKED).to_batches()
 
-
-FOUND = "doc_id long, h long, marks array<long>, bucket int, key long, code long, start int, windows int, fetch boolean"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("marks", pa.list_(pa.int64())), ("bucket", pa.int32()), ("key", pa.int64()), ("code", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("fetch", pa.bool_())])
+    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(work, PACKED)
 
 
 def _marks(doc: np.ndarray, ids: np.ndarray, hashes: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.Table:
@@ -228,9 +252,12 @@ def _marks(doc: np.ndarray, ids: np.ndarray, hashes: np.ndarray, start: np.ndarr
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Of a bucket: marks where all pieces of a minimizer are one string, and the records where they differ."""
+    """Of a bucket: marks of the pieces that a smaller document has, and records of minimizers whose other pieces differ."""
+    packed = table.column("blob").is_valid()
+    out = [_wide(table.filter(pc.invert(packed)).select(["doc_id", "h", "marks"]))]
+    table = table.filter(packed)
     if not table.num_rows:
-        return _ARROW.empty_table()
+        return out[0]
     n, columns, ids, hashes, base = table.column("n").to_pylist(), [], [], [], 0
     for size, i, h, blob in zip(n, table.column("ids").to_pylist(), table.column("hashes").to_pylist(), table.column("blob").to_pylist(), strict=True):
         x = list(_unpack(blob, size))
@@ -243,31 +270,32 @@ def _compare(table: pa.Table) -> pa.Table:
     ids, hashes, doc = np.concatenate(ids), np.concatenate(hashes), doc.astype(np.int64)
     order = np.lexsort((code, key))
     key, code, doc, start, count = key[order], code[order], doc[order], start[order].astype(np.int64), count[order].astype(np.int64)
+    other = np.concatenate(([True], (key[1:] != key[:-1]) | (code[1:] != code[:-1])))
+    first = np.flatnonzero(other)
+    least = np.minimum.reduceat(ids[doc], first)
+    later = ids[doc] > np.repeat(least, np.diff(np.append(first, len(key))))
+    if later.any():
+        out.append(_wide(_marks(doc[later], ids, hashes, start[later], count[later])))
+    key, code, doc, start, count = (x[~later] for x in (key, code, doc, start, count))
     new = np.concatenate(([True], key[1:] != key[:-1]))
+    other = new | np.concatenate(([True], code[1:] != code[:-1]))
     first = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
     least, most = np.minimum.reduceat(ids[doc], first), np.maximum.reduceat(ids[doc], first)
-    other = new | np.concatenate(([True], code[1:] != code[:-1]))
-    several = np.add.reduceat(other.astype(np.int64), first) > 1
-    shared = (least < most)[group]
-    same = shared & ~several[group] & (ids[doc] > least[group])
-    out = [_marks(doc[same], ids, hashes, start[same], count[same])]
-    rest = shared & several[group]
-    if rest.any():
-        at = np.flatnonzero(rest)
+    at = np.flatnonzero((least < most)[np.cumsum(new) - 1])
+    if len(at):
         bucket = table.column("bucket")[0].as_py()
-        out.append(pa.table({"doc_id": pa.array(ids[doc[at]], pa.int64()), "h": pa.array(hashes[doc[at]], pa.int64()), "bucket": pa.array(np.full(len(at), bucket, np.int32)), "key": pa.array(key[at].astype(np.int64)), "code": pa.array(code[at].astype(np.int64)), "start": pa.array(start[at].astype(np.int32)), "windows": pa.array(count[at].astype(np.int32)), "fetch": pa.array(other[at])}))
-    return pa.concat_tables(out, promote_options="default").select([c for c in _ARROW.names]) if len(out) > 1 else _wide(out[0])
+        out.append(_wide(pa.table({"doc_id": pa.array(ids[doc[at]], pa.int64()), "h": pa.array(hashes[doc[at]], pa.int64()), "bucket": pa.array(np.full(len(at), bucket, np.int32)), "key": pa.array(key[at].astype(np.int64)), "code": pa.array(code[at].astype(np.int64)), "start": pa.array(start[at].astype(np.int32)), "windows": pa.array(count[at].astype(np.int32)), "fetch": pa.array(other[at])})))
+    return pa.concat_tables(out)
 
 
-def _wide(table: pa.Table) -> pa.Table:
-    missing = {f.name: pa.nulls(table.num_rows, f.type) for f in _ARROW if f.name not in table.column_names}
-    return pa.table({f.name: table.column(f.name) if f.name in table.column_names else missing[f.name] for f in _ARROW})
+def _wide(table: pa.Table, schema: pa.Schema = _ARROW) -> pa.Table:
+    """table with all columns of schema, null where it has none."""
+    return pa.table({f.name: table.column(f.name) if f.name in table.column_names else pa.nulls(table.num_rows, f.type) for f in schema}, schema)
 
 
 def _resolve(k: int):
     def work(records: pa.Table, strings: pa.Table) -> pa.Table:
-        """Marks of the pieces of a bucket that differ, from the order of their suffixes."""
+        """Marks of the windows that different pieces of a bucket share, from the order of their suffixes."""
         if not records.num_rows:
             return _ARROW.empty_table()
         number = {(a, b): i for i, (a, b) in enumerate(zip(strings.column("key").to_pylist(), strings.column("code").to_pylist(), strict=True))}
@@ -329,12 +357,15 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, scratch: Scratch,
 def dedup_substrings(spark: SparkSession, docs: DataFrame, size: int = K, minimizer: int = M) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the bytes kept, of each row of docs (doc_id, text)."""
     ship_package(spark)
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("doc_id must be an integer, as smaller ones keep what they share")
     scratch = Scratch(spark, "substrings")
     name = f"substrings_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce("text", F.lit("")).alias("text"))
     keyed.write.format("parquet").option("compression", "zstd").option("path", f"{scratch.root}/{name}").bucketBy(parts, "doc_id", "h").saveAsTable(name)
     stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only its entry in the catalogue; the plan has the files
     marks = scratch.keep(repeated_substrings(spark, docs, scratch, stored, size, minimizer))
     both = stored.join(marks.withColumnsRenamed({"doc_id": "i", "h": "j"}).hint("merge"), F.expr("doc_id = i AND h = j"), "left")
 

@@ -215,6 +215,46 @@ def test_suffix_dedup(spark, frame, corpus):
         assert got[i].n_removed == int((~keep).sum())
 
 
+def kept_by_hand(docs, size=50):
+    """Each (doc_id, text) without the bytes of strings that also start in a document with a smaller doc_id."""
+    first = {}
+    for i, t in docs:
+        b = (t or "").encode()
+        for k in range(len(b) - size + 1 if i is not None else 0):
+            first[b[k : k + size]] = min(i, first.get(b[k : k + size], i))
+    out = []
+    for i, t in docs:
+        b = (t or "").encode()
+        gone = set()
+        for k in range(len(b) - size + 1 if i is not None else 0):
+            if first[b[k : k + size]] < i:
+                gone |= set(range(k, k + size))
+        out.append((i, bytes(x for k, x in enumerate(b) if k not in gone)))
+    return out
+
+
+def test_suffix_dedup_of_families(spark, frame):
+    """Copies, copies with edits, templates with a changing field, and one passage at changing places, in no order."""
+    rng = random.Random(21)
+    text, passage = prose(rng, 60), prose(rng, 25)
+    docs = [(i, text) for i in range(40)] + [(100 + i, text[: 20 * i] + "#" + text[20 * i + 1 :]) for i in range(15)]
+    docs += [(200 + i, f"Order number {rng.randint(0, 10**9)} has been sent to your address today, thank you very much for it.") for i in range(40)]
+    docs += [(300 + i, prose(rng, rng.randint(0, 30)) + passage + prose(rng, rng.randint(0, 30))) for i in range(25)]
+    rng.shuffle(docs)
+    got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup_substrings(spark, frame(docs)).collect()}
+    assert got == dict(kept_by_hand(docs))
+
+
+def test_suffix_dedup_of_odd_tables(spark, frame):
+    text = "some words that are repeated in more than one document here, over fifty bytes"
+    odd = [(None, text), (5, text), (5, text), (5, "x" + text), (7, text + "é"), (-3, None), (2, ""), (9, text * 30)]
+    got = sorted((r.doc_id is not None, r.doc_id or 0, bytes(r.kept)) for r in suffix_dedup.dedup_substrings(spark, frame(odd)).collect())
+    assert got == sorted((i is not None, i or 0, b) for i, b in kept_by_hand(odd))
+    assert suffix_dedup.dedup_substrings(spark, frame([])).isEmpty()
+    with pytest.raises(TypeError):
+        suffix_dedup.dedup_substrings(spark, frame(odd).withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 # -- personal data --------------------------------------------------------------------------------------------------------
 
 
@@ -280,8 +320,8 @@ def test_shingle_sets(corpus):
         assert len(s) == (len({tuple(w[k : k + m]) for k in range(len(w) - m + 1)}) if w else 0)
 
 
-def components_by_hand(docs, percent):
-    sets = {docs[i][0]: set(s.tolist()) for i, s in shingle_sets(pa.array([t for _, t in docs]), 4)}
+def components_by_hand(docs, percent, k=4):
+    sets = {docs[i][0]: set(s.tolist()) for i, s in shingle_sets(pa.array([t for _, t in docs]), k)}
     root = {i: i for i in sets}
 
     def find(x):
@@ -637,6 +677,63 @@ def test_marginals_are_exact():
     assert model.marginals(x, parent) == pytest.approx(want)
 
 
+# -- pipeline -------------------------------------------------------------------------------------------------------------
+
+
+def test_pipeline_by_hand(spark):
+    """The stages on whole texts of the smallest tables; of the quality rules the verdict is the operator's own."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kept = rows(quality_rules.score_documents(spark, spark.read.parquet(f"{sf}/documents.parquet")).select("doc_id", "kept"))
+    texts = {i: r.text for i, r in sorted(docs.items()) if kept[i].kept}
+    seen, lines_left = set(), {}
+    for i, t in texts.items():
+        lines = t.split("\n")
+        at = [k for k, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+        cut = set()
+        for n in (1, 2, 3):
+            for s in range(len(at) - n + 1):
+                run = tuple(lines[k] for k in at[s : s + n])
+                if n == 3 or sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in run) > 50:
+                    if run in seen:
+                        cut |= set(at[s : s + n])
+                    seen.add(run)
+        lines_left[i] = "\n".join(x for k, x in enumerate(lines) if k not in cut)
+    group = components_by_hand(list(lines_left.items()), 80, 5)
+    left = {i: t for i, t in lines_left.items() if group[i] == i}
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    windows = set()
+    for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect():
+        w = word(r.text)
+        n = min(10, len(w))
+        windows |= {tuple(w[s : s + n]) for s in range(len(w) - n + 1)} if n else set()
+    sizes = {len(w) for w in windows}
+    clean = {i: t for i, t in left.items() if not any(tuple(word(t)[s : s + n]) in windows for n in sizes for s in range(len(word(t)) - n + 1))}
+    got = rows(corpus_pipeline.run(spark, sf))
+    assert set(got) == set(clean) and len(clean) < len(left) < len(lines_left) < len(docs)
+    own = merge_dropout.Encoder(merge_dropout.VOCABULARY, 0.0)
+    for i, r in got.items():
+        assert r.lossless and r.n_chars == len(clean[i]) and r.n_pieces >= len(own.text(clean[i]))
+
+
+def test_pipeline_of_odd_tables(spark, frame, tmp_path):
+    """Nulls in every column, empty texts and repeated rows; then no rows at all."""
+    import corpus_pipeline
+
+    text = prose(random.Random(30), 90)
+    odd = [(None, None), (1, None), (2, ""), (3, text), (3, text), (None, text)]
+    frame(odd).drop("n_words").withColumn("lang", F.lit(None).cast("string")).withColumn("source", F.when(F.col("doc_id") == 3, "src1")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, None), (1, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        done = stage(spark, docs, str(tmp_path))
+        assert sorted(done.columns) == sorted(docs.columns) and stage(spark, docs.filter("false"), str(tmp_path)).isEmpty(), name
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} <= {None, 3} and all(r.lossless for r in got)
+
+
 # -- queries --------------------------------------------------------------------------------------------------------------
 
 
