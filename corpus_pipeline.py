@@ -3,7 +3,14 @@
 quality rules: documents that the rules reject go. line dedup: later repeated runs of three lines, and of one or two with over 50 words, are cut from the texts.
 n-gram Jaccard join: of each group of linked documents the smallest doc_id stays (five words, similarity 0.8).
 benchmark decontamination: documents that hold a window of an item go. SentencePiece: the pieces of each text and whether
-they decode to it. SQL can't express the robust estimates of the first stage nor the keyed segmentations of the last.
+they decode to it. SQL can't express the robust estimates of the first stage nor the keyed segmentations of the last; the
+rows are tested against a brute-force version.
+
+Nulls: a null text fails the quality rules, as empty texts do; a null language or source is a group of its own; documents with
+a null doc_id pass through the stages like others, but none is the smallest of its group, so they stay. Ties and repeats: rows
+that repeat doc_id and text share one fate, and where they are their group's smallest doc_id, all of them stay. Texts of any
+length are read whole. Empty tables give empty results. Columns besides those of documents are carried up to the last stage;
+their names may be any that the operators don't use inside (they begin with _ld_ or _bd_, and are refused).
 """
 
 from __future__ import annotations
