@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions import domains, fixed_values, names, phones
 from leadloom.functions.text import cell, digits, email_domain, reasons, strip_formula
+from leadloom.session import ship_package
+from leadloom.tables import Scratch
 
 AUDIT = ("data_quality_flags", "hitl_review", "phone_status", "phone_reason", "Phone_raw", "change_reasons", "completeness_flag", "email_status")
 PHONES = ("phone", "mobilephone", "mobile")
@@ -29,6 +34,28 @@ def mail_verdicts(df: DataFrame, mx: DataFrame | None, email: str = "Email") ->
     return df.withColumn("_key", email_domain(F.col(email))).join(verdicts, F.col("_key") == F.col("_domain"), "left").drop("_key", "_domain")
 
 
+Resolver = Callable[[str], bool | None]
+
+
+def resolve_domains(df: DataFrame, mx: DataFrame | None, resolver: Resolver, email: str = "Email") -> DataFrame:
+    """mx (domain, routable) with the domains of df's addresses that it lacks, each asked once of the resolver.
+
+    The resolver runs on the executors and says None where it can't tell; such domains stay unknown. Answers are written once,
+    so that no plan that is run again asks again.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    known = mx.select(F.lower("domain").alias("domain"), F.col("routable").cast("boolean").alias("routable")) if mx is not None else spark.createDataFrame([], "domain string, routable boolean")
+    asked = df.select(email_domain(F.col(email)).alias("domain")).filter("domain <> ''").distinct().filter(~domains.is_reserved(F.col("domain"))).join(known, "domain", "left_anti")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("domain"), pa.array([resolver(d) for d in b.column("domain").to_pylist()], pa.bool_())], ["domain", "routable"])
+
+    found = Scratch(spark, "domains").keep(asked.mapInArrow(work, "domain string, routable boolean").filter("routable IS NOT NULL"))
+    return known.unionByName(found)
+
+
 def validate(df: DataFrame, mx: DataFrame | None = None) -> DataFrame:
     """df with audit columns and _issues, the number of rules that each row breaks.
 

@@ -12,8 +12,8 @@ from leadloom.functions.text import add_flags, flag_list
 from leadloom.operators import audit, dedupe, gates
 from leadloom.operators.enrich import Provider, enrich, enrich_stats
 from leadloom.operators.normalize import normalize
-from leadloom.operators.validate import AUDIT, validate
-from leadloom.sources import csv_leads
+from leadloom.operators.validate import AUDIT, Resolver, resolve_domains, validate
+from leadloom.sources import crm, csv_leads
 from leadloom.tables import Scratch
 
 ORDER = "row_order"
@@ -49,16 +49,18 @@ def mark_drops(df: DataFrame) -> DataFrame:
     return out.withColumn("data_quality_flags", F.array_join(add_flags(flag_list(F.col("data_quality_flags")), (F.col("_drop") & ~flagged, "junk_lead")), "|"))
 
 
-def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases = fixed_values.ALIASES, baseline: DataFrame | None = None, accept_changes: bool = False, check: bool = True) -> Run:
+def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases = fixed_values.ALIASES, baseline: DataFrame | None = None, accept_changes: bool = False, check: bool = True, resolver: Resolver | None = None) -> Run:
     """All stages over a table of leads. Raises GateError, and writes nothing, if a gate is closed.
 
-    baseline: the last good result; changed cells of Ids that it has close the gate unless accept_changes.
+    resolver: asked for mail domains that mx lacks. baseline: the last good result; changed cells of Ids that it has close the gate unless accept_changes.
     """
     spark = source.sparkSession
     scratch = Scratch(spark, "hygiene")
     columns = [c for c in source.columns if c not in (*AUDIT, ORDER)]
     rows = source if ORDER in source.columns else csv_leads.numbered(source)
     rows = scratch.keep(rows)
+    if resolver is not None and "Email" in rows.columns:
+        mx = resolve_domains(rows, mx, resolver)
     valid = scratch.keep(validate(rows, mx))
     normal = scratch.keep(normalize(valid.drop("_issues"), aliases))
     survivors, log = dedupe.dedupe(normal.drop("_changes"), ORDER)
@@ -84,12 +86,18 @@ def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases =
     return Run(leads, out, lines, log, dropped, rows, counts)
 
 
-def save(result: Run, folder: str, single: bool = False) -> None:
-    """Leads, a copy for spreadsheets and the audit log."""
+def save(result: Run, folder: str, single: bool = False, connection: crm.Connection | None = None, transport: crm.Transport | None = None) -> None:
+    """Leads, a copy for spreadsheets and the audit log; a CRM, if the leads came from one, is updated before any file is written.
+
+    The header is read back from the written files, and GateError raised if it isn't the source's.
+    """
     columns = [c for c in result.leads.columns if c != ORDER]
+    if connection is not None:
+        crm.write_crm(result.leads.select(columns), connection, transport)
     csv_leads.write_leads(result.leads, columns, f"{folder}/deduped", ORDER, single)
     csv_leads.write_leads(result.leads, columns, f"{folder}/deduped_review", ORDER, single, guard=True)
     result.audit.orderBy("surviving_lead_id").write.mode("overwrite").csv(f"{folder}/dedup_log", header=True, escape='"', emptyValue="")
+    gates.close_gate(more=gates.header_violations(csv_leads.read_header(result.leads.sparkSession, f"{folder}/deduped"), csv_leads.written_header(columns)))
 
 
 class Session:

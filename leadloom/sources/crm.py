@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-import json
 import os
-import urllib.error
 import urllib.parse
-import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-BATCH, TIMEOUT = 200, 45
+from leadloom.session import ship_package
+from leadloom.tables import Scratch
+
+from .http import JsonClient, RequestFailed
+
+__all__ = ["Connection", "NotConnected", "RequestFailed", "Transport", "pages", "read_crm", "update_record", "write_crm"]
+
+#: Records of an update; pages that are written together when reading.
+BATCH, PAGES = 200, 20
 #: The fields of a lead, and those that the CRM writes itself.
 FIELDS = ("Id", "FirstName", "LastName", "Email", "Phone", "MobilePhone", "Company", "Title", "Website", "Industry", "Country", "LeadSource", "Status", "AnnualRevenue", "NumberOfEmployees")
 READ_ONLY = frozenset(("CreatedDate", "LastModifiedDate", "SystemModstamp", "LastActivityDate", "LastViewedDate", "LastReferencedDate"))
@@ -25,10 +31,6 @@ class NotConnected(Exception):
     """The address or the token is missing."""
 
 
-class RequestFailed(Exception):
-    """The CRM rejected a call."""
-
-
 @dataclass(frozen=True)
 class Connection:
     address: str
@@ -37,26 +39,24 @@ class Connection:
 
     @staticmethod
     def from_environment(prefix: str = "CRM") -> Connection:
-        address, token = os.environ.get(f"{prefix}_INSTANCE_URL", "").rstrip("/"), os.environ.get(f"{prefix}_ACCESS_TOKEN", "").strip()
-        if not address or not token:
-            raise NotConnected(f"set {prefix}_INSTANCE_URL and {prefix}_ACCESS_TOKEN, or read a CSV export")
-        return Connection(address, token)
+        needed = [f"{prefix}_INSTANCE_URL", f"{prefix}_ACCESS_TOKEN"]
+        given = [os.environ.get(n, "").strip() for n in needed]
+        if missing := [n for n, v in zip(needed, given, strict=True) if not v]:
+            raise NotConnected(f"not set: {', '.join(missing)}; set them, or read a CSV export")
+        return Connection(given[0].rstrip("/"), given[1])
+
+    @property
+    def base(self) -> str:
+        return f"{self.address}/services/data/{self.version}"
 
     def query_url(self, query: str) -> str:
-        return f"{self.address}/services/data/{self.version}/query?q={urllib.parse.quote(query, safe='')}"
+        return f"{self.base}/query?q={urllib.parse.quote(query, safe='')}"
 
     def update_url(self) -> str:
-        return f"{self.address}/services/data/{self.version}/composite/sobjects"
+        return f"{self.base}/composite/sobjects"
 
-    def request(self, method: str, url: str, payload: dict | None = None) -> dict:
-        headers = {"Authorization": f"Bearer {self.token}", "Accept": "application/json"} | ({"Content-Type": "application/json"} if payload is not None else {})
-        body = None if payload is None else json.dumps(payload).encode()
-        try:
-            with urllib.request.urlopen(urllib.request.Request(url, data=body, method=method, headers=headers), timeout=TIMEOUT) as answer:
-                text = answer.read().decode()
-        except urllib.error.HTTPError as e:
-            raise RequestFailed(f"{method} {url}: {e.code} {e.read().decode(errors='replace')}") from e
-        return json.loads(text) if text else {}
+    def client(self) -> JsonClient:
+        return JsonClient({"Authorization": f"Bearer {self.token}"})
 
 
 def pages(connection: Connection, transport: Transport, fields: tuple[str, ...] = FIELDS, table: str = "Lead") -> Iterator[list[dict]]:
@@ -70,14 +70,22 @@ def pages(connection: Connection, transport: Transport, fields: tuple[str, ...]
 
 
 def read_crm(spark: SparkSession, connection: Connection, transport: Transport | None = None, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """All leads as strings. Pages come one after the other by the interface's own design; each becomes a part of the table."""
-    transport = transport or connection.request
-    schema = StructType([StructField(f, StringType()) for f in fields])
-    out = spark.createDataFrame([], schema)
-    for page in pages(connection, transport, fields):
-        rows = [tuple("" if r.get(f) is None else str(r.get(f)) for f in fields) for r in page]
-        out = out.unionByName(spark.createDataFrame(rows, schema)) if rows else out
-    return out
+    """All leads as strings, with row_order, their place in the CRM's answer.
+
+    Pages come one after the other by the interface's own design. PAGES of them at a time go to the shared folder, so neither
+    the driver nor the plan grows with the CRM.
+    """
+    schema = StructType([*[StructField(f, StringType()) for f in fields], StructField("row_order", StringType())])
+    kept = Scratch(spark, "crm")
+    spark.createDataFrame([], schema).write.parquet(kept.root)
+    place = 0
+    for some in batched(pages(connection, transport or connection.client(), fields), PAGES):
+        rows = [["" if r.get(f) is None else str(r[f]) for f in fields] for page in some for r in page]
+        if rows:
+            spark.createDataFrame([(*r, str(place + k)) for k, r in enumerate(rows)], schema).write.mode("append").parquet(kept.root)
+        place += len(rows)
+    out = spark.read.schema(schema).parquet(kept.root)
+    return out.withColumn("row_order", out["row_order"].cast("long"))
 
 
 def update_record(row: dict[str, str], table: str = "Lead") -> dict | None:
@@ -89,18 +97,11 @@ def update_record(row: dict[str, str], table: str = "Lead") -> dict | None:
 
 def write_crm(df: DataFrame, connection: Connection, transport: Transport | None = None, table: str = "Lead") -> None:
     """Updates in batches, each sent by the executor that holds the rows."""
-    send, url = transport or connection.request, connection.update_url()
+    ship_package(df.sparkSession)
+    send, url = transport or connection.client(), connection.update_url()
 
     def work(rows: Iterator) -> None:
-        batch: list[dict] = []
-        for r in rows:
-            record = update_record(r.asDict(), table)
-            if record:
-                batch.append(record)
-            if len(batch) == BATCH:
-                send("PATCH", url, {"allOrNone": False, "records": batch})
-                batch = []
-        if batch:
-            send("PATCH", url, {"allOrNone": False, "records": batch})
+        for some in batched(filter(None, (update_record(r.asDict(), table) for r in rows)), BATCH):
+            send("PATCH", url, {"allOrNone": False, "records": list(some)})
 
     df.foreachPartition(work)

@@ -35,9 +35,20 @@ def as_strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(clean_header(c)) for c in df.columns])
 
 
-def read_leads(spark: SparkSession, path: str) -> DataFrame:
+def _size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path, in any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
+def read_leads(spark: SparkSession, path: str, max_bytes: int | None = None, lines: bool = False) -> DataFrame:
+    """The leads of CSV files. max_bytes: refuse more than that. lines: values hold no line ends, so that large files are split."""
     try:
-        df = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        if max_bytes is not None and (size := _size(spark, path)) > max_bytes:
+            raise SourceError(f"{path}: {size} bytes are more than {max_bytes}; split the file")
+        df = spark.read.csv(path, header=True, multiLine=not lines, quote='"', escape='"', inferSchema=False, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    except SourceError:
+        raise
     except Exception as e:
         raise SourceError(f"{path}: {e}") from e
     return as_strings(df)
@@ -58,14 +69,28 @@ def numbered(df: DataFrame, order: str = "row_order") -> DataFrame:
     return df.withColumn(order, F.monotonically_increasing_id())
 
 
+def written_header(columns: list[str]) -> list[str]:
+    return [export_header(c) for c in columns]
+
+
 def write_leads(df: DataFrame, columns: list[str], path: str, order: str = "row_order", single: bool = False, guard: bool = False) -> None:
-    """The given columns in the order of rows. guard: phones as spreadsheets show them whole. single: one file, for small results."""
+    """The given columns in the order of rows. single: one file, for small results.
+
+    guard: phones as spreadsheets show them whole, and a byte order mark at the start of each file.
+    """
     out = df.orderBy(order) if order in df.columns else df
-    out = out.select(*[(sheet_guard(F.col(c)) if guard and c in PHONES else F.coalesce(F.col(c), F.lit(""))).alias(export_header(c)) for c in columns])
+    names = written_header(columns)
+    names = ["\ufeff" + names[0], *names[1:]] if guard and names else names
+    out = out.select(*[(sheet_guard(F.col(c)) if guard and c in PHONES else F.coalesce(F.col(c), F.lit(""))).alias(n) for c, n in zip(columns, names, strict=True)])
     out = out.coalesce(1) if single else out
     out.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """The header as it stands in the files, nothing cleaned."""
+    return spark.read.csv(path, header=True, quote='"', escape='"').columns
+
+
 def csv_text(df: DataFrame, columns: list[str], order: str = "row_order", guard: bool = False, max_rows: int = MAX_ROWS) -> str:
     """The rows as one text, for results of at most max_rows rows; with a byte order mark if guarded for spreadsheets."""
     out = df.orderBy(order) if order in df.columns else df
@@ -76,4 +101,4 @@ def csv_text(df: DataFrame, columns: list[str], order: str = "row_order", guard:
     writer = csv.writer(buffer, lineterminator="\n")
     writer.writerow([export_header(c) for c in columns])
     writer.writerows(rows)
-    return ("﻿" if guard else "") + buffer.getvalue()
+    return ("\ufeff" if guard else "") + buffer.getvalue()
