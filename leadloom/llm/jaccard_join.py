@@ -11,12 +11,13 @@ The nodes of a signature are a group, and groups with the same nodes count once.
 is first verified against one node, of the pivots of its groups the one it meets most; a group's pivot is its node with most
 company, which for edited copies is the text they come from. Verified links form components. In a group that still has
 several, the nodes outside the largest are queries against all its nodes, in blocks of about ELEMENTS shingles, as far as
-their sizes allow. Parity
-sketches, which never differ in more cells than the sets in elements, rule most pairs out; a pair that they allow joins its
-components at once, so a task gives at most a spanning forest. These links are verified on the texts' shingles, and groups
-with one that fails are compared once more with the shingles in place of the sketches. So no link between components is
-lost. Comparisons with one pivot are dealt over tasks of PER_TASK nodes. Components come from alternating large-star and
-small-star rounds over tables in the shared folder.
+their sizes allow. Parity sketches, which never differ in more cells than the sets in elements, rule most pairs out. A pair
+far inside the bound joins its components at once, so that a task gives at most a spanning forest of such pairs; of the pairs
+near the bound each node gives those between different components, the EACH nearest at most. All these are verified on the
+texts' shingles. Groups where a join failed, or a node had more pairs, go into another wave, with the components that have
+grown since and without the pairs that have failed, until none is left. So no link between components is lost. Comparisons
+with one pivot are dealt over tasks of PER_TASK nodes. Components come from alternating large-star and small-star rounds over
+tables in the shared folder.
 
 Nulls: a null or wordless text has no shingles, n_shingles 0, and is a component of its own; a null doc_id takes part, but a
 component's id is its smallest doc_id that is not null. Texts of any length are taken whole. Repeated rows fall into one
@@ -27,7 +28,7 @@ are read; keep_one carries all other columns. percent is from 1 to 100, shingle
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations
 from typing import NamedTuple
 
@@ -49,6 +50,8 @@ BAND = 1.6
 ONE_LEVEL = 3
 #: Nodes of a task that verifies with a pivot; shingles of the queries of a block.
 PER_TASK, ELEMENTS = 250, 4_000_000
+#: Part of the bound up to which a sketch's difference lets a pair join at once; other pairs that a node gives in a wave.
+SURE, EACH = 0.7, 16
 #: Nodes in a row of a group; groups of more take several rows.
 PIECE = 256
 #: Nodes that a task remembers, so as to sign copies once.
@@ -296,77 +299,82 @@ class _Queries:
     """The queries of a block with sketches of one length, in arrays that grow by doubling."""
 
     def __init__(self, words: int) -> None:
-        self.count, self.sets = 0, []
+        self.count, self.words = 0, words
         self.ids, self.root, self.size, self.sketches = np.empty(4, np.int64), np.empty(4, np.int64), np.empty(4, np.int64), np.empty((4, words), np.uint64)
 
-    def add(self, node: int, label: int, n: int, sketch: np.ndarray, x: np.ndarray | None) -> None:
+    def add(self, node: int, label: int, n: int, sketch: np.ndarray) -> None:
         k = self.count
         if k == len(self.ids):
             self.ids, self.root, self.size = (np.concatenate((c, c)) for c in (self.ids, self.root, self.size))
             self.sketches = np.concatenate((self.sketches, self.sketches))
         self.ids[k], self.root[k], self.size[k], self.sketches[k] = node, label, n, sketch
-        self.sets.append(x)
         self.count += 1
 
-    def columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
-        k = self.count
-        return self.ids[:k], self.root[:k], self.size[:k], self.sketches[:k], self.sets
+    def near(self, label: int, n: int, sketch: np.ndarray, percent: int) -> Iterator[tuple[float, int]]:
+        """Numbers of queries of other components that sizes and sketches allow, with their difference as a part of the bound."""
+        root, size = self.root[: self.count], self.size[: self.count]
+        q = np.flatnonzero((root != label) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
+        if not len(q):
+            return
+        words = min(self.words, len(sketch))
+        apart = np.bitwise_count(_folded(self.sketches[q], words) ^ _folded(sketch, words)).sum(1, dtype=np.int64)
+        share = (100 + percent) * apart / np.maximum((100 - percent) * (size[q] + n), 1e-9)
+        allowed = (100 + percent) * apart <= (100 - percent) * (size[q] + n)
+        yield from zip(share[allowed].tolist(), q[allowed].tolist(), strict=True)
 
     def rename(self, old: int, new: int) -> None:
         root = self.root[: self.count]
         root[root == old] = new
 
 
-def _across(rows: DataFrame, k: int, percent: int, exact: bool) -> DataFrame:
-    """Links (gid, a, b) that join components, among rows (gid, block, role, node, label, n, s) in order of role.
+ACROSS = "gid long, a long, b long, sure boolean"
 
-    The rows of role 0 are a block's queries, which are compared with each other as they come and then with the rows of role
-    1, the other nodes of the group. s is a sketch, or if exact the text: then pairs that the sketches allow are verified. A
-    found link joins its components at once, so that a task gives at most a spanning forest.
-    """
 
-    def held(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
-        """Of each row the sketch and, if exact, the set."""
-        if exact:
-            for _, x in shingle_sets(column, k):
-                yield _sketch(x), x
-        else:
-            for s in column:
-                yield np.frombuffer(s.as_buffer(), np.uint64), None
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (gid, a, b, sure) between components, among rows (gid, block, role, node, label, n, s) in order of role.
+
+    Rows of role -1 are pairs (node, label) that have failed. Those of role 0 are a block's queries, which are compared with
+    each other as they come and then with the rows of role 1, the other nodes of the group. A group with a row of nulls has
+    more pairs than it gave.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting, joined = None, {}, {}
+        at, waiting, joined, failed = None, {}, {}, set()
         for b in batches:
             out = []
-            for gid, block, role, node, label, n, (sketch, x) in zip(*(b.column(c).to_pylist() for c in ("gid", "block", "role", "node", "label", "n")), held(b.column("s")), strict=True):
+            for gid, block, role, node, label, n, s in zip(*(b.column(c).to_pylist() for c in ("gid", "block", "role", "node", "label", "n")), b.column("s"), strict=True):
                 if at != (gid, block):
-                    at, waiting, joined = (gid, block), {}, {}
+                    at, waiting, joined, failed = (gid, block), {}, {}, set()
+                if role < 0:
+                    failed.add((node, label))
+                    continue
+                sketch = np.frombuffer(s.as_buffer(), np.uint64)
                 while label in joined:
                     label = joined[label]
-                for w, queries in waiting.items():
-                    ids, root, size, sketches, sets = queries.columns()
-                    q = np.flatnonzero((root != label) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
-                    if not len(q):
+                given = 0
+                for share, i, group in sorted(((x, i, g) for g in waiting.values() for x, i in g.near(label, n, sketch, percent)), key=lambda x: x[0]):
+                    other, pair = int(group.root[i]), tuple(sorted((node, int(group.ids[i]))))
+                    if other == label or pair in failed:
                         continue
-                    words = min(w, len(sketch))
-                    apart = np.bitwise_count(_folded(sketches[q], words) ^ _folded(sketch, words)).sum(1, dtype=np.int64)
-                    for i in q[(100 + percent) * apart <= (100 - percent) * (size[q] + n)]:
-                        other = int(root[i])
-                        if other == label:
-                            continue
-                        if exact:
-                            both = len(np.intersect1d(x, sets[i], assume_unique=True))
-                            if 100 * both < percent * (n + int(size[i]) - both):
-                                continue
-                        out.append((gid, node, int(ids[i])))
+                    if share <= SURE:
+                        out.append((gid, *pair, True))
                         joined[other] = label
                         for g in waiting.values():
                             g.rename(other, label)
+                    elif given < EACH:
+                        given += 1
+                        out.append((gid, *pair, False))
+                    else:
+                        out.append((gid, None, None, None))
+                        break
                 if role == 0:
-                    waiting.setdefault(len(sketch), _Queries(len(sketch))).add(node, label, n, sketch, x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], []))], ["gid", "a", "b"])
+                    if len(sketch) not in waiting:
+                        waiting[len(sketch)] = _Queries(len(sketch))
+                    waiting[len(sketch)].add(node, label, n, sketch)
+            columns = zip(*out, strict=True) if out else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["gid", "a", "b", "sure"])
 
-    return rows.repartition("gid", "block").sortWithinPartitions("gid", "block", "role").mapInArrow(work, "gid long, a long, b long")
+    return rows.repartition("gid", "block").sortWithinPartitions("gid", "block", "role").mapInArrow(work, ACROSS)
 
 
 def _blocks(members: DataFrame, elements: int, percent: int) -> DataFrame:
@@ -410,22 +418,31 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     likely = scratch.keep(_likely(chosen.select("a", "b"), met, percent))
     star = scratch.keep(_verified(likely, met, shingle, percent).distinct())
     scratch.drop(company, chosen, likely)
-    info = scratch.keep(_named(star, met.select("node", "n").distinct(), scratch))
-    blocks = scratch.keep(_blocks(members.join(info, "node"), elements, percent))
-    scratch.drop(members, info)
+    open_, failed, found, sizes = members, None, [star], met.select("node", "n").distinct()
     light = met.select("node", F.col("sketch").alias("s"))
-    tried = scratch.keep(_across(blocks.join(light, "node"), shingle, percent, False))
-    scratch.drop()
-    links = scratch.keep(_verified(tried.select("a", "b").distinct(), met, shingle, percent).distinct())
-    wrong = scratch.keep(tried.join(links, ["a", "b"], "left_anti").select("gid").distinct())
-    found = star.unionByName(links)
-    if not wrong.isEmpty():  # sketches joined what isn't similar: those groups again, with the texts themselves
-        again = blocks.join(wrong, "gid").join(met.select("node", F.col("text").alias("s")), "node")
-        found = found.unionByName(scratch.keep(_across(again, shingle, percent, True).select("a", "b")))
-    of = scratch.keep(_named(found, first.select("node", F.col("doc_id").alias("i")), scratch))
+    while True:
+        info = scratch.keep(_named(reduce(DataFrame.unionByName, found), sizes, scratch))
+        blocks = scratch.keep(_blocks(open_.join(info, "node"), elements, percent))
+        rows = blocks.join(light, "node")
+        if failed is not None:
+            pairs = failed.join(blocks.select("gid", "block").distinct(), "gid")
+            rows = rows.unionByName(pairs.select("gid", "block", F.lit(-1).alias("role"), F.col("a").alias("node"), F.col("b").alias("label"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("s")))
+        tried = scratch.keep(_across(rows, percent))
+        given = tried.filter("a IS NOT NULL")
+        found.append(scratch.keep(_verified(given.select("a", "b").distinct(), met, shingle, percent).distinct()))
+        wrong = scratch.keep(given.join(found[-1], ["a", "b"], "left_anti"))
+        again = scratch.keep(wrong.filter("sure").select("gid").unionByName(tried.filter("a IS NULL").select("gid")).distinct())
+        if again.isEmpty():
+            break
+        fresh = wrong.select("gid", "a", "b").distinct()
+        failed = scratch.keep((fresh if failed is None else fresh.unionByName(failed)).join(again, "gid"))
+        open_ = members.join(again, "gid")
+        scratch.drop(info, blocks, tried, wrong)
+    scratch.drop(members, info, blocks, tried, wrong)
+    of = scratch.keep(_named(reduce(DataFrame.unionByName, found), first.select("node", F.col("doc_id").alias("i")), scratch))
     least = of.groupBy("label").agg(F.min("i").alias("component_id"))
     of = scratch.keep(of.join(least, "label").select(F.col("node").alias("k"), "component_id"))
-    scratch.drop(met, blocks, tried, star, links, wrong)
+    scratch.drop(met, *found)
     out = nodes.join(of, F.col("node") == F.col("k"), "left")
     return out.select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
