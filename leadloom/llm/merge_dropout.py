@@ -36,7 +36,7 @@ MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
 #: Characters of texts that are worked off together, and of a segment up to which it is a row of an array.
-BLOCK, LONG = 1_000_000, 32
+BLOCK, LONG = 250_000, 32
 #: Columns of the arrays; a segment goes to the narrowest that holds it.
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 22, LONG)
 MASK = 2**64 - 1
