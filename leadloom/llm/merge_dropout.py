@@ -13,7 +13,7 @@ the segment and the vocabulary need.
 
 Decoding is lossless for every text: what the vocabulary lacks, and the space mark itself, goes by bytes.
 
-A null text gives null, an empty text no pieces; texts of any length are encoded whole, in blocks of about BLOCK characters
+A null text gives null, an empty text no pieces; texts of any length are encoded whole, in blocks of about BLOCK bytes
 or one longer text. Ties of score go to the left. Rows that repeat doc_id and text give equal pieces; a null doc_id is a key
 like others. An empty table gives an empty result. Other columns are carried; pieces and decoded are replaced. The
 vocabulary file is a parameter, read by each worker from the same path.
@@ -27,6 +27,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from leadloom.session import ship_package
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
-#: Characters of texts that are worked off together, and of a segment up to which it is a row of an array.
+#: Bytes of texts that are worked off together, and characters of a segment up to which it is a row of an array.
 BLOCK, LONG = 250_000, 32
 #: Columns of the arrays; a segment goes to the narrowest that holds it.
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 22, LONG)
@@ -308,19 +309,14 @@ def _encoder(path: str, dropout: float) -> Encoder:
     return Encoder(path, dropout)
 
 
-def _blocks(texts: list[str | None]) -> Iterator[list[int]]:
-    """The numbers of the texts that hold something, in blocks."""
-    held, size = [], 0
-    for k, t in enumerate(texts):
-        if not t:
-            continue
-        held.append(k)
-        size += len(t)
-        if size >= BLOCK:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """The texts that hold something, and their numbers, in blocks of about BLOCK bytes."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.unique(np.concatenate(([0], np.flatnonzero(np.diff(np.cumsum(size) // BLOCK)) + 1, [len(texts)])))
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        at = np.flatnonzero(size[i:j])
+        if len(at):
+            yield i + at, texts.slice(i, j - i).take(pa.array(at)).to_pylist()
 
 
 def encode_documents(docs: DataFrame, text: str = "text", path: str = VOCABULARY, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = None) -> DataFrame:
@@ -330,9 +326,9 @@ def encode_documents(docs: DataFrame, text: str = "text", path: str = VOCABULARY
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
         own, values, many = _encoder(path, dropout), [np.empty(0, np.int32)], np.zeros(len(texts) + 1, np.int64)
-        held, key = texts.to_pylist(), keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        for at in _blocks(held):
-            got, many[np.array(at) + 1] = own.encode([held[k] for k in at], key[at])
+        key = keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for at, held in _blocks(texts):
+            got, many[at + 1] = own.encode(held, key[at])
             values.append(got)
         return pa.ListArray.from_arrays(pa.array(np.cumsum(many), pa.int32()), pa.array(np.concatenate(values)), mask=texts.is_null())
 
@@ -347,8 +343,8 @@ def decode_documents(docs: DataFrame, pieces_column: str = "pieces", path: str =
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
         of, out = pieces(path), []
-        for k in range(0, len(ids), 512):
-            part = ids.slice(k, 512)
+        for k in range(0, len(ids), 64):
+            part = ids.slice(k, 64)
             ends = np.concatenate(([0], np.cumsum(part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
             out += of.decode(part.flatten().to_numpy(zero_copy_only=False), ends)
         return pa.array(out, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
