@@ -48,8 +48,9 @@ def is_nanp(d: Column) -> Column:
 
 
 def _plans() -> Column:
-    at = code_regions()
-    return F.array(*[F.struct(F.lit(c).alias("cc"), F.lit(V.NATIONAL_LENGTH.get(c, V.DEFAULT_LENGTH)[0]).alias("lo"), F.lit(V.NATIONAL_LENGTH.get(c, V.DEFAULT_LENGTH)[1]).alias("hi"), F.lit(at[c]).alias("region")) for c in CODES])
+    """All calling codes with the least and most digits of a national number and their region, as one literal."""
+    at, of = code_regions(), lambda c: V.NATIONAL_LENGTH.get(c, V.DEFAULT_LENGTH)
+    return F.expr(f"array({', '.join(f"named_struct('cc', '{c}', 'lo', {of(c)[0]}, 'hi', {of(c)[1]}, 'region', '{at[c]}')" for c in CODES)})")
 
 
 def _plan_of(d: Column) -> Column:
@@ -117,7 +118,7 @@ def e164(code: Column, national: Column) -> Column:
 
 def _international(t: Column) -> Column:
     """'' or E.164 of digits after a +."""
-    return let(F.get(F.filter(F.array(*[F.lit(c) for c in CODES]), lambda c: F.startswith(t, c)), F.lit(0)), lambda c: F.when(c.isNull(), "").otherwise(e164(c, F.substr(t, F.length(c) + 1))))
+    return let(F.nullif(F.regexp_extract(t, f"^(?:{'|'.join(CODES)})", 0), F.lit("")), lambda c: F.when(c.isNull(), "").otherwise(e164(c, F.substr(t, F.length(c) + 1))))
 
 
 def for_region(c: Column, region: Column) -> Column:

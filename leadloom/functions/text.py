@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,11 +20,21 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: then(v)), F.lit(0))
 
 
+def quoted(value: str) -> str:
+    """value as a string literal of SQL, whatever it holds."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+@cache
+def _map_literal(items: tuple[tuple[str, str], ...]) -> str:
+    return f"map({', '.join(quoted(x) for kv in items for x in kv)})"
+
+
 def lookup(table: dict[str, str], key: Column) -> Column:
-    """The value of a constant table, or null."""
+    """The value of a constant table, or null. The table is one literal: a column for each value costs a call to the JVM each."""
     if not table:
         return F.lit(None).cast("string")
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+    return F.try_element_at(F.expr(_map_literal(tuple(table.items()))), key)
 
 
 def strip(c: Column) -> Column:
