@@ -9,7 +9,7 @@ import time
 from leadloom import queries
 from leadloom.session import local_session
 
-HEADLINES = ("text_folds", "host_rules", "websites", "phone_values", "companies", "validation_flags", "candidate_pairs", "hygiene_run", "invariant_violations", "cell_diff", "company_keys")
+HEADLINES = ("text_folds", "host_rules", "websites", "phone_values", "companies", "validation_flags", "candidate_pairs", "normalized", "pair_scores", "survivors", "hygiene_run", "invariant_violations", "cell_diff", "company_keys")
 
 
 def main() -> None:
@@ -22,7 +22,9 @@ def main() -> None:
     except ImportError:
         pass
     else:
-        chosen |= llm.queries()
+        import corpus_pipeline
+
+        chosen |= llm.queries() | {"pipeline": corpus_pipeline.run}
     took, until = {}, time.perf_counter() + float(os.environ.get("BENCH_SECONDS", "900"))
     for name, f in chosen.items():
         if time.perf_counter() > until:  # what is left isn't measured; the line names what is

@@ -1,8 +1,7 @@
-"""String similarities: in Python for replays, as Arrow functions for columns, and natively for cross-checks."""
+"""String similarities: in Python for scans of components, and as columns of built-in functions."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,22 +44,8 @@ def token_set(a: str, b: str) -> float:
     return found
 
 
-def ratio_column(a: Column, b: Column) -> Column:
-    def work(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([ratio(p or "", q or "") for p, q in zip(x, y, strict=True)], dtype=float)
-
-    return F.pandas_udf(work, "double")(a, b)
-
-
-def token_set_column(a: Column, b: Column) -> Column:
-    def work(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([token_set(p or "", q or "") for p, q in zip(x, y, strict=True)], dtype=float)
-
-    return F.pandas_udf(work, "double")(a, b)
-
-
 def native_ratio(a: Column, b: Column) -> Column:
-    """ratio() by a dynamic program over arrays; slow, for checks."""
+    """ratio() by a dynamic program over arrays, for short texts."""
     chars = F.split(b, "")
 
     def row(above: Column, x: Column) -> Column:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom import rule_cases
 from leadloom.functions import domains, names, phones
 from leadloom.functions import text as T
-from leadloom.functions.fixed_values import ALIASES, KNOWN_TLDS, LEGAL_SUFFIXES, PERSONAL_DOMAINS, PERSONAL_PREFIXES, PLACEHOLDER_DOMAINS, SOCIAL_HOSTS, TEST_GIVEN_NAMES, TEST_SURNAMES
+from leadloom.functions.fixed_values import ALIASES, KNOWN_TLDS, LEGAL_SUFFIXES, NATIONAL_PATTERN, PERSONAL_DOMAINS, PERSONAL_PREFIXES, PLACEHOLDER_DOMAINS, SOCIAL_HOSTS, TEST_GIVEN_NAMES, TEST_SURNAMES
 from leadloom.leads import LEADS_SQL, leads
 from leadloom.operators import audit, dedupe, enrich, gates
 from leadloom.operators.normalize import normalize
@@ -66,6 +67,13 @@ _MAP = lambda section: "MAP {" + ", ".join(f"{_IN([k])}: {_IN([v])}" for k, v in
 _MAPPED = lambda section, c, otherwise: f"(CASE WHEN {_CELL(c)} = '' THEN '' ELSE coalesce({_MAP(section)}[{_ALIAS(c)}], {otherwise}) END)"
 
 
+# -- rules, case by case --------------------------------------------------------------------------------------------------
+
+for _group in rule_cases.GROUPS:
+    QUERIES[_group] = lambda spark, sf_dir, g=_group: rule_cases.rows(spark, g)
+    SQL[_group] = rule_cases.sql(_group)
+
+
 # -- text -----------------------------------------------------------------------------------------------------------------
 
 
@@ -348,3 +356,35 @@ def provenance_traces_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = leads(spark, sf_dir)
     log = rows.filter("row_order % 3 = 1").select(F.lit("00Q000002").alias("surviving_lead_id"), F.col("Id").alias("merged_from_ids"), F.lit("phone_shared").alias("match_signals_used"), F.concat("Id", F.lit(":phone_shared")).alias("absorbed_match_signals"))
     return gates.traces(rows, rows.filter("row_order % 3 = 2"), log, rows.filter("false"))
+
+
+@query("""SELECT Id, "column", before, after FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY Id) AS k FROM (
+    SELECT Id, 'Company' AS "column", Company AS before, 'x' AS after FROM leads WHERE Company <> 'x' UNION ALL SELECT Id, 'Country', Country, upper(Country) FROM leads WHERE Country <> upper(Country))) WHERE k <= 12""")
+def change_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twelve changes of each field by Id; the limit is the feature."""
+    rows = leads(spark, sf_dir).select("Id", "Company", "Country")
+    return audit.change_examples(audit.field_changes(rows, rows.withColumns({"Company": F.lit("x"), "Country": F.upper("Country")}))).select("Id", "column", "before", "after")
+
+
+@query("""SELECT Id, "column", (CASE "column" WHEN 'Website' THEN before <> '' WHEN 'Phone' THEN true ELSE false END) AS critical FROM (
+  SELECT Id, 'Country' AS "column", Country AS before FROM leads WHERE Country <> upper(Country) UNION ALL SELECT Id, 'Website', Website FROM leads WHERE Website <> ''
+  UNION ALL SELECT Id, 'Phone', Phone FROM leads) WHERE Id IN (SELECT Id FROM leads WHERE Phone <> '')""")
+def critical_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that matter: sites cleared and phones replaced; countries only written otherwise."""
+    rows = leads(spark, sf_dir).filter("Phone <> ''").select("Id", "Country", "Website", "Phone")
+    return audit.field_changes(rows, rows.withColumns({"Country": F.upper("Country"), "Website": F.lit(""), "Phone": F.lit("+4420")})).select("Id", "column", "critical")
+
+
+#: Ten digits for each customer, and the plans that both engines' patterns can state.
+_NUMBER = "(2000000000 + (c_custkey * 7919 * 104729) % 7999999999)"
+_PLANS = {"US": "1", "GB": "44", "FR": "33", "JP": "81", "BR": "55", "TR": "90", "RU": "7", "MX": "52"}
+
+
+@query(f"""SELECT c_custkey, region, CASE WHEN {' OR '.join(f"(region = '{r}' AND regexp_full_match(d, '{NATIONAL_PATTERN[c]}'))" for r, c in _PLANS.items())} THEN '+' || CASE region {' '.join(f"WHEN '{r}' THEN '{c}'" for r, c in _PLANS.items())} END || d ELSE '' END AS value
+FROM (SELECT c_custkey, region, CAST({_NUMBER} AS VARCHAR) AS d FROM customer, (VALUES {', '.join(f"('{r}')" for r in _PLANS)}) AS t(region))""")
+def plan_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten digits of each customer, read as a number of several countries."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.expr(f"CAST({_NUMBER} AS STRING)").alias("d"))
+    rows = c.select("c_custkey", "d", F.explode(F.array(*[F.struct(F.lit(r).alias("region"), F.lit(k).alias("code")) for r, k in _PLANS.items()])).alias("p"))
+    return rows.select("c_custkey", "p.region", phones.e164(F.col("p.code"), F.col("d")).alias("value"))
