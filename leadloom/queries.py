@@ -256,6 +256,40 @@ def merge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.dedupe(_clean(spark, sf_dir))[1]
 
 
+# where leads have nothing but an e-mail, a group of equal ones goes to its first lead with an Id of the CRM, else to its first
+_BY_EMAIL = f"""grouped AS (SELECT Id, row_order, {_CELL('Email')} AS shown, lower({_CELL('Email')}) AS e FROM leads),
+  best AS (SELECT e, min(row_order) AS first, coalesce(min(row_order) FILTER (WHERE Id LIKE '00Q%'), min(row_order)) AS stays FROM grouped WHERE e <> '' GROUP BY e)"""
+
+
+def _only_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(spark, sf_dir).select("Id", T.normalized_email(F.col("Email")).alias("Email"), "row_order")
+
+
+def _with(ctes: str, sql: str) -> str:
+    return f"WITH leads AS ({_LEADS}), {ctes} {sql}"
+
+
+def email_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe(_only_emails(spark, sf_dir))[0].select("Id", "Email")
+
+
+def email_merge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe(_only_emails(spark, sf_dir))[1]
+
+
+QUERIES |= {"email_survivors": email_survivors, "email_merge_log": email_merge_log}
+SQL["email_survivors"] = _with(_BY_EMAIL, "SELECT Id, e AS Email FROM grouped LEFT JOIN best USING (e) WHERE e = '' OR row_order = stays")
+#: A survivor's own entry, and one of the first lead if it took others in before it was taken in itself.
+SQL["email_merge_log"] = _with(
+    _BY_EMAIL
+    + """, taken AS (
+  SELECT s.Id AS lead, g.Id, g.row_order FROM best b JOIN grouped s ON s.row_order = b.stays JOIN grouped g ON g.e = b.e AND g.row_order <> b.stays
+  UNION ALL SELECT f.Id, g.Id, g.row_order FROM best b JOIN grouped f ON f.row_order = b.first JOIN grouped g ON g.e = b.e AND g.row_order > b.first AND g.row_order < b.stays WHERE b.first <> b.stays)""",
+    """SELECT lead AS surviving_lead_id, string_agg(Id, ';' ORDER BY row_order) AS merged_from_ids, 'exact_email' AS match_signals_used, 'High' AS confidence_score,
+  'auto_merge' AS decision, string_agg(Id || ':exact_email', ';' ORDER BY row_order) AS absorbed_match_signals, 'High: merged on exact email' AS match_reason FROM taken GROUP BY lead""",
+)
+
+
 @query()
 def hygiene_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entry(spark, sf_dir)
