@@ -376,17 +376,9 @@ def restore_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.restore_from_source(rows, worse).select("Id", "Phone", "Website")
 
 
-@query("SELECT Id AS detail, CASE WHEN row_order % 3 = 0 THEN 'no_paper_trail' ELSE 'weak_identity' END AS rule FROM leads WHERE row_order % 3 < 2 AND row_order < 30")
-def provenance_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the first thirty leads, a third vanish without a trace and a third by a weak signal."""
-    rows = leads(spark, sf_dir).filter("row_order < 30")
-    log = rows.filter("row_order % 3 = 1").select(F.lit("00Q000002").alias("surviving_lead_id"), F.col("Id").alias("merged_from_ids"), F.lit("phone_shared").alias("match_signals_used"), F.concat("Id", F.lit(":phone_shared")).alias("absorbed_match_signals"))
-    return gates.traces(rows, rows.filter("row_order % 3 = 2"), log, rows.filter("false"))
-
-
 @query("SELECT Id AS detail, CASE WHEN row_order % 3 = 0 THEN 'no_paper_trail' ELSE 'weak_identity' END AS rule FROM leads WHERE row_order % 3 < 2")
-def provenance_traces_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over all leads."""
+def provenance_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all leads, a third vanish without a trace and a third by a weak signal."""
     rows = leads(spark, sf_dir)
     log = rows.filter("row_order % 3 = 1").select(F.lit("00Q000002").alias("surviving_lead_id"), F.col("Id").alias("merged_from_ids"), F.lit("phone_shared").alias("match_signals_used"), F.concat("Id", F.lit(":phone_shared")).alias("absorbed_match_signals"))
     return gates.traces(rows, rows.filter("row_order % 3 = 2"), log, rows.filter("false"))
