@@ -7,8 +7,8 @@ Every byte covered by a string of K bytes that also starts in a document with a
    wherever they are. Of equal pieces all but those of the smallest document are marked whole: first among the texts that a
    task reads together, then in buckets of the minimizer, where compact records (minimizer, hash of the piece, place) meet.
    A group of copies thus sends one record for each batch of texts, however large it is.
-2. Where a minimizer has pieces that differ, one copy of each is fetched, and the bucket's pieces form a collection for
-   extended BCR: in round j every piece inserts the symbol before its suffix of length j, and the collection's
+2. Where a minimizer has pieces that differ, one copy of each is fetched. Those with no other's bytes on either side of the
+   minimizer can't share a window and go. The bucket's other pieces form a collection for extended BCR: in round j every piece inserts the symbol before its suffix of length j, and the collection's
    Burrows-Wheeler transform, common prefixes and origins are rewritten in one sequential pass, from one set of files to the
    next once they exceed SPILL bytes. Suffixes whose common prefixes reach K bytes are equal windows, and the smallest
    document that holds one of the pieces keeps it.
@@ -133,12 +133,9 @@ def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndar
 # -- pieces ---------------------------------------------------------------------------------------------------------------
 
 
-def _pieces(part: np.ndarray, cut: np.ndarray, k: int, m: int) -> tuple[np.ndarray, ...]:
-    """(minimizer, hash, text, start, windows) of the pieces of some texts; cut has the offsets between them."""
+def _gram_hashes(part: np.ndarray, m: int) -> np.ndarray:
+    """A hash of the m bytes that begin at each place; what lies behind the end counts as zeros."""
     n = len(part)
-    nothing = tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-    if n < k:
-        return nothing
     wide = np.concatenate((part, np.zeros(m + 16, np.uint8)))
     load = np.empty(n + m, np.uint64)
     for r in range(8):
@@ -150,6 +147,16 @@ def _pieces(part: np.ndarray, cut: np.ndarray, k: int, m: int) -> tuple[np.ndarr
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
+    return h
+
+
+def _pieces(part: np.ndarray, cut: np.ndarray, k: int, m: int) -> tuple[np.ndarray, ...]:
+    """(minimizer, hash, text, start, windows) of the pieces of some texts; cut has the offsets between them."""
+    n = len(part)
+    nothing = tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+    if n < k:
+        return nothing
+    h = _gram_hashes(part, m)
     w = k - m + 1
     least, size = h, 1
     while size * 2 <= w:
@@ -212,7 +219,7 @@ def _records(docs: DataFrame, buckets: int, k: int, m: int) -> DataFrame:
         for b in batches:
             data, ends = text_bytes(b.column("text"))
             ids, hashes = b.column("doc_id").to_numpy(), b.column("h").to_numpy()
-            for i, j in blocks(ends, 4_000_000):
+            for i, j in blocks(ends, 2_000_000):
                 key, code, text, start, count = _pieces(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i], k, m)
                 if not len(key):
                     continue
@@ -293,15 +300,55 @@ def _wide(table: pa.Table, schema: pa.Schema = _ARROW) -> pa.Table:
     return pa.table({f.name: table.column(f.name) if f.name in table.column_names else pa.nulls(table.num_rows, f.type) for f in schema}, schema)
 
 
-def _resolve(k: int):
+def _meeting(texts: list[bytes], key: np.ndarray, k: int, m: int) -> np.ndarray:
+    """Which pieces can share a window with another one of their minimizer.
+
+    A shared window has the minimizer at one place in both, and k - m bytes around it: so half of these to its left, or half
+    to its right, are the same. A minimizer that stands several times in a piece counts with each of its places.
+    """
+    half = (k - m) // 2
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    of = np.repeat(np.arange(len(texts)), sizes)
+    at = np.flatnonzero((mix(_gram_hashes(data, m)) & _LOW40) == key[of])
+    at = at[at + m <= ends[of[at]]]
+    who = of[at]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _power(_BASE, len(data))[: len(data)], dtype=np.uint64)))
+    out = np.zeros(len(texts), bool)
+    for begin, side in ((at - half, 1), (at + m, 2)):
+        inside = (begin >= ends[who] - sizes[who]) & (begin + half <= ends[who])
+        b, w = begin[inside], who[inside]
+        code = mix((sums[b + half] - sums[b]) * _power(_INVERSE, len(data) + 1)[b] + key[w] * np.uint64(side))
+        order = np.lexsort((w, code))
+        code, w = code[order], w[order]
+        again = (code[1:] == code[:-1]) & (w[1:] != w[:-1])
+        out[w[1:][again]] = out[w[:-1][again]] = True
+        group = np.cumsum(np.concatenate(([0], (code[1:] != code[:-1]).astype(np.int64)))) if len(code) else np.empty(0, np.int64)
+        several = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
+        several[group[1:][again]] = True
+        out[w[several[group]]] = True
+    return out
+
+
+def _resolve(k: int, m: int):
     def work(records: pa.Table, strings: pa.Table) -> pa.Table:
         """Marks of the windows that different pieces of a bucket share, from the order of their suffixes."""
-        if not records.num_rows:
+        if not records.num_rows or not strings.num_rows:
+            return _ARROW.empty_table()
+        name = lambda t: np.stack([t.column(c).to_numpy().astype(np.uint64) for c in ("key", "code")])
+        own, asked = name(strings), name(records)
+        keep = _meeting(strings.column("bytes").to_pylist(), own[0], k, m)
+        texts = strings.column("bytes").filter(pa.array(keep)).to_pylist()
+        own = own[:, keep]
+        if not len(texts):
             return _ARROW.empty_table()
-        number = {(a, b): i for i, (a, b) in enumerate(zip(strings.column("key").to_pylist(), strings.column("code").to_pylist(), strict=True))}
-        of = np.array([number[x] for x in zip(records.column("key").to_pylist(), records.column("code").to_pylist(), strict=True)], np.int64)
-        ids, hashes, start = (records.column(c).to_numpy() for c in ("doc_id", "h", "start"))
-        texts = strings.column("bytes").to_pylist()
+        folded = mix(own[0]) + own[1]
+        by = np.argsort(folded)
+        of = by[np.minimum(np.searchsorted(folded[by], mix(asked[0]) + asked[1]), len(by) - 1)]
+        known = np.flatnonzero((own[:, of] == asked).all(0))
+        of = of[known]
+        ids, hashes, start = (records.column(c).to_numpy()[known] for c in ("doc_id", "h", "start"))
         holder = np.full(len(texts), np.iinfo(np.int64).max)
         np.minimum.at(holder, of, ids)
         _, lcp, sid, off = suffix_order(texts)
@@ -322,9 +369,9 @@ def _resolve(k: int):
         row, inner = row[hit], inner[hit]
         if not len(row):
             return _ARROW.empty_table()
-        own, doc = np.unique(np.stack((ids, hashes), 1), axis=0, return_inverse=True)
+        own_docs, doc = np.unique(np.stack((ids, hashes), 1), axis=0, return_inverse=True)
         doc = doc.reshape(-1)
-        return _wide(_marks(doc[row], own[:, 0], own[:, 1], start[row].astype(np.int64) + inner, np.ones(len(row), np.int64)))
+        return _wide(_marks(doc[row], own_docs[:, 0], own_docs[:, 1], start[row].astype(np.int64) + inner, np.ones(len(row), np.int64)))
 
     return work
 
@@ -349,7 +396,7 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, scratch: Scratch,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names)
 
     strings = texts.select("text", "want").mapInArrow(cut, "bucket int, key long, code long, bytes binary").dropDuplicates(["bucket", "key", "code"])
-    more = records.groupBy("bucket").cogroup(strings.groupBy("bucket")).applyInArrow(_resolve(size), FOUND)
+    more = records.groupBy("bucket").cogroup(strings.groupBy("bucket")).applyInArrow(_resolve(size, minimizer), FOUND)
     marks = found.filter("marks IS NOT NULL").select("doc_id", "h", "marks").unionByName(more.select("doc_id", "h", "marks"))
     return marks.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("marks")).alias("marks"))
 
