@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 from leadloom.tables import Scratch
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+#: Edges up to which a round is one task: dealing out so few costs more than the work.
+SMALL = 100_000
+
+
+def components(edges: DataFrame, scratch: Scratch, few_edges: int = SMALL) -> DataFrame:
     """(node, label) with the smallest node of the component as label, for nodes that have an edge. edges: (a, b)."""
     now = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    few = now.count() <= few_edges
     before = None
     while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        now_ = now.coalesce(1) if few else now
+        both = now_.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = scratch.keep(large)
+        wide, large = large, large.coalesce(1) if few else large
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
         small = scratch.keep(small)
@@ -24,5 +31,5 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if state == before:
             label = small.select(F.col("u").alias("node"), F.col("v").alias("label"))
             return label.unionByName(small.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
-        scratch.drop(now, large)
+        scratch.drop(now, wide)
         now, before = small, state
