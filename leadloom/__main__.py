@@ -40,7 +40,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 
 def read(spark: SparkSession, path: str, guard: bool) -> DataFrame:
     limits = {"max_bytes": csv_leads.MAX_CHARS} if guard else {}
-    return csv_leads.require(csv_leads.read_leads(spark, path, **limits), max_rows=csv_leads.MAX_ROWS if guard else None)
+    return csv_leads.require(csv_leads.read_leads(spark, path, order=hygiene.ORDER, **limits), max_rows=csv_leads.MAX_ROWS if guard else None)
 
 
 def run(spark: SparkSession, a: argparse.Namespace, connection: crm.Connection | None = None, transport: crm.Transport | None = None) -> int:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from . import fixed_values as V
-from .fuzzy import native_token_set
+from . import sqltext as F
+from .fuzzy import token_set_ratio
 from .text import cell, email_domain, fold, let, strip
 
 LABELS = r"^[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"
@@ -14,6 +14,8 @@ EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 ADDRESS = r"^[A-Za-z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?)+$"
 #: Local parts that mail systems take: no dot at an edge or twice.
 LOCAL = r"^[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+(?:\.[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+)*$"
+#: Similarity from which a host and a name are alike.
+ALIKE = 70
 _SUFFIX = rf"(?i)\b({'|'.join(V.LEGAL_SUFFIXES)})\.?\b"
 
 
@@ -110,13 +112,14 @@ def domain_rules(h: Column, company: Column) -> Column:
     return let(F.struct(host(h).alias("root"), company_key(company).alias("key"), own_labels(h).alias("labels")), rules)
 
 
-def domain_matches(h: Column, company: Column) -> Column:
-    """domain_rules(), or a likeness of 70 between the host's labels and the name."""
+def likeness(h: Column, key: Column) -> Column:
+    """Whether a host's labels and a company key are alike by 70 or more. Null or blank sides aren't compared, and aren't alike."""
+    return F.coalesce(token_set_ratio(F.nullif(F.replace(h, F.lit("."), F.lit(" ")), F.lit("")), F.nullif(key, F.lit(""))) >= ALIKE, F.lit(False))
 
-    def judged(s: Column) -> Column:
-        return F.when(domain_rules(s["h"], s["c"]), True).otherwise((s["h"] != "") & (s["k"] != "") & (native_token_set(F.replace(s["h"], F.lit("."), F.lit(" ")), s["k"]) >= 70))
 
-    return let(F.struct(host(h).alias("h"), company.alias("c"), company_key(company).alias("k")), judged)
+def domain_matches(h: Column, company: Column) -> Column:
+    """domain_rules(), or likeness()."""
+    return domain_rules(host(h), company) | likeness(host(h), company_key(company))
 
 
 # -- websites -------------------------------------------------------------------------------------------------------------

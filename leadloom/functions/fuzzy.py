@@ -1,11 +1,21 @@
-"""String similarities: in Python for scans of components, and as columns of built-in functions."""
+"""String similarities: of two values for scans of components, and of whole columns, many pairs at a time.
+
+The longest common subsequence comes from one machine word for each 64 characters of the shorter side: a bit for each of its characters
+that equals the next one of the longer side, and an addition that carries from word to word. Columns do that for all pairs of
+a batch at once.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .text import let
+from leadloom.session import ship_package
+
+#: Characters of pairs compared at once, with those that fill up shorter ones.
+AT_ONCE = 2_000_000
 
 
 def common_length(a: str, b: str) -> int:
@@ -28,56 +38,109 @@ def ratio(a: str, b: str) -> float:
     return 100.0 if not a and not b else 200.0 * common_length(a, b) / (len(a) + len(b))
 
 
-def token_set(a: str, b: str) -> float:
-    """The best ratio between the common tokens and either side with its own; 100 if one side's tokens are the other's."""
+def _matrix(texts: list[str], width: int) -> np.ndarray:
+    """The code points of texts, one row each, filled up with zeros."""
+    out = np.zeros((len(texts), width), np.uint32)
+    lengths = np.array([len(t) for t in texts])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out[np.arange(width) < lengths[:, None]] = points + np.uint32(1)
+    return out
+
+
+def _common(short: list[str], long: list[str]) -> np.ndarray:
+    """common_length() of many pairs."""
+    n, width = len(short), max(1, -(-max(map(len, short)) // 64)) * 64
+    a, b = _matrix(short, width), _matrix(long, max(map(len, long)))
+    open_ = np.full((n, width // 64), ~np.uint64(0))
+    for j in range(b.shape[1]):
+        meets = np.packbits((a == b[:, j : j + 1]) & (b[:, j : j + 1] > 0), axis=1, bitorder="little").view("<u8")
+        carry = np.zeros(n, np.uint64)
+        for w in range(open_.shape[1]):
+            s = open_[:, w]
+            u = s & meets[:, w]
+            once = s + u
+            twice = once + carry
+            carry = ((once < s) | (twice < once)).astype(np.uint64)
+            open_[:, w] = twice | (s - u)
+    return width - np.bitwise_count(open_).sum(1, dtype=np.int64)
+
+
+def ratios(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """ratio() of many pairs."""
+    short, long = zip(*(sorted(p, key=len) for p in pairs), strict=True) if pairs else ((), ())
+    sizes = np.array([(len(x), len(y)) for x, y in zip(short, long, strict=True)], np.int64).reshape(-1, 2)
+    out = np.full(len(pairs), 100.0)
+    order = np.lexsort((sizes[:, 1], sizes[:, 0]))
+    order = order[sizes[order].sum(1) > 0]
+    k = 0
+    while k < len(order):
+        rows, most = 1, 0
+        for rows, i in enumerate(order[k:], 1):  # as many as fit once filled up to the longest
+            most = max(most, int(sizes[i].sum()))
+            if rows * most > AT_ONCE:
+                break
+        part = order[k : k + rows]
+        out[part] = 200.0 * _common([short[i] for i in part], [long[i] for i in part]) / sizes[part].sum(1)
+        k += rows
+    return out
+
+
+def token_sets(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """token_set() of many pairs."""
+    out, asked, of = np.zeros(len(pairs)), [], []
+    for i, (a, b) in enumerate(pairs):
+        found = _sides(a, b)
+        if found is None or found == ():
+            out[i] = 0.0 if found is None else 100.0
+            continue
+        asked += found
+        of += [i] * len(found)
+    np.maximum.at(out, np.array(of, np.int64), ratios(asked))
+    return out
+
+
+def _sides(a: str, b: str) -> tuple[tuple[str, str], ...] | None:
+    """The pairs whose best ratio is that of the token sets; none if one side's tokens are the other's, None without tokens."""
     x, y = set(a.split()), set(b.split())
     if not x or not y:
-        return 0.0
+        return None
     both = " ".join(sorted(x & y))
     if both and (x <= y or y <= x):
-        return 100.0
-    left, right = " ".join(sorted(x - y)), " ".join(sorted(y - x))
-    whole = [f"{both} {side}".strip() for side in (left, right)]
-    found = ratio(*whole)
-    if both:
-        found = max(found, *(ratio(both, w) for w in whole))
-    return found
+        return ()
+    whole = [f"{both} {' '.join(sorted(side))}".strip() for side in (x - y, y - x)]
+    return ((whole[0], whole[1]), *(((both, whole[0]), (both, whole[1])) if both else ()))
 
 
-def native_ratio(a: Column, b: Column) -> Column:
-    """ratio() by a dynamic program over arrays, for short texts."""
-    chars = F.split(b, "")
+def token_set(a: str, b: str) -> float:
+    """The best ratio between the common tokens and either side with its own; 100 if one side's tokens are the other's."""
+    found = _sides(a, b)
+    return 0.0 if found is None else max((ratio(*p) for p in found), default=100.0)
 
-    def row(above: Column, x: Column) -> Column:
-        start = F.array(F.lit(0))
-        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, lambda now, j: F.concat(now, F.array(F.when(F.get(chars, j - 1) == x, F.get(above, j - 1) + 1).otherwise(F.greatest(F.get(above, j), F.get(now, j - 1))))))
 
-    table = F.aggregate(F.split(a, ""), F.array_repeat(F.lit(0), F.size(chars) + 1), row, lambda t: F.element_at(t, -1))
-    return F.when((a == "") & (b == ""), 100.0).when((a == "") | (b == ""), 0.0).otherwise(200.0 * table / (F.length(a) + F.length(b)))
+def _column(kernel: object, a: Column, b: Column) -> Column:
+    def work(x: pa.Array, y: pa.Array) -> pa.Array:
+        left, right = x.to_pylist(), y.to_pylist()
+        some = [i for i, p in enumerate(zip(left, right, strict=True)) if None not in p]
+        out = np.full(len(left), np.nan)
+        if some:
+            out[some] = kernel([(left[i], right[i]) for i in some])
+        return pa.array(out, mask=np.isnan(out))
 
-
-def near_digits(a: Column, b: Column) -> Column:
-    """Whether two numbers of 7 digits or more differ by one or two edits."""
-    d = F.levenshtein(a, b, 2)
-    return (a != b) & (F.least(F.length(a), F.length(b)) >= 7) & (F.abs(F.length(a) - F.length(b)) <= 2) & d.between(1, 2)
+    ship_package(SparkSession.active())
+    return F.arrow_udf(work, "double")(a, b)
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
-    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: native_ratio(s["a"], s["b"]))
-
-
-def native_token_set(a: Column, b: Column) -> Column:
-    """token_set() with built-in functions, for short texts and few rows."""
-    tokens = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    """ratio() of two columns, null where one is null. Blank out pairs that needn't be compared: the kernel then skips them."""
+    return _column(ratios, a, b)
 
-    def score(s: Column) -> Column:
-        both, left, right = (F.array_join(F.array_sort(x), " ") for x in (F.array_intersect(s["x"], s["y"]), F.array_except(s["x"], s["y"]), F.array_except(s["y"], s["x"])))
 
-        def best(t: Column) -> Column:
-            one, two = F.trim(F.concat_ws(" ", t["both"], t["left"])), F.trim(F.concat_ws(" ", t["both"], t["right"]))
-            shared = F.greatest(indel_ratio(t["both"], one), indel_ratio(t["both"], two))
-            return F.when((t["both"] != "") & ((t["left"] == "") | (t["right"] == "")), 100.0).otherwise(F.greatest(indel_ratio(one, two), F.when(t["both"] != "", shared).otherwise(0.0)))
+def token_set_ratio(a: Column, b: Column) -> Column:
+    """token_set() of two columns, null where one is null."""
+    return _column(token_sets, a, b)
 
-        return F.when((F.size(s["x"]) == 0) | (F.size(s["y"]) == 0), 0.0).otherwise(let(F.struct(both.alias("both"), left.alias("left"), right.alias("right")), best))
 
-    return let(F.struct(tokens(a).alias("x"), tokens(b).alias("y")), score)
+def near_digits(a: Column, b: Column) -> Column:
+    """Whether two numbers of 7 digits or more differ by one or two edits."""
+    d = F.levenshtein(a, b, 2)
+    return (a != b) & (F.least(F.length(a), F.length(b)) >= 7) & (F.abs(F.length(a) - F.length(b)) <= 2) & d.between(1, 2)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from . import fixed_values as V
+from . import sqltext as F
 from .domains import LABELS, _plausible, company_key, host
 from .text import alias_key, capital, cell, email_domain, fold, let, lookup, one_space, python_title, token_key
 

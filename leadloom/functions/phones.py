@@ -8,9 +8,9 @@ fixed_values.NATIONAL_PATTERN: area and first digits, not every range that an op
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from . import fixed_values as V
+from . import sqltext as F
 from .text import cell, digits, email_domain, let, lookup, one_space, raw, strip, strip_markers
 
 NO_EVIDENCE = "phone: no country-code evidence and not a valid NANP number; original kept unchanged for review"

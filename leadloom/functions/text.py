@@ -3,28 +3,18 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+from . import sqltext as F
 from .fixed_values import BLANK_TOKENS
+from .sqltext import let, quoted
 
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 _EDGES = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 
 
-def let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """then(value), with value computed once however often then uses it."""
-    return F.get(F.transform(F.array(value), lambda v: then(v)), F.lit(0))
-
-
-def quoted(value: str) -> str:
-    """value as a string literal of SQL, whatever it holds."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 @cache
 def _map_literal(items: tuple[tuple[str, str], ...]) -> str:
     return f"map({', '.join(quoted(x) for kv in items for x in kv)})"
@@ -47,7 +37,16 @@ def raw(c: Column) -> Column:
 
 def cell(c: Column) -> Column:
     """Trimmed, without control characters; blank tokens as ''."""
-    return let(strip(F.regexp_replace(raw(c), CONTROL, "")), lambda t: F.when(F.lower(t).isin(*BLANK_TOKENS), "").otherwise(t))
+    if isinstance(c, F.Text) and c.clean:
+        return c
+    return clean(let(strip(F.regexp_replace(raw(c), CONTROL, "")), lambda t: F.when(F.lower(t).isin(*BLANK_TOKENS), "").otherwise(t)))
+
+
+def clean(c: Column) -> Column:
+    """c, which is known to be as cell() leaves values."""
+    if isinstance(c, F.Text):
+        c.clean = True
+    return c
 
 
 def plain(c: Column) -> Column:

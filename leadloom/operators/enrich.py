@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.functions import domains
+from leadloom.functions import sqltext as F
 from leadloom.functions.fixed_values import BLANK_TOKENS
 from leadloom.functions.text import alias_key, let, plain
 

@@ -7,9 +7,9 @@ so no rule gathers its rows in one place.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from leadloom.functions import domains, fixed_values, phones
+from leadloom.functions import sqltext as F
 from leadloom.functions.names import is_domain_like
 from leadloom.functions.text import bare_digits, cell, normalized_email, raw, reasons, strip_markers
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from leadloom.functions import domains, fixed_values, names, phones
+from leadloom.functions import sqltext as F
 from leadloom.functions.text import add_flags, cell, flag_list, lookup, raw, reasons
 
 from .validate import AUDIT, with_columns

@@ -9,8 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+from leadloom.functions import sqltext as F
 from leadloom.functions.text import cell, flag_list
 
 from . import audit

@@ -6,9 +6,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from leadloom.functions import domains, fixed_values, names, phones
+from leadloom.functions import sqltext as F
 from leadloom.functions.text import cell, digits, email_domain, reasons, strip_formula
 from leadloom.session import ship_package
 from leadloom.tables import Scratch
@@ -76,6 +76,9 @@ def validate(df: DataFrame, mx: DataFrame | None = None) -> DataFrame:
     out = out.withColumns({"_first": F.when(dummy | F.col("_g1"), "").otherwise(first), "_last": F.when(dummy | F.col("_g2"), "").otherwise(last), "_mail": F.when(email != "", F.col("_check.value")).otherwise(""), "_tel": F.when(F.col("_bad"), "").otherwise(phone), "_personal": domains.is_personal(F.col("_host")), "_false": domains.is_placeholder(F.col("_host")) | ~domains.is_plausible(F.col("_host"))})
     host = email_domain(F.col("_mail"))
     out = out.withColumn("_mailhost", host)
+    # similarities, for which rows leave the JVM, are asked only where no rule says yes
+    out = out.withColumns({"_key": domains.company_key(company), "_r1": domains.domain_rules(F.col("_host"), company), "_r2": domains.domain_rules(F.col("_mailhost"), company)})
+    out = out.withColumns({k: F.col(r) | domains.likeness(F.when(~F.col(r) & (company != ""), F.col(h)), F.col("_key")) for k, r, h in (("_m1", "_r1", "_host"), ("_m2", "_r2", "_mailhost"))})
     at = F.lit(has("Website")) & (site != "")
     status = F.when(email != "", F.col("_check.status")).otherwise("")
     free = at & ~F.col("_mailed")
@@ -99,8 +102,8 @@ def validate(df: DataFrame, mx: DataFrame | None = None) -> DataFrame:
         (at & F.col("_mailed"), "website_is_email", True),
         (free & F.col("_personal"), "personal_website", True),
         (free & ~F.col("_personal") & F.col("_false"), "invalid_website", True),
-        (free & ~F.col("_personal") & ~F.col("_false") & (company != "") & ~domains.domain_matches(F.col("_host"), company), "website_company_mismatch", True),
-        ((company != "") & (F.col("_mailhost") != "") & ~domains.is_personal(F.col("_mailhost")) & ~domains.is_placeholder(F.col("_mailhost")) & ~domains.domain_matches(F.col("_mailhost"), company), "company_email_mismatch", True),
+        (free & ~F.col("_personal") & ~F.col("_false") & (company != "") & ~F.col("_m1"), "website_company_mismatch", True),
+        ((company != "") & (F.col("_mailhost") != "") & ~domains.is_personal(F.col("_mailhost")) & ~domains.is_placeholder(F.col("_mailhost")) & ~F.col("_m2"), "company_email_mismatch", True),
     ]
     out = out.withColumn("_broken", F.array_compact(F.array(*[F.when(c, F.lit(f)) for c, f, _ in rules])))
     cleared = {"FirstName": (dummy | F.col("_g1"), F.lit("")), "LastName": (dummy | F.col("_g2"), F.lit("")), "Email": (email != "", F.col("_mail")), "Phone": (F.col("_bad"), F.lit("")), "Website": (F.arrays_overlap("_broken", F.array(F.lit("personal_website"), F.lit("invalid_website"))), F.lit(""))}
@@ -116,4 +119,4 @@ def validate(df: DataFrame, mx: DataFrame | None = None) -> DataFrame:
         "_issues": F.size("_broken"),
     }
     out = out.withColumns(changes)
-    return out.drop("_first", "_last", "_email", "_phone", "_company", "_site", "_test", "_junk", "_lacking", "_dummy", "_check", "_g1", "_g2", "_bad", "_host", "_mailed", "_mail", "_tel", "_personal", "_false", "_mailhost", "_broken", "_mx")
+    return out.drop("_first", "_last", "_email", "_phone", "_company", "_site", "_test", "_junk", "_lacking", "_dummy", "_check", "_g1", "_g2", "_bad", "_host", "_mailed", "_mail", "_tel", "_personal", "_false", "_mailhost", "_key", "_r1", "_r2", "_m1", "_m2", "_broken", "_mx")

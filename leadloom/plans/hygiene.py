@@ -5,9 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from leadloom.functions import domains, fixed_values, names
+from leadloom.functions import sqltext as F
 from leadloom.functions.text import add_flags, flag_list
 from leadloom.operators import audit, dedupe, gates
 from leadloom.operators.enrich import Provider, enrich, enrich_stats

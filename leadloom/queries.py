@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leadloom import rule_cases
 from leadloom.functions import domains, names, phones
+from leadloom.functions import sqltext as F
 from leadloom.functions import text as T
 from leadloom.functions.fixed_values import ALIASES, KNOWN_TLDS, LEGAL_SUFFIXES, NATIONAL_PATTERN, PERSONAL_DOMAINS, PERSONAL_PREFIXES, PLACEHOLDER_DOMAINS, SOCIAL_HOSTS, TEST_GIVEN_NAMES, TEST_SURNAMES
 from leadloom.leads import LEADS_SQL, leads

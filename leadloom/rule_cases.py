@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leadloom.functions import domains, fuzzy, names, phones
+from leadloom.functions import sqltext as F
 from leadloom.functions import text as T
 from leadloom.operators import dedupe
 
@@ -106,7 +106,7 @@ GROUPS: dict[str, dict[str, Rule]] = {
     },
     "rules_similarity": {
         "ratio": (lambda a, b: F.round(fuzzy.indel_ratio(a, b), 3), {("smith", "smithe"): "90.909", ("abc", "abc"): "100.0", ("abc", "xyz"): "0.0", ("", ""): "100.0", ("buchert", "h buechert"): "82.353"}),
-        "token_set": (lambda a, b: F.round(fuzzy.native_token_set(a, b), 3), {("acme", "acme corp"): "100.0", ("", "x"): "0.0", ("a b", "b a"): "100.0"}),
+        "token_set": (lambda a, b: F.round(fuzzy.token_set_ratio(a, b), 3), {("acme", "acme corp"): "100.0", ("", "x"): "0.0", ("a b", "b a"): "100.0"}),
         "near_digits": (fuzzy.near_digits, {("2065550100", "2065550101"): "true", ("2065550100", "2065550100"): "false", ("2065550100", "2065559999"): "false", ("123456", "123457"): "false"}),
         "first_compatible": (dedupe.first_compatible, {("dave", "david"): "true", ("d", "david"): "true", ("jane", "david"): "false", ("", "david"): "false", ("bob", "robert"): "true"}),
         "unreal": (dedupe.placeholder_person, {("test", "smith"): "true", ("foo", "bar"): "true", ("ann", "smith"): "false"}),

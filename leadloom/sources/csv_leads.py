@@ -6,12 +6,16 @@ import csv
 import io
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from leadloom.functions import sqltext as F
 from leadloom.functions.text import sheet_guard
 
+from . import csv_blocks
+
 MAX_ROWS, MAX_CHARS = 5_000, 2_000_000
 PHONES = ("Phone", "MobilePhone")
+#: The column of places while columns of files may have any name.
+PLACE = "_place_in_files"
 
 
 class SourceError(Exception):
@@ -30,9 +34,9 @@ def export_header(name: str) -> str:
     return "_" if t and set(t) == {"_"} else t
 
 
-def as_strings(df: DataFrame) -> DataFrame:
-    """Clean headers, all values strings, null as ''."""
-    return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(clean_header(c)) for c in df.columns])
+def as_strings(df: DataFrame, order: str | None = None) -> DataFrame:
+    """Clean headers, all values strings, null as ''; a column of places in the file stays as it is."""
+    return df.select(*[F.col(c) if c == order else F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(clean_header(c)) for c in df.columns])
 
 
 def _size(spark: SparkSession, path: str) -> int:
@@ -41,17 +45,24 @@ def _size(spark: SparkSession, path: str) -> int:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
 
 
-def read_leads(spark: SparkSession, path: str, max_bytes: int | None = None, lines: bool = False) -> DataFrame:
-    """The leads of CSV files. max_bytes: refuse more than that. lines: values hold no line ends, so that large files are split."""
+def read_leads(spark: SparkSession, path: str, max_bytes: int | None = None, lines: bool = False, order: str | None = None) -> DataFrame:
+    """The leads of CSV files, values with line ends included; large files are read by many tasks.
+
+    max_bytes: refuse more than that. order: a column of this name gets each record's place in the files. lines: values are known to
+    hold no line ends, so that files are split without a look at their quotes; they then have no order.
+    """
     try:
         if max_bytes is not None and (size := _size(spark, path)) > max_bytes:
             raise SourceError(f"{path}: {size} bytes are more than {max_bytes}; split the file")
-        df = spark.read.csv(path, header=True, multiLine=not lines, quote='"', escape='"', inferSchema=False, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        if lines:
+            return as_strings(spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8", **(csv_blocks.OPTIONS | {"multiLine": "false"})))
+        found = csv_blocks.read_csv(spark, path, PLACE)
     except SourceError:
         raise
     except Exception as e:
         raise SourceError(f"{path}: {e}") from e
-    return as_strings(df)
+    found = as_strings(found, PLACE)
+    return found.withColumnRenamed(PLACE, order) if order else found.drop(PLACE)
 
 
 def require(df: DataFrame, enrichment: bool = False, max_rows: int | None = None) -> DataFrame:
@@ -65,7 +76,7 @@ def require(df: DataFrame, enrichment: bool = False, max_rows: int | None = None
 
 
 def numbered(df: DataFrame, order: str = "row_order") -> DataFrame:
-    """df with the place of each row in the file, as Spark reads it."""
+    """df with the place of each row as Spark reads it; read_leads(order=) gives the place in the files."""
     return df.withColumn(order, F.monotonically_increasing_id())
 
 

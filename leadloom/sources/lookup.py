@@ -12,8 +12,8 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from leadloom.functions import sqltext as F
 from leadloom.operators.enrich import BATCH
 from leadloom.session import ship_package
 from leadloom.tables import Scratch

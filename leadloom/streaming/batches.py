@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leadloom.functions import sqltext as F
 from leadloom.functions.text import normalized_email
 from leadloom.operators.normalize import normalize
 from leadloom.operators.validate import validate

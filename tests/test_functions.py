@@ -65,7 +65,7 @@ def test_similarity(spark):
     pairs = [("".join(rng.choice("abc") for _ in range(rng.randint(0, 8))), "".join(rng.choice("abc") for _ in range(rng.randint(0, 8)))) for _ in range(40)]
     assert apply(spark, fuzzy.indel_ratio, pairs) == pytest.approx([fuzzy.ratio(*p) for p in pairs])
     words = [(" ".join(rng.choices(["a", "bc", "d"], k=rng.randint(0, 3))), " ".join(rng.choices(["a", "bc", "e"], k=rng.randint(0, 3)))) for _ in range(30)]
-    assert apply(spark, fuzzy.native_token_set, words) == pytest.approx([fuzzy.token_set(*p) for p in words])
+    assert apply(spark, fuzzy.token_set_ratio, words) == pytest.approx([fuzzy.token_set(*p) for p in words])
 
 
 def test_dictionaries():
