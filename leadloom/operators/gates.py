@@ -73,32 +73,35 @@ def absorbed(log: DataFrame) -> DataFrame:
     return rows.select("survivor", F.explode(both).alias("x")).select(F.col("x.id").alias("lost"), "survivor", F.col("x.s").alias("signals")).filter("lost <> ''")
 
 
-def traces(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame, hops: int = 8) -> DataFrame:
-    """(rule, detail) of Ids that vanished without a trace, by weak signals, or into a survivor that vanished as well. All but log: (Id)."""
+def traces(ids_in: DataFrame, ids_out: DataFrame, log: DataFrame, dropped: DataFrame) -> DataFrame:
+    """(rule, detail) of Ids that vanished without a trace, by weak signals, or into a survivor that vanished as well. All but log: (Id).
+
+    Chains of merges may be of any length: each round doubles how far a link reaches, and no chain has more hops than there are
+    links. What is still under way after that goes round in a circle, and dangles as well.
+    """
     id_ = lambda d: d.select(cell(F.col("Id")).alias("Id")).filter("Id <> ''").distinct()
-    ends = id_(ids_out).unionByName(id_(dropped)).distinct()
+    scratch = Scratch(ids_in.sparkSession, "traces")
+    ends = scratch.keep(id_(ids_out).unionByName(id_(dropped)).distinct())
     missing = id_(ids_in).join(ends, "Id", "left_anti")
     link = absorbed(log).groupBy("lost").agg(F.max_by(F.struct("survivor", "signals"), F.col("survivor")).alias("x")).select("lost", "x.*")
-    traced = missing.join(link, missing.Id == link.lost, "left")
+    traced = scratch.keep(missing.join(link, missing.Id == link.lost, "left"))
     lost = traced.filter("lost IS NULL").select(F.lit("no_paper_trail").alias("rule"), F.col("Id").alias("detail"))
     weak = traced.filter(F.col("lost").isNotNull() & ~F.arrays_overlap("signals", F.array(*[F.lit(s) for s in IDENTITY]))).select(F.lit("weak_identity").alias("rule"), F.col("Id").alias("detail"))
-    walk = traced.filter("lost IS NOT NULL").select("Id", "survivor", F.col("survivor").alias("at"))
-    scratch = Scratch(ids_in.sparkSession, "traces")
-    ends = scratch.keep(ends.withColumnRenamed("Id", "end"))
-    step = scratch.keep(link.select(F.col("lost").alias("l"), F.col("survivor").alias("next")))
+    ends = ends.withColumnRenamed("Id", "end")
     open_ = lambda w: w.join(ends, F.col("at") == F.col("end"), "left_anti")
-    walk = scratch.keep(open_(walk))
+    walk = scratch.keep(open_(traced.filter("lost IS NOT NULL").select("Id", "survivor", F.col("survivor").alias("at"))))
     dangling = walk.filter("false").select("Id", "survivor")
-    for _ in range(hops):  # each doubles the reach, so chains of 2 ** hops end; what is open then is a cycle
-        if walk.isEmpty():
-            break
-        ahead = walk.join(step, F.col("at") == F.col("l"), "left")
-        dangling = dangling.unionByName(ahead.filter("l IS NULL").select("Id", "survivor"))
-        walk = scratch.keep(open_(ahead.filter("l IS NOT NULL").select("Id", "survivor", F.col("next").alias("at"))))
+    if not walk.isEmpty():  # most runs end here
         # steps stop at ends, so that doubling doesn't pass them
-        far = step.select(F.col("l").alias("at"), F.col("next").alias("l")).alias("f").join(ends, F.col("l") == F.col("end"), "left").join(step.withColumnsRenamed({"l": "k", "next": "n"}), (F.col("l") == F.col("k")) & F.col("end").isNull(), "left")
-        step = scratch.keep(far.select(F.col("at").alias("l"), F.coalesce("n", F.col("f.l")).alias("next")))
-    dangling = dangling.unionByName(walk.select("Id", "survivor"))
+        step = scratch.keep(link.select(F.col("lost").alias("l"), F.col("survivor").alias("next")).join(ends, F.col("l") == F.col("end"), "left_anti"))
+        links, reach = step.count(), 1
+        while reach <= links and not walk.isEmpty():
+            ahead = walk.join(step, F.col("at") == F.col("l"), "left")
+            dangling = dangling.unionByName(ahead.filter("l IS NULL").select("Id", "survivor"))
+            walk = scratch.keep(open_(ahead.filter("l IS NOT NULL").select("Id", "survivor", F.col("next").alias("at"))))
+            more = step.withColumnsRenamed({"l": "k", "next": "n"})
+            step, reach = scratch.keep(step.join(more, F.col("next") == F.col("k"), "left").select("l", F.coalesce("n", "next").alias("next"))), 2 * reach
+        dangling = dangling.unionByName(walk.select("Id", "survivor"))
     chain = dangling.select(F.lit("dangling_survivor").alias("rule"), F.concat_ws("->", "Id", "survivor").alias("detail"))
     return lost.unionByName(weak).unionByName(chain)
 
