@@ -1,7 +1,9 @@
 """Main text of HTML pages by a tree-structured graphical model.
 
-A tolerant scanner makes a tree of block elements; inline markup melts into the text around it, and scripts, styles, forms
-and comments are left out by form. Each node has a binary state, content or not. Its own evidence is a logistic model of its
+A tolerant scanner makes a tree of block elements; inline markup melts into the text around it, and only scripts, styles, forms with
+their fields, the head, what is never shown (templates, frames) and comments are left out by form. As in HTML, a quote opens a value only
+right after its equals sign; a quote that never closes is a character like others. Open elements are found by name, so a page costs
+in proportion to its length whatever it nests or leaves open. Each node has a binary state, content or not. Its own evidence is a logistic model of its
 tag, its class names, the text below it and the class names above it; parent and child are joined by potentials learned, for
 each kind of parent, from how often states meet. Sum-product messages go up from the leaves and down from the root, over all nodes of a batch at once, level by level, and
 give each node's marginal. Text whose node's marginal reaches THRESHOLD is the page's content, in page order.
@@ -17,6 +19,7 @@ give equal texts, an empty table none. Other columns are carried; a column named
 from __future__ import annotations
 
 import html
+import math
 import re
 from dataclasses import dataclass, field
 from functools import cache
@@ -33,12 +36,14 @@ TRAINING_PAGES, SEED, THRESHOLD = 600, 5, 0.4
 PURE = 0.8
 #: Kinds of HTML elements; fixed values of the standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template xmp iframe noembed noframes".split())
-DROPPED = frozenset("head script style noscript template iframe svg math canvas object select option button form textarea title input label fieldset dialog audio video map datalist".split())
+RAW = frozenset("script style textarea title template xmp iframe noembed noframes".split())
+DROPPED = frozenset("head form select datalist".split())
 BLOCKS = frozenset("html body article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead tfoot tr td th caption blockquote pre figure figcaption address details summary hr center form fieldset head".split())
 IN_HEAD = frozenset("base basefont bgsound link meta title script style noscript template noframes html head".split())
 CLOSES_P = BLOCKS - frozenset(("html", "body", "head"))
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+LISTS, CELLS = ("ul", "ol", "dl", "table", "select"), ("td", "th", "caption")
+IN_TABLE = frozenset("table thead tbody tfoot tr td th caption".split())
 TAG_GROUPS = ("p", "h1", "h2 h3 h4 h5 h6", "ul ol dl", "li dt dd", "div section center", "article", "main", "nav", "header", "footer", "aside", "table tbody thead tfoot tr td th caption", "blockquote pre figure figcaption", "html body")
 #: Parts of class names and ids that tell of content or of other things.
 GOOD = "article content story post entry body main text prose"
@@ -46,7 +51,8 @@ BAD = "nav menu sidebar side ad ads advert advertisement banner promo sponsor co
 
 _TAGS = {t: i for i, g in enumerate(TAG_GROUPS) for t in g.split()}
 _good, _bad = frozenset(GOOD.split()), frozenset(BAD.split())
-_token = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+_markup = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?=[\s/>])|[^<]+|<", re.S)
+_attribute = re.compile(r"[^>=]*+(?:(>)|=\s*+(?:([\"'])|[^\s>\"'][^\s>]*+)?+)?+")
 _names = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _space = re.compile(r"[ \t\n\r\f\v\xa0 -   　]+")
 
@@ -61,11 +67,73 @@ class Page:
     runs: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters in links
 
 
+class Tags:
+    """Where the tags of a page end, each character looked at a bounded number of times."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.quotes = page, page.rfind(">"), {'"': True, "'": True}
+
+    def end(self, at: int) -> int:
+        """The place after the > that ends the tag whose name ends at a place; -1 if there is none."""
+        if at > self.last:
+            return -1
+        found = self.by_rules(at) if any(self.quotes.values()) else -1
+        return found if found >= 0 else self.page.find(">", at) + 1
+
+    def by_rules(self, at: int) -> int:
+        while at <= self.last:
+            m = _attribute.match(self.page, at)
+            at = m.end()
+            if m[1]:
+                return at
+            if m[2] and self.quotes[m[2]]:
+                close = self.page.find(m[2], at)
+                if close < 0:
+                    self.quotes[m[2]] = False  # none closes from here on
+                else:
+                    at = close + 1
+        self.quotes = dict.fromkeys(self.quotes, False)  # the rest of the page would be one tag: from here on tags end at the next >
+        return -1
+
+
+class Open:
+    """The open elements: a stack of tag and node (the parent's for inline ones), with the places of each name and of all blocks."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("", -1)]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, node: int) -> None:
+        self.at.setdefault(name, []).append(len(self.stack))
+        if name in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, node))
+
+    def pop(self) -> str:
+        name, _ = self.stack.pop()
+        if name:
+            self.at[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+        return name
+
+    def last(self, *names: str) -> int:
+        """The place of the innermost open element of these names, 0 if there is none."""
+        return max((x[-1] for n in names if (x := self.at.get(n))), default=0)
+
+    def melt(self, place: int) -> None:
+        """End an inline element without those within it."""
+        name, node = self.stack[place]
+        self.at[name].pop()
+        self.stack[place] = ("", node)
+
+
 def parse(page: str | None) -> Page:
     out = Page()
     if not page:
         return out
-    stack: list[tuple[str, int]] = [("", -1)]  # open elements: tag and node, the parent's for inline ones
+    tags, opened = Tags(page), Open()
     text: list[str] = []
     linked, in_link, dropped = 0, 0, 0
     pos = 0
@@ -75,83 +143,83 @@ def parse(page: str | None) -> Page:
         if text:
             joined = _space.sub(" ", html.unescape("".join(text))).strip()
             if joined:
-                out.runs.append((max(stack[-1][1], 0), joined, linked))
+                out.runs.append((max(opened.stack[-1][1], 0), joined, linked))
             text.clear()
         linked = 0
 
+    def say(what: str) -> None:
+        nonlocal linked
+        if not dropped:
+            text.append(what)
+            linked += len(what) if in_link else 0
+
     def node(tag: str, rest: str) -> int:
         words = set()
         for m in _names.finditer(rest):
             words.update(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
         out.tag.append(_TAGS.get(tag, len(TAG_GROUPS)))
-        out.parent.append(stack[-1][1])
+        out.parent.append(opened.stack[-1][1])
         out.hints.append((len(words & _good), len(words & _bad)))
         return len(out.tag) - 1
 
-    def close(depth: int) -> None:
+    def left(name: str) -> None:
         nonlocal in_link, dropped
-        while len(stack) > depth:
-            tag, _ = stack[-1]
-            if tag in BLOCKS:
+        in_link -= name == "a"
+        dropped -= name in DROPPED
+
+    def close(depth: int) -> None:
+        while len(opened.stack) > depth:
+            if opened.stack[-1][0] in BLOCKS:
                 flush()
-            in_link -= tag == "a"
-            dropped -= tag in DROPPED
-            stack.pop()
+            left(opened.pop())
 
     n = len(page)
     while pos < n:
-        m = _token.match(page, pos)
-        pos = m.end()
+        m = _markup.match(page, pos)
         name = m[2]
+        end = tags.end(m.end()) if name else m.end()
         # </head> may be left out: it ends at the first text or element that can't stand in it
-        if stack[-1][0] == "head" and (not m[1] and name.lower() not in IN_HEAD if name else m[0][:2] not in ("<!", "<?") and m[0].strip()):
-            close(len(stack) - 1)
-        if not name:
-            if not dropped and page[m.start()] != "<" or m[0] == "<" and not dropped:
-                text.append(m[0])
-                linked += len(m[0]) if in_link else 0
+        if opened.stack[-1][0] == "head" and (not m[1] and name.lower() not in IN_HEAD if name else m[0][:2] not in ("<!", "<?") and m[0].strip()):
+            close(len(opened.stack) - 1)
+        if not name or end < 0:
+            if m[0][0] != "<" or m[0] == "<" or name:
+                say(m[0])
+            pos = m.end()
             continue
-        name = name.lower()
+        rest, pos, name = page[m.end() : end - 1], end, name.lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    close(k)
-                    break
-            else:
+            if not (place := opened.last(name)):
                 if name in BLOCKS:
                     flush()
+            elif name not in BLOCKS:
+                left(name)
+                opened.melt(place)
+            elif name in IN_TABLE or place > opened.last(*CELLS):  # what a cell holds doesn't end what holds the cell
+                close(place)
             continue
         if name in VOID:
             if name == "hr":
                 flush()
-            elif not dropped:
-                text.append(" ")
+            elif name != "wbr":
+                say(" ")
             continue
         if name in RAW:
-            end = re.compile(f"</{name}", re.I | re.A).search(page, pos)
-            pos = n if end is None else (page.find(">", end.end()) + 1 or n)
+            closing = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I | re.A).search(page, pos)
+            if name == "xmp":
+                say(html.escape(page[pos : n if closing is None else closing.start()]))
+            pos = n if closing is None else (page.find(">", closing.end()) + 1 or n)
             continue
-        if m[3].rstrip().endswith("/") and name not in BLOCKS:
+        if rest.rstrip().endswith("/") and name not in BLOCKS:
             continue
-        if name in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    close(k)
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
-        if same := SIBLINGS.get(name):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in same:
-                    close(k)
-                    break
-                if stack[k][0] in ("ul", "ol", "dl", "table", "select"):
-                    break
+        if name in CLOSES_P and opened.blocks and opened.stack[opened.blocks[-1]][0] == "p":
+            close(opened.blocks[-1])
+        if (same := SIBLINGS.get(name)) and (place := opened.last(*same)) > opened.last(*LISTS):
+            close(place)
         if name in BLOCKS:
             flush()
-            stack.append((name, node(name, m[3])))
+            opened.push(name, node(name, rest))
         else:
-            stack.append((name, stack[-1][1]))
+            opened.push(name, opened.stack[-1][1])
         in_link += name == "a"
         dropped += name in DROPPED
     close(1)
@@ -190,6 +258,11 @@ def node_features(p: Page) -> np.ndarray:
     return x
 
 
+def _log_sum(a: float, b: float) -> float:
+    high, low = (a, b) if a > b else (b, a)
+    return high + math.log1p(math.exp(low - high))
+
+
 @dataclass
 class TreeModel:
     weights: np.ndarray
@@ -208,15 +281,27 @@ class TreeModel:
         for k in range(n):
             if parent[k] >= 0:
                 depth[k] = depth[parent[k]] + 1
-        levels = [np.flatnonzero(depth == d) for d in range(depth.max() + 1)]
+        order = np.argsort(depth, kind="stable")
+        levels = np.split(order, np.cumsum(np.bincount(depth))[:-1])
         pair = self.pair.reshape(-1, 2, 2)[np.zeros(n, np.int64) if kind is None else kind]
         up, sent = unary.copy(), np.zeros((n, 2))
         for rows in levels[:0:-1]:
+            if len(rows) == 1:  # long chains are many levels of one node
+                k, p = rows[0], parent[rows[0]]
+                (a, b), ((c, d), (e, f)) = up[k].tolist(), pair[p].tolist()
+                sent[k] = _log_sum(a + c, b + d), _log_sum(a + e, b + f)
+                up[p] += sent[k]
+                continue
             between = pair[parent[rows]]
             sent[rows] = np.logaddexp(up[rows, :1] + between[:, :, 0], up[rows, 1:] + between[:, :, 1])
             np.add.at(up, parent[rows], sent[rows])
         belief = up.copy()
         for rows in levels[1:]:
+            if len(rows) == 1:
+                k, p = rows[0], parent[rows[0]]
+                (a, b), ((c, d), (e, f)) = (belief[p] - sent[k]).tolist(), pair[p].tolist()
+                belief[k] += _log_sum(a + c, b + e), _log_sum(a + d, b + f)
+                continue
             rest, between = belief[parent[rows]] - sent[rows], pair[parent[rows]]  # what the parent knows from elsewhere
             belief[rows] += np.logaddexp(rest[:, :1] + between[:, 0], rest[:, 1:] + between[:, 1])
         return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -60, 60)))
