@@ -310,8 +310,8 @@ class TreeModel:
 def labelled_pages(count: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[Page, np.ndarray]]:
     """Pages made by layout rules, with the state of each node. Words that start with k are content."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    word = lambda c: c + "".join(rng.choice(list("aeioulnrst"), rng.integers(1, 9)))
-    says = lambda c, n: " ".join(word(c) for _ in range(n))
+    tails = ["".join(x[:n]) for x, n in zip(rng.choice(list("aeioulnrst"), (4096, 8)), rng.integers(1, 9, 4096), strict=True)]
+    says = lambda c, n: " ".join(c + tails[k] for k in rng.integers(0, len(tails), n))
     pick = lambda *x: x[rng.integers(len(x))]
     prose = lambda c, n: ". ".join(says(c, rng.integers(3, 18)) for _ in range(n)) + "."
     out = []
@@ -334,19 +334,21 @@ def labelled_pages(count: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[
         title = f"<h1>{says('k', rng.integers(2, 9))}</h1>"
         text = "".join(paragraphs)
         story = pick(title + text, f"{title}<div class='{pick('entry-content', 'story-body', 'post-body', 'text')}'>{text}</div>", f"<header class='entry-header'>{title}</header><div class='entry-content'>{text}</div>")
-        story = pick(f"<article>{story}</article>", f"<main><article>{story}</article></main>", f"<div class='{pick('content', 'post-body', 'article-text', 'story')}'>{story}</div>", f"<main>{story}</main>", f"<article class='post'>{story}</article>", f"<section class='article-text'>{story}</section>", story, story)
+        story = pick(f"<article>{story}</article>", f"<main><article>{story}</article></main>", f"<div class='{pick('content', 'post-body', 'article-text', 'story')}'>{story}</div>", f"<main>{story}</main>", f"<article class='post'>{story}</article>", f"<section class='article-text'>{story}</section>", *[story] * 4)
         boxes = [f"<div class='{pick('ad', 'advert', 'banner')}'>{prose('m', rng.integers(1, 3))}</div>", f"<aside>{menu}<p>{prose('m', 1)}</p></aside>", f"<div class='{pick('cookie', 'notice', 'cookie-notice')}'><p>{prose('m', 1)}</p></div>", f"<div class='sidebar'><h3>{says('m', 2)}</h3><ul>{links(2, 9)}</ul></div>", f"<aside class='widget-area'><section class='widget'><h2>{says('m', 2)}</h2><ul>{links(2, 6)}</ul></section></aside>", f"<aside class='newsletter'><h3>{says('m', 1)}</h3><p>{prose('m', 1)}</p><form><input></form></aside>", f"<form><label>{says('m', 2)}</label><input></form>"]
         said = [pick(f"<p>{prose('m', rng.integers(1, 4))}</p>", f"<p>{says('m', rng.integers(2, 20))}</p>") for _ in range(rng.integers(1, 6))]
         comments = pick("".join(f"<div class='comment'>{c}</div>" for c in said), f"<ol class='comment-list'>{''.join(f"<li class='comment'>{c}</li>" for c in said)}</ol>", "".join(said))
         comments = pick(f"<section class='comments'><h3>{says('m', 1)}</h3>{comments}</section>", f"<div id='comments'>{comments}</div>", f"<div id='comments' class='comments-area'><h2>{says('m', 2)}</h2>{comments}<form class='comment-form'><label>x</label></form></div>", "", "")
-        before = "".join(b for b in boxes if rng.random() < 0.25)
-        after = "".join(b for b in boxes if rng.random() < 0.25)
+        often = pick(0.0, 0.25, 0.25, 0.25)  # old pages have no boxes
+        before = "".join(b for b in boxes if rng.random() < often)
+        after = "".join(b for b in boxes if rng.random() < often)
         footer = pick(f"<footer>{prose('m', rng.integers(1, 6))}</footer>", f"<footer>&copy; {says('m', rng.integers(1, 20))}</footer>", f"<div class='footer'>{says('m', 6)}</div>", f"<footer><p>{prose('m', 1)}</p>{menu}</footer>", f"<footer class='site-footer'><div>{says('m', 5)}</div></footer>", f"<ul>{links(1, 4)}</ul>")
         if rng.random() < 0.5:
             story, comments = wrapped(story + comments, ("content", "site-content", "main", "inner"), 3), ""
         story = wrapped(story, ("content", "site-content", "main", "inner"), pick(0, 2))
+        around = pick(0, 3, 3)
         nav, after, footer = wrapped(nav, ("row", "top"), 1), wrapped(after, ("row", "col"), 1), wrapped(footer, ("row", "bottom"), 1)
-        page = parse(f"<!DOCTYPE html><html><head><title>{says('m', 4)}</title></head><body>{wrapped(nav + before + story + after + comments + footer, ('wrapper', 'container', 'inner'), 3)}{pick('</body></html>', '')}")
+        page = parse(f"<!DOCTYPE html><html><head><title>{says('m', 4)}</title></head><body>{wrapped(nav + before + story + after + comments + footer, ('wrapper', 'container', 'inner'), around)}{pick('</body></html>', '')}")
         good, bad = np.zeros(len(page.tag)), np.zeros(len(page.tag))
         for k, t, _ in page.runs:
             (good if t[0] == "k" else bad)[k] += len(t)
