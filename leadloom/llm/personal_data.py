@@ -12,6 +12,8 @@ table none. Spans of one kind don't overlap; spans of several kinds with the sam
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +99,14 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def without_overlap(spans: list[tuple], taken: list[tuple[int, int]]) -> list[tuple]:
+    """The spans (kind, start, end, ...) that none of the taken ones, sorted by start, overlaps."""
+    starts = [s for s, _ in taken]
+    reach = list(accumulate((e for _, e in taken), max))  # the furthest end of those up to each
+    # of all that begin before a span's end, one reaches past its start if the furthest does
+    return [x for x in spans if not (k := bisect_left(starts, x[2])) or reach[k - 1] <= x[1]]
+
+
 def find_in(text: str | None) -> list[tuple[int, int, int, float]]:
     """Spans (order of the kind, start, end, score) of a text, sorted."""
     if not text:
@@ -109,10 +119,9 @@ def find_in(text: str | None) -> list[tuple[int, int, int, float]]:
                 out.append((2, *m.span(), True))
         if "+" in text:
             out += [(3, *m.span(), False) for m in _phone.finditer(text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
-        taken = [(s, e) for _, s, e, _ in out]
         more = [(4, *x, True) for x in ibans(text)]
         more += [(5, *m.span(), False) for m in _national.finditer(text) if LOCAL_DIGITS[0] <= len(re.sub("[^0-9]", "", m[0])) <= LOCAL_DIGITS[1]]
-        out += [x for x in more if not any(s < x[2] and x[1] < e for s, e in taken)]
+        out += without_overlap(more, sorted((s, e) for _, s, e, _ in out))
     scored = []
     for o, s, e, confirmed in out:
         kind = KINDS[o]

@@ -2,8 +2,10 @@
 
 A candidate is a maximal run of token characters. For each character class, a window slides over the class's own
 runs in the candidate; counts by character are kept and changed by one in and one out, and the entropy follows from a running sum of n log n. A candidate
-whose best window of those with the digits and letters the class asks for reaches its class's threshold is a span of kind entropy, unless an allow-list pattern covers it or a base
-span overlaps it. Base spans always stay.
+whose best window of those with the digits and letters the class asks for reaches its class's threshold is a span of kind entropy, unless a base
+span overlaps it. The allow-list suppresses in two ways: a candidate that has one of the ALLOW forms from end to end is no secret, and PLAIN
+parts of a candidate (words of a path, rows of dashes) end the windows on both sides, so that a key is found whatever stands
+around it. Base spans always stay.
 
 All expressions are built in; each document is scanned where it lies, without a shuffle. Positions come from the parts
 between matches, in code points. Null and empty texts give no spans, texts of any length are scanned whole, repeated rows give
@@ -39,13 +41,16 @@ CLASSES = {
     "lower": (_LOWER + _DIGITS, r"[a-z0-9]{%d}", ((_DIGITS, 4), ("ghijklmnopqrstuvwxyz", 1)), 3.6),
     "upper": (_UPPER + _DIGITS, r"[A-Z0-9]{%d}", ((_DIGITS, 2), ("GHIJKLMNOPQRSTUVWXYZ", 1)), 3.6),
 }
-#: Well known strings that look like secrets: identifiers by form, placeholders, and digests of the empty input.
+#: Whole candidates that look like secrets and aren't: identifiers by form, placeholders with a few digits, keys of documentation,
+#: series, and digests of the empty input.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)example|placeholder|changeme|dummy|x{8}|0{8}|1234567890",
+    r"^(?i:[a-z_-]*(?:example|placeholder|changeme|dummy)[a-z_-]*[0-9]{0,4})$|EXAMPLE(?:KEY)?$",
+    r"^(?i:0123456789|1234567890|abcdefghij(?:klmnopqrstuvwxyz)?)+[0-9]{0,4}$",
     r"^(?:d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709)$",
-    r"^/|/[a-z]+/[a-z]+/|--",
 )
+#: Parts of a candidate that no window runs over: a slash in front, lower-case words and short numbers of a path, rows of dashes.
+PLAIN = r"^/|(?<=^|/)(?:[a-z]+|[0-9]{1,4})(?=/)|-{2,}"
 
 
 def _positions(matches: Column, parts: Column) -> Column:
@@ -103,7 +108,7 @@ def _ordered(spans: Column, order: int) -> Column:
     return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(order).alias("o"), x["e"].alias("e")))
 
 
-def find_secrets(docs: DataFrame, text: str = "text", window: int = WINDOW, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", window: int = WINDOW, allow: tuple[str, ...] = ALLOW, plain: str = PLAIN) -> DataFrame:
     """docs with secrets: array of (start, end, kind), by start and then by kind as in KINDS; end exclusive."""
     refuse(docs, "_ss_")
     t = F.coalesce(F.col(text), F.lit(""))
@@ -118,8 +123,11 @@ def find_secrets(docs: DataFrame, text: str = "text", window: int = WINDOW, allo
     for o, k in enumerate(KINDS[:3]):
         found[k] = F.coalesce(_ordered(F.filter(f"_ss_{k}_s", fits[k]), o), no_spans)
     four = three.withColumn("_ss_base", F.sort_array(F.concat(*found.values())))
-    fit = lambda m: (sum((m.rlike(p % window).cast("int") for _, p, _, _ in CLASSES.values()), F.lit(0)) > 0) & ~sum((m.rlike(p).cast("int") for p in allow), F.lit(0)).cast("boolean")
-    five = four.withColumn("_ss_try", F.transform(F.filter("_ss_entropy_s", lambda x: fit(x["m"]) & ~F.exists("_ss_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), F.split(x["m"], "").alias("c"))))
+    allowed = lambda m: sum((m.rlike(p).cast("int") for p in allow), F.lit(0)) > 0
+    tried = F.filter("_ss_entropy_s", lambda x: ~allowed(x["m"]) & ~F.exists("_ss_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    tried = F.transform(tried, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.regexp_replace(x["m"], plain, " ").alias("m")))
+    tried = F.filter(tried, lambda x: sum((x["m"].rlike(p % window).cast("int") for _, p, _, _ in CLASSES.values()), F.lit(0)) > 0)
+    five = four.withColumn("_ss_try", F.transform(tried, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), F.split(x["m"], "").alias("c"))))
 
     def high(x: Column) -> Column:
         return sum((F.when(x["m"].rlike(p % window), _best_entropy(x["c"], alphabet, window, needs) >= least).otherwise(False).cast("int") for alphabet, p, needs, least in CLASSES.values()), F.lit(0)) > 0
