@@ -13,7 +13,7 @@ from leadloom.operators import audit, dedupe, gates
 from leadloom.operators.enrich import Provider, enrich, enrich_stats
 from leadloom.operators.normalize import normalize
 from leadloom.operators.validate import AUDIT, Resolver, resolve_domains, validate
-from leadloom.sources import crm, csv_leads
+from leadloom.sources import crm, csv_leads, folders
 from leadloom.tables import Scratch
 
 ORDER = "row_order"
@@ -87,17 +87,25 @@ def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases =
 
 
 def save(result: Run, folder: str, single: bool = False, connection: crm.Connection | None = None, transport: crm.Transport | None = None) -> None:
-    """Leads, a copy for spreadsheets and the audit log; a CRM, if the leads came from one, is updated before any file is written.
+    """Leads, a copy for spreadsheets and the audit log, all of them or none, in the place of a former run's.
 
-    The header is read back from the written files, and GateError raised if it isn't the source's.
+    Nothing is put in place unless everything could be written and the header, read back from the files, is the source's. A CRM, if
+    the leads came from one, is updated once all files stand ready; what it refused, record by record, is one more part.
     """
-    columns = [c for c in result.leads.columns if c != ORDER]
-    if connection is not None:
-        crm.write_crm(result.leads.select(columns), connection, transport)
-    csv_leads.write_leads(result.leads, columns, f"{folder}/deduped", ORDER, single)
-    csv_leads.write_leads(result.leads, columns, f"{folder}/deduped_review", ORDER, single, guard=True)
-    result.audit.orderBy("surviving_lead_id").write.mode("overwrite").csv(f"{folder}/dedup_log", header=True, escape='"', emptyValue="")
-    gates.close_gate(more=gates.header_violations(csv_leads.read_header(result.leads.sparkSession, f"{folder}/deduped"), csv_leads.written_header(columns)))
+    spark, columns = result.leads.sparkSession, [c for c in result.leads.columns if c != ORDER]
+    parts = {
+        "deduped": lambda path: csv_leads.write_leads(result.leads, columns, path, ORDER, single),
+        "deduped_review": lambda path: csv_leads.write_leads(result.leads, columns, path, ORDER, single, guard=True),
+        "dedup_log": lambda path: result.audit.orderBy("surviving_lead_id").write.mode("overwrite").csv(path, header=True, escape='"', emptyValue=""),
+    }
+
+    def check(staged: str) -> None:
+        gates.close_gate(more=gates.header_violations(csv_leads.read_header(spark, f"{staged}/deduped"), csv_leads.written_header(columns)))
+        if connection is not None:
+            refused = crm.write_crm(result.leads.select(columns), connection, transport)
+            refused.write.csv(f"{staged}/crm_refused", header=True, escape='"', emptyValue="")
+
+    folders.publish(spark, folder, parts, check, ("crm_refused",) if connection is not None else ())
 
 
 class Session:
