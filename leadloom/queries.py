@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom import rule_cases
+from leadloom import rule_queries
 from leadloom.functions import domains, names, phones
 from leadloom.functions import sqltext as F
 from leadloom.functions import text as T
@@ -19,8 +19,8 @@ from leadloom.plans import hygiene
 from leadloom.tables import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = dict(rule_queries.QUERIES)
+SQL: dict[str, str] = dict(rule_queries.SQL)
 _LEADS = LEADS_SQL.replace("{customer}", "customer")
 _IN = lambda values: ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
 
@@ -67,13 +67,6 @@ _MAP = lambda section: "MAP {" + ", ".join(f"{_IN([k])}: {_IN([v])}" for k, v in
 _MAPPED = lambda section, c, otherwise: f"(CASE WHEN {_CELL(c)} = '' THEN '' ELSE coalesce({_MAP(section)}[{_ALIAS(c)}], {otherwise}) END)"
 
 
-# -- rules, case by case --------------------------------------------------------------------------------------------------
-
-for _group in rule_cases.GROUPS:
-    QUERIES[_group] = lambda spark, sf_dir, g=_group: rule_cases.rows(spark, g)
-    SQL[_group] = rule_cases.sql(_group)
-
-
 # -- text -----------------------------------------------------------------------------------------------------------------
 
 

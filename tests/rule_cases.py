@@ -1,7 +1,6 @@
 """Cases of the scalar rules: inputs with the values that the rules demand, each worked out from the rule's words.
 
-A group is one query, (rule, input, result) for each case, and its SQL states the results. Values are shown as text; inputs
-of several values are joined by ' ; '.
+Values are shown as text; inputs of several values are joined by ' ; '.
 """
 
 from __future__ import annotations
@@ -126,12 +125,3 @@ def rows(spark: SparkSession, group: str) -> DataFrame:
     for df in out[1:]:
         whole = whole.unionByName(df)
     return whole
-
-
-def sql(group: str) -> str:
-    """The same rows as the rules demand them."""
-    text = lambda v: "CAST(NULL AS VARCHAR)" if v is None else "'" + v.replace("'", "''") + "'"
-    said = [f"({text(name)}, {text(' ; '.join(c) if isinstance(c, tuple) else c)}, {text(v)})" for name, (_, cases) in GROUPS[group].items() for c, v in cases.items()]
-    return f"SELECT * FROM (VALUES {', '.join(said)}) AS t(rule, input, result)"
-
-
