@@ -10,7 +10,7 @@ from leadloom import rule_queries
 from leadloom.functions import domains, names, phones
 from leadloom.functions import sqltext as F
 from leadloom.functions import text as T
-from leadloom.functions.fixed_values import ALIASES, KNOWN_TLDS, LEGAL_SUFFIXES, NATIONAL_PATTERN, PERSONAL_DOMAINS, PERSONAL_PREFIXES, PLACEHOLDER_DOMAINS, SOCIAL_HOSTS, TEST_GIVEN_NAMES, TEST_SURNAMES
+from leadloom.functions.fixed_values import ALIASES, DUMMY_FULL_NAMES, KNOWN_TLDS, LEGAL_SUFFIXES, NATIONAL_PATTERN, PERSONAL_DOMAINS, PERSONAL_PREFIXES, PLACEHOLDER_DOMAINS, SOCIAL_HOSTS, TEST_GIVEN_NAMES, TEST_SURNAMES
 from leadloom.leads import LEADS_SQL, leads
 from leadloom.operators import audit, dedupe, enrich, gates
 from leadloom.operators.normalize import normalize
@@ -258,11 +258,12 @@ _DIALLED = f"""dialled AS (SELECT *, {_DIGITS('Phone')} AS d, CASE Country WHEN
     CASE WHEN hint = 'GB' THEN 'United Kingdom' WHEN hint = 'US' OR Phone LIKE '+1%' THEN 'United States' ELSE '' END AS n_country FROM read)"""
 QUERIES |= {"validated": validated, "normalized": normalized}
 SQL["validated"] = f"WITH leads AS ({_LEADS}), {_CHECKED} SELECT * FROM checked"
-SQL["normalized"] = f"""WITH leads AS ({_LEADS}), {_CHECKED}, {_DIALLED} SELECT Id, n_first AS FirstName, n_last AS LastName, Email, n_phone AS Phone, n_company AS Company, n_title AS Title, n_site AS Website, n_industry AS Industry,
+_NORMAL = """SELECT Id, n_first AS FirstName, n_last AS LastName, Email, n_phone AS Phone, n_company AS Company, n_title AS Title, n_site AS Website, n_industry AS Industry,
   n_country AS Country, row_order, CASE WHEN state = 'needs_review' THEN concat_ws('|', nullif(data_quality_flags, ''), 'unformatted_phone', 'needs_country_code_review') ELSE data_quality_flags END AS data_quality_flags,
   CASE WHEN state = 'needs_review' THEN 'Yes' ELSE hitl_review END AS hitl_review, CASE WHEN Phone <> '' THEN Phone ELSE Phone_raw END AS Phone_raw, concat_ws(' | ', nullif(change_reasons, ''), nullif(why, ''), nullif(site_why, '')) AS change_reasons,
   completeness_flag, email_status, state AS phone_status, why AS phone_reason,
   CAST((n_first <> FirstName)::INT + (n_last <> LastName)::INT + (n_phone <> Phone)::INT + (n_company <> Company)::INT + (n_title <> Title)::INT + (n_site <> Website)::INT + (n_industry <> Industry)::INT + (n_country <> Country)::INT AS INTEGER) AS _changes FROM new"""
+SQL["normalized"] = f"WITH leads AS ({_LEADS}), {_CHECKED}, {_DIALLED} {_NORMAL}"
 
 
 @query(f"""SELECT a.Id AS id_a, b.Id AS id_b FROM leads a JOIN leads b ON a.row_order < b.row_order
@@ -275,6 +276,29 @@ def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(id_.select(F.col("Id").alias("id_a"), F.col("row_order").alias("a")), "a").join(id_.select(F.col("Id").alias("id_b"), F.col("row_order").alias("b")), "b").select("id_a", "id_b")
 
 
+def _pairs(rows: str) -> str:
+    """Tables keyed, asked, common and scored over rows: every pair with a shared key, with its signals, score and what becomes of it."""
+    given, canon, folded = rule_queries._GIVEN, rule_queries._CANON, rule_queries._FOLD
+    unreal = lambda f, n: f"({given(f)} IN ({_IN(TEST_GIVEN_NAMES)}) OR {given(n)} IN ({_IN(TEST_SURNAMES)}) OR {given(f)} || '/' || {given(n)} IN ({_IN('/'.join(p) for p in DUMMY_FULL_NAMES)}))"
+    return f"""keyed AS (SELECT Id, CAST(row_order AS BIGINT) AS o, lower({_CELL('Email')}) AS e, {_MAILHOST('Email')} AS h, {folded(rule_queries._LOCAL('Email'))} AS l, {_PERSONAL(_MAILHOST('Email'))} AS own,
+    {folded('FirstName')} AS f, {folded('LastName')} AS n, {_KEY(f'coalesce({_MAP("company")}[{_ALIAS("Company")}], Company)')} AS c, {_DIGITS('Phone')} AS p, list_contains(string_split(data_quality_flags, '|'), 'test_data') AS t FROM {rows}),
+  met AS (SELECT a.Id AS id_a, b.Id AS id_b, a.o AS oa, b.o AS ob, a.l AS la, b.l AS lb, a.e <> '' AND a.e = b.e AS email, a.c <> '' AND a.c = b.c AS company, length(a.p) >= 7 AND a.p = b.p AS phone, a.h <> '' AND a.h = b.h AND NOT a.own AS domain,
+    a.p <> '' AND b.p <> '' AND a.p <> b.p AND least(length(a.p), length(b.p)) >= 7 AND abs(length(a.p) - length(b.p)) <= 2 AND levenshtein(a.p, b.p) BETWEEN 1 AND 2 AS nearly, {canon('a.f')} = {canon('b.f')} AS alias,
+    a.f <> '' AND b.f <> '' AND a.n <> '' AND a.n = b.n AND NOT {unreal('a.f', 'a.n')} AND NOT {unreal('b.f', 'b.n')} AND ({canon('a.f')} = {canon('b.f')} OR (length({given('a.f')}) = 1 AND starts_with({given('b.f')}, {given('a.f')})) OR (length({given('b.f')}) = 1 AND starts_with({given('a.f')}, {given('b.f')}))) AS who,
+    a.e <> '' AND b.e <> '' AS mails, a.c <> '' AND b.c <> '' AS companies, a.t AND b.t AS tests FROM keyed a JOIN keyed b ON a.o < b.o AND ((a.e <> '' AND a.e = b.e) OR (length(a.p) >= 7 AND a.p = b.p) OR (a.n <> '' AND a.n = b.n))),
+  steps AS (SELECT oa, ob, la, lb, 0 AS i, list_transform(range(length(lb)), lambda j: 0) AS cells FROM met WHERE who AND company AND mails AND NOT email
+    UNION ALL SELECT oa, ob, la, lb, i + 1, list_transform(range(1, length(lb) + 1), lambda j: list_max(tried[1:j])) FROM (
+      SELECT oa, ob, la, lb, i, list_transform(range(1, length(lb) + 1), lambda j: CASE WHEN substr(lb, j, 1) = substr(la, i + 1, 1) THEN (CASE WHEN j > 1 THEN cells[j - 1] ELSE 0 END) + 1 ELSE cells[j] END) AS tried FROM steps WHERE i < length(la))),
+  facts AS (SELECT met.*, coalesce(200.0 * s.cells[length(s.lb)] / (length(s.la) + length(s.lb)) >= 80, false) AS likely FROM met LEFT JOIN steps s ON s.oa = met.oa AND s.ob = met.ob AND s.i = length(s.la)),
+  told AS (SELECT *, NOT who AND phone AS shared, who AND NOT phone AND nearly AS near, NOT who AND phone AND company AND mails AND NOT email AS desk, who AND domain AND NOT email AND NOT company AS by_domain,
+    who AND likely AND company AND NOT email AS by_local, who AND companies AND NOT company AND NOT phone AND NOT email AS other FROM facts),
+  scored AS (SELECT *, concat_ws('|', CASE WHEN email THEN 'exact_email' END, CASE WHEN who AND company THEN 'name+company' END, CASE WHEN who AND phone THEN 'name+phone' END, CASE WHEN shared THEN 'phone_shared' END, CASE WHEN near THEN 'name+phone_near' END,
+      CASE WHEN desk THEN 'switchboard_phone' END, CASE WHEN by_domain THEN 'name+email_domain' END, CASE WHEN by_local THEN 'name+email_local' END, CASE WHEN other THEN 'weak_company' END) AS signals,
+    greatest(CASE WHEN email THEN 100 ELSE 0 END, CASE WHEN who AND company THEN CASE WHEN alias THEN 80 ELSE 70 END ELSE 0 END, CASE WHEN who AND phone THEN 75 ELSE 0 END, CASE WHEN by_domain OR by_local THEN 50 ELSE 0 END, CASE WHEN shared THEN 25 ELSE 0 END, CASE WHEN near THEN 20 ELSE 0 END) AS score,
+    NOT desk AND (email OR (NOT tests AND who AND (company OR phone))) AS auto_merge FROM told),
+  pairs AS (SELECT *, NOT auto_merge AND NOT tests AND (shared OR other OR by_domain OR by_local OR near) AS hitl FROM scored)"""
+
+
 @query()
 def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Scratch(spark, "keys").keep(dedupe.keyed(leads(spark, sf_dir).withColumn("data_quality_flags", F.lit(""))))
@@ -284,21 +308,60 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("id_a", "id_b", F.array_join("s.signals", "|").alias("signals"), "s.score", "s.auto_merge", "s.hitl")
 
 
+SQL["pair_scores"] = f"WITH RECURSIVE leads AS ({_LEADS}), flagged AS (SELECT *, '' AS data_quality_flags FROM leads), {_pairs('flagged')} SELECT id_a, id_b, signals, score, auto_merge, hitl FROM pairs"
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "clean")
     return scratch.keep(normalize(scratch.keep(_valid(spark, sf_dir).drop("_issues"))).drop("_changes"))
 
 
-@query()
 def survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.dedupe(_clean(spark, sf_dir))[0]
 
 
-@query()
 def merge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.dedupe(_clean(spark, sf_dir))[1]
 
 
+# among these leads at most two can meet: a lead and its copy, or two with one phone. Of a merged pair the lead stays that is no test
+# record, else the one of the CRM, which all first ones are; its blanks are filled, and a phone brings its state along
+_FILLED = ("FirstName", "LastName", "Email", "Company", "Title", "Website", "Industry", "Country")
+_MERGED = f"""clean AS (SELECT * EXCLUDE (_changes) FROM ({_NORMAL})),
+  {_pairs('clean')},
+  marked AS (SELECT c.* REPLACE (CASE WHEN x.o IS NULL THEN c.data_quality_flags ELSE concat_ws('|', nullif(c.data_quality_flags, ''), 'low_confidence_match') END AS data_quality_flags, CASE WHEN x.o IS NULL THEN c.hitl_review ELSE 'Yes' END AS hitl_review)
+    FROM clean c LEFT JOIN (SELECT oa AS o FROM pairs WHERE hitl UNION SELECT ob FROM pairs WHERE hitl) x ON x.o = CAST(c.row_order AS BIGINT)),
+  chosen AS (SELECT p.*, CASE WHEN list_contains(string_split(a.data_quality_flags, '|'), 'test_data') AND NOT list_contains(string_split(b.data_quality_flags, '|'), 'test_data') THEN ob ELSE oa END AS stays
+    FROM pairs p JOIN marked a ON CAST(a.row_order AS BIGINT) = oa JOIN marked b ON CAST(b.row_order AS BIGINT) = ob WHERE auto_merge),
+  goes AS (SELECT stays, CASE WHEN stays = oa THEN ob ELSE oa END AS o, signals, score FROM chosen),
+  merged AS (SELECT k.Id, {', '.join(f"CASE WHEN {_CELL(f'k.{c}')} = '' AND {_CELL(f'g.{c}')} <> '' THEN g.{c} ELSE k.{c} END AS {c}" for c in _FILLED)},
+    {', '.join(f"CASE WHEN k.Phone = '' AND g.Phone <> '' THEN g.{c} ELSE k.{c} END AS {c}" for c in ("Phone", "Phone_raw", "phone_status", "phone_reason"))}, k.row_order, k.completeness_flag, k.email_status,
+    CASE WHEN 'Yes' IN (k.hitl_review, g.hitl_review) THEN 'Yes' ELSE k.hitl_review END AS hitl_review, concat_ws(' | ', nullif(k.change_reasons, ''), nullif(g.change_reasons, '')) AS change_reasons,
+    array_to_string(list_filter(string_split(k.data_quality_flags, '|'), lambda x: x <> '') || list_filter(string_split(g.data_quality_flags, '|'), lambda x: x <> '' AND NOT list_contains(string_split(k.data_quality_flags, '|'), x) AND x <> 'test_data'), '|') AS data_quality_flags
+    FROM goes JOIN marked k ON CAST(k.row_order AS BIGINT) = stays JOIN marked g ON CAST(g.row_order AS BIGINT) = goes.o)"""
+QUERIES |= {"survivors": survivors, "merge_log": merge_log}
+_SIGNAL_NAMES = "MAP {" + ", ".join(f"{_IN([k])}: {_IN([v])}" for k, v in dedupe.SIGNALS.items()) + "}"
+_LOGGED = f"""left_over AS (SELECT * REPLACE (CAST(row_order AS BIGINT) AS row_order) FROM (SELECT * FROM merged UNION ALL BY NAME SELECT * FROM marked WHERE CAST(row_order AS BIGINT) NOT IN (SELECT oa FROM chosen UNION SELECT ob FROM chosen))),
+  entries AS (
+    SELECT CASE WHEN c.stays = c.oa THEN c.id_a ELSE c.id_b END AS lead, CASE WHEN c.stays = c.oa THEN c.id_b ELSE c.id_a END AS lost, signals, score, true AS merges FROM chosen c
+    UNION ALL SELECT unnest([id_a, id_b]), '', signals, score, false FROM pairs WHERE hitl),
+  log AS (SELECT *, CASE WHEN level = '' THEN said ELSE level || ': ' || said END AS match_reason FROM (
+    SELECT lead AS surviving_lead_id, lost AS merged_from_ids, signals AS match_signals_used, CASE WHEN score >= 90 THEN 'High' WHEN score >= 70 THEN 'Med' WHEN score > 0 THEN 'Low' ELSE '' END AS level, CASE WHEN merges THEN 'auto_merge' ELSE 'hitl_review' END AS decision,
+      CASE WHEN merges THEN lost || ':' || signals ELSE '' END AS absorbed_match_signals, CASE WHEN merges THEN 'merged on ' || why ELSE 'held for review (' || why || ')' END AS said
+    FROM (SELECT *, array_to_string(list_transform(string_split(signals, '|'), lambda x: {_SIGNAL_NAMES}[x]), ' + ') AS why FROM entries)))"""
+_FLAGS = "list_filter(string_split(data_quality_flags, '|'), lambda x: x <> '')"
+_DROPPED = f"""ended AS (SELECT *, len(list_filter({_FLAGS}, lambda x: x IN ('test_data', 'junk_lead'))) > 0 AS flagged, Company = '' AND Email = '' AND Phone = '' AS empty FROM left_over),
+  final AS (SELECT * REPLACE (CASE WHEN empty AND NOT flagged THEN array_to_string({_FLAGS} || ['junk_lead'], '|') ELSE data_quality_flags END AS data_quality_flags) FROM ended)"""
+_ALL = f"WITH RECURSIVE leads AS ({_LEADS}), {_CHECKED}, {_DIALLED}, {_MERGED}, {_LOGGED}, {_DROPPED}"
+SQL["survivors"] = f"{_ALL} SELECT * FROM left_over"
+SQL["merge_log"] = f"{_ALL} SELECT surviving_lead_id, merged_from_ids, match_signals_used, level AS confidence_score, decision, absorbed_match_signals, match_reason FROM log"
+SQL["hygiene_run"] = f"{_ALL} SELECT Id, FirstName, LastName, Email, Phone, Company, Title, Website, Industry, Country, row_order FROM final WHERE NOT flagged AND NOT empty"
+SQL["audit_lines"] = f"""{_ALL} SELECT coalesce(d.Id, m.surviving_lead_id) AS surviving_lead_id, coalesce(merged_from_ids, '') AS merged_from_ids, coalesce(match_signals_used, '') AS match_signals_used, coalesce(level, '') AS confidence_score, coalesce(match_reason, '') AS match_reason,
+  CASE WHEN coalesce(decision, '') <> '' THEN decision WHEN list_contains(d.fl, 'test_data') THEN 'dropped_test_data' WHEN list_contains(d.fl, 'junk_lead') THEN 'dropped_junk_lead' WHEN len(list_filter(d.fl, lambda x: x IN ({_IN(audit.HELD)}))) > 0 THEN 'hitl_review' ELSE '' END AS decision,
+  coalesce(data_quality_flags, '') AS data_quality_flags, coalesce(phone_status, '') AS phone_status, coalesce(phone_reason, '') AS phone_reason, coalesce(Phone_raw, '') AS phone_raw
+FROM (SELECT *, {_FLAGS} AS fl FROM final) d FULL JOIN log m ON m.surviving_lead_id = d.Id WHERE m.surviving_lead_id IS NOT NULL OR data_quality_flags <> '' OR phone_status <> ''"""
+
+
 # where leads have nothing but an e-mail, a group of equal ones goes to its first lead with an Id of the CRM, else to its first
 _BY_EMAIL = f"""grouped AS (SELECT Id, row_order, {_CELL('Email')} AS shown, lower({_CELL('Email')}) AS e FROM leads),
   best AS (SELECT e, min(row_order) AS first, coalesce(min(row_order) FILTER (WHERE Id LIKE '00Q%'), min(row_order)) AS stays FROM grouped WHERE e <> '' GROUP BY e)"""
@@ -333,16 +396,17 @@ SQL["email_merge_log"] = _with(
 )
 
 
-@query()
 def hygiene_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entry(spark, sf_dir)
 
 
-@query()
 def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hygiene.run(leads(spark, sf_dir), mx=verdicts(spark), check=False).audit
 
 
+QUERIES |= {"hygiene_run": hygiene_run, "audit_lines": audit_lines}
+
+
 @query(f"SELECT 'duplicate_email' AS rule, CAST(count(*) AS BIGINT) AS n FROM (SELECT lower(Email) FROM leads WHERE Email <> '' GROUP BY 1 HAVING count(*) > 1) HAVING count(*) > 0 UNION ALL SELECT 'website_free_provider', CAST(count(*) AS BIGINT) FROM leads WHERE Website = 'gmail.com' UNION ALL SELECT 'phone_formula', CAST(count(*) AS BIGINT) FROM leads WHERE Phone LIKE '+%'")
 def invariant_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.invariants(leads(spark, sf_dir)).select("rule", "n")
