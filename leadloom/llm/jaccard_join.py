@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from leadloom.operators.components import components
 from leadloom.session import ship_package
 
-from .common import Scratch
+from .common import Scratch, refuse
 from .shingles import mix, shingle_sets
 
 SHINGLE, PERCENT = 4, 85
@@ -448,7 +448,8 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", **how: int) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of their component."""
+    """The rows of docs whose doc_id is the smallest of their component. Columns that begin with _jj_ are refused."""
+    refuse(docs, "_jj_")
     lost = linked(spark, docs, text, **how).filter("doc_id <> component_id").select(F.col("doc_id").alias("_jj_id")).distinct()
     return docs.join(lost.hint("merge"), F.col("doc_id") == F.col("_jj_id"), "left_anti")
 

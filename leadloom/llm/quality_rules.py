@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BLANK, Scratch, words_of
+from .common import BLANK, Scratch, refuse, words_of
 
 #: Statistic: the column of its resolution in that text: the sampling variance of the words' mean length, and the variance
 #: that one symbol, line, window or capital makes.
@@ -213,7 +213,8 @@ def score_documents(spark: SparkSession, docs: DataFrame, cutoff: float = CUTOFF
 
 
 def filter_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with all their columns."""
+    """The rows of docs that the rules keep, with all their columns. Columns that begin with _qr_ are refused."""
+    refuse(docs, "_qr_")
     key, scratch = F.xxhash64("text", "lang", "source"), Scratch(spark, "quality")
     scored = score_documents(spark, docs.withColumn("doc_id", F.struct("doc_id", key.alias("h"))), scratch=scratch)
     bad = Scratch(spark, "rejected").keep(scored.filter(~F.col("kept")).select(F.col("doc_id.doc_id").alias("_qr_id"), F.col("doc_id.h").alias("_qr_h")).distinct())

@@ -1,9 +1,12 @@
-"""Keys among paths, dashes and placeholders are found; what only looks like one isn't; overlaps are told in proportion."""
+"""Names used inside are refused. Keys among paths, dashes and placeholders are found; what only looks like one isn't; overlaps are told in proportion."""
 
 import random
 import time
 
-from leadloom.llm import personal_data, secret_scan
+import pytest
+from pyspark.sql import functions as F
+
+from leadloom.llm import decontamination, jaccard_join, line_dedup, personal_data, quality_rules, secret_scan
 
 KEYS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
@@ -39,3 +42,9 @@ def test_overlaps(frame):
     began = time.perf_counter()
     assert len(personal_data.find_in(text)) == 40_000
     assert time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize(("prefix", "work"), [("_jj_", lambda s, d: jaccard_join.keep_one(s, d)), ("_qr_", lambda s, d: quality_rules.filter_documents(s, d)), ("_ld_", lambda s, d: line_dedup.dedup_lines(s, d)), ("_bd_", lambda s, d: decontamination.drop_contaminated(s, d, d.select(F.col("doc_id").alias("item_id"), "text"))), ("_ss_", lambda s, d: secret_scan.find_secrets(d))])
+def test_names_used_inside_are_refused(spark, frame, prefix, work):
+    with pytest.raises(ValueError, match=prefix):
+        work(spark, frame([(1, "a")]).withColumn(f"{prefix}x", F.lit(1)))
