@@ -10,7 +10,7 @@ Nulls: a null text fails the quality rules, as empty texts do; a null language o
 a null doc_id pass through the stages like others, but none is the smallest of its group, so they stay. Ties and repeats: rows
 that repeat doc_id and text share one fate, and where they are their group's smallest doc_id, all of them stay. Texts of any
 length are read whole. Empty tables give empty results. Columns besides those of documents are carried up to the last stage;
-their names may be any that the operators don't use inside (they begin with _ld_ or _bd_, and are refused).
+their names may be any that the operators don't use inside (they begin with _qr_, _ld_, _jj_ or _bd_, and are refused).
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ from leadloom.operators import audit, dedupe, enrich, gates
 from leadloom.operators.normalize import normalize
 from leadloom.operators.validate import validate
 from leadloom.plans import hygiene
+from leadloom.sources import csv_leads
+from leadloom.streaming import batches
 from leadloom.tables import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,3 +523,44 @@ def plan_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.expr(f"CAST({_NUMBER} AS STRING)").alias("d"))
     rows = c.select("c_custkey", "d", F.explode(F.array(*[F.struct(F.lit(r).alias("region"), F.lit(k).alias("code")) for r, k in _PLANS.items()])).alias("p"))
     return rows.select("c_custkey", "p.region", phones.e164(F.col("p.code"), F.col("d")).alias("value"))
+
+
+# -- sources, streams, lookups --------------------------------------------------------------------------------------------
+
+
+@query("""SELECT Id, Title || chr(10) || '"' || Company || '", ' || Id AS Title, ' ' || Email || ' ' AS Email, '=' || FirstName AS mark FROM leads""")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leads written as CSV files, values with line ends and quotes and a header of underscores among them, and read back in blocks."""
+    odd = leads(spark, sf_dir).select("Id", F.concat("Title", F.lit('\n"'), "Company", F.lit('", '), "Id").alias("Title"), F.concat(F.lit(" "), "Email", F.lit(" ")).alias("Email"), F.concat(F.lit("="), "FirstName").alias("__"), "row_order")
+    path = f"{Scratch(spark, 'round_trip').root}/csv"
+    csv_leads.write_leads(odd, ["Id", "Title", "Email", "__"], path)
+    return csv_leads.read_leads(spark, path, order="row_order").select("Id", "Title", "Email", F.col("_").alias("mark"))
+
+
+def streamed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row-wise stages over leads as a stream, in batches that end with the table."""
+    table = f"{sf_dir}/customer.parquet"
+    stream = spark.sql(LEADS_SQL, customer=spark.readStream.schema(spark.read.parquet(table).schema).parquet(f"{table}*"))  # a pattern may be a file or a folder
+    root = Scratch(spark, "stream").root
+    batches.write_batches(batches.clean_stream(stream, verdicts(spark)), f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
+QUERIES["streamed_clean"] = streamed_clean
+SQL["streamed_clean"] = f"WITH leads AS ({_LEADS}), {_CHECKED}, {_DIALLED} SELECT * EXCLUDE (_changes) FROM ({_NORMAL})"
+
+
+@query(f"""SELECT Id, Email, Phone, Title, Company, Website, CAST(filled AS INTEGER) AS filled, asked AS sent, asked AS matched FROM (
+  SELECT Id, CASE WHEN ask AND e = '' THEN lower(Id) || '@w.de' ELSE Email END AS Email, CASE WHEN ask AND Phone = '' THEN '+2' ELSE Phone END AS Phone, CASE WHEN ask AND Title = '' THEN 'Chief' ELSE Title END AS Title, Company, Website,
+    firm::INT + site::INT + (ask AND e = '')::INT + (ask AND Phone = '')::INT + (ask AND Title = '')::INT AS filled, ask OR site AS asked
+  FROM (SELECT *, (LastName = '' OR e = '' OR {_CELL('Company')} = '' OR Title = '' OR Phone = '') AND (e <> '' OR LastName <> '') AS ask
+    FROM (SELECT Id, LastName, Email, {_CELL('Email')} AS e, Phone, Title, Website = '' AS site, Website = '' AND {_CELL('Company')} = '' AS firm, CASE WHEN Website = '' THEN 'https://acme.com' ELSE Website END AS Website,
+        CASE WHEN Website = '' AND {_CELL('Company')} = '' THEN 'Firm ' || CASE WHEN Email LIKE '%@acme.com' THEN 'domain:acme.com' WHEN Email LIKE '%@example.com' THEN 'domain:example.com' ELSE 'name:' || {_ALIAS('Company')} END ELSE Company END AS Company FROM leads)))""")
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blanks filled by two services: firms by key, then contacts by what they lack."""
+    none = F.lit(None).cast("string")
+    firms = lambda asked: asked.select("key", F.concat(F.lit("Firm "), "key").alias("name"), F.lit("Other").alias("industry"), F.lit("acme.com").alias("domain"), none.cast("double").alias("employees"), none.cast("double").alias("revenue"))
+    values = lambda field, *of: F.array(*[F.struct(v.alias(field), F.lit(kind).alias("type")) for v, kind in of])
+    people = lambda asked: asked.select("Id", none.alias("first"), none.alias("last"), values("email", (F.lit("p@x.de"), "private"), (F.concat("Id", F.lit("@w.de")), "work")).alias("emails"), values("number", (F.lit("+1"), "mobile"), (F.lit("+2"), "direct")).alias("phones"), F.lit("Chief").alias("title"), none.alias("company"), none.alias("industry"), none.alias("domain"))
+    done = enrich.enrich(leads(spark, sf_dir), firms, people)
+    return done.select("Id", "Email", "Phone", "Title", "Company", "Website", F.col("_filled").alias("filled"), F.col("_sent").alias("sent"), F.col("_matched").alias("matched"))
