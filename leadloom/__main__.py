@@ -11,12 +11,14 @@ from leadloom.operators import gates, report
 from leadloom.operators.gates import GateError
 from leadloom.plans import hygiene
 from leadloom.sources import crm, csv_leads, dictionaries
+from leadloom.sources.memory import VerdictMemory
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="leadloom", description=__doc__)
     how = argparse.ArgumentParser(add_help=False)
     how.add_argument("--verdicts", help="JSON of domains that take mail")
+    how.add_argument("--memory", help="folder of answers about mail domains from earlier runs")
     how.add_argument("--guard", action="store_true", help=f"refuse more than {csv_leads.MAX_ROWS} rows or {csv_leads.MAX_CHARS} bytes")
     commands = p.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", parents=[how], help="clean, resolve and write leads")
@@ -45,13 +47,14 @@ def read(spark: SparkSession, path: str, guard: bool) -> DataFrame:
 
 def run(spark: SparkSession, a: argparse.Namespace, connection: crm.Connection | None = None, transport: crm.Transport | None = None) -> int:
     mx = dictionaries.read_verdicts(spark, a.verdicts) if a.verdicts else None
+    memory = VerdictMemory(spark, a.memory) if a.memory else None
     if a.command == "capture":
-        done = hygiene.run(read(spark, a.input, a.guard), mx=mx)
+        done = hygiene.run(read(spark, a.input, a.guard), mx=mx, memory=memory)
         csv_leads.write_leads(done.leads, [c for c in done.leads.columns if c != hygiene.ORDER], a.baseline, single=True)
         return 0
     if a.command == "compare":
         old = csv_leads.read_leads(spark, a.baseline)
-        new = hygiene.run(read(spark, a.input, a.guard), mx=mx).leads.drop(hygiene.ORDER)
+        new = hygiene.run(read(spark, a.input, a.guard), mx=mx, memory=memory).leads.drop(hygiene.ORDER)
         told = gates.frame_report(old, new, a.key, tuple(a.expect))
         print("\n".join(gates.report_lines(told)))
         return int(bool(told["added_columns"] or told["dropped_columns"]) or not told["unexpected"].isEmpty())
@@ -60,7 +63,7 @@ def run(spark: SparkSession, a: argparse.Namespace, connection: crm.Connection |
         source = csv_leads.require(crm.read_crm(spark, connection, transport), max_rows=csv_leads.MAX_ROWS if a.guard else None)
     else:
         connection, source = None, read(spark, a.paths[0], a.guard)
-    done = hygiene.run(source, mx=mx, baseline=csv_leads.read_leads(spark, a.baseline) if a.baseline else None, accept_changes=a.accept_changes)
+    done = hygiene.run(source, mx=mx, memory=memory, baseline=csv_leads.read_leads(spark, a.baseline) if a.baseline else None, accept_changes=a.accept_changes)
     hygiene.save(done, a.paths[-1], connection=connection, transport=transport)
     print("\n".join(report.lines(report.summary(done))))
     return 0

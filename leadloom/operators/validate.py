@@ -11,6 +11,7 @@ from leadloom.functions import domains, fixed_values, names, phones
 from leadloom.functions import sqltext as F
 from leadloom.functions.text import cell, digits, email_domain, reasons, strip_formula
 from leadloom.session import ship_package
+from leadloom.sources.memory import VerdictMemory
 from leadloom.tables import Scratch
 
 AUDIT = ("data_quality_flags", "hitl_review", "phone_status", "phone_reason", "Phone_raw", "change_reasons", "completeness_flag", "email_status")
@@ -37,15 +38,17 @@ def mail_verdicts(df: DataFrame, mx: DataFrame | None, email: str = "Email") ->
 Resolver = Callable[[str], bool | None]
 
 
-def resolve_domains(df: DataFrame, mx: DataFrame | None, resolver: Resolver, email: str = "Email") -> DataFrame:
+def resolve_domains(df: DataFrame, mx: DataFrame | None, resolver: Resolver, email: str = "Email", memory: VerdictMemory | None = None) -> DataFrame:
     """mx (domain, routable) with the domains of df's addresses that it lacks, each asked once of the resolver.
 
     The resolver runs on the executors and says None where it can't tell; such domains stay unknown. Answers are written once,
-    so that no plan that is run again asks again.
+    so that no plan that is run again asks again. memory: answers of earlier runs count where mx has none, and new ones are added.
     """
     spark = df.sparkSession
     ship_package(spark)
     known = mx.select(F.lower("domain").alias("domain"), F.col("routable").cast("boolean").alias("routable")) if mx is not None else spark.createDataFrame([], "domain string, routable boolean")
+    if memory is not None:
+        known = known.unionByName(Scratch(spark, "remembered").keep(memory.verdicts()).join(known.select("domain"), "domain", "left_anti"))
     asked = df.select(email_domain(F.col(email)).alias("domain")).filter("domain <> ''").distinct().filter(~domains.is_reserved(F.col("domain"))).join(known, "domain", "left_anti")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,6 +56,8 @@ def resolve_domains(df: DataFrame, mx: DataFrame | None, resolver: Resolver, ema
             yield pa.RecordBatch.from_arrays([b.column("domain"), pa.array([resolver(d) for d in b.column("domain").to_pylist()], pa.bool_())], ["domain", "routable"])
 
     found = Scratch(spark, "domains").keep(asked.mapInArrow(work, "domain string, routable boolean").filter("routable IS NOT NULL"))
+    if memory is not None:
+        memory.remember(found)
     return known.unionByName(found)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from leadloom.functions import domains, fixed_values, names
 from leadloom.functions import sqltext as F
@@ -14,6 +17,7 @@ from leadloom.operators.enrich import Provider, enrich, enrich_stats
 from leadloom.operators.normalize import normalize
 from leadloom.operators.validate import AUDIT, Resolver, resolve_domains, validate
 from leadloom.sources import crm, csv_leads, folders
+from leadloom.sources.memory import VerdictMemory
 from leadloom.tables import Scratch
 
 ORDER = "row_order"
@@ -49,10 +53,10 @@ def mark_drops(df: DataFrame) -> DataFrame:
     return out.withColumn("data_quality_flags", F.array_join(add_flags(flag_list(F.col("data_quality_flags")), (F.col("_drop") & ~flagged, "junk_lead")), "|"))
 
 
-def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases = fixed_values.ALIASES, baseline: DataFrame | None = None, accept_changes: bool = False, check: bool = True, resolver: Resolver | None = None) -> Run:
+def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases = fixed_values.ALIASES, baseline: DataFrame | None = None, accept_changes: bool = False, check: bool = True, resolver: Resolver | None = None, memory: VerdictMemory | None = None) -> Run:
     """All stages over a table of leads. Raises GateError, and writes nothing, if a gate is closed.
 
-    resolver: asked for mail domains that mx lacks. baseline: the last good result; changed cells of Ids that it has close the gate unless accept_changes.
+    resolver: asked for mail domains that mx lacks, and that memory, if given, doesn't know from earlier runs. baseline: the last good result; changed cells of Ids that it has close the gate unless accept_changes.
     """
     spark = source.sparkSession
     scratch = Scratch(spark, "hygiene")
@@ -60,7 +64,9 @@ def run(source: DataFrame, mx: DataFrame | None = None, aliases: names.Aliases =
     rows = source if ORDER in source.columns else csv_leads.numbered(source)
     rows = scratch.keep(rows)
     if resolver is not None and "Email" in rows.columns:
-        mx = resolve_domains(rows, mx, resolver)
+        mx = resolve_domains(rows, mx, resolver, memory=memory)
+    elif memory is not None and "Email" in rows.columns:
+        mx = resolve_domains(rows, mx, lambda domain: None, memory=memory)
     valid = scratch.keep(validate(rows, mx))
     normal = scratch.keep(normalize(valid.drop("_issues"), aliases))
     survivors, log = dedupe.dedupe(normal.drop("_changes"), ORDER)
@@ -108,17 +114,44 @@ def save(result: Run, folder: str, single: bool = False, connection: crm.Connect
     folders.publish(spark, folder, parts, check, ("crm_refused",) if connection is not None else ())
 
 
+TABLES = ("leads", "internal", "audit", "log", "dropped", "source")
+
+
 class Session:
-    """Steps that need each other: lookup and enrichment work on the last good run."""
+    """Steps that need each other: lookup and enrichment work on the last good run.
+
+    A run can be kept in a folder and reopened by another session, under its own identity.
+    """
 
     def __init__(self) -> None:
         self.last: Run | None = None
+        self.identity: dict[str, str] = {}
 
     def run(self, source: DataFrame, **how: object) -> Run:
         self.last = None
         self.last = run(source, **how)
+        self.identity = {"id": uuid.uuid4().hex, "made": datetime.now(UTC).isoformat(timespec="seconds")}
         return self.last
 
+    def keep(self, folder: str) -> dict[str, str]:
+        """Store the last run's tables, counts and identity, all of them or none, in the place of a run kept there before."""
+        done, store = self._need(), folders.Store(self._need().leads.sparkSession, folder)
+        told = json.dumps({"identity": self.identity, "counts": done.counts, "rows": {n: getattr(done, n).count() for n in TABLES}})
+        parts = {n: (lambda path, n=n: getattr(done, n).write.parquet(path)) for n in TABLES} | {"run.json": lambda path: store.write(path, told)}
+        folders.publish(done.leads.sparkSession, folder, parts)
+        return self.identity
+
+    @staticmethod
+    def reopen(spark: SparkSession, folder: str) -> Session:
+        """A session whose last run is the one that was kept in a folder; a commit that broke off is finished first."""
+        folders.recover(spark, folder)
+        store, out = folders.Store(spark, folder), Session()
+        if not store.exists(f"{folder}/run.json"):
+            raise csv_leads.SourceError(f"{folder}: no run was kept here")
+        told = json.loads(store.read(f"{folder}/run.json"))
+        out.identity, out.last = told["identity"], Run(**{n: spark.read.parquet(f"{folder}/{n}") for n in TABLES}, counts=told["counts"])
+        return out
+
     def _need(self) -> Run:
         if self.last is None:
             raise csv_leads.SourceError("no finished run in this session; run it first")
