@@ -1,7 +1,8 @@
 """Lookup services as providers of enrich(): requests go in batches over HTTPS, results come back as tables.
 
-The results of a provider are written once to the shared folder, so that no plan that is run again pays twice. A task that
-Spark repeats after a lost executor asks again for the batches it had not handed over.
+The results of a provider are written once to the shared folder, so that no plan that is run again pays twice. With a ledger no task
+that Spark repeats after a lost executor pays twice either; without one it asks again for the batches it had not handed over.
+Requests stand in the order of their keys within a cohort, so that a repeated task makes the same batches.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from leadloom.session import ship_package
 from leadloom.tables import Scratch
 
 from .http import JsonClient, RequestFailed
+from .ledger import Ledger, at_most_once
 
 Send = Callable[[str, str, dict], dict]
 _KIND = pa.string()
@@ -67,17 +69,18 @@ class Service:
     contact_url: str
     send: Send = field(default_factory=client)
     batch: int = BATCH
+    ledger: Ledger | None = None
     paid: list[DataFrame] = field(default_factory=list)
 
     def companies(self, requests: DataFrame) -> DataFrame:
-        asked = requests.select("key", F.lit("").alias("cohort"), F.to_json(F.struct(F.nullif("name", F.lit("")).alias("name"), F.nullif("domain", F.lit("")).alias("domain"))).alias("ask"))
+        asked = requests.sortWithinPartitions("key").select("key", F.lit("").alias("cohort"), F.to_json(F.struct(F.nullif("name", F.lit("")).alias("name"), F.nullif("domain", F.lit("")).alias("domain"))).alias("ask"))
         return self._kept(asked, COMPANY, self.company_url, "companies", company_row)
 
     def contacts(self, requests: DataFrame) -> DataFrame:
         blank = lambda c: F.nullif(F.col(c), F.lit(""))
         ask = F.to_json(F.struct(blank("email").alias("email"), blank("first").alias("firstName"), blank("last").alias("lastName"), blank("company").alias("companyName"), blank("domain").alias("companyDomain")))
         # the cheapest cohorts first, so that a limit of credits is met by the dearest
-        asked = requests.sortWithinPartitions("cost", "reveal").select(F.col("Id").alias("key"), F.array_join("reveal", ",").alias("cohort"), ask.alias("ask"))
+        asked = requests.sortWithinPartitions("cost", "reveal", "Id").select(F.col("Id").alias("key"), F.array_join("reveal", ",").alias("cohort"), ask.alias("ask"))
         return self._kept(asked, CONTACT, self.contact_url, "contacts", contact_row)
 
     def credits(self) -> int:
@@ -85,7 +88,7 @@ class Service:
 
     def _kept(self, asked: DataFrame, schema: str, url: str, what: str, row_of: Callable[[str, dict], dict]) -> DataFrame:
         ship_package(asked.sparkSession)
-        send, size = self.send, self.batch
+        send, size, ledger = self.send, self.batch, self.ledger
         empty = asked.sparkSession.createDataFrame([], schema)
 
         def ask(cohort: str, rows: list[tuple[str, str]]) -> list[dict]:
@@ -94,14 +97,14 @@ class Service:
             items = [json.loads(a) | {"clientReferenceId": str(k)} for k, (_, a) in enumerate(rows)]
             payload = {what: items, "options": {"includePartialProfiles": True}} | ({"reveal": [x for x in cohort.split(",") if x]} if what == "contacts" else {})
             try:
-                answer = send("POST", url, payload)
+                answer, now = at_most_once(ledger, send, url, payload, RequestFailed)
             except RequestFailed:
                 if what == "contacts" and not cohort:
                     return []  # these reveal nothing that costs; without them the run still stands
                 raise
             good = {str(r["clientReferenceId"]): r for r in answer.get("results") or [] if isinstance(r, dict) and r.get("clientReferenceId") is not None and not r.get("error")}
             out = [row_of(key, good[str(k)]) | {"credits": 0} for k, (key, _) in enumerate(rows) if str(k) in good]
-            charged = int((answer.get("billing") or {}).get("creditsCharged") or 0)
+            charged = int((answer.get("billing") or {}).get("creditsCharged") or 0) * now
             if charged:
                 out.append({"credits": charged})
             return out
