@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache, reduce
-from itertools import combinations
+from itertools import combinations, count
 from typing import NamedTuple
 
 import numpy as np
@@ -52,6 +52,8 @@ ONE_LEVEL = 3
 PER_TASK, ELEMENTS = 250, 4_000_000
 #: Part of the bound up to which a sketch's difference lets a pair join at once; other pairs that a node gives in a wave.
 SURE, EACH = 0.7, 16
+#: Waves in which sketches may join pairs at once; later ones take nothing for sure and give twice as many pairs each time.
+TRUSTED = 2
 #: Nodes in a row of a group; groups of more take several rows.
 PIECE = 256
 #: Nodes that a task remembers, so as to sign copies once.
@@ -330,7 +332,7 @@ class _Queries:
 ACROSS = "gid long, a long, b long, sure boolean"
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
+def _across(rows: DataFrame, percent: int, sure: float = SURE, each: int = EACH) -> DataFrame:
     """Pairs (gid, a, b, sure) between components, among rows (gid, block, role, node, label, n, s) in order of role.
 
     Rows of role -1 are pairs (node, label) that have failed. Those of role 0 are a block's queries, which are compared with
@@ -356,12 +358,12 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
                     other, pair = int(group.root[i]), tuple(sorted((node, int(group.ids[i]))))
                     if other == label or pair in failed:
                         continue
-                    if share <= SURE:
+                    if share <= sure:
                         out.append((gid, *pair, True))
                         joined[other] = label
                         for g in waiting.values():
                             g.rename(other, label)
-                    elif given < EACH:
+                    elif given < each:
                         given += 1
                         out.append((gid, *pair, False))
                     else:
@@ -420,14 +422,15 @@ def linked(spark: SparkSession, docs: DataFrame, text: str = "text", shingle: in
     scratch.drop(company, chosen, likely)
     open_, failed, found, sizes = members, None, [star], met.select("node", "n").distinct()
     light = met.select("node", F.col("sketch").alias("s"))
-    while True:
+    for wave in count():
         info = scratch.keep(_named(reduce(DataFrame.unionByName, found), sizes, scratch))
         blocks = scratch.keep(_blocks(open_.join(info, "node"), elements, percent))
         rows = blocks.join(light, "node")
         if failed is not None:
             pairs = failed.join(blocks.select("gid", "block").distinct(), "gid")
             rows = rows.unionByName(pairs.select("gid", "block", F.lit(-1).alias("role"), F.col("a").alias("node"), F.col("b").alias("label"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("s")))
-        tried = scratch.keep(_across(rows, percent))
+        # where sketches were wrong before, on few and short texts mostly, they would be wrong pair by pair
+        tried = scratch.keep(_across(rows, percent) if wave < TRUSTED else _across(rows, percent, -1.0, EACH << wave - 1))
         given = tried.filter("a IS NOT NULL")
         found.append(scratch.keep(_verified(given.select("a", "b").distinct(), met, shingle, percent).distinct()))
         wrong = scratch.keep(given.join(found[-1], ["a", "b"], "left_anti"))
