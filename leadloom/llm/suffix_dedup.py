@@ -7,8 +7,8 @@ Every byte covered by a string of K bytes that also starts in a document with a
    wherever they are. Of equal pieces all but those of the smallest document are marked whole: first among the texts that a
    task reads together, then in buckets of the minimizer, where compact records (minimizer, hash of the piece, place) meet.
    A group of copies thus sends one record for each batch of texts, however large it is.
-2. Where a minimizer has pieces that differ, one copy of each is fetched. Those with no other's bytes on either side of the
-   minimizer can't share a window and go. The bucket's other pieces form a collection for extended BCR: in round j every piece inserts the symbol before its suffix of length j, and the collection's
+2. Where a minimizer has pieces that differ, one copy of each is fetched. Those of whose windows none
+   has the hash of another's go. The other pieces, some minimizers at a time, form a collection for extended BCR: in round j every piece inserts the symbol before its suffix of length j, and the collection's
    Burrows-Wheeler transform, common prefixes and origins are rewritten in one sequential pass, from one set of files to the
    next once they exceed SPILL bytes. Suffixes whose common prefixes reach K bytes are equal windows, and the smallest
    document that holds one of the pieces keeps it.
@@ -47,6 +47,8 @@ from .shingles import _BASE, _INVERSE, _power, blocks, mix, text_bytes
 K, M, MAX_RUN = 50, 24, 64
 #: Bytes of text whose records make a bucket; bytes of a round's columns beyond which they go to files.
 BUCKET_BYTES, SPILL = 16_000_000, 64_000_000
+#: Bytes of pieces whose suffixes are ordered together, if one minimizer has no more.
+COLLECTION = 500_000
 _BYTE = np.random.Generator(np.random.PCG64(77)).integers(1, 2**64, 256, np.uint64)
 _PLACE = np.random.Generator(np.random.PCG64(78)).integers(1, 2**64, 64, np.uint64) | np.uint64(1)
 
@@ -300,47 +302,64 @@ def _wide(table: pa.Table, schema: pa.Schema = _ARROW) -> pa.Table:
     return pa.table({f.name: table.column(f.name) if f.name in table.column_names else pa.nulls(table.num_rows, f.type) for f in schema}, schema)
 
 
-def _meeting(texts: list[bytes], key: np.ndarray, k: int, m: int) -> np.ndarray:
-    """Which pieces can share a window with another one of their minimizer.
+def _meeting(texts: list[bytes], key: np.ndarray, k: int) -> np.ndarray:
+    """Which pieces have a window whose hash another piece of their minimizer has too; the order of suffixes has the others' say.
 
-    A shared window has the minimizer at one place in both, and k - m bytes around it: so half of these to its left, or half
-    to its right, are the same. A minimizer that stands several times in a piece counts with each of its places.
+    Equal windows have equal hashes, so no piece that shares one is left out.
     """
-    half = (k - m) // 2
     sizes = np.array([len(t) for t in texts])
-    ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(texts), np.uint8)
-    of = np.repeat(np.arange(len(texts)), sizes)
-    at = np.flatnonzero((mix(_gram_hashes(data, m)) & _LOW40) == key[of])
-    at = at[at + m <= ends[of[at]]]
-    who = of[at]
+    valid = np.maximum(sizes - k + 1, 0)
+    who = np.repeat(np.arange(len(texts)), valid)
+    at = np.arange(len(who)) + np.repeat(np.cumsum(sizes) - sizes - np.cumsum(valid) + valid, valid)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _power(_BASE, len(data))[: len(data)], dtype=np.uint64)))
+    code = mix((sums[at + k] - sums[at]) * _power(_INVERSE, len(data) + 1)[at] + key[who])
+    order = np.argsort(code, kind="stable")
+    code, who = code[order], who[order]
+    first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])[: len(code)]))
+    run = np.diff(np.append(first, len(code)))
     out = np.zeros(len(texts), bool)
-    for begin, side in ((at - half, 1), (at + m, 2)):
-        inside = (begin >= ends[who] - sizes[who]) & (begin + half <= ends[who])
-        b, w = begin[inside], who[inside]
-        code = mix((sums[b + half] - sums[b]) * _power(_INVERSE, len(data) + 1)[b] + key[w] * np.uint64(side))
-        order = np.lexsort((w, code))
-        code, w = code[order], w[order]
-        again = (code[1:] == code[:-1]) & (w[1:] != w[:-1])
-        out[w[1:][again]] = out[w[:-1][again]] = True
-        group = np.cumsum(np.concatenate(([0], (code[1:] != code[:-1]).astype(np.int64)))) if len(code) else np.empty(0, np.int64)
-        several = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
-        several[group[1:][again]] = True
-        out[w[several[group]]] = True
+    if len(first):  # pieces stand in order within a hash
+        out[who[np.repeat(who[first] < who[first + run - 1], run)]] = True
     return out
 
 
-def _resolve(k: int, m: int):
+def _owners(texts: list[bytes], key: np.ndarray, holder: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest holder of each window of each string, in the order of strings and offsets, and where each string's begin.
+
+    key is sorted. Strings of different minimizers share no window, so those of some minimizers make a collection, small enough
+    for its columns to stay near the processor; one minimizer's strings are never parted.
+    """
+    sizes = np.cumsum([len(t) for t in texts])
+    ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+    out, i = [], 0
+    while i < len(texts):
+        most = int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + COLLECTION, "right"))
+        fit = ends[(ends > i) & (ends <= most)]
+        j = int(fit[-1] if len(fit) else ends[np.searchsorted(ends, i, "right")])
+        _, lcp, sid, off = suffix_order(texts[i:j])
+        new = lcp < k
+        new[:1] = True
+        least = np.minimum.reduceat(holder[i:j][sid], np.flatnonzero(new))[np.cumsum(new) - 1]
+        whole = np.array([len(t) for t in texts[i:j]])[sid] - off >= k
+        sid, off, least = sid[whole], off[whole], least[whole]
+        out.append(least[np.lexsort((off, sid))])
+        i = j
+    counts = np.array([max(len(t) - k + 1, 0) for t in texts])
+    return np.concatenate(out), np.concatenate(([0], np.cumsum(counts)))
+
+
+def _resolve(k: int):
     def work(records: pa.Table, strings: pa.Table) -> pa.Table:
         """Marks of the windows that different pieces of a bucket share, from the order of their suffixes."""
         if not records.num_rows or not strings.num_rows:
             return _ARROW.empty_table()
         name = lambda t: np.stack([t.column(c).to_numpy().astype(np.uint64) for c in ("key", "code")])
         own, asked = name(strings), name(records)
-        keep = _meeting(strings.column("bytes").to_pylist(), own[0], k, m)
-        texts = strings.column("bytes").filter(pa.array(keep)).to_pylist()
-        own = own[:, keep]
+        order = np.argsort(own[0], kind="stable")
+        pieces = strings.column("bytes").take(pa.array(order))
+        keep = _meeting(pieces.to_pylist(), own[0][order], k)
+        texts, own = pieces.filter(pa.array(keep)).to_pylist(), own[:, order][:, keep]
         if not len(texts):
             return _ARROW.empty_table()
         folded = mix(own[0]) + own[1]
@@ -351,17 +370,7 @@ def _resolve(k: int, m: int):
         ids, hashes, start = (records.column(c).to_numpy()[known] for c in ("doc_id", "h", "start"))
         holder = np.full(len(texts), np.iinfo(np.int64).max)
         np.minimum.at(holder, of, ids)
-        _, lcp, sid, off = suffix_order(texts)
-        new = lcp < k
-        new[:1] = True
-        first = np.flatnonzero(new)
-        least = np.minimum.reduceat(holder[sid], first)[np.cumsum(new) - 1]
-        whole = np.array([len(t) for t in texts])[sid] - off >= k
-        # the smallest document of each window of each string, in the order of strings and offsets
-        sid, off, least = sid[whole], off[whole], least[whole]
-        order = np.lexsort((off, sid))
-        least = least[order]
-        begin = np.searchsorted(sid[order], np.arange(len(texts) + 1))
+        least, begin = _owners(texts, own[0], holder, k)
         windows = np.diff(begin)[of]
         row = np.repeat(np.arange(len(of)), windows)
         inner = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -396,7 +405,7 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, scratch: Scratch,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names)
 
     strings = texts.select("text", "want").mapInArrow(cut, "bucket int, key long, code long, bytes binary").dropDuplicates(["bucket", "key", "code"])
-    more = records.groupBy("bucket").cogroup(strings.groupBy("bucket")).applyInArrow(_resolve(size, minimizer), FOUND)
+    more = records.groupBy("bucket").cogroup(strings.groupBy("bucket")).applyInArrow(_resolve(size), FOUND)
     marks = found.filter("marks IS NOT NULL").select("doc_id", "h", "marks").unionByName(more.select("doc_id", "h", "marks"))
     return marks.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("marks")).alias("marks"))
 

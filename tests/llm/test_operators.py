@@ -245,6 +245,24 @@ def test_suffix_dedup_of_families(spark, frame):
     assert got == dict(kept_by_hand(docs))
 
 
+def test_only_pieces_with_a_shared_window_are_ordered(monkeypatch):
+    """Sharing one side of the minimizer isn't enough; and collections of few minimizers find what one of all does."""
+    rng = random.Random(3)
+    make = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    side, window = make(49), make(50)
+    pieces = [side + b"x", side + b"y", b"1" + window, b"2" + window, window + b"3", window + b"3"]
+    key = np.array([1, 1, 2, 2, 2, 3], np.uint64)
+    assert suffix_dedup._meeting(pieces, key, 50).tolist() == [False, False, True, True, True, False]
+    few = [make(20) + window + make(10) for _ in range(40)]
+    keys, holder = np.sort(np.array([rng.randint(0, 9) for _ in few], np.uint64)), np.array([rng.randint(0, 99) for _ in few])
+    want = suffix_dedup._owners(few, keys, holder, 50)
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", 1)
+    got = suffix_dedup._owners(few, keys, holder, 50)
+    assert got[1].tolist() == want[1].tolist()
+    for k in range(40):
+        assert got[0][got[1][k] + 20] == min(holder[keys == keys[k]])
+
+
 def test_suffix_dedup_of_odd_tables(spark, frame):
     text = "some words that are repeated in more than one document here, over fifty bytes"
     odd = [(None, text), (5, text), (5, text), (5, "x" + text), (7, text + "é"), (-3, None), (2, ""), (9, text * 30)]
