@@ -13,7 +13,9 @@ from leadloom.operators.validate import validate
 
 def clean_stream(stream: DataFrame, mx: DataFrame | None = None) -> DataFrame:
     """validate() and normalize() hold no state and work on a stream as on a table."""
-    return normalize(validate(stream, mx).drop("_issues")).drop("_changes")
+    spark = stream.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)  # a batch may be one file
+    return normalize(validate(stream.repartition(tasks), mx).drop("_issues")).drop("_changes")
 
 
 def first_by_email(stream: DataFrame, time: str, late: str = "1 hour") -> DataFrame:

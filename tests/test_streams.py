@@ -1,6 +1,7 @@
 """Streams: the row-wise stages, the first lead of each e-mail, batches that are repeated."""
 
-from leadloom import queries
+from leadloom import queries, rule_queries
+from leadloom.leads import leads
 from leadloom.streaming import batches
 
 LEADS = "Id string, Email string, seen timestamp"
@@ -20,3 +21,11 @@ def test_a_stream_is_cleaned_like_a_table(spark):
     sf = "/root/testdata/sf0.001"
     got, want = queries.QUERIES["streamed_clean"](spark, sf), queries.QUERIES["normalized"](spark, sf).drop("_changes")
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_rows_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    """A file with one block of rows was one task, whatever was made of them."""
+    rows = spark.range(20_000).selectExpr("id AS c_custkey", "0 AS c_nationkey", "'x' AS c_mktsegment", "0.0D AS c_acctbal")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    assert leads(spark, str(tmp_path)).rdd.getNumPartitions() == 5
+    assert rule_queries.QUERIES["rules_text"](spark, str(tmp_path)).rdd.getNumPartitions() == 5
