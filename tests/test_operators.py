@@ -151,6 +151,22 @@ def test_pairs_score_alike_in_both_forms(spark):
         assert (m.signals, m.score, m.auto, m.held) == (r.s.signals, r.s.score, r.s.auto_merge, r.s.hitl)
 
 
+def some_pairs(monkeypatch, spark):
+    """Keyed rows of which many share a key or several, in blocks of three."""
+    monkeypatch.setattr(dedupe, "BLOCK", 3)
+    rng = random.Random(7)
+    return dedupe.keyed(spark.createDataFrame(random_batch(rng, 60)))
+
+
+def test_pairs_are_made_once_by_one_key(spark, monkeypatch):
+    df = some_pairs(monkeypatch, spark)
+    rows = df.collect()
+    meet = lambda a, b: any(a[k] and a[k] == b[k] and (k != "k_phone" or len(a[k]) >= 7) for k in ("k_email", "k_phone", "k_last"))
+    found = dedupe.candidate_pairs(df, "row_order", "Id")
+    assert sorted(map(tuple, found.collect())) == sorted((a.Id, b.Id) for a in rows for b in rows if a.row_order < b.row_order and meet(a, b))
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()  # made pairs are neither shuffled nor compared
+
+
 def test_provenance(spark):
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "Id string")
     log = spark.createDataFrame([("b", "a", "exact_email", "a:exact_email"), ("c", "b", "exact_email", "b:exact_email"), ("y", "x", "exact_email", "x:exact_email"), ("x", "y", "exact_email", "y:exact_email")], "surviving_lead_id string, merged_from_ids string, match_signals_used string, absorbed_match_signals string")
