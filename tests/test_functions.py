@@ -71,3 +71,10 @@ def test_similarity(spark):
 def test_dictionaries():
     assert parse_markdown("## Title\n| Alias | Canonical |\n|---|---|\n| A & b | X |\n| a and b | Y |\n") == {"title": {"a and b": "Y"}}
     assert ALIASES["company"]["p and g"] == "Procter & Gamble"
+
+
+def test_large_whole_numbers_keep_all_digits(spark):
+    """A double holds whole numbers up to 2**53 only."""
+    df = spark.createDataFrame([("about 590,000,000,014,999K+", "590000000014999000"), ("9,007,199,254,740,993", "9007199254740993"), ("1.5m", "1500000"), ("007", "7")], "v string, told string")
+    got = df.select("told", names.employees(F.col("v")).alias("e"), names.revenue(F.col("v")).alias("r")).collect()
+    assert [r.e for r in got] == [r.told for r in got] and [r.r for r in got][1:] == [r.told for r in got][1:]
