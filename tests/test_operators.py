@@ -167,6 +167,17 @@ def test_pairs_are_made_once_by_one_key(spark, monkeypatch):
     assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()  # made pairs are neither shuffled nor compared
 
 
+def test_scored_pairs_are_those_of_the_rules(spark, monkeypatch):
+    df = some_pairs(monkeypatch, spark)
+    rows = df.collect()
+    told = {}
+    for x, y in ((dedupe.Row(a.asDict()), dedupe.Row(b.asDict())) for a in rows for b in rows if a.row_order < b.row_order):
+        if any(x[k] and x[k] == y[k] and (k != "k_phone" or len(x[k]) >= 7) for k in ("k_email", "k_phone", "k_last")):
+            m = dedupe.judge(x, y)
+            told[x["Id"], y["Id"]] = ("|".join(m.signals), m.score, m.auto, m.held)
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in dedupe.scored_pairs(df, "row_order", "Id").collect()} == told
+
+
 def test_provenance(spark):
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "Id string")
     log = spark.createDataFrame([("b", "a", "exact_email", "a:exact_email"), ("c", "b", "exact_email", "b:exact_email"), ("y", "x", "exact_email", "x:exact_email"), ("x", "y", "exact_email", "y:exact_email")], "surviving_lead_id string, merged_from_ids string, match_signals_used string, absorbed_match_signals string")
