@@ -131,6 +131,31 @@ def test_log_of_a_lead_that_took_many(spark):
     assert row.merged_from_ids == ";".join(f"i{k}" for k in range(n)) and row.absorbed_match_signals.split(";")[-1] == f"i{n - 1}:exact_email"
 
 
+@pytest.mark.parametrize("flags", [True, False])
+def test_components_that_share_phones_give_the_log_of_the_whole(spark, monkeypatch, flags):
+    rng = random.Random(11)
+    pick = rng.choice
+    batch = [record(i, Id=pick(("00Q", "DUPE")) + str(i), FirstName=pick(("Dave", "David", "J", "Jane", "Test", "")), LastName=pick(("", *[f"l{x}" for x in range(40)])), Email=pick(("", "", f"a{rng.randint(0, 99)}@acme.com")), Phone=pick(("", *[f"{pick(('', '+1'))}206555010{x}" for x in range(10)])), Company=pick(("Acme Inc", "Acme", "Globex", "n/a")), data_quality_flags=pick(("", " x|test_data|x", "u||v", "none", "z"))) for i in range(150)]
+    df = spark.createDataFrame(batch)
+    if not flags:
+        df = df.drop("data_quality_flags", "hitl_review", "Id")
+    monkeypatch.setattr(dedupe, "PART", 20)
+    got, want = dedupe.dedupe(df, few=0), dedupe.dedupe(df)
+    for a, b in zip(got, want, strict=True):
+        assert a.columns == b.columns
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_phones_join_no_components(spark):
+    """Rows each of which shares a phone with the next ones and nothing else: no component may hold more than one."""
+    from leadloom.tables import Scratch
+
+    rows = spark.createDataFrame([record(i, FirstName=f"f{i}", LastName=f"l{i}", Phone=f"20655{i // 3:05}") for i in range(300)])
+    assert dedupe.block_labels(dedupe.keyed(rows), "row_order", Scratch(spark, "test")).isEmpty()
+    got, log = dedupe.dedupe(rows, few=0)
+    assert got.filter("hitl_review = 'Yes' AND data_quality_flags = 'low_confidence_match'").count() == 300 and log.count() == 300
+
+
 def test_a_common_surname_splits_by_initials(spark):
     rows = [record(i, FirstName=f"{chr(97 + i % 26)}name{i}", LastName="Smith") for i in range(2600)]
     df = dedupe.keyed(spark.createDataFrame(rows))
