@@ -180,17 +180,84 @@ def _region_of_digits(d: str) -> str:
 
 _SECOND = lambda h: f"(CASE WHEN contains({h}, '.') THEN MAP {{{', '.join(f'{_sql(k)}: {_sql(v)}' for k, v in V.COMPOUND_TLD_REGION.items())}}}[split_part({h}, '.', -2) || '.' || split_part({h}, '.', -1)] END)"
 _FIRST = lambda h: f"MAP {{{', '.join(f'{_sql(k)}: {_sql(v)}' for k, v in V.TLD_REGION.items())}}}[split_part({h}, '.', -1)]"
+def _plans() -> tuple[str, list[tuple[str, str]]]:
+    """A pattern of the whole numbers that plans give out, and those of alternatives that bar some beginnings, which this engine's patterns can't say."""
+    plain, barring = [], []
+    for code, pattern in V.NATIONAL_PATTERN.items():
+        head, bar, tail = pattern.partition("|(?!")
+        plain.append(f"{code}(?:{head})")
+        if bar:
+            barred, _, rest = tail.partition(")")
+            barring.append((f"{code}(?:{rest})", f"^{code}(?:{barred})"))
+    return "|".join(plain), barring
+
+
+_PLAIN, _BARRING = _plans()
+_CODE_OF = lambda r: f"coalesce(MAP {{{', '.join(f'{_sql(k)}: {_sql(v)}' for k, v in V.REGION_CALLING.items())}}}[upper({r})], '')"
+_CODES = "|".join(phones.CODES)
+
+
+def _plus(d: str) -> str:
+    barring = "".join(f" OR (regexp_full_match({d}, '{whole}') AND NOT regexp_matches({d}, '{barred}'))" for whole, barred in _BARRING)
+    return f"(CASE WHEN regexp_full_match({d}, '{_PLAIN}'){barring} THEN '+' || {d} ELSE '' END)"
+
+
+_ZEROLESS = lambda code, d: f"(CASE WHEN {code} IN ({_list(phones.KEEPS_ZERO)}) THEN {d} ELSE regexp_replace({d}, '^0', '') END)"
+_E164 = lambda code, d: f"(CASE WHEN {code} = '' OR {d} = '' THEN '' ELSE {_plus(f'({code} || {_ZEROLESS(code, d)})')} END)"
+_ABROAD = lambda d: _E164(f"regexp_extract({d}, '^(?:{_CODES})')", f"substr({d}, length(regexp_extract({d}, '^(?:{_CODES})')) + 1)")
+_AT_HOME = lambda code, d: _plus(f"({code} || {_ZEROLESS(code, d)})")
+_COUNTRY = lambda c: f"(CASE WHEN upper({_CELL(c)}) IN ({_list(V.REGION_CALLING)}) THEN upper({_CELL(c)}) ELSE coalesce({_NATIONS}[lower({_CELL(c)})], {_NATIONS}[{_S(f"regexp_replace(lower({_CELL(c)}), '[.,]', '', 'g')")}], '') END)"
+_NATIONS = f"MAP {{{', '.join(f'{_sql(k)}: {_sql(v)}' for k, v in V.COUNTRY_REGION.items())}}}"
+_MAIL_REGION = lambda e: f"coalesce({_SECOND(_DOMAIN(e))}, {_FIRST(_DOMAIN(e))}, '')"
+_JUNK = lambda d: f"(length({d}) NOT BETWEEN {V.MIN_PHONE_DIGITS} AND {V.MAX_PHONE_DIGITS} OR replace({d}, left({d}, 1), '') = '' OR {d} IN ({_list(V.DUMMY_PHONES)}) OR regexp_matches({d}, '^1?555[0-9]{{7}}$'))"
+
+
+def _dialled(t: str, d: str, code: str) -> str:
+    own = f"substr({d}, length({code}) + 1)"
+    return f"""(CASE WHEN starts_with({t}, '+') THEN {_ABROAD(d)} WHEN {t} = '' OR {code} = '' THEN '' WHEN regexp_matches({d}, '^00[1-9]') THEN {_ABROAD(f"substr({d}, 3)")}
+      WHEN starts_with({d}, {code}) AND length({d}) > 10 THEN coalesce(nullif({_AT_HOME(code, d)}, ''), nullif({_AT_HOME(code, own)}, ''), '') ELSE {_AT_HOME(code, d)} END)"""
+
+
+def _parsed(first: str, second: str) -> str:
+    """status/value/reason of pt, by the regions of two columns and what was dialled in them, all blank without evidence."""
+    none = f"({first} = '' AND {second} = '')"
+    by = lambda r, of: f"WHEN {r} <> '' AND in_{r} <> '' THEN 'valid/' || in_{r} || '/phone: validated with region hint ' || {r} || ' (from {of})'"
+    return f"""CASE WHEN kind = 'empty' THEN '//' WHEN kind IN ('garbage', 'noise') THEN 'unparseable//phone: ' || kind || ', no recoverable number (left unparseable)'
+      WHEN starts_with(pt, '+') AND abroad <> '' THEN 'valid/' || abroad || '/phone: validated as submitted, country code preserved'
+      WHEN (kind = 'has_cc' OR of_digits <> '') AND abroad <> '' THEN 'valid/' || abroad || '/phone: validated from the country code already in the value'
+      {by(first, 'email TLD') if first != "''" else ''} {by(second, 'country field') if second != "''" else ''}
+      WHEN kind = 'missing_cc' AND {none} AND as_nanp <> '' THEN 'valid/' || as_nanp || '/phone: validated as a NANP number using the default US region (no other country evidence)'
+      ELSE 'needs_review/' || pt || '/' || CASE WHEN {none} THEN {_sql(phones.NO_EVIDENCE)} ELSE {_sql(phones.REJECTED)} END END"""
+
+
+#: Steps of reading the value p: without marks (pm), with one space (po) and its digits (pd), unwrapped (pt) and its digits (d), and what these tell.
+_READ = f""",
+  bare AS (SELECT *, {_MARKERS('p')} AS pm, {_MAIL_REGION('f')} AS re, {_COUNTRY('c')} AS rc FROM v),
+  spaced AS (SELECT *, {_ONE('pm')} AS po, {_DIGITS('pm')} AS pd, {_CODE_OF('r')} AS code, {_CODE_OF('re')} AS code_re, {_CODE_OF('rc')} AS code_rc FROM bare),
+  opened AS (SELECT *, {_UNWRAPPED('po')} AS pt FROM spaced),
+  counted AS (SELECT *, {_DIGITS('pt')} AS d FROM opened),
+  sorted AS (SELECT *, CASE WHEN regexp_matches(d, '^1[0-9]{{10}}$') THEN substr(d, 2) ELSE d END AS ten, {_region_of_digits('d')} AS of_digits, CASE WHEN pt = '' THEN 'empty' WHEN regexp_matches(pt, '(?i)\\bext\\.?\\b|\\bx[0-9]+|/') OR regexp_matches(pt, '\\+.*\\+') THEN 'noise'
+    WHEN d = '' OR {_JUNK('d')} THEN 'garbage' WHEN regexp_matches(pt, '^(\\+|00([^0]|$))') THEN 'has_cc' ELSE 'missing_cc' END AS kind FROM counted),
+  w AS (SELECT *, {_ABROAD('d')} AS abroad, {_dialled('po', 'pd', 'code')} AS in_r, {_dialled('pt', 'd', 'code_re')} AS in_re, {_dialled('pt', 'd', 'code_rc')} AS in_rc, {_AT_HOME("'1'", 'ten')} AS as_nanp FROM sorted)"""
+_told = lambda p: T.let(p, lambda o: F.concat_ws("/", o["status"], o["value"], o["reason"]))
 _register(
     "rules_phones",
     {
         "v": (("", "+", "(+44) ", "00", "000", "'", "(+1)", "="), ("2065550100", "49 1523 1234567", "886912345678", "7771-695-127", "60123456789", "n/a", "9234567890", "12", "1 206 555 0100", "33 1 67 45 82 14"), ("", "4", " x")),
         "w": (("+", "", "00"), ("2065550100", "49 1523 1234567", "0912", "")),
         "e": (("a@", "", "b@mail."), ("buchert.de", "corp.co.uk", "amazon.com", "corp.co.in", "mil.tw", "x.JP.", "none")),
+        # lists of lengths without a common factor, so that all combinations of them come up
+        "p": (("", "206-555-0100 ext 4", "+1 2 +3", "000", "12", "+49 30 1234567", "0049301234567", "2065550100", "1111111", "5551234567", "1-555-123-4567", "1234567890123456789", "022-1234-5678", "01 67 45 82 14", "092-266-8345", "98006498", "099300286056", "+44-7771-695-127", "098-006", "99300286056", "81312345678", "030 1234567", "(+1) 206-555-0100", "0000000000", "=2222345678", "0612345678", "912222234567", "00919930028605", "'1 206 555  0100"),),
+        "c": (("", "usa", "U.K.", "Deutschland", "de", "Atlantis", "France", "r.o.c.", "IN", " japan ", "n/a", "u.s.", "Taiwan,"),),
+        "f": (("", "j@amazon.com", "g@yahoo.in", "x@a.de", "a@b.com", "pat@corp.co.uk", "none"),),
+        "r": (("US", "IN", "FR", "TW", "SG", "gb", "DE", "IT", "CN", "", "ZZ"),),
+        "g": (("1", "33", "91", "39", "44", "65", "", "886", "49"),),
+        "m": (("2065550100", "0167458214", "0922668345", "2212345678", "2222345678", "0612345678", "7771695127", "98006498", "", "3012345678", "1812345678"),),
     },
     {
         "unwrapped": (phones.unwrap(F.col("v")), _UNWRAPPED("v")),
         "nanp": (phones.is_nanp(T.digits(F.col("v"))), _NANP(_DIGITS("v"))),
-        "email_region": (phones.region_of_email(F.col("e")), f"coalesce({_SECOND(_DOMAIN('e'))}, {_FIRST(_DOMAIN('e'))}, '')"),
+        "email_region": (phones.region_of_email(F.col("e")), _MAIL_REGION("e")),
         "digits_region": (phones.region_of_digits(T.digits(F.col("v"))), _region_of_digits(_DIGITS("v"))),
         "coded": (phones.has_code(F.col("v")), _CODED("v")),
         "international": (phones.is_international(F.col("v")), f"regexp_matches({_CELL('v')}, '^\\+[0-9]')"),
@@ -198,7 +265,16 @@ _register(
         "marker": (phones.has_text_marker(F.col("v")), "regexp_matches(v, '^[''\\t]')"),
         "formula": (phones.is_formula(F.col("v")), "(regexp_matches(v, '^[=@-]') OR (starts_with(v, '+') AND NOT regexp_full_match(v, '\\+[0-9][0-9-]*')))"),
         "shown": (phones.shows_code(F.col("v")), "regexp_matches(v, '^\\(?\\+')"),
+        "kind": (phones.classify(F.col("p")), "kind"),
+        "junk": (phones.is_junk_phone(F.col("p")), _JUNK("pd")),
+        "country_region": (phones.region_of_country(F.col("c")), "rc"),
+        "region": (phones.inferred_region(F.col("f"), F.col("c"), F.col("p"))["region"], f"coalesce(nullif(re, ''), nullif(rc, ''), {_region_of_digits('d')})"),
+        "e164": (phones.e164(F.col("g"), F.col("m")), _E164("g", "m")),
+        "dialled": (phones.for_region(F.col("p"), F.col("r")), "in_r"),
+        "parsed": (_told(phones.parse(F.col("p"), F.col("f"), F.lit(""), F.col("c"))), _parsed("re", "rc")),
+        "normalized": (phones.normalized_phone(F.col("p"), F.lit(""), F.lit(""), F.lit("")), f"nullif(split_part({_parsed("''", "''")}, '/', 2), '')"),
     },
+    _READ,
 )
 
 #: Longest common subsequences of pairs (a, b), a character of a at a time: cells grow by the best to their left after each.
